@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rideloom.functions.calendar import weekday
 from rideloom.functions.measures import kilometres
-from rideloom.operators.families import _trips, additive_sum
+from rideloom.operators.families import additive_sum, trip_count
 
 
 def month_of(day: Column) -> Column:
@@ -71,7 +71,7 @@ def _hours(df: DataFrame) -> DataFrame:
 def month_hour_matrix(trips: DataFrame) -> DataFrame:
     """Dense months x 24 in long form."""
     counts = (
-        trips.groupBy(month_of(F.col("day")).alias("month"), "hour").agg(_trips(trips).alias("trips"))
+        trips.groupBy(month_of(F.col("day")).alias("month"), "hour").agg(trip_count(trips).alias("trips"))
     )
     spine = _hours(counts.select("month").distinct())
     return spine.join(counts, ["month", "hour"], "left").fillna(0, ["trips"])
@@ -80,27 +80,27 @@ def month_hour_matrix(trips: DataFrame) -> DataFrame:
 def month_hour_pivot(trips: DataFrame) -> DataFrame:
     """The same matrix with one column per hour, h0 .. h23."""
     monthly = trips.groupBy(month_of(F.col("day")).alias("month"))
-    wide = monthly.pivot("hour", list(range(24))).agg(_trips(trips)).fillna(0)
+    wide = monthly.pivot("hour", list(range(24))).agg(trip_count(trips)).fillna(0)
     return wide.withColumnsRenamed({str(h): f"h{h}" for h in range(24)})
 
 
 def weekday_hour_matrix(t: DataFrame) -> DataFrame:
     """Dense 7 x 24, Monday = 0."""
-    counts = t.groupBy(weekday(F.col("day")).alias("weekday"), "hour").agg(_trips(t).alias("trips"))
+    counts = t.groupBy(weekday(F.col("day")).alias("weekday"), "hour").agg(trip_count(t).alias("trips"))
     spine = _hours(t.sparkSession.range(7).select(F.col("id").cast("int").alias("weekday")))
     return spine.join(counts, ["weekday", "hour"], "left").fillna(0, ["trips"])
 
 
 def zone_month_matrix(trips: DataFrame) -> DataFrame:
     """Dense zone x month over the months present; every zone gets every month as an array, no pairs joined."""
-    counts = trips.groupBy("zone", month_of(F.col("day")).alias("month")).agg(_trips(trips).alias("trips"))
+    counts = trips.groupBy("zone", month_of(F.col("day")).alias("month")).agg(trip_count(trips).alias("trips"))
     months = counts.agg(F.array_sort(F.collect_set("month")).alias("months")).scalar()
     spine = counts.select("zone").distinct().withColumn("month", F.explode(months))
     return spine.join(counts, ["zone", "month"], "left").fillna(0, ["trips"])
 
 
 def zone_year(trips: DataFrame) -> DataFrame:
-    return trips.groupBy("zone").agg(_trips(trips).alias("trips"))
+    return trips.groupBy("zone").agg(trip_count(trips).alias("trips"))
 
 
 def day_curves(days: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def monthly_totals_long(t: DataFrame) -> DataFrame:
 
 def _by_slot_of_year(t: DataFrame, slot: Column, name: str) -> DataFrame:
     """Sum over years and mean per year in which the slot occurs, per (slot, hour)."""
-    yearly = t.groupBy(slot.alias(name), "hour", F.year("day").alias("year")).agg(_trips(t).alias("trips"))
+    yearly = t.groupBy(slot.alias(name), "hour", F.year("day").alias("year")).agg(trip_count(t).alias("trips"))
     return yearly.groupBy(name, "hour").agg(
         F.sum("trips").alias("trips"), F.count("*").alias("years")
     ).select(name, "hour", "trips", F.try_divide("trips", "years").alias("avg_trips_per_year"))
@@ -160,18 +160,13 @@ def weekday_hour_long(t: DataFrame) -> DataFrame:
 
 
 def yearly_totals(t: DataFrame) -> DataFrame:
-    return t.groupBy(F.year("day").alias("year")).agg(_trips(t).alias("trips"))
+    return t.groupBy(F.year("day").alias("year")).agg(trip_count(t).alias("trips"))
 
 
 def year_month_matrix(t: DataFrame) -> DataFrame:
     """Years x 12 with columns m1 .. m12, 0 where a month has no trips."""
-    wide = (
-        t.groupBy(F.year("day").alias("year")).pivot("m", list(range(1, 13))).agg(_trips(t))
-        if "m" in t.columns
-        else t.withColumn("m", F.month("day")).groupBy(F.year("day").alias("year"))
-        .pivot("m", list(range(1, 13))).agg(_trips(t))
-    )
-    return wide.fillna(0).withColumnsRenamed({str(m): f"m{m}" for m in range(1, 13)})
+    yearly = t.withColumn("m", F.month("day")).groupBy(F.year("day").alias("year"))
+    return yearly.pivot("m", list(range(1, 13))).agg(trip_count(t)).fillna(0).withColumnsRenamed({str(m): f"m{m}" for m in range(1, 13)})
 
 
 def pct_of_base_year(monthly: DataFrame, base_year: int, years: Sequence[int]) -> DataFrame:
@@ -184,11 +179,8 @@ def pct_of_base_year(monthly: DataFrame, base_year: int, years: Sequence[int]) -
 
 def archive_manifest(t: DataFrame) -> DataFrame:
     """Rows per (year, month) plus the grand total (null, null)."""
-    year, month = ("year", "month") if "year" in t.columns else (F.year("day"), F.month("day"))
-    counts = t.select(
-        (F.col(year) if isinstance(year, str) else year).alias("year"),
-        (F.col(month) if isinstance(month, str) else month).alias("month"),
-    ).groupBy("year", "month").agg(F.count("*").alias("rows"))
+    dated = t if "year" in t.columns else t.withColumns({"year": F.year("day"), "month": F.month("day")})
+    counts = dated.groupBy("year", "month").agg(F.count("*").alias("rows"))
     return counts.groupingSets([["year", "month"], []], "year", "month").agg(F.sum("rows").alias("rows"))
 
 

@@ -16,13 +16,13 @@ FAMILY_KEYS = {
 }
 
 
-def _trips(df: DataFrame) -> Column:
+def trip_count(df: DataFrame) -> Column:
     """Rows of an aggregate carry their own count; raw trips count as one."""
     return F.sum("trips") if "trips" in df.columns else F.count(F.lit(1))
 
 
 def _sums(df: DataFrame) -> list[Column]:
-    return [_trips(df).alias("trips"), *[F.sum(name).alias(name) for name in SUM4[1:]]]
+    return [trip_count(df).alias("trips"), *[F.sum(name).alias(name) for name in SUM4[1:]]]
 
 
 def additive_sum(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:

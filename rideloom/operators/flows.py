@@ -117,7 +117,7 @@ def od_backbone(od: DataFrame, k: int = 25) -> DataFrame:
     k(k-1)/2 + 1 rows go through the greedy step.
     """
     shortlist = od_direction(od).orderBy(F.desc("trips"), "origin", "destination").limit(shortlist_size(k))
-    return shortlist.groupBy(F.lit(0)).applyInPandas(
+    return shortlist.groupBy().applyInPandas(
         lambda pdf: _greedy_acyclic(pdf, k), "origin int, destination int, trips long"
     )
 

@@ -149,13 +149,13 @@ def nearest_zone(
         packed = centers.agg(F.collect_list(F.struct("zone", "cx", "cy"))).scalar()
         best = F.array_min(
             F.transform(
-                packed,
+                "centers",
                 lambda c: F.struct(
                     (F.abs(c["cx"] - F.col(x)) + F.abs(c["cy"] - F.col(y))).alias("gap"), c["zone"].alias("zone")
                 ),
             )
         )
-        return points.select(key, best["zone"].alias("zone"))
+        return points.select(key, x, y, packed.alias("centers")).select(key, best["zone"].alias("zone"))
     return _nearest_by_cells(points, centers, key, x, y)
 
 

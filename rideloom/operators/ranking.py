@@ -45,7 +45,7 @@ def latest_success_per_month(runs: DataFrame) -> DataFrame:
     return _pick_per_month(runs.filter(F.col("status") == "SUCCEEDED"), latest=True)
 
 
-def _plain_pipeline(runs: DataFrame) -> DataFrame:
+def standard_runs(runs: DataFrame) -> DataFrame:
     """Successful runs of the standard configuration: two reducers, combiner on, no injected failure."""
     return runs.filter(
         (F.col("status") == "SUCCEEDED") & (F.col("reducers") == 2) & F.col("combiner") & ~F.col("fail_first")
@@ -53,12 +53,12 @@ def _plain_pipeline(runs: DataFrame) -> DataFrame:
 
 
 def earliest_run_per_month(runs: DataFrame) -> DataFrame:
-    return _pick_per_month(_plain_pipeline(runs), latest=False)
+    return _pick_per_month(standard_runs(runs), latest=False)
 
 
 def latest_matching_run(runs: DataFrame, filters: Mapping[str, object] | None = None) -> DataFrame:
     """Per month the latest standard run that also meets the given column values."""
-    matching = _plain_pipeline(runs)
+    matching = standard_runs(runs)
     for name, value in (filters or {}).items():
         matching = matching.filter(F.col(name) == F.lit(value))
     return _pick_per_month(matching, latest=True)
