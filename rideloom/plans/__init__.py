@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("q_quality", "q_cubes", "q_forecast", "q_geo")
+_MODULES = ("q_quality", "q_cubes", "q_forecast", "q_geo", "q_replay", "q_io")
 
 
 def all_queries():

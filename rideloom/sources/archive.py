@@ -56,13 +56,12 @@ def normalize_schema_drift(
 def write_archive(df: DataFrame, path: str) -> None:
     """Parquet by kind / year / month. ``df`` has kind and day.
 
-    Rows are spread by kind, year, month and day: a month is written by about thirty tasks instead of
-    one, which a hot month would overrun, and a file still belongs to one partition.
+    Rebalancing by folder lets AQE merge small months into one task and split a hot one over many, so
+    files come out near the advisory partition size however the rows are spread.
     """
     dated = df.withColumns({"year": F.year("day"), "month": F.month("day")})
-    dated.repartition("kind", "year", "month", "day").write.mode("overwrite").partitionBy(
-        "kind", "year", "month"
-    ).parquet(path)
+    folders = ("kind", "year", "month")
+    dated.hint("rebalance", *folders).write.mode("overwrite").partitionBy(*folders).parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str, kind: str | None = None, years: tuple[int, int] | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ def shard_manifest(spark: SparkSession, path: str) -> DataFrame:
     A shard is one row here, which its bounded size (``write_shards``) makes safe.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    text = F.decode("content", F.lit("UTF-8"))
+    text = F.decode("content", "UTF-8")
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.regexp_count(text, F.lit("\n")).cast("long").alias("rows"),
