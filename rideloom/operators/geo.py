@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rideloom.functions.geo import edge_list_distance, in_edges, ring_edges, utm
+from rideloom.functions.once import computed_once
 from rideloom.workspace import cut_lineage
 
 # Largest dimension that is handed to every task; a larger one is joined by shuffle instead.
@@ -126,9 +127,9 @@ def distance_join(zones: DataFrame, max_m: float, utm_zone: int = 18, cell_m: fl
         & (F.col("cx") == F.greatest(_cell(F.col("a.x0"), size), _cell(F.col("b.x0"), size)))
         & (F.col("cy") == F.greatest(_cell(F.col("a.y0"), size), _cell(F.col("b.y0"), size)))
     )
-    near = pairs.select(
-        F.col("a.zone").alias("za"), F.col("b.zone").alias("zb"),
-        edge_list_distance(F.col("a.edges"), F.col("b.edges")).alias("distance_m"),
+    gap = edge_list_distance(F.col("a.edges"), F.col("b.edges"))
+    near = computed_once(
+        pairs.select("a", "b"), {"za": F.col("a.zone"), "zb": F.col("b.zone"), "distance_m": gap}
     ).filter(F.col("distance_m") <= max_m)
     both = F.array(
         F.struct(F.col("za").alias("zone"), F.col("zb").alias("neighbor")),

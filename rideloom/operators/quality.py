@@ -8,27 +8,34 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rideloom.functions.measures import elapsed_seconds, half_even, ratio_or_zero, truncated
+from rideloom.functions.once import computed_once
 from rideloom.schema import RAW_FIELDS, REASONS, TYPED_FIELDS, Rules, month_arg_guard
 
-# What counts as a time or a number; casts alone accept more ("2025", "1.0d").
+# What counts as a time or a number; casts alone accept more ("2025", "1.0d", "0x1p3").
 _TIME_TEXT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"
 _NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
 
 
 def _time(text: str) -> Column:
+    """The usual ``yyyy-MM-dd HH:mm:ss`` is told by its separators; other text goes by the pattern."""
     col = F.col(text)
-    return F.when(col.rlike(_TIME_TEXT), col.try_cast("timestamp_ntz"))
+    usual = F.length(col) == 19
+    for place, mark in ((5, "-"), (8, "-"), (11, " "), (14, ":"), (17, ":")):
+        usual = usual & (F.substring(col, place, 1) == mark)
+    return F.when(usual | col.rlike(_TIME_TEXT), col.try_cast("timestamp_ntz"))
 
 
 def _number(text: str) -> Column:
+    """A last digit and no hexadecimal x settle the usual case; other text goes by the pattern."""
     col = F.col(text)
-    return F.when(col.rlike(_NUMBER_TEXT), col.try_cast("double"))
+    usual = F.substring(col, -1, 1).between("0", "9") & ~col.contains("x") & ~col.contains("X")
+    return F.when(usual | col.rlike(_NUMBER_TEXT), col.try_cast("double"))
 
 
 def typed_parse(raw: DataFrame) -> DataFrame:
     """Add the typed form of the six text fields; what does not parse is null."""
     parsers = (_time, _time, _number, _number, _number, _number)
-    return raw.withColumns({
+    return computed_once(raw, {
         typed: parse(text) for text, typed, parse in zip(RAW_FIELDS, TYPED_FIELDS, parsers)
     })
 
@@ -107,7 +114,7 @@ def classify_rejects(df: DataFrame, month: str, rules: Rules = Rules()) -> DataF
     reason = F
     for name, failed in zip(REASONS, checks):
         reason = reason.when(failed, F.lit(name))
-    return df.withColumn("reason", reason)
+    return computed_once(df, {"reason": reason})
 
 
 def valid_rows(classified: DataFrame) -> DataFrame:

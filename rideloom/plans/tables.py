@@ -223,8 +223,7 @@ class Tables:
 
 def raw_fields(events: DataFrame) -> DataFrame:
     key, ts = F.col("event_id"), F.col("ts")
-    ride = F.make_dt_interval(secs=half_even(F.col("value") * 30).cast("decimal(18,6)"))
-    dropoff = ts + ride
+    dropoff = F.timestamp_add("SECOND", half_even(F.col("value") * 30), ts)
     return events.select(
         "event_id",
         hours_before(ts, 6).cast("string").alias("s_pickup"),
