@@ -43,8 +43,9 @@ def dense_grid(
     the first and last one that occur.
     """
     present = (counts if zones is None else zones).select("zone").distinct()
-    first = F.lit(start) if start else counts.agg(F.min("date")).scalar()
-    last = F.lit(end) if end else counts.agg(F.max("date")).scalar()
+    extent = counts.agg(F.struct(F.min("date").alias("first"), F.max("date").alias("last"))).scalar()
+    first = F.lit(start) if start else extent["first"]
+    last = F.lit(end) if end else extent["last"]
     spine = present.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn(
         "date", F.explode(F.sequence(first, last, F.expr("interval 1 day")))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rideloom.operators import cubes, flows, ranking
-from rideloom.operators.families import additive_sum, base_cuboid, day_totals, day_zone_hour, zone_hour
+from rideloom.operators.families import additive_sum, day_totals, day_zone_hour
 from rideloom.plans.catalog import query, r6
 from rideloom.plans.sql import SUMS, WALK, with_views
 from rideloom.plans.tables import HUBS, Tables
@@ -270,15 +270,14 @@ def _(t: Tables) -> DataFrame:
   FROM (SELECT zone FROM zh GROUP BY zone ORDER BY sum(trips) DESC, zone LIMIT 20) CROSS JOIN range(24)
   LEFT JOIN (SELECT zone AS z, hour, trips FROM zh) ON z = zone AND hour = range"""))
 def _(t: Tables) -> DataFrame:
-    return ranking.top_zones_by_hour(zone_hour(t.trips), 20)
+    return ranking.top_zones_by_hour(t.zh, 20)
 
 
 @query("argmax_zone", with_views("tzh", body="""
   SELECT CAST(day AS VARCHAR) AS day, zone, hour, trips FROM tzh
   WHERE zone = (SELECT zone FROM tzh GROUP BY zone ORDER BY sum(trips) DESC, zone LIMIT 1)"""))
 def _(t: Tables) -> DataFrame:
-    cells = additive_sum(base_cuboid(t.trips), ["day", "zone", "hour"])
-    return ranking.argmax_zone(cells).select("day", "zone", "hour", "trips")
+    return ranking.argmax_zone(t.tzh).select("day", "zone", "hour", "trips")
 
 
 # -- registry ------------------------------------------------------------------------------------

@@ -73,8 +73,7 @@ def _(t: Tables) -> DataFrame:
         CROSS JOIN (SELECT DISTINCT j AS k, lat FROM cells) GROUP BY p) ly USING (py)) s
     LEFT JOIN elevation e USING (i, j)"""))
 def _(t: Tables) -> DataFrame:
-    cells = terrain.block_mean_grid(t.pixels, GRID)
-    return terrain.nearest_cell(t.points, cells, GRID).select("event_id", "i", "j", F.coalesce("elev", F.lit(-1.0)).alias("elev"))
+    return terrain.nearest_cell(t.points, t.elevation, GRID).select("event_id", "i", "j", F.coalesce("elev", F.lit(-1.0)).alias("elev"))
 
 
 @query("zone_center", with_views("centers", body="SELECT zone, round(cx, 6) AS cx, round(cy, 6) AS cy FROM centers"))
@@ -102,7 +101,7 @@ def _(t: Tables) -> DataFrame:
   FROM elevation WHERE i % 2 = 0 AND j % 2 = 0 AND (elev > 1.5 OR EXISTS (SELECT 1 FROM zones
     WHERE lon >= x0 AND lon < x0 + 0.12::DOUBLE AND lat >= y0 AND lat < y0 + 0.08::DOUBLE))"""))
 def _(t: Tables) -> DataFrame:
-    return terrain.terrain_points(terrain.block_mean_grid(t.pixels, GRID), t.zone_geom)
+    return terrain.terrain_points(t.elevation, t.zone_geom)
 
 
 @query("tower_height", with_views("elevation", "centers", "zh", body="""
@@ -113,8 +112,8 @@ def _(t: Tables) -> DataFrame:
       (SELECT j FROM (SELECT DISTINCT j, lat FROM cells) ORDER BY abs(lat - cy), j LIMIT 1) AS j FROM centers c)
     LEFT JOIN elevation USING (i, j)"""))
 def _(t: Tables) -> DataFrame:
-    zone_trips = additive_sum(t.trips, ["zone"]).select("zone", "trips")
+    zone_trips = additive_sum(t.zh, ["zone"]).select("zone", "trips")
     towers = terrain.tower_height(
-        zone_trips, geo.zone_center(t.zone_geom), terrain.block_mean_grid(t.pixels, GRID), GRID
+        zone_trips, geo.zone_center(t.zone_geom), t.elevation, GRID
     )
     return towers.withColumn("elev", F.coalesce("elev", F.lit(-1.0)))

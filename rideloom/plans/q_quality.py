@@ -125,7 +125,7 @@ def _(t: Tables) -> DataFrame:
 @query("scope_filter", with_views("zh", "zones", body="""
   SELECT zh.* FROM zh JOIN zones ON zone = id WHERE borough = 'ASIA' AND hour = 8"""))
 def _(t: Tables) -> DataFrame:
-    return scope_filter(fam.zone_hour(t.trips), t.zones, hour=8, borough="ASIA")
+    return scope_filter(t.zh, t.zones, hour=8, borough="ASIA")
 
 
 @query("unit_metrics", with_views("zh", body="""
@@ -152,14 +152,14 @@ def _(t: Tables) -> DataFrame:
   FROM (SELECT zone, trips, least(1, ln(1 + trips) / ln(1 + max(trips) OVER ())) AS r FROM (
     SELECT zone * 100 + hour AS zone, trips FROM zh))"""))
 def _(t: Tables) -> DataFrame:
-    cells = fam.zone_hour(t.trips).select((F.col("zone") * 100 + F.col("hour")).alias("zone"), "trips")
+    cells = t.zh.select((F.col("zone") * 100 + F.col("hour")).alias("zone"), "trips")
     return classify.intensity(cells, "trips").select("zone", "trips", r6("intensity"), "level")
 
 
 @query("normalise_to_max", with_views("zh", body="""
   SELECT zone, hour, trips, round(trips / max(trips) OVER (), 6) AS ratio FROM zh"""))
 def _(t: Tables) -> DataFrame:
-    return classify.normalise_to_max(fam.zone_hour(t.trips).select("zone", "hour", "trips"), "trips").select(
+    return classify.normalise_to_max(t.zh.select("zone", "hour", "trips"), "trips").select(
         "zone", "hour", "trips", r6("ratio")
     )
 
@@ -252,7 +252,7 @@ _METRICS = """round(sum(distance_milli_miles) / 1000 * 1.609344::DOUBLE, 6) AS d
   UNION ALL SELECT 'ASIA 8', CAST(sum(trips) AS BIGINT), {_METRICS} FROM zh JOIN zones ON zone = id
     WHERE borough = 'ASIA' AND hour = 8"""))
 def _(t: Tables) -> DataFrame:
-    zh = fam.zone_hour(t.trips)
+    zh = t.zh
     scopes = (("city", {}), ("ASIA", {"borough": "ASIA"}), ("ASIA 8", {"borough": "ASIA", "hour": 8}))
     parts = [summary.summary(zh, t.zones, **args).withColumn("scope", F.lit(name)) for name, args in scopes]
     return union_months(*parts).select(
@@ -265,7 +265,7 @@ def _(t: Tables) -> DataFrame:
   FROM range(24) LEFT JOIN (SELECT * FROM zh JOIN zones ON zone = id WHERE borough = 'EUROPE') ON hour = range
   GROUP BY range"""))
 def _(t: Tables) -> DataFrame:
-    return summary.hourly_profile(fam.zone_hour(t.trips), t.zones, borough="EUROPE")
+    return summary.hourly_profile(t.zh, t.zones, borough="EUROPE")
 
 
 _RANKED = f"""SELECT zone AS id, name, borough, CAST(sum(trips) AS BIGINT) AS trips, {_METRICS}
@@ -295,7 +295,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     partial = t.zones.filter(F.col("id") % 5 != 3)
     twice = union_months(partial, partial.filter(F.col("id") == 1))
-    return enrich_zone(fam.zone_hour(t.trips), twice).select("zone", "hour", "trips", "name", "borough")
+    return enrich_zone(t.zh, twice).select("zone", "hour", "trips", "name", "borough")
 
 
 @query("enrich_od", with_views("od", "zones", body="""
@@ -324,7 +324,7 @@ def _(t: Tables) -> DataFrame:
   SELECT zone, hour, CASE WHEN zone = 3 THEN 'missing' WHEN zone = -1 THEN 'extra' ELSE 'different' END AS status FROM
     (SELECT zone, hour FROM zh WHERE zone = 3 OR hour = 7 UNION ALL SELECT -1, hour FROM zh WHERE zone = 3)"""))
 def _(t: Tables) -> DataFrame:
-    truth = fam.zone_hour(t.trips)
+    truth = t.zh
     zone = F.when(F.col("zone") == 3, -1).otherwise(F.col("zone"))
     altered = truth.withColumns({"cents": F.col("cents") + (F.col("hour") == 7).cast("int"), "zone": zone})
     return compare_keyed(truth, altered, ["zone", "hour"])
@@ -334,7 +334,7 @@ def _(t: Tables) -> DataFrame:
   SELECT zone, hour, trips, 'left' AS side FROM zh WHERE hour = 7
   UNION ALL SELECT zone, hour, trips + 1, 'right' FROM zh WHERE hour = 7"""))
 def _(t: Tables) -> DataFrame:
-    truth = fam.zone_hour(t.trips).select("zone", "hour", "trips")
+    truth = t.zh.select("zone", "hour", "trips")
     altered = truth.withColumn("trips", F.col("trips") + (F.col("hour") == 7).cast("int"))
     return symmetric_difference(truth, altered).drop("copies")
 

@@ -16,13 +16,9 @@ HORIZON = DAYS * 1440
 DELAY = "10 minutes"
 
 
-def slots(t: Tables) -> DataFrame:
-    return replay.minute_zone_counts(t.trips)
-
-
 @query("minute_zone_counts", with_views("slots", body="SELECT * FROM slots"))
 def _(t: Tables) -> DataFrame:
-    return slots(t)
+    return replay.minute_zone_counts(t.trips)
 
 
 @query("minute_zone_counts_raw", """
@@ -34,20 +30,20 @@ def _(t: Tables) -> DataFrame:
 
 @query("peak_minute", with_views("slot_totals", body="SELECT max(trips) AS peak FROM slot_totals"))
 def _(t: Tables) -> DataFrame:
-    return replay.peak_minute(slots(t))
+    return replay.peak_minute(replay.minute_zone_counts(t.trips))
 
 
 @query("replay_meta", with_views("slot_totals", body=f"""
   SELECT CAST({HORIZON} AS BIGINT) AS minutes, max(trips) AS peak_minute_total FROM slot_totals"""))
 def _(t: Tables) -> DataFrame:
-    return replay.replay_meta(slots(t), DAYS)
+    return replay.replay_meta(replay.minute_zone_counts(t.trips), DAYS)
 
 
 @query("replay_frame", with_views("slots", body=f"""
   SELECT f.m, zone, CAST(sum(trips) AS BIGINT) AS trips
   FROM (VALUES (600), ({HORIZON - 20})) f(m) JOIN slots ON (slot - f.m + {HORIZON}) % {HORIZON} < 60 GROUP BY 1, 2"""))
 def _(t: Tables) -> DataFrame:
-    index = slots(t)
+    index = t.slots
     frames = [replay.replay_frame(index, m, 60, HORIZON).withColumn("m", F.lit(m % HORIZON)) for m in (600, -20)]
     return frames[0].unionByName(frames[1]).select("m", "zone", "trips")
 
@@ -56,14 +52,14 @@ def _(t: Tables) -> DataFrame:
   SELECT slot, round(sum(trips) OVER (ORDER BY slot RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) * 60.0::DOUBLE
     / least(slot + 1, 60), 6) AS rate FROM slot_totals"""))
 def _(t: Tables) -> DataFrame:
-    return replay.rolling_hour_rate(replay.minute_totals(slots(t))).select("slot", r6("rate"))
+    return replay.rolling_hour_rate(replay.minute_totals(replay.minute_zone_counts(t.trips))).select("slot", r6("rate"))
 
 
 @query("top_k_per_frame", with_views("slots", body="""
   SELECT slot, zone, trips, CAST(row_number() OVER (PARTITION BY slot ORDER BY trips DESC, zone) AS INTEGER) AS rank
   FROM slots QUALIFY rank <= 5"""))
 def _(t: Tables) -> DataFrame:
-    return top_k_per_frame(slots(t), 5)
+    return top_k_per_frame(replay.minute_zone_counts(t.trips), 5)
 
 
 # -- streams -------------------------------------------------------------------------------------

@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideloom.functions.measures import half_even
+from rideloom.operators.families import day_zone_hour, zone_hour
 from rideloom.operators.grid import dense_grid, lag_features, trailing_mean_7
 from rideloom.operators.quality import classify_rejects, fixed_point, typed_parse, valid_rows
-from rideloom.operators.terrain import GridSpec
+from rideloom.operators.terrain import GridSpec, block_mean_grid
 from rideloom.schema import Rules
+from rideloom.streaming.replay import minute_zone_counts
+from rideloom.workspace import cut_lineage
 
 MONTH = "2024-01"
 RULES = Rules(zone_lo=0, zone_hi=24)
@@ -80,9 +83,23 @@ class Tables:
             )
         )
 
+    # Aggregates that a query reads more than once are written once; the base tables are scanned once.
+
+    @cached_property
+    def zh(self) -> DataFrame:
+        return cut_lineage(zone_hour(self.trips), "zone-hour")
+
+    @cached_property
+    def tzh(self) -> DataFrame:
+        return cut_lineage(day_zone_hour(self.trips), "day-zone-hour")
+
+    @cached_property
+    def slots(self) -> DataFrame:
+        return cut_lineage(minute_zone_counts(self.trips), "slots")
+
     @cached_property
     def od(self) -> DataFrame:
-        return self.shipments.groupBy("zone", "dest").agg(F.count("*").alias("trips"))
+        return cut_lineage(self.shipments.groupBy("zone", "dest").agg(F.count("*").alias("trips")), "od")
 
     # -- dimensions --------------------------------------------------------------------------
 
@@ -134,15 +151,20 @@ class Tables:
             (F.floor("o_totalprice") % 256).cast("int").alias("b"),
         )
 
+    @cached_property
+    def elevation(self) -> DataFrame:
+        return cut_lineage(block_mean_grid(self.pixels, GRID), "elevation")
+
     # -- demand grid -------------------------------------------------------------------------
 
     @cached_property
     def demand(self) -> DataFrame:
-        return self.events.groupBy(
+        counts = self.events.groupBy(
             (F.col("user_id") % 25).cast("int").alias("zone"),
             F.hour("ts").alias("hour"),
             F.to_date("ts").alias("date"),
         ).agg(F.count("*").alias("trips"))
+        return cut_lineage(counts, "demand")
 
     @cached_property
     def grid(self) -> DataFrame:
@@ -168,7 +190,7 @@ class Tables:
         dom, hour, n = F.dayofmonth("date"), F.col("hour"), F.col("n")
         temp = ((dom * 7 + hour * 3 + n) % 45 - 10).cast("double")
         wet = F.when((dom * 24 + hour) % 8 == 0, ((dom + hour + n) % 5).cast("double") / F.lit(10.0)).otherwise(0.0)
-        return hourly.select(
+        weather = hourly.select(
             "date",
             "hour",
             temp.alias("temperature_2m"),
@@ -179,6 +201,7 @@ class Tables:
             (30 + (n * 11) % 70).cast("double").alias("relative_humidity_2m"),
             ((n * 17) % 101).cast("double").alias("cloud_cover"),
         )
+        return cut_lineage(weather, "weather")
 
     @cached_property
     def weather_d(self) -> DataFrame:
