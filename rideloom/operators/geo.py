@@ -105,10 +105,13 @@ def distance_join(zones: DataFrame, max_m: float, utm_zone: int = 18, cell_m: fl
         east, north = utm(p["lon"], p["lat"], utm_zone)
         return F.struct(east.alias("lon"), north.alias("lat"))
 
-    shapes = zones.select("zone", F.transform("rings", lambda ring: F.transform(ring, metres)).alias("rings")).select(
-        "zone",
-        F.flatten(F.transform("rings", ring_edges)).alias("edges"),
-        *[col.alias(name) for name, col in _bounds(F.flatten("rings"), "lon", "lat").items()],
+    planar = computed_once(
+        zones.select("zone", "rings"),
+        {"plane": F.transform("rings", lambda ring: F.transform(ring, metres))},
+    )
+    shapes = computed_once(
+        planar.select("zone", "plane"),
+        {"edges": F.flatten(F.transform("plane", ring_edges)), **_bounds(F.flatten("plane"), "lon", "lat")},
     )
 
     def entered(side: str, reach: float) -> DataFrame:
