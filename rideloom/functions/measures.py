@@ -9,12 +9,15 @@ KM_PER_MILE = 1.609344
 
 
 def half_even(value: Column, scale: float = 1) -> Column:
-    """Integer fixed point, ties to even - the same answer for every partitioning."""
-    return F.rint(value * F.lit(float(scale))).cast("long")
+    """Integer fixed point, ties to even - the same answer for every partitioning.
+
+    NaN and infinity give null: Spark may evaluate this before the filter that drops such rows.
+    """
+    return F.rint(value * F.lit(float(scale))).try_cast("long")
 
 
 def truncated(value: Column, scale: float = 1) -> Column:
-    return (value * F.lit(float(scale))).cast("long")
+    return (value * F.lit(float(scale))).try_cast("long")
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:

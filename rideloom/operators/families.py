@@ -91,8 +91,8 @@ def classified_cuboid(classified: DataFrame) -> DataFrame:
         "reason",
         F.when(ok, F.to_date("pickup")).alias("day"),
         F.when(ok, F.hour("pickup")).alias("hour"),
-        F.when(ok, F.col("pu").cast("int")).alias("zone"),
-        F.when(ok, F.col("do_").cast("int")).alias("dest"),
+        F.when(ok, F.col("pu").try_cast("int")).alias("zone"),
+        F.when(ok, F.col("do_").try_cast("int")).alias("dest"),
     ).agg(
         F.count(F.lit(1)).alias("trips"),
         F.coalesce(F.sum(F.when(ok, half_even(F.col("miles"), 1000))), F.lit(0)).alias("distance_milli_miles"),

@@ -131,8 +131,8 @@ def fixed_point(df: DataFrame, mode: str = "half_even", keep: tuple[str, ...] =
     to_int = half_even if mode == "half_even" else truncated
     return df.select(
         *keep,
-        F.col("pu").cast("int").alias("zone"),
-        F.col("do_").cast("int").alias("dest"),
+        F.col("pu").try_cast("int").alias("zone"),
+        F.col("do_").try_cast("int").alias("dest"),
         F.hour("pickup").alias("hour"),
         F.to_date("pickup").alias("day"),
         to_int(F.col("miles"), 1000).alias("distance_milli_miles"),

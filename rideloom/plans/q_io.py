@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rideloom.operators import families as fam
 from rideloom.operators.grid import HOURLY_WEATHER
 from rideloom.operators.quality import classify_rejects, reject_histogram, typed_parse
+from rideloom.operators.sets import union_months
 from rideloom.plans.catalog import query, r6
 from rideloom.plans.q_quality import _NO_NULL_KEYS, flat_families
 from rideloom.plans.sql import with_views
@@ -199,6 +200,12 @@ def _(t: Tables) -> DataFrame:
     return documents.keyed_encode(fam.key_families(t.trips))
 
 
+@query("emit_keys", with_views("families", body=_KEYED))
+def _(t: Tables) -> DataFrame:
+    """Lines of single trips, summed twice: the answer is that of the aggregated families."""
+    return documents.sum_keys(documents.sum_keys(documents.emit_keys(t.trips)))
+
+
 @query("keyed_decode", with_views("families", body=f"SELECT {_NO_NULL_KEYS} FROM families"))
 def _(t: Tables) -> DataFrame:
     path = fresh_folder(t.spark, "keyed")
@@ -246,6 +253,39 @@ def _(t: Tables) -> DataFrame:
     return flat_families(publish.read_result(t.spark, root, MONTH).select("kind", "zone", "hour", "day", "dest", *SUM4))
 
 
+@query("analysis", with_views("zh", "days", "trips", "zones", "classified", body=f"""
+  SELECT 'zone' AS section, CAST(zone AS VARCHAR) AS key, CAST(sum(trips) AS BIGINT) AS trips FROM zh GROUP BY zone
+  UNION ALL SELECT 'zone ASIA 8', CAST(zone AS VARCHAR), trips FROM zh JOIN zones ON zone = id WHERE borough = 'ASIA' AND hour = 8
+  UNION ALL SELECT 'hour', CAST(range AS VARCHAR), CAST(coalesce(sum(trips), 0) AS BIGINT) FROM range(24)
+    LEFT JOIN zh ON hour = range GROUP BY range
+  UNION ALL SELECT 'day', CAST(day AS VARCHAR), trips FROM days
+  UNION ALL SELECT 'od', zone || '-' || dest, n FROM (SELECT zone, dest, CAST(count(*) AS BIGINT) AS n FROM trips GROUP BY 1, 2
+    ORDER BY n DESC, zone, dest LIMIT 10)
+  UNION ALL SELECT 'summary', '', CAST(count(*) AS BIGINT) FROM trips
+  UNION ALL SELECT 'input', '', CAST(count(*) AS BIGINT) FROM classified
+  UNION ALL SELECT 'rejected', '', CAST(count(*) AS BIGINT) FROM classified WHERE reason IS NOT NULL"""))
+def _(t: Tables) -> DataFrame:
+    """The views of a published month in long form."""
+    root = fresh_folder(t.spark, "analysis")
+    publish.run_month(t.raw, MONTH, root, RULES)
+    whole = publish.analysis(t.spark, root, t.zones)
+    part = publish.analysis(t.spark, root, t.zones, MONTH, hour=8, borough="ASIA")
+
+    def section(name: str, df: DataFrame, key, trips: str = "trips") -> DataFrame:
+        return df.select(F.lit(name).alias("section"), key.cast("string").alias("key"), F.col(trips).alias("trips"))
+
+    return union_months(
+        section("zone", whole["zones"], F.col("id")),
+        section("zone ASIA 8", part["zones"], F.col("id")),
+        section("hour", whole["hourly"], F.col("hour")),
+        section("day", whole["days"], F.col("day")),
+        section("od", whole["top_od"], F.concat_ws("-", "zone", "dest")),
+        section("summary", whole["summary"], F.lit("")),
+        section("input", part["quality"], F.lit(""), "input"),
+        section("rejected", part["quality"], F.lit(""), "rejected"),
+    )
+
+
 @query("read_runs", with_views("runs", body="""
   SELECT run_id, month, reducers, combiner, fail_first, CASE status WHEN 'RUNNING' THEN 'FAILED' ELSE status END AS status,
     started_at, elapsed_seconds FROM runs"""))

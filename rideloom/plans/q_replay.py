@@ -10,6 +10,7 @@ from rideloom.plans.catalog import query, r6
 from rideloom.plans.sql import with_views
 from rideloom.plans.tables import MONTH, RULES, Tables, raw_fields
 from rideloom.streaming import replay, streams
+from rideloom.workspace import is_folder
 
 DAYS = 31
 HORIZON = DAYS * 1440
@@ -67,7 +68,10 @@ def _(t: Tables) -> DataFrame:
 
 def event_stream(t: Tables) -> DataFrame:
     """The events table as a stream of files, zone and time as the streams expect them."""
-    source = streams.open_files(t.spark, t.sf_dir, t.events.schema, glob="events.parquet")
+    if is_folder(t.spark, t.path("events")):
+        source = streams.open_files(t.spark, t.path("events"), t.events.schema)
+    else:
+        source = streams.open_files(t.spark, t.sf_dir, t.events.schema, glob="events.parquet")
     return source.withColumns({"zone": F.col("user_id") % 27, "wall": F.col("ts"), "ts": F.col("ts").cast("timestamp")})
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rideloom.workspace import exists
+
 
 def shard_manifest(spark: SparkSession, path: str) -> DataFrame:
     """name, rows, bytes and SHA-256 of every shard, from one pass over the files.
@@ -65,11 +67,6 @@ def fingerprint(manifest: DataFrame) -> DataFrame:
     return groups.agg(F.sha2(F.concat_ws("\n", ordered), 256).alias("fingerprint"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def publish_once(df: DataFrame, manifest: DataFrame, root: str) -> tuple[str, bool]:
     """Write ``df`` under root/<fingerprint of its manifest>; skip if a finished copy is there.
 
@@ -77,7 +74,7 @@ def publish_once(df: DataFrame, manifest: DataFrame, root: str) -> tuple[str, bo
     Returns the folder and whether it was written now.
     """
     target = f"{root}/{fingerprint(manifest).first()['fingerprint']}"
-    if _exists(df.sparkSession, f"{target}/_SUCCESS"):
+    if exists(df.sparkSession, f"{target}/_SUCCESS"):
         return target, False
     df.write.mode("overwrite").parquet(target)
     return target, True

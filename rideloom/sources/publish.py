@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideloom.operators.families import classified_cuboid, key_families
+from rideloom.functions.measures import ratio_or_zero
+from rideloom.operators.families import classified_cuboid, family, key_families
+from rideloom.operators.flows import top_od
 from rideloom.operators.quality import classify_rejects, typed_parse
-from rideloom.operators.summary import EXPORT_COLUMNS, zone_ranking
+from rideloom.operators.summary import EXPORT_COLUMNS, hourly_profile, summary, zone_ranking
 from rideloom.operators.verify import conservation_check, require_conservation
 from rideloom.schema import SUM4, Rules, month_arg_guard
 from rideloom.workspace import cut_lineage
@@ -40,13 +42,13 @@ def run_month(raw: DataFrame, month: str, root: str, rules: Rules = Rules()) ->
     """The monthly job: validate, aggregate, check, publish. Returns the conservation row.
 
     The raw lines are read once, into base cells and reject counts kept in the shared folder; the
-    families, the check and the published tables all start from that small table.
+    families start from that small table, and the check reads the very rows that are then published.
     """
     month_arg_guard(month)
     cells = cut_lineage(classified_cuboid(classify_rejects(typed_parse(raw), month, rules)), "cells")
     valid = cells.filter(F.col("reason").isNull())
     rejects = cells.filter(F.col("reason").isNotNull()).select("reason", F.col("trips").alias("rows"))
-    families = key_families(valid.select("day", "hour", "zone", "dest", *SUM4))
+    families = cut_lineage(key_families(valid.select("day", "hour", "zone", "dest", *SUM4)), "families")
     check = conservation_check(families, rejects, cells.agg(F.sum("trips").alias("input")))
     require_conservation(check)
     publish_result(families, month, root)
@@ -56,6 +58,44 @@ def run_month(raw: DataFrame, month: str, root: str, rules: Rules = Rules()) ->
     return check
 
 
+def analysis(
+    spark: SparkSession,
+    root: str,
+    zones: DataFrame,
+    month: str | None = None,
+    hour: int | None = None,
+    borough: str | None = None,
+) -> dict[str, DataFrame]:
+    """The tables behind one view of a published month: summary, zones, hourly, quality; without
+    filters also days and top_od. Each reads only the folders of its own family.
+    """
+    families = read_result(spark, root, month)
+    zh = family(families, "Z")
+    rejects = spark.read.parquet(f"{root}/rejects").filter(
+        F.col("month") == (F.lit(month) if month else families.agg(F.max("month")).scalar())
+    )
+    tables = {
+        "summary": summary(zh, zones, hour, borough),
+        "zones": zone_ranking(zh, zones, None, hour, borough),
+        "hourly": hourly_profile(zh, zones, borough),
+        "quality": published_quality(zh, rejects),
+    }
+    if hour is None and borough is None:
+        tables["days"] = family(families, "D").orderBy("day")
+        tables["top_od"] = top_od(family(families, "O"), 10)
+    return tables
+
+
+def published_quality(zh: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Input, valid and rejected rows of a published month; filters do not touch it."""
+    rejected = rejects.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rejected")).scalar()
+    counts = zh.agg(F.coalesce(F.sum("trips"), F.lit(0)).alias("valid")).withColumn("rejected", rejected)
+    total = F.col("valid") + F.col("rejected")
+    return counts.select(
+        total.alias("input"), "valid", "rejected", ratio_or_zero(F.col("valid") * F.lit(100.0), total).alias("valid_pct")
+    )
+
+
 def export_zone_csv(
     zh: DataFrame, zones: DataFrame, path: str, hour: int | None = None, borough: str | None = None
 ) -> None:

@@ -31,3 +31,18 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _path(spark, path)
+    return files.exists(target)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, target = _path(spark, path)
+    return files.exists(target) and files.getFileStatus(target).isDirectory()

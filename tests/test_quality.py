@@ -130,3 +130,12 @@ def test_parsed_fields_are_evaluated_once(spark):
     raw = spark.createDataFrame([GOOD], SCHEMA).repartition(2)
     plan = quality.valid_trips(raw, "2025-01")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("try_cast(s_miles") == 1
+
+
+def test_rejected_rows_cannot_fail_a_later_join(spark):
+    """Conversions may run before the filter on valid rows; NaN must not stop the job there."""
+    raw = spark.createDataFrame([line(), line(pu="nan"), line(miles="inf"), line(pu="1e300")], SCHEMA).repartition(3)
+    trips = quality.valid_trips(raw, "2025-01")
+    wanted = spark.createDataFrame([(161,)], "zone int").hint("merge")
+    assert trips.join(wanted, "zone", "left_semi").count() == 1
+    assert trips.filter("zone + dest + distance_milli_miles > 0").count() == 1
