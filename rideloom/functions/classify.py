@@ -43,9 +43,12 @@ def zone_group(
 
 
 def intensity(df: DataFrame, value: str) -> DataFrame:
-    """Add log-scaled share of the frame's maximum (at least 1, so no zero division) and its level."""
+    """Add log-scaled share of the frame's maximum (at least 1, so no zero division) and its level.
+
+    Twelve digits are kept, so that a share on a limit does not fall below it by the last bit.
+    """
     peak = df.agg(F.greatest(F.max(value), F.lit(1)).alias("peak")).scalar()
-    scaled = F.least(F.lit(1.0), F.log1p(F.col(value)) / F.log1p(peak))
+    scaled = F.round(F.least(F.lit(1.0), F.log1p(F.col(value)) / F.log1p(peak)), 12)
     level = F.lit(0)
     for step, limit in enumerate(INTENSITY_LIMITS, start=1):
         level = F.when(F.col("intensity") >= limit, F.lit(step)).otherwise(level)

@@ -107,7 +107,7 @@ def _(t: Tables) -> DataFrame:
 @query("tower_height", with_views("elevation", "centers", "zh", body="""
   SELECT zone, CAST(trips AS BIGINT) AS trips, coalesce(elev, -1) AS elev,
     floor((coalesce(elev, 0) * 0.3::DOUBLE + trips / max(trips) OVER () * 55) * 10 + 0.5) / 10 AS height
-  FROM (SELECT c.zone, (SELECT sum(trips) FROM zh WHERE zh.zone = c.zone) AS trips,
+  FROM (SELECT c.zone, coalesce((SELECT sum(trips) FROM zh WHERE zh.zone = c.zone), 0) AS trips,
       (SELECT i FROM (SELECT DISTINCT i, lon FROM cells) ORDER BY abs(lon - cx), i LIMIT 1) AS i,
       (SELECT j FROM (SELECT DISTINCT j, lat FROM cells) ORDER BY abs(lat - cy), j LIMIT 1) AS j FROM centers c)
     LEFT JOIN elevation USING (i, j)"""))

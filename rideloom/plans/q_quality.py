@@ -149,7 +149,7 @@ def _(t: Tables) -> DataFrame:
 @query("intensity", with_views("zh", body="""
   SELECT zone, trips, round(r, 6) AS intensity, CAST(CASE WHEN r >= 0.92 THEN 4 WHEN r >= 0.75 THEN 3 WHEN r >= 0.5 THEN 2
     WHEN r >= 0.25 THEN 1 ELSE 0 END AS INTEGER) AS level
-  FROM (SELECT zone, trips, least(1, ln(1 + trips) / ln(1 + max(trips) OVER ())) AS r FROM (
+  FROM (SELECT zone, trips, round(least(1, ln(1 + trips) / ln(1 + max(trips) OVER ())), 12) AS r FROM (
     SELECT zone * 100 + hour AS zone, trips FROM zh))"""))
 def _(t: Tables) -> DataFrame:
     cells = t.zh.select((F.col("zone") * 100 + F.col("hour")).alias("zone"), "trips")
