@@ -174,7 +174,7 @@ _view("runs", """
     CASE o_orderstatus WHEN 'F' THEN 'FAILED' WHEN 'P' THEN 'RUNNING' ELSE 'SUCCEEDED' END AS status,
     strftime(o_orderdate, '%Y-%m-%d') || 'T' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':' ||
       lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0') || ':00' AS started_at,
-    round(o_totalprice / CAST(1000 AS DOUBLE), 3) AS elapsed_seconds
+    floor(o_totalprice) / CAST(1000 AS DOUBLE) AS elapsed_seconds
   FROM orders""")
 _view("plain_runs", """
   SELECT * FROM runs WHERE status = 'SUCCEEDED' AND reducers = 2 AND combiner AND NOT fail_first""", "runs")

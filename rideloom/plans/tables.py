@@ -231,7 +231,7 @@ class Tables:
                 F.date_format("o_orderdate", "yyyy-MM-dd"),
                 F.format_string("T%02d:%02d:00", (key % 24).cast("int"), (key % 60).cast("int")),
             ).alias("started_at"),
-            F.round(F.col("o_totalprice") / F.lit(1000.0), 3).alias("elapsed_seconds"),
+            (F.floor("o_totalprice") / F.lit(1000.0)).alias("elapsed_seconds"),
         )
 
     @cached_property

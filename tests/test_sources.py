@@ -113,6 +113,23 @@ def test_archive_prunes_folders(spark, t):
     assert "PartitionFilters: [isnotnull(kind" in plan and "year" in plan.split("PartitionFilters")[1][:200]
 
 
+def test_hot_month_is_written_by_several_tasks(spark):
+    """Nine rows of ten lie in one month: its folder gets several files, the others one each."""
+    day = F.when(F.col("id") % 10 > 0, F.lit(date(2024, 3, 5))).otherwise(F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 50).cast("int")))
+    rows = spark.range(0, 200_000, 1, 8).select(day.alias("day"), F.lit("D").alias("kind"), F.xxhash64("id").alias("cents"))
+    path = fresh_folder(spark, "test-hot")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        archive.write_archive(rows, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    back = archive.read_archive(spark, path)
+    names = back.select("month", F.input_file_name().alias("name")).distinct()
+    files = {r["month"]: r["count"] for r in names.groupBy("month").count().collect()}
+    assert back.count() == 200_000 and files[3] > 2 and files[1] <= 2
+
+
 def test_columnar_json(spark):
     doc = '{"hourly":{"time":["2025-01-01T00:00","2025-01-01T13:00"],"temperature_2m":[1.5,null]}}'
     docs = spark.createDataFrame([(doc,)], "value string")
