@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +10,24 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named by the session; a fresh local one only in local mode without it."""
+    """The shared folder named by the session; where it is unset, a folder in the warehouse, which is shared too."""
     root = spark.conf.get(_SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{_SETTING} must name a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="rideloom-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        spark.conf.set(_SETTING, root)
+    return root.rstrip("/")
+
+
+def session_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; Spark's driver removes it when it ends."""
+    path = f"{shared_root(spark)}/rideloom-{spark.sparkContext.applicationId}"
+    files, target = _path(spark, path)
+    files.deleteOnExit(target)
+    return path
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_root(spark)}/rideloom/{purpose}-{uuid.uuid4().hex[:12]}"
+    return f"{session_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
