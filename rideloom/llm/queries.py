@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rideloom.llm import packing
+from rideloom.llm import packing, quality
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=1, length=2048).drop("ids", "padded_length")
+
+
+@register
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rated.select("doc_id", *quality.BASE, "base_failed", "kept", "anomaly")
