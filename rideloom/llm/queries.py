@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rideloom.llm import packing, quality
+from rideloom.llm import packing, pii, quality
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return rated.select("doc_id", *quality.BASE, "base_failed", "kept", "anomaly")
+
+
+@register
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.counted(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
