@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rideloom.llm import packing, pii, quality
+from rideloom.llm import packing, pii, quality, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.counted(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+
+
+@register
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, threshold=0.3)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
