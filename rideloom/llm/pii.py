@@ -27,8 +27,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NODE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 _MARKED = re.compile(rb"[0-9@]")
-#: Documents whose nodes the field is trained on, nodes of one document used, and steps of its training.
-SAMPLE_DOCS, SAMPLE_NODES, STEPS = 2000, 200, 150
+#: Documents whose nodes the field is trained on, what is used of one document, and steps of its training.
+SAMPLE_DOCS, SAMPLE_NODES, SAMPLE_CHARS, STEPS = 1000, 100, 4000, 150
 #: Posterior probability from which a node outside the patterns' spans is marked, and rounds of messages.
 CERTAIN, ROUNDS = 0.95, 8
 
@@ -241,7 +241,8 @@ def added_spans(text: str, base: list[Span], field: Field, certain: float = CERT
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, text_column: str = "text") -> Field:
     """Train on at most ``sample_docs`` documents with a node, those with the smallest hash of their text.
 
-    Of a document the first ``SAMPLE_NODES`` nodes are used; only training is bounded so, never marking.
+    Of a document ``SAMPLE_NODES`` nodes in ``SAMPLE_CHARS`` characters are used; only training is bounded
+    so, never marking.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_chunks(batches):
@@ -255,7 +256,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, text_column: str = "tex
                     if i == SAMPLE_NODES:
                         break
                     stop = m.end()
-                out.append(text[:stop] if stop and stop < 60_000 else text[:60_000])
+                first = _NODE.search(text).start()
+                out.append(text[first : min(stop, first + SAMPLE_CHARS)])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
 
     marked = docs.select(F.col(text_column).alias("text")).mapInArrow(run, "text string")
