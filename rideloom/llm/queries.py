@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rideloom.llm import minhash, packing, pii, quality, toxicity
+from rideloom.llm import minhash, packing, pii, quality, toxicity, warc
+from rideloom.workspace import fresh_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +45,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.counted(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
 
 
+@register
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), fresh_folder(spark, "warc"), least_bytes=0)
+
+
 @register
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
