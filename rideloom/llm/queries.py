@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rideloom.llm import minhash, packing, pii, quality, toxicity, warc
+from rideloom.llm import minhash, packing, pii, quality, substrings, toxicity, warc
 from rideloom.workspace import fresh_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+@register
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_windows(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @register
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=1, length=2048).drop("ids", "padded_length")
