@@ -16,24 +16,22 @@ def connected(edges: DataFrame) -> DataFrame:
     losing one node. Every round is written to the shared folder. Loops only add their node; nulls are left
     out; an empty table gives an empty one.
     """
-    rest = cut_lineage(edges.select("a", "b").dropna().distinct(), "edges")
-    home = None
-    turn = 0
-    while home is None or not rest.isEmpty():
-        both = rest.union(rest.select(F.col("b"), F.col("a")))
+    rest = edges.select("a", "b").dropna().distinct()
+    steps: list[DataFrame] = []
+    while not steps or not rest.isEmpty():
+        turn = len(steps)
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
+        both = rest.union(rest.select(F.col("b"), F.col("a")))
         hooked = both.groupBy(F.col("a").alias("node")).agg(
             F.least(F.min(rank("b")), F.min(rank("a")))["id"].alias("to"))
-        hooked = cut_lineage(hooked, "hooked")
-        if home is None:
-            home = hooked
-        else:
-            step = hooked.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            home = home.join(step, "to", "left").select("node", F.coalesce("next", "to").alias("to"))
-        home = cut_lineage(home, "components")
-        at = lambda c: hooked.select(F.col("node").alias(c), F.col("to").alias(f"to_{c}"))  # noqa: B023, E731
+        steps.append(cut_lineage(hooked, "hooked"))
+        at = lambda c: steps[-1].select(F.col("node").alias(c), F.col("to").alias(f"to_{c}"))  # noqa: B023, E731
         moved = rest.join(at("a"), "a").join(at("b"), "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
         rest = cut_lineage(moved.filter("a <> b").distinct(), "edges")
-        turn += 1
+    home = steps[0]
+    for step in steps[1:]:
+        step = step.select(F.col("node").alias("to"), F.col("to").alias("next"))
+        home = home.join(step, "to", "left").select("node", F.coalesce("next", "to").alias("to"))
+    home = cut_lineage(home, "components")
     least = home.groupBy("to").agg(F.min("node").alias("component"))
     return home.join(least, "to").select("node", "component")

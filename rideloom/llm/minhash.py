@@ -16,8 +16,12 @@ from rideloom.workspace import cut_lineage
 #: Both ends of each permutation go into the signature: 64 permutations give 32 bands of 4 values. A pair at
 #: similarity s shares a band with probability 1 - (1 - s**4)**32; at 0.8 it is missed once in 20 million.
 PERMUTATIONS, BAND_ROWS = 64, 4
-#: Comparisons left for the last, exhaustive round, per member of a bucket, before another pivot is worth it.
-FEW = 4
+#: One bit of each signature value makes a sketch of 128 bits; at similarity s bits agree with probability
+#: (1 + s) / 2. A pair at 0.8 agrees in fewer than this many once in ten million.
+LEAST_AGREEING = 95
+#: Comparisons of sketches left for the last, exhaustive round, per member of a bucket, before another pivot
+#: is worth it.
+FEW = 200
 PIVOT_ROUNDS = 8
 
 
@@ -48,6 +52,12 @@ def band_keys(signature: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return out
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """One bit of each signature value, those of the smallest and of the largest values in a word each."""
+    bits = (mixed(signature) >> np.uint64(63)).reshape(len(signature), -1, 2)
+    return (bits << np.arange(bits.shape[1], dtype=np.uint64)[None, :, None]).sum(1, dtype=np.uint64)
+
+
 def _features(docs: DataFrame, size: int) -> DataFrame:
     """Size, a 128-bit name and the band keys of every document's shingle set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,23 +67,26 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
             sizes = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(sizes)
             names = np.zeros((2, len(sets)), np.uint64)
-            keys = np.zeros((len(sets), 0), np.uint64)
+            keys, marks = np.zeros((len(sets), 0), np.uint64), np.zeros((2, len(sets)), np.uint64)
             if len(full):
                 some = [sets[i] for i in full]
                 starts = np.cumsum([0, *sizes[full][:-1]])
                 values = np.concatenate(some)
                 names[0, full] = np.add.reduceat(mixed(values), starts)
                 names[1, full] = np.bitwise_xor.reduceat(mixed(values + np.uint64(0x51ED270B)), starts)
-                keys = band_keys(signatures(some))
+                signature = signatures(some)
+                keys = band_keys(signature)
+                marks[:, full] = sketches(signature).T
             offsets = np.zeros(len(sets) + 1, np.int32)
             offsets[1:] = np.cumsum((sizes > 0) * (keys.shape[1] if len(full) else 0))
             yield with_columns(
                 rows, ["doc_id"], n_shingles=sizes, name_a=signed(names[0]), name_b=signed(names[1]),
+                sketch_a=signed(marks[0]), sketch_b=signed(marks[1]),
                 bands=pa.ListArray.from_arrays(pa.array(offsets), signed(keys.ravel())))
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return narrow.mapInArrow(
-        run, "doc_id long, n_shingles long, name_a long, name_b long, bands array<long>")
+        run, "doc_id long, n_shingles long, name_a long, name_b long, sketch_a long, sketch_b long, bands array<long>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -113,15 +126,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed pairs that connect whatever the buckets' pairs connect, without listing all pairs.
 
-    ``members`` has ``key`` and ``doc``. In every round each bucket compares one pivot with the members
-    outside the pivot's component: first its smallest id, later one that is still apart from it. Buckets
-    whose members are in one component are done. Once few comparisons are left, or after
-    ``PIVOT_ROUNDS``, all of them are made, so no pair is left out.
+    ``members`` has ``key``, ``doc`` and ``about`` (size and sketch of its set). In every round each bucket
+    compares one pivot with the members outside the pivot's component: first its smallest id, later one
+    that is still apart from it. Buckets whose members are in one component are done. Once few comparisons
+    are left, or after ``PIVOT_ROUNDS``, all of them are made, so no pair is left out. Sizes and sketches
+    sort out pairs that are too far apart before any set is read.
     """
-    pivots = members.groupBy("key").agg(F.min("doc").alias("pivot"))
-    pairs = _ordered(members.join(pivots, "key").filter("doc <> pivot"), "pivot", "doc")
-    found = None
-    tried = None
+    pivots = members.groupBy("key").agg(F.min_by(F.struct("doc", "about"), "doc").alias("pivot"))
+    pairs = _near(members, pivots.select("key", "pivot.*"), percent)
+    found = tried = None
     turn, last = 0, False
     while True:
         pairs = cut_lineage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "candidate-pairs")
@@ -129,10 +142,10 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         found = new if found is None else found.union(new)
         tried = pairs if tried is None else tried.union(pairs)
         if last:
-            break
+            return found
         turn += 1
         homes = connected(found).select(F.col("node").alias("doc"), "component")
-        placed = members.join(homes, "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("at"))
+        placed = members.join(homes, "doc", "left").withColumn("at", F.coalesce("component", "doc")).drop("component")
         placed = cut_lineage(placed, "placed-members")
         parted = placed.groupBy("key").agg(
             F.min("at").alias("low"), F.max("at").alias("high"), F.min_by("at", "doc").alias("main"),
@@ -143,21 +156,28 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             "long")).alias("apart"))
         left, rows = sizes.agg(F.sum(F.col("apart") * F.col("n")), F.sum("n")).first()
         if not left:
-            break
+            return found
         last = left <= FEW * rows or turn >= PIVOT_ROUNDS
         if last:
-            one = outside.select("key", F.col("doc").alias("one"), F.col("at").alias("one_at"))
-            pairs = _ordered(one.join(inside, "key").filter("one_at <> at"), "one", "doc")
+            pairs = _near(inside, outside, percent)
         else:
-            pivots = outside.groupBy("key").agg(
-                F.min_by(F.struct("doc", "at"), F.struct(F.xxhash64("doc", F.lit(turn)), "doc")).alias("pivot"))
-            pairs = _ordered(inside.join(pivots, "key").filter("at <> pivot.at").select(
-                F.col("pivot.doc").alias("pivot"), "doc"), "pivot", "doc")
-    return found
+            pivots = outside.groupBy("key").agg(F.min_by(
+                F.struct("doc", "about", "at"), F.struct(F.xxhash64("doc", F.lit(turn)), "doc")).alias("pivot"))
+            pairs = _near(inside, pivots.select("key", "pivot.*"), percent)
 
 
-def _ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
-    return pairs.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
+def _near(many: DataFrame, few: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket in different components whose sizes and sketches allow a link, smaller id first."""
+    x, y = many.alias("x"), few.alias("y")
+    agree = 128 - sum(F.bit_count(F.col(f"x.about.{s}").bitwiseXOR(F.col(f"y.about.{s}"))) for s in (
+        "sketch_a", "sketch_b"))
+    n, m = F.col("x.about.n_shingles"), F.col("y.about.n_shingles")
+    meets = (F.col("x.key") == F.col("y.key")) & (F.col("x.doc") != F.col("y.doc"))
+    meets &= (100 * n >= percent * m) & (100 * m >= percent * n) & (agree >= LEAST_AGREEING)
+    if "at" in many.columns:
+        meets &= F.col("x.at") != F.col("y.at")
+    return x.join(y, meets).select(
+        F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -172,15 +192,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     features = cut_lineage(_features(docs, size), "shingle-features")
     named = features.filter("n_shingles > 0 and doc_id is not null")
     first = cut_lineage(named.groupBy("name_a", "name_b").agg(
-        F.min("doc_id").alias("doc"), F.first("bands").alias("bands")), "distinct-sets")
-    keyed = first.select("doc", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = cut_lineage(keyed.join(shared.select("key"), "key").select("key", "doc").distinct(), "bucket-members")
+        F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n_shingles", "sketch_a", "sketch_b", "bands")],
+    ), "distinct-sets")
+    keyed = first.select(
+        F.explode("bands").alias("key"), "doc", F.struct("n_shingles", "sketch_a", "sketch_b").alias("about"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    members = cut_lineage(keyed.join(shared, "key", "left_semi"), "bucket-members")
     sets = _sets(docs, members.select("doc").distinct(), size)
     homes = connected(_links(members, sets, percent)).select(F.col("node").alias("doc"), "component")
     groups = first.select("name_a", "name_b", "doc").join(homes, "doc", "left").select(
         "name_a", "name_b", F.coalesce("component", "doc").alias("component"))
-    whole = features.drop("bands").join(groups, ["name_a", "name_b"], "left")
+    whole = features.select("doc_id", "n_shingles", "name_a", "name_b").join(groups, ["name_a", "name_b"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return whole.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
