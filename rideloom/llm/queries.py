@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rideloom.llm import minhash, packing, pii, quality, substrings, toxicity, warc
+from rideloom.llm import idfiles, minhash, packing, pii, quality, substrings, toxicity, warc
 from rideloom.workspace import fresh_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), fresh_folder(spark, "warc"), least_bytes=0)
 
 
+@register
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "token-files")
+    idfiles.write(table(spark, sf_dir, "documents"), folder, BYTE_BPE, end_id=2)
+    return idfiles.read(spark, folder).drop("ids")
+
+
 @register
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
