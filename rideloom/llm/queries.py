@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rideloom.llm import idfiles, minhash, packing, pii, quality, substrings, toxicity, warc
+from rideloom.llm import idfiles, katz, minhash, packing, pii, quality, substrings, toxicity, warc
 from rideloom.workspace import fresh_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +52,16 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.counted(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
 
 
+@register
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.held_out("doc_id", parts=10, part=0)
+    model = katz.fit(docs.filter(~F.coalesce(held_out, F.lit(False))))
+    return katz.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")
+
+
 @register
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), fresh_folder(spark, "warc"), least_bytes=0)
