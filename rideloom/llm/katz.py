@@ -164,7 +164,8 @@ def _free(spark: SparkSession) -> None:
 def fit(texts: DataFrame) -> Model:
     """Count and normalise. ``texts`` has a column ``text``; null counts as empty. Logarithms have base 10.
 
-    Unigrams are discounted too; what they leave is the probability of all unknown words together. A
+    Unigrams are discounted too; what they leave, half a token at least, is the probability of all unknown
+    words together. A
     context's back-off weight is (1 - its stored pairs' discounted share) / (1 - those words' unigram share),
     so every context sums to one over the known words, the end and the unknown. Where a context's counts
     leave nothing over, half a count is added to its total.
@@ -175,8 +176,9 @@ def fit(texts: DataFrame) -> Model:
     tally = {r["c"]: r["n"] for r in counted.filter(F.col("c") <= DISCOUNTED + 1).groupBy("c").agg(
         F.count("*").alias("n")).collect()}
     uni = counted.withColumn("uni", _discounted(discounts(tally)) / F.lit(float(max(tokens, 1))))
-    unknown = 1.0 - (uni.agg(F.sum("uni")).first()[0] or 0.0)
-    unknown = max(unknown, 0.5 / max(tokens, 1))
+    known = uni.agg(F.sum("uni")).first()[0] or 0.0
+    unknown = max(1.0 - known, 0.5 / max(tokens, 1))
+    uni = uni.withColumn("uni", F.col("uni") * F.lit((1.0 - unknown) / (known or 1.0)))
     buckets = max(16, tokens // BUCKET_TOKENS)
     pairs = cut_lineage(pair_counts(texts, buckets), "pair-counts")
     _free(spark)
@@ -190,7 +192,7 @@ def fit(texts: DataFrame) -> Model:
         "w", F.greatest(F.col("c").cast("double"), F.coalesce("kept", F.lit(0.0)) + 0.5).alias("total"),
         F.coalesce("kept", F.lit(0.0)).alias("kept"), F.coalesce("seen", F.lit(0.0)).alias("seen"))
     contexts = cut_lineage(contexts.select("w", "total", F.log10(
-        (1 - F.col("kept") / F.col("total")) / (1 - F.col("seen"))).alias("log_alpha")), "contexts")
+        (1 - F.col("kept") / F.col("total")) / F.greatest(1 - F.col("seen"), F.lit(unknown / 2))).alias("log_alpha")), "contexts")
     words = uni.join(contexts, "w", "left").select(
         F.col("w").alias("key"), "c", F.log10("uni").alias("log_uni"),
         F.coalesce("log_alpha", F.lit(0.0)).alias("log_alpha"))

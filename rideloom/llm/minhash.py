@@ -19,9 +19,8 @@ PERMUTATIONS, BAND_ROWS = 64, 4
 #: One bit of each signature value makes a sketch of 128 bits; at similarity s bits agree with probability
 #: (1 + s) / 2. A pair at 0.8 agrees in fewer than this many once in ten million.
 LEAST_AGREEING = 95
-#: Comparisons of sketches left for the last, exhaustive round, per member of a bucket, before another pivot
-#: is worth it.
-FEW = 200
+#: Comparisons left for the last, exhaustive round, per member of a bucket, before another pivot is worth it.
+FEW = 8
 PIVOT_ROUNDS = 8
 
 
@@ -128,13 +127,13 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     ``members`` has ``key``, ``doc`` and ``about`` (size and sketch of its set). In every round each bucket
     compares one pivot with the members outside the pivot's component: first its smallest id, later one
-    that is still apart from it. Buckets whose members are in one component are done. Once few comparisons
-    are left, or after ``PIVOT_ROUNDS``, all of them are made, so no pair is left out. Sizes and sketches
-    sort out pairs that are too far apart before any set is read.
+    that is still apart from it. Buckets whose members are in one component are done, and so are members that were a pivot or that sizes and
+    sketches set too far apart from all others. Once few comparisons are left, or after ``PIVOT_ROUNDS``,
+    all of them are made, so no pair is left out.
     """
     pivots = members.groupBy("key").agg(F.min_by(F.struct("doc", "about"), "doc").alias("pivot"))
     pairs = _near(members, pivots.select("key", "pivot.*"), percent)
-    found = tried = None
+    found = tried = cleared = None
     turn, last = 0, False
     while True:
         pairs = cut_lineage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "candidate-pairs")
@@ -150,34 +149,41 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         parted = placed.groupBy("key").agg(
             F.min("at").alias("low"), F.max("at").alias("high"), F.min_by("at", "doc").alias("main"),
         ).filter("low < high").select("key", "main")
-        inside = cut_lineage(placed.join(parted, "key"), "parted-buckets")
-        outside = inside.filter("at <> main")
-        sizes = inside.groupBy("key").agg(F.count("*").alias("n"), F.sum((F.col("at") != F.col("main")).cast(
-            "long")).alias("apart"))
+        inside = placed.join(parted, "key")
+        outside = inside.filter("at <> main").alias("y")
+        if cleared is not None:
+            outside = outside.join(cleared, ["key", "doc"], "left_anti").alias("y")
+        outside = cut_lineage(outside.join(placed.alias("x"), _may_link(percent, True), "left_semi"), "open-members")
+        open_buckets = outside.groupBy("key").agg(F.count("*").alias("apart"))
+        sizes = placed.groupBy("key").agg(F.count("*").alias("n")).join(open_buckets, "key")
         left, rows = sizes.agg(F.sum(F.col("apart") * F.col("n")), F.sum("n")).first()
         if not left:
             return found
         last = left <= FEW * rows or turn >= PIVOT_ROUNDS
         if last:
-            pairs = _near(inside, outside, percent)
-        else:
-            pivots = outside.groupBy("key").agg(F.min_by(
-                F.struct("doc", "about", "at"), F.struct(F.xxhash64("doc", F.lit(turn)), "doc")).alias("pivot"))
-            pairs = _near(inside, pivots.select("key", "pivot.*"), percent)
+            pairs = _near(placed, outside, percent)
+            continue
+        pivots = outside.groupBy("key").agg(F.min_by(
+            F.struct("doc", "about", "at"), F.struct(F.xxhash64("doc", F.lit(turn)), "doc")).alias("pivot"))
+        pivots = cut_lineage(pivots.select("key", "pivot.*"), "pivots")
+        cleared = pivots.select("key", "doc") if cleared is None else cleared.union(pivots.select("key", "doc"))
+        pairs = _near(placed, pivots, percent)
 
 
-def _near(many: DataFrame, few: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components whose sizes and sketches allow a link, smaller id first."""
-    x, y = many.alias("x"), few.alias("y")
+def _may_link(percent: int, placed: bool):
+    """Whether sizes and sketches of two members ``x`` and ``y`` of a bucket, in different components, allow a link."""
     agree = 128 - sum(F.bit_count(F.col(f"x.about.{s}").bitwiseXOR(F.col(f"y.about.{s}"))) for s in (
         "sketch_a", "sketch_b"))
     n, m = F.col("x.about.n_shingles"), F.col("y.about.n_shingles")
     meets = (F.col("x.key") == F.col("y.key")) & (F.col("x.doc") != F.col("y.doc"))
     meets &= (100 * n >= percent * m) & (100 * m >= percent * n) & (agree >= LEAST_AGREEING)
-    if "at" in many.columns:
-        meets &= F.col("x.at") != F.col("y.at")
-    return x.join(y, meets).select(
-        F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    return meets & (F.col("x.at") != F.col("y.at")) if placed else meets
+
+
+def _near(many: DataFrame, few: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket that may link, smaller id first."""
+    pairs = many.alias("x").join(few.alias("y"), _may_link(percent, "at" in many.columns))
+    return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

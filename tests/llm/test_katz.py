@@ -29,7 +29,9 @@ class ByHand:
         self.n = sum(self.uni.values())
         d = katz.discounts(Counter(self.uni.values()))
         self.p1 = {w: d.get(c, 1.0) * c / self.n for w, c in self.uni.items()}
-        self.unknown = max(1 - sum(self.p1.values()), 0.5 / max(self.n, 1))
+        known = sum(self.p1.values())
+        self.unknown = max(1 - known, 0.5 / max(self.n, 1))
+        self.p1 = {w: p * (1 - self.unknown) / known for w, p in self.p1.items()}
         d = katz.discounts(Counter(self.pairs.values()))
         self.kept, self.seen, self.total = defaultdict(dict), defaultdict(float), {}
         for (a, b), c in self.pairs.items():
@@ -76,7 +78,7 @@ def test_query_against_dictionaries(spark, folder):
 
 def test_every_context_sums_to_one():
     random = np.random.default_rng(2)
-    model = ByHand([" ".join(random.choice(list("aabbccddefgh"), 12)) + f" w{i}" for i in range(60)])
+    model = ByHand([" ".join(random.choice(list("aabbccddefgh"), 12)) for _ in range(60)])
     for context in [*model.total, "never seen"]:
         total = sum(model.probability(w, context) for w in model.p1) + model.probability("never seen", context)
         assert total == pytest.approx(1)
