@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideloom.llm import idfiles, katz, minhash, packing, pii, quality, substrings, toxicity, warc
+from rideloom.llm import decontaminate, idfiles, katz, minhash, packing, pii, quality, substrings, toxicity, warc
 from rideloom.workspace import fresh_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +52,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.counted(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
 
 
+@register
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register
 def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
