@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from rideloom.functions.calendar import weekday
 from rideloom.functions.measures import kilometres
 from rideloom.operators.families import additive_sum, trip_count
+from rideloom.schema import month_arg_guard
+from rideloom.workspace import cut_lineage
 
 
 def month_of(day: Column) -> Column:
@@ -28,11 +30,15 @@ def monthly_sums(trips: DataFrame) -> DataFrame:
     return additive_sum(trips.withColumn("month", month_of(F.col("day"))), ["month"])
 
 
-def month_stats(trips: DataFrame, rejects: DataFrame, months: DataFrame) -> DataFrame:
-    """Per month of the spine: totals, or status MISSING. ``rejects`` has month, rejected."""
-    joined = months.join(monthly_sums(trips), "month", "left").join(
+def month_stats(sums: DataFrame, rejects: DataFrame, months: DataFrame, runs: DataFrame) -> DataFrame:
+    """Per month of the spine: totals and the run they come from, or status MISSING.
+
+    ``sums`` has month and the four sums, ``rejects`` month and rejected, ``runs`` one row per month with
+    run_id and elapsed_seconds (null where no run is known).
+    """
+    joined = months.join(sums, "month", "left").join(
         rejects.groupBy("month").agg(F.sum("rejected").alias("rejected")), "month", "left"
-    )
+    ).join(runs.select("month", "run_id", "elapsed_seconds"), "month", "left")
     return joined.select(
         "month",
         F.when(F.col("trips").isNull(), "MISSING").otherwise("ok").alias("status"),
@@ -40,21 +46,24 @@ def month_stats(trips: DataFrame, rejects: DataFrame, months: DataFrame) -> Data
         F.coalesce("rejected", F.lit(0)).alias("rejected"),
         F.coalesce(F.rint(kilometres(F.col("distance_milli_miles"))), F.lit(0.0)).cast("long").alias("distance_km"),
         F.coalesce(F.rint(F.col("cents") / F.lit(100.0)), F.lit(0.0)).cast("long").alias("revenue"),
+        "run_id",
+        "elapsed_seconds",
     )
 
 
-def month_quality(classified: DataFrame) -> DataFrame:
-    """Rows per month and reason; the reason of valid rows is ``Valid``."""
-    return (
-        classified.groupBy(
-            month_of(F.col("pickup")).alias("month"), F.coalesce("reason", F.lit("Valid")).alias("reason")
-        ).agg(F.count("*").alias("rows"))
-    )
+def month_quality(classified: DataFrame, month: str) -> DataFrame:
+    """Rows per reason of the month that was run; the reason of valid rows is ``Valid``.
+
+    Every row belongs to the run's month, also one whose pickup lies outside of it or is unknown.
+    """
+    return classified.groupBy(
+        F.lit(month_arg_guard(month)).alias("month"), F.coalesce("reason", F.lit("Valid")).alias("reason")
+    ).agg(F.count("*").alias("rows"))
 
 
-def month_quality_map(classified: DataFrame) -> DataFrame:
-    """One row per month: valid, rejected and the reason counts as a map (at most seven entries)."""
-    counts = month_quality(classified)
+def month_quality_map(classified: DataFrame, month: str) -> DataFrame:
+    """One row: the run's month, valid, rejected and the reason counts as a map (at most seven entries)."""
+    counts = month_quality(classified, month)
     valid = F.col("reason") == "Valid"
     entries = F.collect_list(F.when(~valid, F.struct("reason", "rows")))
     return counts.groupBy("month").agg(
@@ -94,6 +103,7 @@ def weekday_hour_matrix(t: DataFrame) -> DataFrame:
 def zone_month_matrix(trips: DataFrame) -> DataFrame:
     """Dense zone x month over the months present; every zone gets every month as an array, no pairs joined."""
     counts = trips.groupBy("zone", month_of(F.col("day")).alias("month")).agg(trip_count(trips).alias("trips"))
+    counts = cut_lineage(counts, "zone-months")  # read three times below, the trips once
     months = counts.agg(F.array_sort(F.collect_set("month")).alias("months")).scalar()
     spine = counts.select("zone").distinct().withColumn("month", F.explode(months))
     return spine.join(counts, ["zone", "month"], "left").fillna(0, ["trips"])

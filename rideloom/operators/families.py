@@ -101,3 +101,9 @@ def classified_cuboid(classified: DataFrame) -> DataFrame:
         ).alias("seconds"),
         F.coalesce(F.sum(F.when(ok, half_even(F.col("amount"), 100))), F.lit(0)).alias("cents"),
     )
+
+
+def split_cells(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Key families and reject counts (reason, rows) from the cells of :func:`classified_cuboid`."""
+    valid = cells.filter(F.col("reason").isNull()).select("day", "hour", "zone", "dest", *SUM4)
+    return key_families(valid), cells.filter(F.col("reason").isNotNull()).select("reason", F.col("trips").alias("rows"))

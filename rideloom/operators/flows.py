@@ -21,6 +21,11 @@ def od_year(od: DataFrame) -> DataFrame:
     return od.groupBy("zone", "dest").agg(F.sum("trips").alias("trips"))
 
 
+def od_pair_count(od: DataFrame) -> DataFrame:
+    """One row: distinct pairs and their trips."""
+    return od_year(od).agg(F.count("*").alias("pairs"), F.sum("trips").alias("trips"))
+
+
 def top_od(od: DataFrame, k: int) -> DataFrame:
     return od.orderBy(F.desc("trips"), "zone", "dest").limit(k)
 

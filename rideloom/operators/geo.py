@@ -9,14 +9,6 @@ from rideloom.functions.geo import edge_list_distance, in_edges, ring_edges, utm
 from rideloom.functions.once import computed_once
 from rideloom.workspace import cut_lineage
 
-# Largest dimension that is handed to every task; a larger one is joined by shuffle instead.
-_SMALL_ROWS = 100_000
-
-
-def small_side(df: DataFrame, max_rows: int = _SMALL_ROWS) -> DataFrame:
-    """Broadcast ``df`` if a count shows it is small; otherwise leave the join to Spark."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
 
 def _vertices(zones: DataFrame) -> DataFrame:
     return zones.select("zone", F.explode(F.flatten("rings")).alias("v")).select("zone", "v.lon", "v.lat")
@@ -60,36 +52,57 @@ def _cell(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(float(size)))
 
 
-def _cover(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
+# A box enters at most this many cells along each axis; larger boxes use coarser cells.
+_MOST_CELLS = 8
+
+
+def _level(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
+    """How often the cell size is to be doubled so that a box stays within ``_MOST_CELLS`` cells each way."""
+    extent = F.greatest(x1 - x0, y1 - y0) / F.lit(size * (_MOST_CELLS - 1))
+    return F.greatest(F.ceil(F.log2(F.greatest(extent, F.lit(1.0)))), F.lit(0)).cast("int")
+
+
+def _cover(x0: Column, y0: Column, x1: Column, y1: Column, size: Column) -> Column:
     """Every grid cell a box touches."""
-    rows = F.sequence(_cell(y0, size), _cell(y1, size))
+    at = lambda value: F.floor(value / size)
+    rows = F.sequence(at(y0), at(y1))
     return F.flatten(
         F.transform(
-            F.sequence(_cell(x0, size), _cell(x1, size)),
+            F.sequence(at(x0), at(x1)),
             lambda cx: F.transform(rows, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy"))),
         )
     )
 
 
+def _cell_size(level: Column, size: float) -> Column:
+    return F.lit(float(size)) * F.pow(F.lit(2.0), level)
+
+
+_BOX = ("x0", "y0", "x1", "y1")
+
+
 def point_in_zone(points: DataFrame, zones: DataFrame, x: str = "px", y: str = "py", cell: float = 0.02) -> DataFrame:
     """Points with the zones that hold them (boundary rule of ray casting); others drop out.
 
-    Points meet only the zones whose box touches their grid cell. The ray test then runs inside the
-    row over the zone's edges, so points are not exploded or regrouped. Zones are broadcast when a
-    count shows they are few; otherwise the join shuffles on the cell and AQE splits hot cells.
+    Zones enter the cells that their box touches, large ones on a coarser level of the grid, and points look
+    up their cell on the levels in use. Points meet zone ids and boxes first; the rings come by id after
+    that. The ray test runs inside the row over the zone's edges.
     """
-    shapes = zones.withColumns(_bounds(F.flatten("rings"), "lon", "lat")).withColumn(
-        "edges", F.transform("rings", ring_edges)
-    )
-    cells = shapes.select(
-        "zone", "x0", "y0", "x1", "y1", "edges", F.explode(_cover(*map(F.col, ("x0", "y0", "x1", "y1")), cell)).alias("c")
-    ).select("zone", "x0", "y0", "x1", "y1", "edges", "c.cx", "c.cy")
+    shapes = zones.select("zone", "rings", *[c.alias(n) for n, c in _bounds(F.flatten("rings"), "lon", "lat").items()])
+    boxes = shapes.select("zone", *_BOX, _level(*map(F.col, _BOX), cell).alias("level"))
+    cells = boxes.select(
+        "zone", *_BOX, "level",
+        F.explode(_cover(*map(F.col, _BOX), _cell_size(F.col("level"), cell))).alias("c"),
+    ).select("zone", *_BOX, "level", "c.cx", "c.cy")
+    levels = boxes.agg(F.array_sort(F.collect_set("level"))).scalar()  # logarithm of the largest box
     px, py = F.col(x), F.col(y)
-    located = points.withColumns({"cx": _cell(px, cell), "cy": _cell(py, cell)}).join(small_side(cells), ["cx", "cy"])
+    size = _cell_size(F.col("level"), cell)
+    located = points.withColumn("level", F.explode(levels)).withColumns(
+        {"cx": F.floor(px / size), "cy": F.floor(py / size)}).join(cells, ["level", "cx", "cy"])
     inside = px.between(F.col("x0"), F.col("x1")) & py.between(F.col("y0"), F.col("y1"))
-    return located.filter(inside & F.exists("edges", lambda ring: in_edges(px, py, ring))).select(
-        *points.columns, "zone"
-    )
+    edges = shapes.select("zone", F.transform("rings", ring_edges).alias("edges"))
+    return located.filter(inside).select(*points.columns, "zone").join(edges, "zone").filter(
+        F.exists("edges", lambda ring: in_edges(px, py, ring))).select(*points.columns, "zone")
 
 
 def distance_join(zones: DataFrame, max_m: float, utm_zone: int = 18, cell_m: float | None = None) -> DataFrame:
@@ -97,7 +110,8 @@ def distance_join(zones: DataFrame, max_m: float, utm_zone: int = 18, cell_m: fl
 
     A zone is entered into the cells of its box, its partner into the cells of its box grown by
     ``max_m``; a pair within reach shares a cell. Of the shared cells only the first one reports the
-    pair, so no duplicates need to be removed, and no zone meets a zone outside its neighbourhood.
+    pair, so no duplicates need to be removed, and no zone meets a zone outside its neighbourhood. Large
+    boxes use coarser cells. Ids and boxes meet first, outlines come by id for the pairs that are left.
     """
     size = float(cell_m or 2.5 * max_m)
 
@@ -114,25 +128,32 @@ def distance_join(zones: DataFrame, max_m: float, utm_zone: int = 18, cell_m: fl
         {"edges": F.flatten(F.transform("plane", ring_edges)), **_bounds(F.flatten("plane"), "lon", "lat")},
     )
 
-    def entered(side: str, reach: float) -> DataFrame:
-        box = {
-            "x0": F.col("x0") - reach, "y0": F.col("y0") - reach, "x1": F.col("x1") + reach, "y1": F.col("y1") + reach
-        }
-        return shapes.withColumns(box).select(
-            F.explode(_cover(*map(F.col, ("x0", "y0", "x1", "y1")), size)).alias("c"),
-            F.struct("zone", "edges", "x0", "y0", "x1", "y1").alias(side),
-        ).select("c.cx", "c.cy", side)
-
-    pairs = entered("a", float(max_m)).join(entered("b", 0.0), ["cx", "cy"]).filter(
-        (F.col("a.zone") < F.col("b.zone"))
+    reach = float(max_m)
+    grown = [F.col("x0") - reach, F.col("y0") - reach, F.col("x1") + reach, F.col("y1") + reach]
+    boxes = cut_lineage(shapes.select("zone", *_BOX, _level(*grown, size).alias("level")), "boxes")
+    top = boxes.agg(F.max("level")).scalar()
+
+    def entered(side: str, by: float) -> DataFrame:
+        """Ids and boxes in the cells of their own and of all coarser levels."""
+        box = {"x0": F.col("x0") - by, "y0": F.col("y0") - by, "x1": F.col("x1") + by, "y1": F.col("y1") + by}
+        placed = boxes.withColumns(box).withColumn("at", F.explode(F.sequence(F.col("level"), top)))
+        return placed.select(
+            "at", F.explode(_cover(*map(F.col, _BOX), _cell_size(F.col("at"), size))).alias("c"),
+            F.struct("zone", "level", *_BOX).alias(side),
+        ).select("at", "c.cx", "c.cy", side)
+
+    first = lambda axis: F.floor(F.greatest(f"a.{axis}0", f"b.{axis}0") / _cell_size(F.col("at"), size))
+    pairs = entered("a", reach).join(entered("b", 0.0), ["at", "cx", "cy"]).filter(
+        (F.col("a.zone") < F.col("b.zone")) & (F.col("at") == F.greatest("a.level", "b.level"))
         & (F.col("a.x0") <= F.col("b.x1")) & (F.col("b.x0") <= F.col("a.x1"))
         & (F.col("a.y0") <= F.col("b.y1")) & (F.col("b.y0") <= F.col("a.y1"))
-        & (F.col("cx") == F.greatest(_cell(F.col("a.x0"), size), _cell(F.col("b.x0"), size)))
-        & (F.col("cy") == F.greatest(_cell(F.col("a.y0"), size), _cell(F.col("b.y0"), size)))
-    )
-    gap = edge_list_distance(F.col("a.edges"), F.col("b.edges"))
+        & (F.col("cx") == first("x")) & (F.col("cy") == first("y"))
+    ).select(F.col("a.zone").alias("za"), F.col("b.zone").alias("zb"))
+    edges = cut_lineage(shapes.select("zone", "edges"), "edges")
+    of = lambda z, e: edges.select(F.col("zone").alias(z), F.col("edges").alias(e))
     near = computed_once(
-        pairs.select("a", "b"), {"za": F.col("a.zone"), "zb": F.col("b.zone"), "distance_m": gap}
+        pairs.join(of("za", "ea"), "za").join(of("zb", "eb"), "zb").select("za", "zb", "ea", "eb"),
+        {"distance_m": edge_list_distance(F.col("ea"), F.col("eb"))},
     ).filter(F.col("distance_m") <= max_m)
     both = F.array(
         F.struct(F.col("za").alias("zone"), F.col("zb").alias("neighbor")),
@@ -141,44 +162,29 @@ def distance_join(zones: DataFrame, max_m: float, utm_zone: int = 18, cell_m: fl
     return near.select(F.explode(both).alias("p"), "distance_m").select("p.zone", "p.neighbor", "distance_m")
 
 
-def nearest_zone(
-    points: DataFrame, centers: DataFrame, key: str, x: str = "px", y: str = "py", max_centers: int = 4096
-) -> DataFrame:
+def nearest_zone(points: DataFrame, centers: DataFrame, key: str, x: str = "px", y: str = "py") -> DataFrame:
     """The zone whose centre is nearest in city-block distance, ties to the smaller id.
 
-    Few centres (checked) travel as one array and the choice is made inside each row, without a
-    join. More centres are searched through grid cells.
-    """
-    if centers.limit(max_centers + 1).count() <= max_centers:
-        packed = centers.agg(F.collect_list(F.struct("zone", "cx", "cy"))).scalar()
-        best = F.array_min(
-            F.transform(
-                "centers",
-                lambda c: F.struct(
-                    (F.abs(c["cx"] - F.col(x)) + F.abs(c["cy"] - F.col(y))).alias("gap"), c["zone"].alias("zone")
-                ),
-            )
-        )
-        return points.select(key, x, y, packed.alias("centers")).select(key, best["zone"].alias("zone"))
-    return _nearest_by_cells(points, centers, key, x, y)
-
-
-def _nearest_by_cells(points: DataFrame, centers: DataFrame, key: str, x: str, y: str) -> DataFrame:
-    """Search growing cells until the best centre found is nearer than anything unseen can be.
-
-    Each centre is entered into the 3 x 3 cells around it, so a point looks up its own cell only and
-    has then seen everything within one cell size. Points not settled go on with cells four times
-    as large; the last round has one cell for all. Rounds start small so that dense centres stay apart.
+    One row for each row of ``points``; null where a coordinate is null or there is no centre. Each distinct
+    place is searched once: centres are entered into the 3 x 3 cells around them, so a place looks up its
+    own cell only and has then seen everything within one cell size. Places not settled go on with cells
+    four times as large. A place outside the centres' box is moved to its edge first, which adds the same
+    to every distance, so cells never grow beyond half of the box.
     """
-    both = points.select(F.col(x).alias("x"), F.col(y).alias("y")).union(centers.select("cx", "cy"))
-    lo_x, lo_y, hi_x, hi_y = both.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
+    centers = centers.select("zone", "cx", "cy").dropna()
+    lo_x, lo_y, hi_x, hi_y, n = centers.agg(F.min("cx"), F.min("cy"), F.max("cx"), F.max("cy"), F.count("*")).first()
+    if not n:
+        return points.select(key, F.lit(None).cast(centers.schema["zone"].dataType).alias("zone"))
     extent = max(hi_x - lo_x, hi_y - lo_y, 1e-9) * 1.001
-    n = centers.count()
-    size = extent / max(1, 2 ** int(n**0.5).bit_length())
-    open_points = points.select(key, F.col(x).alias("x"), F.col(y).alias("y"))
+    size = extent / max(2, 2 ** int(n**0.5).bit_length())
+    clamp = lambda c, lo, hi: F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi))
+    known = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    moved = points.select(
+        key, F.when(known, clamp(x, lo_x, hi_x)).alias("x"), F.when(known, clamp(y, lo_y, hi_y)).alias("y"))
+    places = cut_lineage(moved.select("x", "y").dropna().distinct(), "places")
     settled: list[DataFrame] = []
     while True:
-        last = size >= extent
+        last = size * 2 >= extent  # then the 3 x 3 cells around any place hold all centres
         around = F.array(*[F.lit(step) for step in (-1, 0, 1)])
         entered = centers.select(
             "zone", "cx", "cy",
@@ -186,21 +192,21 @@ def _nearest_by_cells(points: DataFrame, centers: DataFrame, key: str, x: str, y
                 (_cell(F.col("cx") - lo_x, size) + dx).alias("gx"), (_cell(F.col("cy") - lo_y, size) + dy).alias("gy")
             ))))).alias("g"),
         ).select("zone", "cx", "cy", "g.gx", "g.gy")
-        located = open_points.withColumns({"gx": _cell(F.col("x") - lo_x, size), "gy": _cell(F.col("y") - lo_y, size)})
+        located = places.withColumns({"gx": _cell(F.col("x") - lo_x, size), "gy": _cell(F.col("y") - lo_y, size)})
         gap = F.abs(F.col("cx") - F.col("x")) + F.abs(F.col("cy") - F.col("y"))
         found = cut_lineage(
-            located.join(entered, ["gx", "gy"], "left").groupBy(key, "x", "y").agg(
+            located.join(entered, ["gx", "gy"], "left").groupBy("x", "y").agg(
                 F.min(F.when(F.col("zone").isNotNull(), F.struct(gap.alias("gap"), "zone"))).alias("best")
             ),
             "nearest",
         )
         done = F.lit(True) if last else F.coalesce(F.col("best.gap") <= size, F.lit(False))
-        settled.append(found.filter(done).select(key, F.col("best.zone").alias("zone")))
-        open_points = found.filter(~done).select(key, "x", "y")
-        if last or open_points.isEmpty():
+        settled.append(found.filter(done).select("x", "y", F.col("best.zone").alias("zone")))
+        places = found.filter(~done).select("x", "y")
+        if last or places.isEmpty():
             break
-        size *= 4
-    out = settled[0]
+        size = min(size * 4, extent / 2)
+    answers = settled[0]
     for part in settled[1:]:
-        out = out.unionByName(part)
-    return out
+        answers = answers.unionByName(part)
+    return moved.join(answers, ["x", "y"], "left").select(key, "zone")

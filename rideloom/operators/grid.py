@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rideloom.functions.calendar import weekday
 
+# Variable names of the weather documents.
 HOURLY_WEATHER = (
     "temperature_2m",
     "apparent_temperature",

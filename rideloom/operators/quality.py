@@ -17,9 +17,9 @@ _NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity
 
 
 def _time(text: str) -> Column:
-    """The usual ``yyyy-MM-dd HH:mm:ss`` is told by its separators; other text goes by the pattern."""
+    """The usual ``yyyy-MM-dd HH:mm:ss`` is told by its separators and digits; other text goes by the pattern."""
     col = F.col(text)
-    usual = F.length(col) == 19
+    usual = (F.length(col) == 19) & (F.translate(col, "0123456789", "") == "-- ::")
     for place, mark in ((5, "-"), (8, "-"), (11, " "), (14, ":"), (17, ":")):
         usual = usual & (F.substring(col, place, 1) == mark)
     return F.when(usual | col.rlike(_TIME_TEXT), col.try_cast("timestamp_ntz"))

@@ -9,39 +9,40 @@ from rideloom.operators import cubes, flows, ranking
 from rideloom.operators.families import additive_sum, day_totals, day_zone_hour
 from rideloom.plans.catalog import query, r6
 from rideloom.plans.sql import SUMS, WALK, with_views
-from rideloom.plans.tables import HUBS, Tables
+from rideloom.plans.tables import HUBS, MONTH, Tables
 from rideloom.sources import registry
+from rideloom.workspace import cut_lineage
 
 _MONTHS = """SELECT strftime(unnest(generate_series(date_trunc('month', min(day)), date_trunc('month', max(day)),
   INTERVAL 1 MONTH)), '%Y-%m') AS month FROM shipments"""
 
 
-def _month(t: Tables) -> DataFrame:
-    return t.shipments.select(cubes.month_of(F.col("day")).alias("month"))
-
-
-@query("month_stats", with_views("shipments", body=f"""
+@query("month_stats", with_views("shipments", "runs", body=f"""
   SELECT m.month, CASE WHEN trips IS NULL THEN 'MISSING' ELSE 'ok' END AS status, coalesce(trips, 0) AS trips,
     coalesce(rejected, 0) AS rejected,
     CAST(coalesce(round_even(distance_milli_miles / 1000 * 1.609344::DOUBLE, 0), 0) AS BIGINT) AS distance_km,
-    CAST(coalesce(round_even(cents / 100, 0), 0) AS BIGINT) AS revenue
+    CAST(coalesce(round_even(cents / 100, 0), 0) AS BIGINT) AS revenue, run_id, elapsed_seconds
   FROM ({_MONTHS} UNION SELECT '2001-12') m
   LEFT JOIN (SELECT strftime(day, '%Y-%m') AS month, {SUMS} FROM shipments GROUP BY 1) s ON m.month = s.month
   LEFT JOIN (SELECT strftime(o_orderdate, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS rejected FROM orders
-    WHERE o_orderstatus = 'F' GROUP BY 1) r ON m.month = r.month"""))
+    WHERE o_orderstatus = 'F' GROUP BY 1) r ON m.month = r.month
+  LEFT JOIN (SELECT month, run_id, elapsed_seconds FROM runs WHERE status = 'SUCCEEDED'
+    QUALIFY row_number() OVER (PARTITION BY month ORDER BY started_at DESC, run_id DESC) = 1) l ON m.month = l.month"""))
 def _(t: Tables) -> DataFrame:
     rejects = t.read("orders").filter("o_orderstatus = 'F'").groupBy(
         F.date_format("o_orderdate", "yyyy-MM").alias("month")
     ).agg(F.count("*").alias("rejected"))
     until = t.spark.range(1).select(F.lit("2001-12").alias("month"))
-    return cubes.month_stats(t.shipments, rejects, cubes.month_spine(_month(t).union(until)))
+    sums = cut_lineage(cubes.monthly_sums(t.items), "monthly-sums")
+    months = cubes.month_spine(sums.select("month").union(until))
+    return cubes.month_stats(sums, rejects, months, ranking.latest_success_per_month(t.runs))
 
 
 @query("month_quality", with_views("classified", body="""
-  SELECT strftime(pickup, '%Y-%m') AS month, coalesce(reason, 'Valid') AS reason, CAST(count(*) AS BIGINT) AS rows
-  FROM classified WHERE pickup IS NOT NULL GROUP BY 1, 2"""))
+  SELECT '2024-01' AS month, coalesce(reason, 'Valid') AS reason, CAST(count(*) AS BIGINT) AS rows
+  FROM classified GROUP BY 1, 2"""))
 def _(t: Tables) -> DataFrame:
-    return cubes.month_quality(t.classified.filter("pickup IS NOT NULL"))
+    return cubes.month_quality(t.classified, MONTH)
 
 
 @query("month_quality_map", with_views("classified", body="""
@@ -49,20 +50,19 @@ def _(t: Tables) -> DataFrame:
     CAST(coalesce(sum(n) FILTER (WHERE reason <> 'Valid'), 0) AS BIGINT) AS rejected,
     coalesce(string_agg(reason || '=' || n, ',' ORDER BY reason) FILTER (WHERE reason <> 'Valid'), '') AS reasons
   FROM (SELECT '2024-01' AS month, coalesce(reason, 'Valid') AS reason, count(*) AS n FROM classified
-    WHERE strftime(pickup, '%Y-%m') = '2024-01' GROUP BY 2) GROUP BY month"""))
+    GROUP BY 2) GROUP BY month"""))
 def _(t: Tables) -> DataFrame:
-    inside = t.classified.filter(cubes.month_of(F.col("pickup")) == "2024-01")
     pairs = F.transform(F.array_sort(F.map_entries("reasons")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
-    return cubes.month_quality_map(inside).select("month", "valid", "rejected", F.array_join(pairs, ",").alias("reasons"))
+    return cubes.month_quality_map(t.classified, MONTH).select("month", "valid", "rejected", F.array_join(pairs, ",").alias("reasons"))
 
 
 @query("month_hour_matrix", with_views("demand", body="""
   SELECT month, CAST(range AS INTEGER) AS hour, CAST(coalesce(n, 0) AS BIGINT) AS trips
-  FROM (SELECT DISTINCT strftime(date, '%Y-%m') AS month FROM demand WHERE zone < 2) CROSS JOIN range(24)
-  LEFT JOIN (SELECT strftime(date, '%Y-%m') AS m, hour, sum(trips) AS n FROM demand WHERE zone < 2 GROUP BY 1, 2)
+  FROM (SELECT DISTINCT strftime(date, '%Y-%m') AS month FROM demand) CROSS JOIN range(24)
+  LEFT JOIN (SELECT strftime(date, '%Y-%m') AS m, hour, sum(trips) AS n FROM demand GROUP BY 1, 2)
     ON m = month AND hour = range"""))
 def _(t: Tables) -> DataFrame:
-    return cubes.month_hour_matrix(t.demand.filter("zone < 2").withColumnRenamed("date", "day"))
+    return cubes.month_hour_matrix(t.demand.withColumnRenamed("date", "day"))
 
 
 _PIVOT = ", ".join(f"CAST(count(*) FILTER (WHERE hour = {h}) AS BIGINT) AS h{h}" for h in range(24))
@@ -101,7 +101,7 @@ def _(t: Tables) -> DataFrame:
   FROM (SELECT day, count(*) AS n FROM shipments GROUP BY day) GROUP BY 1"""))
 def _(t: Tables) -> DataFrame:
     text = F.transform("points", lambda p: F.concat_ws("=", p["day"].cast("string"), p["trips"].cast("string")))
-    return cubes.day_curves(day_totals(t.shipments)).select("month", F.array_join(text, ",").alias("points"))
+    return cubes.day_curves(day_totals(t.items)).select("month", F.array_join(text, ",").alias("points"))
 
 
 @query("year_kpis", with_views("shipments", body="""
@@ -109,7 +109,7 @@ def _(t: Tables) -> DataFrame:
     round(sum(distance_milli_miles) / 1000 * 1.609344::DOUBLE, 3) AS distance_km, round(sum(cents) / 100, 2) AS revenue
   FROM shipments"""))
 def _(t: Tables) -> DataFrame:
-    return cubes.year_kpis(t.shipments).select(
+    return cubes.year_kpis(t.items).select(
         "trips", r6("trips_per_day"), r6("distance_km", 3), r6("revenue", 2)
     )
 
@@ -121,14 +121,14 @@ _LONG = """SELECT CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER
 @query("monthly_totals_long", with_views("shipments", body=f"""
   SELECT year, month, trips, round(distance, 3) AS distance, round(revenue, 2) AS revenue FROM ({_LONG})"""))
 def _(t: Tables) -> DataFrame:
-    return cubes.monthly_totals_long(t.shipments).select(
+    return cubes.monthly_totals_long(t.items).select(
         "year", "month", "trips", r6("distance", 3), r6("revenue", 2)
     )
 
 
 def _hourly_shipments(t: Tables) -> DataFrame:
     """Shipments with an hour made from the order line (dates carry none)."""
-    return t.shipments.withColumn("hour", (F.col("cents") % 24).cast("int"))
+    return t.items.withColumn("hour", (F.col("cents") % 24).cast("int"))
 
 
 _BY_YEAR = """SELECT {0} AS {1}, CAST(cents % 24 AS INTEGER) AS hour, CAST(count(*) AS BIGINT) AS trips,
@@ -148,7 +148,7 @@ def _(t: Tables) -> DataFrame:
 @query("yearly_totals", with_views("shipments", body="""
   SELECT CAST(year(day) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS trips FROM shipments GROUP BY 1"""))
 def _(t: Tables) -> DataFrame:
-    return cubes.yearly_totals(t.shipments)
+    return cubes.yearly_totals(t.items)
 
 
 _TWELVE = ", ".join(f"CAST(count(*) FILTER (WHERE month(day) = {m}) AS BIGINT) AS m{m}" for m in range(1, 13))
@@ -157,14 +157,14 @@ _TWELVE = ", ".join(f"CAST(count(*) FILTER (WHERE month(day) = {m}) AS BIGINT) A
 @query("year_month_matrix", with_views("shipments", body=f"""
   SELECT CAST(year(day) AS INTEGER) AS year, {_TWELVE} FROM shipments GROUP BY 1"""))
 def _(t: Tables) -> DataFrame:
-    return cubes.year_month_matrix(t.shipments)
+    return cubes.year_month_matrix(t.items)
 
 
 @query("pct_of_base_year", with_views("shipments", body=f"""
   SELECT year, month, trips, round(100 * trips / (SELECT sum(trips) / 12 FROM ({_LONG}) WHERE year = 1995), 6) AS pct_of_base
   FROM ({_LONG}) WHERE year BETWEEN 1995 AND 1997"""))
 def _(t: Tables) -> DataFrame:
-    monthly = cubes.monthly_totals_long(t.shipments).select("year", "month", "trips")
+    monthly = cubes.monthly_totals_long(t.items).select("year", "month", "trips")
     return cubes.pct_of_base_year(monthly, 1995, (1995, 1997)).select("year", "month", "trips", r6("pct_of_base"))
 
 
@@ -172,7 +172,7 @@ def _(t: Tables) -> DataFrame:
   SELECT coalesce(CAST(year(day) AS INTEGER), 0) AS year, coalesce(CAST(month(day) AS INTEGER), 0) AS month,
     CAST(count(*) AS BIGINT) AS rows FROM shipments GROUP BY GROUPING SETS ((year(day), month(day)), ())"""))
 def _(t: Tables) -> DataFrame:
-    return cubes.archive_manifest(t.shipments).fillna(0)
+    return cubes.archive_manifest(t.items).fillna(0)
 
 
 # -- flows ---------------------------------------------------------------------------------------
@@ -184,6 +184,11 @@ def _(t: Tables) -> DataFrame:
     return flows.od_year(additive_sum(dated, ["month", "zone", "dest"]))
 
 
+@query("od_pair_count", with_views("od", body="SELECT CAST(count(*) AS BIGINT) AS pairs, CAST(sum(trips) AS BIGINT) AS trips FROM od"))
+def _(t: Tables) -> DataFrame:
+    return flows.od_pair_count(t.od)
+
+
 @query("top_od", with_views("od", body="SELECT * FROM od ORDER BY trips DESC, zone, dest LIMIT 200"))
 def _(t: Tables) -> DataFrame:
     return flows.top_od(t.od, 200)

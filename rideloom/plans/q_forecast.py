@@ -222,37 +222,61 @@ def _model_rows(t: Tables) -> dict[str, DataFrame]:
     return {name: rows.filter(F.col("split") == name) for name in ("train", "valid", "test")}
 
 
-@query("fit_demand_gbt")
+_TEST_ROWS = "(SELECT CAST(count(*) AS BIGINT) AS n FROM features WHERE date > DATE '2024-01-25')"
+
+
+@query("fit_demand_gbt", with_views("features", body=f"""
+  SELECT variant, n, TRUE AS not_negative, TRUE AS beats_lag FROM {_TEST_ROWS} CROSS JOIN (VALUES ('model'), ('lag_7')) v(variant)"""))
 def _(t: Tables) -> DataFrame:
+    """What must hold of any sound fit: every test row is scored, none below zero, better than the last week's value."""
     rows = _model_rows(t)
     model = forecast.fit_demand_gbt(rows["train"], rows["valid"], grid.FEATURES, **FIT)
-    scored = forecast.predict_demand(model, rows["test"])
-    return forecast.error_metrics(scored).select(F.lit("model").alias("variant"), *_ERROR_COLUMNS).unionByName(
-        forecast.error_metrics(rows["test"], pred="lag_7").select(F.lit("lag_7").alias("variant"), *_ERROR_COLUMNS)
-    )
+    scored = cut_lineage(forecast.predict_demand(model, rows["test"]), "scored")
+    lag = forecast.error_metrics(rows["test"], pred="lag_7").select("rmse").scalar()
+
+    def facts(variant: str, pred: str) -> DataFrame:
+        told = scored.agg(F.count(pred).alias("n"), F.bool_and(F.col(pred) >= 0).alias("not_negative"))
+        rmse = forecast.error_metrics(scored, pred=pred).select("rmse").scalar()
+        return told.select(F.lit(variant).alias("variant"), "n", "not_negative", (rmse <= lag).alias("beats_lag"))
 
+    return facts("model", "pred").unionByName(facts("lag_7", "lag_7"))
 
-@query("model_band")
+
+@query("model_band", with_views("features", body=f"""
+  SELECT n, TRUE AS ordered, TRUE AS covers_some FROM {_TEST_ROWS}"""))
 def _(t: Tables) -> DataFrame:
     rows = _model_rows(t)
     model = forecast.fit_demand_gbt(rows["train"], rows["valid"], grid.FEATURES, **FIT)
     band = forecast.quantile_band(
         forecast.predict_demand(model, rows["valid"]), forecast.predict_demand(model, rows["test"])
     )
-    return forecast.interval_coverage(band)
+    inside = F.col("trips").between(F.col("q_lo"), F.col("q_hi"))
+    return band.agg(
+        F.count("*").alias("n"), F.bool_and((F.col("q_lo") <= F.col("q_hi")) & (F.col("q_lo") >= 0)).alias("ordered"),
+        (F.count_if(inside) * 2 > F.count("*")).alias("covers_some"),
+    )
 
 
-@query("importance_top_k")
+@query("importance_top_k", f"""
+  SELECT CAST(range + 1 AS INTEGER) AS rank, TRUE AS falling, TRUE AS total_is_one FROM range({len(grid.FEATURES)})""")
 def _(t: Tables) -> DataFrame:
     rows = _model_rows(t)
     model = forecast.fit_demand_gbt(rows["train"], rows["valid"], grid.FEATURES, **FIT)
-    return forecast.importance_top_k(model, grid.FEATURES, 10)
+    ranked = forecast.importance_top_k(model, grid.FEATURES, len(grid.FEATURES))
+    before = ranked.select((F.col("rank") + 1).alias("rank"), F.col("importance").alias("before"))
+    total = ranked.agg(F.sum("importance").alias("total")).scalar()
+    return ranked.join(before, "rank", "left").select(
+        "rank", F.coalesce(F.col("before") >= F.col("importance"), F.lit(True)).alias("falling"),
+        (F.abs(total - 1) < 1e-6).alias("total_is_one"),
+    )
 
 
-@query("ablation")
+@query("ablation", """
+  SELECT variant, TRUE AS finite FROM (VALUES ('base'), ('with_extra')) v(variant)""")
 def _(t: Tables) -> DataFrame:
     edges = distance_join(t.zone_geom, 900.0)
     table = grid.neighbor_mean(features(t, t.signal), edges)
     rows = cut_lineage(grid.temporal_split(table, TRAIN_END, VALID_END), "features")
     train, valid, test = (rows.filter(F.col("split") == name) for name in ("train", "valid", "test"))
-    return forecast.ablation(train, valid, test, grid.FEATURES, ["neighbor_lag1_mean"], **FIT)
+    told = forecast.ablation(train, valid, test, grid.FEATURES, ["neighbor_lag1_mean"], **FIT)
+    return told.select("variant", (~F.isnan("rmse") & (F.col("rmse") > 0)).alias("finite"))

@@ -59,9 +59,14 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("nearest_zone", with_views("points", "centers", body="""
-  SELECT event_id, arg_min(zone, abs(cx - px) + abs(cy - py)) AS zone FROM points CROSS JOIN centers GROUP BY event_id"""))
+  SELECT event_id, CASE WHEN event_id % 50 > 0 THEN zone END AS zone FROM
+    (SELECT event_id, arg_min(zone, abs(cx - px) + abs(cy - py)) AS zone FROM points CROSS JOIN centers GROUP BY event_id)
+    JOIN (VALUES (0), (1)) v(copy) ON copy = 0 OR event_id % 40 = 0"""))
 def _(t: Tables) -> DataFrame:
-    return geo.nearest_zone(t.points, geo.zone_center(t.zone_geom), "event_id")
+    """Some points occur twice, some have no latitude."""
+    points = t.points.withColumn("py", F.when(F.col("event_id") % 50 > 0, F.col("py")))
+    return geo.nearest_zone(
+        points.union(points.filter("event_id % 40 = 0")), geo.zone_center(t.zone_geom), "event_id")
 
 
 @query("nearest_cell", with_views("points", "elevation", body="""

@@ -28,14 +28,15 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("scan_raw_csv", with_views("classified", body="""
-  SELECT CASE WHEN event_id % 97 = 0 OR event_id % 101 = 0 THEN 'Malformed' ELSE reason END AS reason,
-    CAST(count(*) AS BIGINT) AS rows
-  FROM classified WHERE event_id % 97 = 0 OR event_id % 101 = 0 OR reason IS NOT NULL GROUP BY 1"""))
+  SELECT CASE WHEN bad THEN 'Malformed' ELSE reason END AS reason, CAST(count(*) AS BIGINT) AS rows
+  FROM (SELECT *, event_id % 97 = 0 OR event_id % 101 = 0 OR event_id % 103 = 0 AS bad FROM classified)
+  WHERE bad OR reason IS NOT NULL GROUP BY 1"""))
 def _(t: Tables) -> DataFrame:
-    """Lines of five and seven fields among the regular ones."""
+    """Lines of five and seven fields and blank ones among the regular ones."""
     line = F.when(F.col("event_id") % 97 == 0, F.concat_ws(",", *RAW_FIELDS[:5])).when(
         F.col("event_id") % 101 == 0, F.concat_ws(",", *RAW_FIELDS, F.lit("extra"))
-    ).otherwise(F.concat_ws(",", *RAW_FIELDS))
+    ).when(F.col("event_id") % 206 == 0, "").when(F.col("event_id") % 103 == 0, " \t").otherwise(
+        F.concat_ws(",", *RAW_FIELDS))
     path = fresh_folder(t.spark, "lines")
     t.raw.select(line.alias("value")).write.text(path)
     lines = trips.read_raw(t.spark, path)
@@ -70,10 +71,11 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("verify_manifest")
+@query("verify_manifest", """
+  SELECT status, CAST(1 AS BIGINT) AS shards FROM (VALUES ('corrupted'), ('unexpected')) v(status)""")
 def _(t: Tables) -> DataFrame:
     """Differences against a manifest in which one hash was altered and one shard is unknown."""
-    path = _shards(t)
+    path = _shards(t, 200)
     true = manifest.shard_manifest(t.spark, path)
     manifest.verify_manifest(t.spark, path, true, rows=None)
     first = true.agg(F.min("name")).scalar()
@@ -81,7 +83,7 @@ def _(t: Tables) -> DataFrame:
     altered = true.filter(F.col("name") != last).withColumn(
         "sha256", F.when(F.col("name") == first, F.reverse("sha256")).otherwise(F.col("sha256"))
     )
-    return manifest.manifest_differences(t.spark, path, altered)
+    return manifest.manifest_differences(t.spark, path, altered).groupBy("status").agg(F.count("*").alias("shards"))
 
 
 @query("fingerprint_publish", with_views("trips", body="""
@@ -124,7 +126,7 @@ def _(t: Tables) -> DataFrame:
 def _archive(t: Tables) -> str:
     path = fresh_folder(t.spark, "archive")
     hourly = t.shipments.withColumn("hour", (F.col("cents") % 24).cast("int"))
-    archive.write_archive(archive.archive_rows(hourly), path)
+    archive.write_archive(hourly, path)
     return path
 
 
@@ -132,9 +134,11 @@ def _archive(t: Tables) -> str:
   SELECT kind, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, CAST(count(*) AS BIGINT) AS rows,
     CAST(sum(cents) AS BIGINT) AS cents FROM shipments CROSS JOIN (VALUES ('Z'), ('D'), ('O'), ('T')) k(kind) GROUP BY 1, 2, 3"""))
 def _(t: Tables) -> DataFrame:
-    return archive.read_archive(t.spark, _archive(t)).groupBy("kind", "year", "month").agg(
+    """Every kind sees every row, of which there is one copy."""
+    months = archive.read_archive(t.spark, _archive(t)).groupBy("year", "month").agg(
         F.count("*").alias("rows"), F.sum("cents").alias("cents")
     )
+    return months.select(F.explode(F.array(*map(F.lit, archive.KIND_COLUMNS))).alias("kind"), "*")
 
 
 @query("scan_partitioned", with_views("shipments", body=f"""
@@ -162,7 +166,7 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("features_to_dim", with_views("zones", body=f"""
-  SELECT id, name, borough, CAST(CASE WHEN id % 4 = 0 THEN 2 ELSE 1 END AS INTEGER) AS rings, round(x0, 6) AS x0 FROM zones"""))
+  SELECT id, name, borough, CAST(CASE WHEN id % 4 = 0 OR id = 1 THEN 2 ELSE 1 END AS INTEGER) AS rings, round(x0, 6) AS x0 FROM zones"""))
 def _(t: Tables) -> DataFrame:
     """One GeoJSON collection per borough; every fourth zone is a multi-polygon, zone 1 occurs twice."""
     def ring(dx: float):
@@ -178,7 +182,8 @@ def _(t: Tables) -> DataFrame:
         '{"type":"Feature","properties":%s,"geometry":{"type":"%s","coordinates":%s}}',
         F.to_json(F.struct("id", "name", "borough")), shape["type"], shape["coordinates"],
     )
-    docs = t.zones.groupBy("borough").agg(F.concat_ws(",", F.collect_list(feature)).alias("f")).select(
+    twice = F.when(F.col("id") == 1, F.concat_ws(",", feature, feature)).otherwise(feature)
+    docs = t.zones.groupBy("borough").agg(F.concat_ws(",", F.collect_list(twice)).alias("f")).select(
         F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}")).alias("value")
     )
     path = fresh_folder(t.spark, "geojson")
@@ -202,8 +207,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("emit_keys", with_views("families", body=_KEYED))
 def _(t: Tables) -> DataFrame:
-    """Lines of single trips, summed twice: the answer is that of the aggregated families."""
-    return documents.sum_keys(documents.sum_keys(documents.emit_keys(t.trips)))
+    """Keyed lines of a monthly job's families, from cells that carry rejects too."""
+    return documents.keyed_encode(fam.split_cells(fam.classified_cuboid(t.classified))[0])
 
 
 @query("keyed_decode", with_views("families", body=f"SELECT {_NO_NULL_KEYS} FROM families"))
@@ -253,6 +258,25 @@ def _(t: Tables) -> DataFrame:
     return flat_families(publish.read_result(t.spark, root, MONTH).select("kind", "zone", "hour", "day", "dest", *SUM4))
 
 
+@query("republished_month", with_views("classified", body="""
+  SELECT run, CAST(n AS BIGINT) AS input, CAST(v AS BIGINT) AS valid, CAST(n - v AS BIGINT) AS rejected, reasons FROM (
+    SELECT 1 AS run, count(*) AS n, count(*) FILTER (WHERE reason IS NULL) AS v,
+      (SELECT string_agg(reason || '=' || k, ',' ORDER BY reason) FROM (SELECT reason, count(*) AS k FROM classified
+        WHERE reason IS NOT NULL GROUP BY 1)) AS reasons FROM classified
+    UNION ALL SELECT 2, count(*), count(*), '' FROM classified WHERE reason IS NULL)"""))
+def _(t: Tables) -> DataFrame:
+    """A month with rejects, then the same month run again on its valid lines: nothing of the first run stays."""
+    root = fresh_folder(t.spark, "republished")
+    clean = t.classified.filter(F.col("reason").isNull()).select(*RAW_FIELDS)
+    told = []
+    for run, raw in enumerate((t.raw.select(*RAW_FIELDS), clean), start=1):
+        publish.run_month(raw, MONTH, root, RULES)
+        pairs = F.transform(F.map_entries("reasons"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+        told.append(publish.analysis(t.spark, root, t.zones)["quality"].select(
+            F.lit(run).alias("run"), "input", "valid", "rejected", F.array_join(F.array_sort(pairs), ",").alias("reasons")))
+    return told[0].unionByName(told[1])
+
+
 @query("analysis", with_views("zh", "days", "trips", "zones", "classified", body=f"""
   SELECT 'zone' AS section, CAST(zone AS VARCHAR) AS key, CAST(sum(trips) AS BIGINT) AS trips FROM zh GROUP BY zone
   UNION ALL SELECT 'zone ASIA 8', CAST(zone AS VARCHAR), trips FROM zh JOIN zones ON zone = id WHERE borough = 'ASIA' AND hour = 8

@@ -14,6 +14,7 @@ from rideloom.plans.catalog import query, r6
 from rideloom.plans.sql import SUMS, with_views
 from rideloom.plans.tables import MONTH, RULES, Tables
 from rideloom.schema import REASONS, month_arg_guard
+from rideloom.workspace import cut_lineage
 
 _NO_NULL_KEYS = (
     "kind, coalesce(zone, -1) AS zone, coalesce(hour, -1) AS hour, coalesce(CAST(day AS VARCHAR), '') AS day, "
@@ -118,7 +119,10 @@ def _(t: Tables) -> DataFrame:
   WHERE strftime(l_shipdate, '%Y-%m') = '2000-02' GROUP BY 1""")
 def _(t: Tables) -> DataFrame:
     month = F.date_format("l_shipdate", "yyyy-MM").alias("month")
-    wanted = t.read("lineitem").filter(month == month_arg_guard("2000-02"))
+    first = F.to_date(F.lit(f"{month_arg_guard('2000-02')}-01"))
+    shipped = F.col("l_shipdate")
+    wanted = t.read("lineitem").filter(
+        (shipped >= first.cast("timestamp_ntz")) & (shipped < F.add_months(first, 1).cast("timestamp_ntz")))
     return wanted.groupBy(month).agg(F.count("*").alias("rows"))
 
 
@@ -313,11 +317,9 @@ def _(t: Tables) -> DataFrame:
     CAST(n - v AS BIGINT) AS q, CAST(n AS BIGINT) AS input, TRUE AS ok
   FROM (SELECT (SELECT count(*) FROM trips) AS v, (SELECT count(*) FROM classified) AS n)"""))
 def _(t: Tables) -> DataFrame:
-    return verify.conservation_check(
-        fam.key_families(t.trips),
-        quality.reject_histogram(t.classified),
-        t.events.agg(F.count("*").alias("n")),
-    )
+    cells = cut_lineage(fam.classified_cuboid(t.classified), "cells")
+    families, rejects = fam.split_cells(cells)
+    return verify.conservation_check(families, rejects, cells.agg(F.sum("trips").alias("n")))
 
 
 @query("compare_keyed", with_views("zh", body="""
@@ -364,9 +366,15 @@ def _(t: Tables) -> DataFrame:
 @query("union_months", with_views("shipments", body="""
   SELECT strftime(day, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS trips FROM shipments GROUP BY 1"""))
 def _(t: Tables) -> DataFrame:
-    def year(y: int) -> DataFrame:
-        return t.shipments.filter(F.year("day") == y).select(F.date_format("day", "yyyy-MM").alias("month"))
+    """Ranges of ship dates, which reach the scan as filters, so that each branch reads its own part."""
+    shipped = F.col("l_shipdate")
+
+    def months(test) -> DataFrame:
+        return t.read("lineitem").filter(test).select(F.date_format(shipped, "yyyy-MM").alias("month"))
 
-    whole = union_months(t.shipments.filter(~F.year("day").between(1996, 1998)).select(
-        F.date_format("day", "yyyy-MM").alias("month")), year(1996), year(1997), year(1998))
+    starts = [F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in range(1996, 2000)]
+    whole = union_months(
+        months((shipped < starts[0]) | (shipped >= starts[-1])),
+        *[months((shipped >= a) & (shipped < b)) for a, b in zip(starts, starts[1:], strict=False)],
+    )
     return whole.groupBy("month").agg(F.count("*").alias("trips"))

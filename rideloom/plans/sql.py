@@ -35,7 +35,9 @@ SUMS = (
 
 _view("raw_trips", """
   SELECT event_id,
-    CAST(ts - INTERVAL 6 HOUR AS VARCHAR) AS s_pickup,
+    CASE WHEN event_id % 67 = 0 THEN regexp_replace(CAST(ts - INTERVAL 6 HOUR AS VARCHAR), '.$', 'Z')
+      WHEN event_id % 71 = 0 THEN regexp_replace(CAST(ts - INTERVAL 6 HOUR AS VARCHAR), '.$', ' ')
+      ELSE CAST(ts - INTERVAL 6 HOUR AS VARCHAR) END AS s_pickup,
     CAST(ts + to_seconds(CAST(round_even(value * 30, 0) AS BIGINT)) - INTERVAL 6 HOUR AS VARCHAR) AS s_dropoff,
     CASE WHEN event_id % 53 = 0 THEN '' WHEN event_id % 59 = 0 THEN 'nan' WHEN event_id % 61 = 0 THEN '1.5'
          ELSE CAST(user_id % 27 AS VARCHAR) END AS s_pu,
@@ -43,7 +45,8 @@ _view("raw_trips", """
     value / 3 AS miles, value * 4 AS amount
   FROM events""")
 _view("typed", """
-  SELECT event_id, try_cast(s_pickup AS TIMESTAMP) AS pickup, try_cast(s_dropoff AS TIMESTAMP) AS dropoff,
+  SELECT event_id, CASE WHEN regexp_full_match(s_pickup, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?')
+      THEN try_cast(s_pickup AS TIMESTAMP) END AS pickup, try_cast(s_dropoff AS TIMESTAMP) AS dropoff,
     try_cast(s_pu AS DOUBLE) AS pu, try_cast(s_do AS DOUBLE) AS do_, miles, amount
   FROM raw_trips""", "raw_trips")
 _view("classified", """
@@ -208,7 +211,7 @@ _view("elevation", """
 _E2 = "(CAST(1 AS DOUBLE) / CAST(298.257223563 AS DOUBLE) * (2 - CAST(1 AS DOUBLE) / CAST(298.257223563 AS DOUBLE)))"
 _view("parcels", f"""
   SELECT s_suppkey AS zone, {D(-74.28)} + {D(0.011)} * (s_suppkey % 50) + s_acctbal / {D(10000000)} AS x0,
-    {D(40.47)} + {D(0.009)} * (s_suppkey // 50) AS y0 FROM supplier""")
+    {D(40.47)} + {D(0.009)} * (s_suppkey // 50 % 2000) AS y0 FROM supplier""")
 _view("parcel_ll", f"""
   SELECT zone, i, x0 + {D(0.006)} * dx AS lon, y0 + {D(0.005)} * dy AS lat FROM parcels,
     (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 1)) v(i, dx, dy)""", "parcels")

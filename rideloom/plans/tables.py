@@ -83,6 +83,16 @@ class Tables:
             )
         )
 
+    @cached_property
+    def items(self) -> DataFrame:
+        """The same line items where neither end is asked for: no join."""
+        return self.read("lineitem").select(
+            F.to_date("l_shipdate").alias("day"),
+            half_even(F.col("l_quantity"), 1000).alias("distance_milli_miles"),
+            (F.col("l_linenumber") * 600).cast("long").alias("seconds"),
+            half_even(F.col("l_extendedprice"), 100).alias("cents"),
+        )
+
     # Aggregates that a query reads more than once are written once; the base tables are scanned once.
 
     @cached_property
@@ -121,12 +131,12 @@ class Tables:
 
     @cached_property
     def parcels(self) -> DataFrame:
-        """One small box per supplier on a lattice that grows northwards with the table."""
+        """One small box per supplier on a lattice of 50 by 2,000 places; later suppliers share places."""
         key = F.col("s_suppkey")
         placed = self.read("supplier").select(
             key.alias("zone"),
             (F.lit(-74.28) + F.lit(0.011) * (key % 50) + F.col("s_acctbal") / F.lit(1e7)).alias("x0"),
-            (F.lit(40.47) + F.lit(0.009) * F.floor(key / 50)).alias("y0"),
+            (F.lit(40.47) + F.lit(0.009) * (F.floor(key / 50) % 2000)).alias("y0"),
         )
         return boxes(placed, 0.006, 0.005)
 
@@ -247,9 +257,13 @@ class Tables:
 def raw_fields(events: DataFrame) -> DataFrame:
     key, ts = F.col("event_id"), F.col("ts")
     dropoff = F.timestamp_add("SECOND", half_even(F.col("value") * 30), ts)
+    pickup = hours_before(ts, 6).cast("string")
     return events.select(
         "event_id",
-        hours_before(ts, 6).cast("string").alias("s_pickup"),
+        F.when(key % 67 == 0, F.regexp_replace(pickup, ".$", "Z"))
+        .when(key % 71 == 0, F.regexp_replace(pickup, ".$", " "))
+        .otherwise(pickup)
+        .alias("s_pickup"),
         hours_before(dropoff, 6).cast("string").alias("s_dropoff"),
         F.when(key % 53 == 0, "")
         .when(key % 59 == 0, "nan")

@@ -28,6 +28,7 @@ REASONS = (
 class Rules:
     """Limits of the data-quality rules; defaults are those of the yellow-taxi data."""
 
+    # Fixed values.
     zone_lo: int = 1
     zone_hi: int = 263
     seconds_lo: int = 60

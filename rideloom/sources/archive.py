@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rideloom.schema import SUM4
+
 # Column names used by the published tables over the years.
 ALIASES = {
     "tpep_pickup_datetime": "pickup",
@@ -53,37 +55,25 @@ def normalize_schema_drift(
     return reduce(DataFrame.unionByName, usable)
 
 
-def write_archive(df: DataFrame, path: str) -> None:
-    """Parquet by kind / year / month. ``df`` has kind and day.
+#: What each kind of archive table shows of a trip, beside its day and measures.
+KIND_COLUMNS = {"Z": ("hour", "zone"), "D": (), "O": ("zone", "dest"), "T": ("hour", "zone")}
+
+
+def write_archive(trips: DataFrame, path: str) -> None:
+    """Parquet by year / month, every trip once. ``trips`` has day.
 
     Rebalancing by folder lets AQE merge small months into one task and split a hot one over many, so
     files come out near the advisory partition size however the rows are spread.
     """
-    dated = df.withColumns({"year": F.year("day"), "month": F.month("day")})
-    folders = ("kind", "year", "month")
-    dated.hint("rebalance", *folders).write.mode("overwrite").partitionBy(*folders).parquet(path)
+    dated = trips.withColumns({"year": F.year("day"), "month": F.month("day")})
+    dated.hint("rebalance", "year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str, kind: str | None = None, years: tuple[int, int] | None = None) -> DataFrame:
-    """One kind and year range; both prune folders."""
+    """The years prune folders; a kind is a choice of columns, and only those are read."""
     df = spark.read.parquet(path)
-    if kind is not None:
-        df = df.filter(F.col("kind") == kind)
     if years is not None:
         df = df.filter(F.col("year").between(*years))
+    if kind is not None:
+        df = df.select("year", "month", "day", *KIND_COLUMNS[kind], *SUM4[1:])
     return df
-
-
-def archive_rows(trips: DataFrame) -> DataFrame:
-    """Each trip once per kind with the columns of that kind (others null), as the archive stores it."""
-    keep = {"Z": ("hour", "zone"), "D": (), "O": ("zone", "dest"), "T": ("hour", "zone")}
-    parts = F.array(*[
-        F.struct(
-            F.lit(kind).alias("kind"),
-            *[(F.col(c) if c in cols else F.lit(None).cast("int")).alias(c) for c in ("hour", "zone", "dest")],
-        )
-        for kind, cols in keep.items()
-    ])
-    return trips.select("day", "distance_milli_miles", "seconds", "cents", F.explode(parts).alias("k")).select(
-        "k.kind", "day", "k.hour", "k.zone", "k.dest", "distance_milli_miles", "seconds", "cents"
-    )

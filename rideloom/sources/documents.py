@@ -86,22 +86,6 @@ def keyed_encode(families: DataFrame) -> DataFrame:
     return families.select(key.alias("key"), F.concat_ws(",", *SUM4).alias("value"))
 
 
-def emit_keys(trips: DataFrame) -> DataFrame:
-    """The keyed lines of every single trip, one per family, before any summing."""
-    kinds = F.array(*[F.lit(kind) for kind in FAMILY_KEYS])
-    single = trips.withColumn("trips", F.lit(1).cast("long")) if "trips" not in trips.columns else trips
-    return keyed_encode(single.withColumn("kind", F.explode(kinds)))
-
-
-def sum_keys(lines: DataFrame) -> DataFrame:
-    """Keyed lines summed per key. Sums of sums are sums, so it serves before and after a merge."""
-    number = F.split("value", ",")
-    sums = lines.select("key", *[number[i].cast("long").alias(name) for i, name in enumerate(SUM4)]).groupBy("key").agg(
-        *[F.sum(name).alias(name) for name in SUM4]
-    )
-    return sums.select("key", F.concat_ws(",", *SUM4).alias("value"))
-
-
 def keyed_decode(lines: DataFrame) -> DataFrame:
     """Back from key / value text; also reads reject lines (``Q|reason``). Bad lines raise."""
     part, number = F.split("key", r"\|"), F.split("value", ",")

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideloom.functions.measures import ratio_or_zero
-from rideloom.operators.families import classified_cuboid, family, key_families
+from rideloom.operators.families import classified_cuboid, family, split_cells
 from rideloom.operators.flows import top_od
 from rideloom.operators.quality import classify_rejects, typed_parse
 from rideloom.operators.summary import EXPORT_COLUMNS, hourly_profile, summary, zone_ranking
 from rideloom.operators.verify import conservation_check, require_conservation
 from rideloom.schema import SUM4, Rules, month_arg_guard
-from rideloom.workspace import cut_lineage
+from rideloom.workspace import cut_lineage, read_text, replace_text
 
 
 def write_families(families: DataFrame, path: str) -> None:
@@ -20,22 +22,42 @@ def write_families(families: DataFrame, path: str) -> None:
     families.write.mode("overwrite").partitionBy("kind").parquet(path)
 
 
-def publish_result(families: DataFrame, month: str, root: str) -> None:
-    """Replace the month's families and the latest pointer; other months stay as they are."""
+_FAMILIES = "zone int, hour int, day date, dest int, " + ", ".join(f"{name} long" for name in SUM4) + ", kind string"
+_REJECTS = "reason string, rows long"
+
+
+def publish_result(families: DataFrame, month: str, root: str, rejects: DataFrame | None = None) -> None:
+    """Publish a run of the month: its families and reject counts, both complete or not at all.
+
+    Every run has a folder of its own, so nothing of an earlier run stays, not even a kind or reason that
+    has become empty. The pointers, one small file each that is replaced in one step, are written last.
+    """
     month_arg_guard(month)
-    tagged = families.withColumn("month", F.lit(month))
-    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "month", "kind"
-    ).parquet(f"{root}/results")
     spark = families.sparkSession
-    spark.range(1).select(F.lit(month).alias("month")).write.mode("overwrite").json(f"{root}/latest")
+    run = f"runs/{month}/{uuid.uuid4().hex}"
+    families.select("kind", "zone", "hour", "day", "dest", *SUM4).write.partitionBy("kind").parquet(f"{root}/{run}/families")
+    rejects = spark.createDataFrame([], _REJECTS) if rejects is None else rejects.select("reason", "rows")
+    rejects.write.parquet(f"{root}/{run}/rejects")
+    replace_text(spark, f"{root}/months/{month}", f"{month} {run}")
+    replace_text(spark, f"{root}/latest", f"{month} {run}")
+
+
+def _published(spark: SparkSession, root: str, month: str | None) -> tuple[str, str]:
+    """Month and run folder that the pointer names, by default the one published last."""
+    pointer = "latest" if month is None else f"months/{month_arg_guard(month)}"
+    found, run = read_text(spark, f"{root}/{pointer}").split()
+    return found, f"{root}/{run}"
 
 
 def read_result(spark: SparkSession, root: str, month: str | None = None) -> DataFrame:
     """Families of a month, by default of the one published last."""
-    if month is None:
-        month = spark.read.schema("month string").json(f"{root}/latest").first()["month"]
-    return spark.read.parquet(f"{root}/results").filter(F.col("month") == month_arg_guard(month))
+    month, run = _published(spark, root, month)
+    return spark.read.schema(_FAMILIES).parquet(f"{run}/families").withColumn("month", F.lit(month))
+
+
+def read_rejects(spark: SparkSession, root: str, month: str | None = None) -> DataFrame:
+    """Reject counts by reason of the same run that :func:`read_result` reads; no row if nothing was rejected."""
+    return spark.read.schema(_REJECTS).parquet(f"{_published(spark, root, month)[1]}/rejects")
 
 
 def run_month(raw: DataFrame, month: str, root: str, rules: Rules = Rules()) -> DataFrame:
@@ -46,15 +68,11 @@ def run_month(raw: DataFrame, month: str, root: str, rules: Rules = Rules()) ->
     """
     month_arg_guard(month)
     cells = cut_lineage(classified_cuboid(classify_rejects(typed_parse(raw), month, rules)), "cells")
-    valid = cells.filter(F.col("reason").isNull())
-    rejects = cells.filter(F.col("reason").isNotNull()).select("reason", F.col("trips").alias("rows"))
-    families = cut_lineage(key_families(valid.select("day", "hour", "zone", "dest", *SUM4)), "families")
+    families, rejects = split_cells(cells)
+    families = cut_lineage(families, "families")
     check = conservation_check(families, rejects, cells.agg(F.sum("trips").alias("input")))
     require_conservation(check)
-    publish_result(families, month, root)
-    rejects.withColumn("month", F.lit(month)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("month").parquet(f"{root}/rejects")
+    publish_result(families, month, root, rejects)
     return check
 
 
@@ -69,11 +87,9 @@ def analysis(
     """The tables behind one view of a published month: summary, zones, hourly, quality; without
     filters also days and top_od. Each reads only the folders of its own family.
     """
-    families = read_result(spark, root, month)
+    month = month or _published(spark, root, None)[0]
+    families, rejects = read_result(spark, root, month), read_rejects(spark, root, month)
     zh = family(families, "Z")
-    rejects = spark.read.parquet(f"{root}/rejects").filter(
-        F.col("month") == (F.lit(month) if month else families.agg(F.max("month")).scalar())
-    )
     tables = {
         "summary": summary(zh, zones, hour, borough),
         "zones": zone_ranking(zh, zones, None, hour, borough),
@@ -87,12 +103,15 @@ def analysis(
 
 
 def published_quality(zh: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Input, valid and rejected rows of a published month; filters do not touch it."""
-    rejected = rejects.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rejected")).scalar()
-    counts = zh.agg(F.coalesce(F.sum("trips"), F.lit(0)).alias("valid")).withColumn("rejected", rejected)
+    """Input, valid and rejected rows and the reasons (at most seven) of a published month; filters do not touch it."""
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "rows"))))
+    told = rejects.agg(F.struct(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), entries.alias("reasons"))).scalar()
+    counts = zh.agg(F.coalesce(F.sum("trips"), F.lit(0)).alias("valid")).withColumn("told", told).select(
+        "valid", F.col("told.rows").alias("rejected"), F.col("told.reasons").alias("reasons"))
     total = F.col("valid") + F.col("rejected")
     return counts.select(
-        total.alias("input"), "valid", "rejected", ratio_or_zero(F.col("valid") * F.lit(100.0), total).alias("valid_pct")
+        total.alias("input"), "valid", "rejected",
+        ratio_or_zero(F.col("valid") * F.lit(100.0), total).alias("valid_pct"), "reasons",
     )
 
 

@@ -31,9 +31,19 @@ def read_trips(spark: SparkSession, path: str, columns: Sequence[str] = TRIP_COL
 def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Headerless lines as six text fields plus ``bad_shape`` for any other field count.
 
-    ``multi_line`` admits quoted line breaks, at the price of unsplittable files.
+    A blank line is a row without fields, so it has a bad shape too. ``multi_line`` admits quoted line breaks,
+    at the price of unsplittable files and of blank lines, which then are no rows.
     """
     schema = ", ".join(f"{name} string" for name in (*RAW_FIELDS, _BAD_LINE))
+    if not multi_line:
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD_LINE, "escape": '"'}
+        text = spark.read.text(path)
+        parsed = text.select(F.from_csv("value", schema, options).alias("r"), F.trim("value").alias("t"))
+        blank = ~F.col("t").rlike(r"\S")
+        return parsed.select(
+            *[F.when(~blank, F.col(f"r.{name}")).alias(name) for name in RAW_FIELDS],
+            (blank | F.col(f"r.{_BAD_LINE}").isNotNull()).alias("bad_shape"),
+        )
     lines = (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
@@ -56,7 +66,7 @@ def write_shards(df: DataFrame, path: str, rows_per_shard: int = ROWS_PER_SHARD)
         raise ValueError("rows_per_shard must be positive")
     df.write.option("maxRecordsPerFile", rows_per_shard).option("header", False).option(
         "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"
-    ).option("escape", '"').csv(path)
+    ).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def head_sample(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:

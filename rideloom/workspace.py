@@ -50,3 +50,25 @@ def exists(spark: SparkSession, path: str) -> bool:
 def is_folder(spark: SparkSession, path: str) -> bool:
     files, target = _path(spark, path)
     return files.exists(target) and files.getFileStatus(target).isDirectory()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put ``text`` into a small file; readers see the old or the new content, never a part."""
+    files, target = _path(spark, path)
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = files.create(fresh)
+    out.write(bytearray(text.encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(fresh), files.makeQualified(target), overwrite)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, target = _path(spark, path)
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

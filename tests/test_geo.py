@@ -26,9 +26,8 @@ def inside(x, y, ring):
     return odd
 
 
-@pytest.mark.parametrize("cell,bound", [(0.5, 100_000), (3.0, 100_000), (0.7, 2)])
-def test_point_in_zone(spark, monkeypatch, cell, bound):
-    monkeypatch.setattr(geo, "_SMALL_ROWS", bound)
+@pytest.mark.parametrize("cell", [0.5, 3.0, 0.01])
+def test_point_in_zone(spark, cell):
     rng = random.Random(7)
     pts = [(i, rng.uniform(-1, 10), rng.uniform(-1, 10)) for i in range(1500)]
     zones = spark.createDataFrame(list(SHAPES.items()), RINGS)
@@ -98,8 +97,7 @@ def test_utm_known_points(spark):
     assert abs(rows[1]["e"] - 611280.87) < 1 and abs(rows[1]["n"]) < 1e-6
 
 
-@pytest.mark.parametrize("bound", [4096, 3])
-def test_nearest_zone_both_ways(spark, bound):
+def test_nearest_zone(spark):
     rng = random.Random(11)
     # most centres in one dense spot, some far away
     centers = [(z, rng.gauss(0, 0.01), rng.gauss(0, 0.01)) for z in range(60)] + [
@@ -108,13 +106,17 @@ def test_nearest_zone_both_ways(spark, bound):
     pts = [(i, rng.uniform(-6, 6), rng.uniform(-6, 6)) for i in range(300)] + [
         (1000 + i, rng.gauss(0, 0.02), rng.gauss(0, 0.02)) for i in range(100)
     ]
+    more = [(1, pts[1][1], pts[1][2]), (2000, None, 1.0), (2001, 40.0, -90.0), (2001, 40.0, -90.0)]
     got = geo.nearest_zone(
-        spark.createDataFrame(pts, "id int, px double, py double"),
-        spark.createDataFrame(centers, "zone int, cx double, cy double"), "id", max_centers=bound,
+        spark.createDataFrame(pts + more, "id int, px double, py double"),
+        spark.createDataFrame(centers + [(999, None, 0.0)], "zone int, cx double, cy double"), "id",
     )
+    pts = pts + more[2:3]
     want = {i: min((abs(cx - x) + abs(cy - y), z) for z, cx, cy in centers)[1] for i, x, y in pts}
     rows = got.collect()
-    assert len(rows) == len(want) and {r["id"]: r["zone"] for r in rows} == want
+    assert len(rows) == len(want) + 3 and {r["id"]: r["zone"] for r in rows} == {**want, 2000: None}
+    none = geo.nearest_zone(got.selectExpr("id", "1d px", "1d py"), spark.createDataFrame([], "zone int, cx double, cy double"), "id")
+    assert none.filter("zone is null").count() == len(rows)
 
 
 def test_block_mean_and_snap(spark):
