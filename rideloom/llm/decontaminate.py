@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from rideloom.llm.batches import WordHashes, text_chunks, with_columns
 
-#: Words of half a passage, dimensions of the latent space, rows of the benchmark that may be sent everywhere.
-HALF, RANK, MOST_ITEMS = 32, 256, 100_000
+#: Words of half a passage, dimensions of the latent space and how many of them the corpus alone decides, rows of
+#: the benchmark that may be sent everywhere.
+HALF, RANK, CORPUS_RANK, MOST_ITEMS = 32, 128, 24, 100_000
 #: Terms in a larger share of passages are left out, unless their item would keep fewer terms than this.
-MOST_SHARE, LEAST_TERMS = 0.05, 8
+MOST_SHARE, LEAST_TERMS = 0.01, 8
 #: Least cosine of a candidate; shares of an item's words in order that are a leak alone and with the answer.
 COSINE, SURE, LIKELY = 0.3, 0.8, 0.6
 ANSWER_WORDS = 4
@@ -81,14 +82,6 @@ def _halves(sequences: list[np.ndarray], terms: np.ndarray):
     return at[known], half[known], halves, first
 
 
-def _passage_terms(at: np.ndarray, half: np.ndarray, halves: np.ndarray, first: np.ndarray):
-    """Term and passage of every known word. Passage i of a text is its halves i and i + 1; the last one is one half."""
-    begins = np.zeros(int(halves.sum()) + 1, bool)
-    begins[first[halves > 0]] = True
-    later = ~begins[half]
-    return np.concatenate([at, at[later]]), np.concatenate([half, half[later] - 1])
-
-
 def _sum_rows(found: DataFrame, columns: int) -> np.ndarray:
     """Sum of the matrices of all tasks, sent as blocks of rows and added up by block."""
     def add(table: pa.Table) -> pa.Table:
@@ -107,63 +100,38 @@ def _blocks(matrix: np.ndarray, rows: int = 256) -> pa.RecordBatch:
         pa.array([matrix[s : s + rows].tobytes() for s in starts], pa.binary())], names=["block", "sums"])
 
 
-def _counts(texts: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, float]:
-    """In how many passages each term is, and the number of passages, over all texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = _Terms(), np.zeros(len(terms) + 1)
-        for _, found in text_chunks(batches):
-            at, half, halves, first = _halves([hashes.of(t.split()) for t in found], terms)
-            term, passage = _passage_terms(at, half, halves, first)
-            pairs = np.unique(passage * len(terms) + term)
-            total[:-1] += np.bincount(pairs % len(terms), minlength=len(terms))
-            total[-1] += halves.sum()
-        yield _blocks(total[:, None])
-
-    summed = _sum_rows(texts.mapInArrow(run, "block long, sums binary"), 1)[:, 0]
-    return (summed[:-1], summed[-1]) if len(summed) else (np.zeros(len(terms)), 0.0)
-
-
-def _sketch(texts: DataFrame, terms: np.ndarray, weights: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """(passages transposed) x passages x ``start``, summed over all texts: a step of power iteration."""
+def _survey(texts: DataFrame, terms: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """One pass over all texts: in how many half passages each term is (column 0), and the sketch, a step of power
+    iteration: (half passages transposed) x half passages x ``start``. The last row counts the half passages.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = _Terms(), np.zeros(start.shape)
+        hashes, total = _Terms(), np.zeros((len(terms) + 1, start.shape[1] + 1))
+        narrow = start.astype(np.float32)
         for _, found in text_chunks(batches):
-            term, passage = _passage_terms(*_halves([hashes.of(t.split()) for t in found], terms))
-            _, passage = np.unique(passage, return_inverse=True)
-            total += _gram(term, passage, weights, start)
+            at, half, halves, _ = _halves([hashes.of(t.split()) for t in found], terms)
+            pairs = np.unique(half * len(terms) + at)
+            half, at = pairs // len(terms), pairs % len(terms)
+            total[:-1, 0] += np.bincount(at, minlength=len(terms))
+            total[-1, 0] += halves.sum()
+            if len(at):
+                begins = np.flatnonzero(np.diff(half, prepend=-1))
+                sizes = np.diff(np.append(begins, len(at)))
+                seen = np.add.reduceat(narrow[at], begins) / sizes[:, None]  # half passages count alike
+                order = np.argsort(at, kind="stable")
+                owner = np.repeat(np.arange(len(begins)), sizes)[order]
+                places = np.flatnonzero(np.diff(at[order], prepend=-1))
+                total[at[order][places], 1:] += np.add.reduceat(seen[owner], places)
         yield _blocks(total)
 
-    return _sum_rows(texts.mapInArrow(run, "block long, sums binary"), start.shape[1])
-
-
-def _gram(term: np.ndarray, passage: np.ndarray, weights: np.ndarray, start: np.ndarray) -> np.ndarray:
-    order = np.argsort(passage, kind="stable")
-    term, passage = term[order], passage[order]
-    out = np.zeros(start.shape)
-    step = 100_000
-    weighted = (weights[:, None] * start).astype(np.float32)
-    edges = np.flatnonzero(np.diff(passage, prepend=-1))
-    cuts = [0, *(int(edges[np.searchsorted(edges, c)]) for c in range(step, len(term), step) if c <= edges[-1]), len(term)]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        if a == b:
-            continue
-        mine, group = term[a:b], passage[a:b]
-        begins = np.flatnonzero(np.diff(group, prepend=group[0] - 1))
-        seen = np.add.reduceat(weighted[mine], begins)
-        norm = np.add.reduceat((weights[mine] ** 2).astype(np.float32), begins)
-        seen /= np.maximum(norm, 1e-12)[:, None]  # passages count alike
-        back = np.repeat(seen, np.diff(np.append(begins, b - a)), 0)
-        by_term = np.argsort(mine, kind="stable")
-        places = np.flatnonzero(np.diff(mine[by_term], prepend=-1))
-        out[mine[by_term][places]] += np.add.reduceat(back[by_term], places) * weights[mine[by_term][places], None]
-    return out
+    return _sum_rows(texts.mapInArrow(run, "block long, sums binary"), start.shape[1] + 1)
 
 
 def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3) -> Benchmark:
     """The latent space of all passages of ``texts`` (column ``text``) and ``benchmark`` (``item_id``, ``text``).
 
     The benchmark is checked to have at most ``MOST_ITEMS`` rows and then sent everywhere; items without a
-    word and null ids are left out. Two passes over the texts: terms' passage counts, then the sketch.
+    word and null ids are left out. One pass over all texts counts the terms and sketches the range of the
+    passages; the items, a small matrix, enter the range beside it, by random mixtures where they are many.
     """
     rows = benchmark.select(F.col("item_id").cast("long"), "text").dropna().limit(MOST_ITEMS + 1).collect()
     if len(rows) > MOST_ITEMS:
@@ -175,14 +143,21 @@ def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3)
     terms = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint64)
     if not len(terms):
         return Benchmark([], [], terms, np.zeros((0, 0)), np.zeros((0, 0)))
-    texts = texts.select("text")
-    counts, passages = _counts(texts, terms)
+    random = np.random.default_rng(seed)
+    prior = np.zeros(len(terms))
+    for words in items:
+        prior[np.unique(np.searchsorted(terms, words))] += 1
+    prior = np.log((len(items) + 1) / (prior + 1)) + 1
+    start = prior[:, None] * random.normal(size=(len(terms), min(CORPUS_RANK, rank, len(terms))))
+    survey = _survey(texts.select("text"), terms, start)
+    survey = survey if len(survey) else np.zeros((len(terms) + 1, start.shape[1] + 1))
+    counts, passages, sketch = survey[:-1, 0], survey[-1, 0], survey[:-1, 1:]
     rare = counts <= MOST_SHARE * max(passages, 1)
     for words in items:
         at = np.unique(np.searchsorted(terms, words))
         if rare[at].sum() < LEAST_TERMS:
             rare[at] = True
-    terms, counts = terms[rare], counts[rare]
+    terms, counts, sketch = terms[rare], counts[rare], sketch[rare]
     weights = np.log((passages + 1) / (counts + 1)) + 1
     own = np.zeros((len(items), len(terms)))
     for row, words in zip(own, items, strict=True):
@@ -190,13 +165,10 @@ def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3)
         np.add.at(row, at[terms[at] == words], 1.0)
     own *= weights
     own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
-    size = min(rank, len(terms))
-    start = np.random.default_rng(seed).normal(size=(len(terms), size))
-    corpus = _sketch(texts, terms, weights, start)
-    if not len(corpus):
-        corpus = np.zeros(start.shape)
-    scale = max(np.linalg.norm(corpus, 2), 1.0) if corpus.any() else 1.0
-    space, _ = np.linalg.qr(corpus / scale + own.T @ (own @ start))
+    rest = max(rank - sketch.shape[1], 1)
+    parts = own.T if len(items) <= rest else own.T @ random.normal(size=(len(items), rest))
+    sketch = weights[:, None] * sketch
+    space, _ = np.linalg.qr(np.column_stack([parts / np.linalg.norm(parts), sketch / max(np.linalg.norm(sketch), 1e-12)]))
     latent = own @ space
     vectors = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     return Benchmark(ids, items, terms, (weights[:, None] * space).astype(np.float32), vectors.astype(np.float32))
@@ -219,11 +191,13 @@ def _leaks(texts: list[bytes], known: Benchmark, hashes: _Terms) -> list[tuple[i
     last = np.zeros(len(vectors), bool)
     last[(first + halves - 1)[halves > 0]] = True
     passages = vectors[:-1] + np.where(last[:-1, None], 0, vectors[1:])
-    some = np.flatnonzero(np.einsum("ij,ij->i", passages, passages) > 0)
+    terms_of = np.bincount(half, minlength=len(vectors))
+    terms_of = terms_of[:-1] + np.where(last[:-1], 0, terms_of[1:])
+    some = np.flatnonzero(terms_of >= 2)  # one word in common is no passage in common
     best: dict[tuple[int, int], tuple[float, float, bool]] = {}
     for a in range(0, len(some), 4096):
         mine = some[a : a + 4096]
-        size = np.linalg.norm(passages[mine], axis=1)
+        size = np.maximum(np.linalg.norm(passages[mine], axis=1), 1e-12)
         cosines = passages[mine] @ known.vectors.T / size[:, None]
         for row, item in zip(*np.nonzero(cosines >= COSINE), strict=True):
             p = int(mine[row])
