@@ -83,7 +83,8 @@ _CLOSED = """date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FRO
 
 @query("stream_minute_counts", _MINUTES)
 def _(t: Tables) -> DataFrame:
-    return streams.run_upserts(streams.stream_minute_counts(event_stream(t)), ["minute", "zone"])
+    bounded = streams.stream_watermark(event_stream(t), DELAY)
+    return streams.run_upserts(streams.stream_minute_counts(bounded), ["minute", "zone"])
 
 
 @query("stream_watermark", _MINUTES.replace("FROM events", f"FROM events WHERE {_CLOSED}", 1))

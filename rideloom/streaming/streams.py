@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from rideloom.operators.quality import classify_rejects, typed_parse
 from rideloom.operators.ranking import top_k_per_frame
 from rideloom.schema import Rules
-from rideloom.workspace import fresh_folder
+from rideloom.workspace import exists, fresh_folder, read_text, remove, replace_text
 
 
 def open_files(spark: SparkSession, path: str, schema, glob: str | None = None, files_per_batch: int | None = None) -> DataFrame:
@@ -65,22 +65,47 @@ def _start(df: DataFrame, mode: str, handle, checkpoint: str) -> StreamingQuery:
     )
 
 
+#: Micro-batches after which the changes of a stream are folded into one table.
+FOLD_EVERY = 20
+
+
 def run_upserts(df: DataFrame, keys: Sequence[str], path: str | None = None) -> DataFrame:
     """Run a stream to the end of its input in update mode; return the final value of every key.
 
     Each micro-batch writes its changed rows to a folder of its own, so a repeated batch replaces
-    itself; the result keeps the row of the latest batch per key.
+    itself; the result keeps the row of the latest batch per key. Every ``FOLD_EVERY`` batches the changes so
+    far become one table, named by a pointer that is replaced in one step, and are removed.
     """
     spark = df.sparkSession
     root = path or fresh_folder(spark, "upserts")
+    schema = _with_batch(df.schema)
+    values = [name for name in df.columns if name not in keys]
+
+    def folded() -> int:
+        return int(read_text(spark, f"{root}/folded")) if exists(spark, f"{root}/folded") else -1
+
+    def latest() -> DataFrame:
+        done = folded()
+        rows = spark.createDataFrame([], schema)
+        if exists(spark, f"{root}/changes"):
+            rows = spark.read.schema(schema).parquet(f"{root}/changes").filter(F.col("batch") > done)
+        if done >= 0:
+            rows = rows.unionByName(
+                spark.read.schema(df.schema).parquet(f"{root}/base-{done}").withColumn("batch", F.lit(done).cast("long")))
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(*keys, "v.*")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
+        if batch_id % FOLD_EVERY == FOLD_EVERY - 1 and folded() < batch_id:
+            before = folded()
+            latest().select(*df.columns).write.mode("overwrite").parquet(f"{root}/base-{batch_id}")
+            replace_text(spark, f"{root}/folded", str(batch_id))
+            for old in range(before + 1, batch_id):
+                remove(spark, f"{root}/changes/batch={old}")
+            remove(spark, f"{root}/base-{before}")
 
     _start(df, "update", write, f"{root}/checkpoint").awaitTermination()
-    values = [name for name in df.columns if name not in keys]
-    changes = spark.read.schema(_with_batch(df.schema)).parquet(f"{root}/changes")
-    return changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(*keys, "v.*")
+    return latest().select(*df.columns)
 
 
 def run_appends(df: DataFrame, shape=None, path: str | None = None) -> DataFrame:
@@ -98,6 +123,8 @@ def run_appends(df: DataFrame, shape=None, path: str | None = None) -> DataFrame
         out.write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
 
     _start(df, "append", write, f"{root}/checkpoint").awaitTermination()
+    if not exists(spark, f"{root}/rows"):  # a source without rows starts no batch
+        return spark.createDataFrame([], schema)
     return spark.read.schema(_with_batch(schema)).parquet(f"{root}/rows").drop("batch")
 
 

@@ -52,6 +52,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return files.exists(target) and files.getFileStatus(target).isDirectory()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of our own; nothing happens if it is not there."""
+    files, target = _path(spark, path)
+    files.delete(target, True)
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Put ``text`` into a small file; readers see the old or the new content, never a part."""
     files, target = _path(spark, path)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from rideloom.operators.sets import symmetric_difference
 from rideloom.streaming import replay, streams
-from rideloom.workspace import fresh_folder
+from rideloom.workspace import exists, fresh_folder
 
 
 def _source(spark, sf_dir, files=4):
@@ -83,3 +83,22 @@ def test_replay_frame_wraps(spark):
     assert got == {1: 12}
     assert {r["zone"] for r in replay.replay_frame(counts, 24, 2, 10).collect()} == {2}
     assert replay.peak_minute(counts.limit(0)).first()["peak"] == 0
+
+
+def test_changes_are_folded(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(streams, "FOLD_EVERY", 2)
+    events, path = _source(spark, sf_dir, files=5)
+    root = fresh_folder(spark, "test-fold")
+    stream = streams.open_files(spark, path, events.schema, files_per_batch=1)
+    got = streams.run_upserts(streams.stream_minute_counts(stream), ["minute", "zone"], root)
+    assert symmetric_difference(_batch(events), got).isEmpty()
+    assert exists(spark, f"{root}/folded") and not exists(spark, f"{root}/changes/batch=0")
+
+
+def test_source_without_rows(spark, sf_dir):
+    events, _ = _source(spark, sf_dir)
+    empty = fresh_folder(spark, "test-empty")
+    events.limit(0).write.parquet(empty)
+    open_stream = lambda: streams.stream_watermark(streams.open_files(spark, empty, events.schema))
+    assert streams.run_upserts(streams.stream_minute_counts(open_stream()), ["minute", "zone"]).count() == 0
+    assert streams.run_appends(streams.stream_minute_counts(open_stream())).count() == 0
