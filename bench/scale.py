@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import sys
-import tempfile
 import time
 
 from pyspark.sql import functions as F
@@ -18,14 +17,15 @@ from rideloom.plans.tables import MONTH, RULES, Tables
 from rideloom.schema import RAW_FIELDS
 from rideloom.session import build_session
 from rideloom.sources import publish, trips
+from rideloom.workspace import fresh_folder
 
 
 def main(copies: int = 35, cpus: int = 8, sf_dir: str = "/root/testdata/sf0.1") -> None:
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark = build_session("scale", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": str(cpus), "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g", "spark.checkpoint.dir": f"{root}/shared",
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
     })
+    root = fresh_folder(spark, "scale")
     spark.sparkContext.setLogLevel("OFF")
     repeated = F.explode(F.sequence(F.lit(1), F.lit(copies)))
     lines = Tables(spark, sf_dir).raw.repartition(cpus).select(*RAW_FIELDS, repeated.alias("copy")).drop("copy")
