@@ -11,16 +11,18 @@ from rideloom.workspace import cut_lineage
 def connected(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) for every node of ``edges`` (columns ``a`` and ``b``).
 
-    In every round each node hooks onto the neighbour, or itself, whose salted hash is smallest, and the
-    graph shrinks to the nodes hooked onto; the order is new in each round, so long chains halve instead of
-    losing one node. Every round is written to the shared folder. Loops only add their node; nulls are left
+    In every round each node hooks onto the neighbour, or itself, that comes first in the round's order, and
+    the graph shrinks to the nodes hooked onto. The first two orders are by id, which settles stars around
+    their smallest node at once; later ones are by a salted hash, new in each round, so long chains halve
+    instead of losing one node. Every round is written to the shared folder. Loops only add their node; nulls are left
     out; an empty table gives an empty one.
     """
     rest = edges.select("a", "b").dropna().distinct()
     steps: list[DataFrame] = []
     while not steps or not rest.isEmpty():
         turn = len(steps)
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
+        salt = lambda c: F.xxhash64(c, F.lit(turn)) if turn > 1 else F.lit(0).cast("long")  # noqa: B023, E731
+        rank = lambda c: F.struct(salt(c).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
         both = rest.union(rest.select(F.col("b"), F.col("a")))
         hooked = both.groupBy(F.col("a").alias("node")).agg(
             F.least(F.min(rank("b")), F.min(rank("a")))["id"].alias("to"))
