@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideloom.llm.batches import WordHashes, mixed, signed, text_chunks
-from rideloom.workspace import cut_lineage
+from rideloom.workspace import cut_lineage, fresh_folder, remove
 
 HEAD = 1 << 16
 #: Counts that Good-Turing discounts, least count of a stored bigram, tokens for each bucket of a shuffle.
@@ -171,7 +171,15 @@ def fit(texts: DataFrame) -> Model:
     leave nothing over, half a count is added to its total.
     """
     spark = texts.sparkSession
-    counted = cut_lineage(word_counts(texts), "word-counts")
+    parts: list[str] = []
+
+    def part(df: DataFrame, purpose: str) -> DataFrame:
+        """A table that is only needed until the model stands."""
+        parts.append(fresh_folder(spark, purpose))
+        df.write.parquet(parts[-1])
+        return spark.read.schema(df.schema).parquet(parts[-1])
+
+    counted = part(word_counts(texts), "word-counts")
     tokens, types = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tally = {r["c"]: r["n"] for r in counted.filter(F.col("c") <= DISCOUNTED + 1).groupBy("c").agg(
         F.count("*").alias("n")).collect()}
@@ -180,7 +188,7 @@ def fit(texts: DataFrame) -> Model:
     unknown = max(1.0 - known, 0.5 / max(tokens, 1))
     uni = uni.withColumn("uni", F.col("uni") * F.lit((1.0 - unknown) / (known or 1.0)))
     buckets = max(16, tokens // BUCKET_TOKENS)
-    pairs = cut_lineage(pair_counts(texts, buckets), "pair-counts")
+    pairs = part(pair_counts(texts, buckets), "pair-counts")
     _free(spark)
     tally = {r["c"]: r["n"] for r in pairs.filter(F.col("c") <= DISCOUNTED + 1).groupBy("c").agg(
         F.sum("n").alias("n")).collect()}
@@ -191,7 +199,7 @@ def fit(texts: DataFrame) -> Model:
     contexts = counted.filter(F.col("w") != _END).select("w", "c").union(starts).join(sums, "w", "left").select(
         "w", F.greatest(F.col("c").cast("double"), F.coalesce("kept", F.lit(0.0)) + 0.5).alias("total"),
         F.coalesce("kept", F.lit(0.0)).alias("kept"), F.coalesce("seen", F.lit(0.0)).alias("seen"))
-    contexts = cut_lineage(contexts.select("w", "total", F.log10(
+    contexts = part(contexts.select("w", "total", F.log10(
         (1 - F.col("kept") / F.col("total")) / F.greatest(1 - F.col("seen"), F.lit(unknown / 2))).alias("log_alpha")), "contexts")
     words = uni.join(contexts, "w", "left").select(
         F.col("w").alias("key"), "c", F.log10("uni").alias("log_uni"),
@@ -204,14 +212,15 @@ def fit(texts: DataFrame) -> Model:
         for b in batches:
             one, two = (b.column(i).to_numpy().view(np.uint64) for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [signed(pair_keys(one, two)), b.column(2), b.column(3), b.column(0), b.column(1)],
-                ["key", "c", "extra", "w1", "w2"])
+                [signed(pair_keys(one, two)), b.column(2), b.column(3)], ["key", "c", "extra"])
 
     start = contexts.filter(F.col("w") == _START).select("log_alpha").first()
     model = Model(
         cut_lineage(words, "katz-words"),
-        cut_lineage(named.mapInArrow(keyed, "key long, c long, extra double, w1 long, w2 long"), "katz-pairs"),
+        cut_lineage(named.mapInArrow(keyed, "key long, c long, extra double"), "katz-pairs"),
         tokens, types, float(np.log10(unknown)), start[0] if start else 0.0, buckets)
+    for folder in parts:
+        remove(spark, folder)
     _free(spark)
     return model
 
