@@ -13,6 +13,7 @@ import base64
 import hashlib
 import json
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -237,14 +238,14 @@ def page_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Records for ``pages`` (``page_id``, ``url``, ``html``) with repeated payloads as revisits.
 
     Of equal payloads of at least ``least_bytes`` bytes the one with the smallest page id is the response.
-    A null html is an empty payload. The join by digest moves each payload once, and Spark splits a digest
-    that many pages share. Rows with equal ids and payloads are one response each; a null id never refers.
+    A null html is an empty payload. The join by digest moves each payload once, deflated, and Spark splits a
+    digest that many pages share. Rows with equal ids and payloads are one response each; a null id never refers.
     """
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             payloads = [x or b"" for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(payloads, pa.binary()),
+                batch.column(0), batch.column(1), pa.array([zlib.compress(x, 1) for x in payloads], pa.binary()),
                 pa.array(map(len, payloads), pa.int64()), pa.array(map(digest, payloads), pa.string()),
             ], names=["page_id", "url", "payload", "payload_length", "payload_digest"])
 
@@ -260,12 +261,20 @@ def page_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         revisit &= F.col("payload_length") >= least_bytes
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("-")), F.lit(">"))
     is_revisit = F.coalesce(revisit, F.lit(False))
-    return joined.select(
+
+    def inflated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("payload")
+            payloads = [None if x is None else zlib.decompress(x) for x in batch.column(at).to_pylist()]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(payloads, pa.binary()))
+
+    records = joined.select(
         F.when(is_revisit, "revisit").otherwise("response").alias("record_type"), name("page_id").alias("record_id"),
         F.col("url").alias("uri"), F.lit("1970-01-01T00:00:00Z").alias("date"),
         F.concat(F.lit("sha1:"), "payload_digest").alias("payload_digest"),
         F.when(is_revisit, name("first")).alias("refers_to"), "payload_length",
         F.when(~is_revisit, F.col("payload")).alias("payload"))
+    return records.mapInArrow(inflated, records.schema)
 
 
 def write(records: DataFrame, folder: str, **options: int) -> None:
