@@ -23,7 +23,7 @@ HALF, RANK, CORPUS_RANK, MOST_ITEMS = 32, 128, 24, 100_000
 #: Terms in a larger share of passages are left out, unless their item would keep fewer terms than this.
 MOST_SHARE, LEAST_TERMS = 0.01, 8
 #: Least cosine of a candidate; shares of an item's words in order that are a leak alone and with the answer.
-COSINE, SURE, LIKELY = 0.3, 0.8, 0.6
+COSINE, SURE, LIKELY = 0.45, 0.8, 0.6
 ANSWER_WORDS = 4
 _PUNCTUATION = b".,;:!?\"'()[]{}#*$%&|<>-_"
 
@@ -204,6 +204,8 @@ def _leaks(texts: list[bytes], known: Benchmark, hashes: _Terms) -> list[tuple[i
             i = int(owner[p])
             place = (p - int(first[i])) * HALF
             words, wanted = sequences[i][max(place - HALF, 0) : place + 3 * HALF], known.items[item]
+            if np.isin(wanted, words).sum() < LIKELY * len(wanted):
+                continue  # fewer words in common, in whatever order
             share = common_in_order(wanted, words) / len(wanted)
             answer = contains(words, wanted[-ANSWER_WORDS:])
             if share >= SURE or share >= LIKELY and answer:
