@@ -34,4 +34,4 @@ def test_runs(spark, sf_dir, name):
 
 
 def test_entry(spark):
-    assert entry(spark).count() == 1529
+    assert entry(spark).count() == 1503
