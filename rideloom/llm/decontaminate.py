@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from rideloom.llm.batches import WordHashes, text_chunks, with_columns
 
-#: Words of half a passage, dimensions of the latent space and how many of them the corpus alone decides, rows of
-#: the benchmark that may be sent everywhere.
-HALF, RANK, CORPUS_RANK, MOST_ITEMS = 32, 128, 24, 100_000
+#: Words of half a passage, dimensions of the latent space and how many more its sketch has, rows of the benchmark
+#: that may be sent everywhere.
+HALF, RANK, MORE_COLUMNS, MOST_ITEMS = 32, 128, 16, 100_000
 #: Terms in a larger share of passages are left out, unless their item would keep fewer terms than this.
 MOST_SHARE, LEAST_TERMS = 0.01, 8
 #: Least cosine of a candidate; shares of an item's words in order that are a leak alone and with the answer.
@@ -60,13 +60,16 @@ def contains(words: np.ndarray, run: np.ndarray) -> bool:
 
 @dataclass
 class Benchmark:
-    """Items as term hashes, and the latent space: ``terms`` in order, a row of ``space`` for each, item vectors."""
+    """Items as term hashes, and the latent space: ``terms`` in order, a row of ``space`` (weight x right singular
+    vectors) for each, item vectors of length one, singular values of the weighted passages.
+    """
 
     ids: list[int]
     items: list[np.ndarray]
     terms: np.ndarray
     space: np.ndarray
     vectors: np.ndarray
+    singular: np.ndarray
 
 
 def _halves(sequences: list[np.ndarray], terms: np.ndarray):
@@ -100,38 +103,60 @@ def _blocks(matrix: np.ndarray, rows: int = 256) -> pa.RecordBatch:
         pa.array([matrix[s : s + rows].tobytes() for s in starts], pa.binary())], names=["block", "sums"])
 
 
-def _survey(texts: DataFrame, terms: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """One pass over all texts: in how many half passages each term is (column 0), and the sketch, a step of power
-    iteration: (half passages transposed) x half passages x ``start``. The last row counts the half passages.
+def _half_rows(at: np.ndarray, half: np.ndarray, count: int, matrix: np.ndarray) -> np.ndarray:
+    """For each of ``count`` half passages the sum of its terms' rows of ``matrix``."""
+    out = np.zeros((count, matrix.shape[1]), np.float32)
+    begins = np.flatnonzero(np.diff(half, prepend=-1))
+    for a in range(0, len(begins), 4096):
+        mine = begins[a : a + 4096]
+        end = begins[a + 4096] if a + 4096 < len(begins) else len(at)
+        out[half[mine]] = np.add.reduceat(matrix[at[mine[0] : end]], mine - mine[0])
+    return out
+
+
+def _add_products(sequences: list[np.ndarray], terms: np.ndarray, start: np.ndarray, total: np.ndarray) -> None:
+    """Add to ``total`` in how many half passages each term is (column 0, their number in the last row), and
+    (passages transposed) x passages x ``start``. A passage is a half with the next one of its text.
     """
+    at, half, halves, first = _halves(sequences, terms)
+    total[-1, 0] += halves.sum()
+    if not len(at):
+        return
+    total[:-1, 0] += np.bincount(np.unique(half * len(terms) + at) % len(terms), minlength=len(terms))
+    seen = _half_rows(at, half, int(halves.sum()), start)
+    followed = np.ones(len(seen), bool)
+    followed[(first + halves - 1)[halves > 0]] = False
+    ahead = np.flatnonzero(followed)
+    passages = seen.copy()
+    passages[ahead] += seen[ahead + 1]
+    back = passages.copy()
+    back[ahead + 1] += passages[ahead]
+    order = np.argsort(at, kind="stable")
+    for a in range(0, len(order), 1 << 17):
+        mine = order[a : a + (1 << 17)]
+        places = np.flatnonzero(np.diff(at[mine], prepend=-1))
+        total[at[mine[places]], 1:] += np.add.reduceat(back[half[mine]], places)
+
+
+def _survey(texts: DataFrame, terms: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """One pass over all texts: what ``_add_products`` sums up."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, total = _Terms(), np.zeros((len(terms) + 1, start.shape[1] + 1))
         narrow = start.astype(np.float32)
         for _, found in text_chunks(batches):
-            at, half, halves, _ = _halves([hashes.of(t.split()) for t in found], terms)
-            pairs = np.unique(half * len(terms) + at)
-            half, at = pairs // len(terms), pairs % len(terms)
-            total[:-1, 0] += np.bincount(at, minlength=len(terms))
-            total[-1, 0] += halves.sum()
-            if len(at):
-                begins = np.flatnonzero(np.diff(half, prepend=-1))
-                sizes = np.diff(np.append(begins, len(at)))
-                seen = np.add.reduceat(narrow[at], begins) / sizes[:, None]  # half passages count alike
-                order = np.argsort(at, kind="stable")
-                owner = np.repeat(np.arange(len(begins)), sizes)[order]
-                places = np.flatnonzero(np.diff(at[order], prepend=-1))
-                total[at[order][places], 1:] += np.add.reduceat(seen[owner], places)
+            _add_products([hashes.of(t.split()) for t in found], terms, narrow, total)
         yield _blocks(total)
 
-    return _sum_rows(texts.mapInArrow(run, "block long, sums binary"), start.shape[1] + 1)
+    found = _sum_rows(texts.mapInArrow(run, "block long, sums binary"), start.shape[1] + 1)
+    return found if len(found) else np.zeros((len(terms) + 1, start.shape[1] + 1))
 
 
 def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3) -> Benchmark:
     """The latent space of all passages of ``texts`` (column ``text``) and ``benchmark`` (``item_id``, ``text``).
 
-    The benchmark is checked to have at most ``MOST_ITEMS`` rows and then sent everywhere; items without a
-    word and null ids are left out. One pass over all texts counts the terms and sketches the range of the
-    passages; the items, a small matrix, enter the range beside it, by random mixtures where they are many.
+    The benchmark is sent everywhere; items without a word and null ids are left out. The randomised SVD takes
+    two passes over all texts: one counts the terms and sketches the range of the weighted passages from random
+    columns, the other multiplies them with that range, which gives singular values and vectors.
     """
     rows = benchmark.select(F.col("item_id").cast("long"), "text").dropna().limit(MOST_ITEMS + 1).collect()
     if len(rows) > MOST_ITEMS:
@@ -142,36 +167,40 @@ def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3)
     ids, items = [i for i, _ in named], [w for _, w in named]
     terms = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint64)
     if not len(terms):
-        return Benchmark([], [], terms, np.zeros((0, 0)), np.zeros((0, 0)))
+        return Benchmark([], [], terms, np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0))
+    places = [np.searchsorted(terms, words) for words in items]
+    texts = texts.select("text")
+
+    def products(start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts in the texts, and the product with all passages, the items' among them."""
+        own = np.zeros((len(terms) + 1, start.shape[1] + 1))
+        _add_products(items, terms, start.astype(np.float32), own)
+        found = _survey(texts, terms, start)
+        return found[:, 0], found[:-1, 1:] + own[:-1, 1:]
+
     random = np.random.default_rng(seed)
     prior = np.zeros(len(terms))
-    for words in items:
-        prior[np.unique(np.searchsorted(terms, words))] += 1
+    for at in places:
+        prior[np.unique(at)] += 1
     prior = np.log((len(items) + 1) / (prior + 1)) + 1
-    start = prior[:, None] * random.normal(size=(len(terms), min(CORPUS_RANK, rank, len(terms))))
-    survey = _survey(texts.select("text"), terms, start)
-    survey = survey if len(survey) else np.zeros((len(terms) + 1, start.shape[1] + 1))
-    counts, passages, sketch = survey[:-1, 0], survey[-1, 0], survey[:-1, 1:]
+    counts, sketch = products(prior[:, None] * random.normal(size=(len(terms), min(rank + MORE_COLUMNS, len(terms)))))
+    counts, passages = counts[:-1], counts[-1]
     rare = counts <= MOST_SHARE * max(passages, 1)
-    for words in items:
-        at = np.unique(np.searchsorted(terms, words))
-        if rare[at].sum() < LEAST_TERMS:
+    for at in places:
+        if rare[np.unique(at)].sum() < LEAST_TERMS:
             rare[at] = True
-    terms, counts, sketch = terms[rare], counts[rare], sketch[rare]
-    weights = np.log((passages + 1) / (counts + 1)) + 1
-    own = np.zeros((len(items), len(terms)))
-    for row, words in zip(own, items, strict=True):
-        at = np.minimum(np.searchsorted(terms, words), len(terms) - 1)
-        np.add.at(row, at[terms[at] == words], 1.0)
-    own *= weights
-    own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
-    rest = max(rank - sketch.shape[1], 1)
-    parts = own.T if len(items) <= rest else own.T @ random.normal(size=(len(items), rest))
-    sketch = weights[:, None] * sketch
-    space, _ = np.linalg.qr(np.column_stack([parts / np.linalg.norm(parts), sketch / max(np.linalg.norm(sketch), 1e-12)]))
-    latent = own @ space
-    vectors = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    return Benchmark(ids, items, terms, (weights[:, None] * space).astype(np.float32), vectors.astype(np.float32))
+    # weights only scale the columns of the passages, so they enter the sketch after the pass that counts
+    weights = np.where(rare, np.log((passages + 1) / (counts + 1)) + 1, 0.0)[:, None]
+    base, _ = np.linalg.qr(weights * sketch)
+    image = weights * products(weights * base)[1]
+    values, turn = np.linalg.eigh((base.T @ image + image.T @ base) / 2)
+    good = values > 1e-6 * max(values[-1], 1e-12)
+    right, singular, _ = np.linalg.svd(image @ (turn[:, good] / np.sqrt(values[good])), full_matrices=False)
+    right, singular = right[:, :rank], singular[:rank]
+    space = (weights * right).astype(np.float32)
+    vectors = _half_rows(np.concatenate(places), np.repeat(np.arange(len(items)), [len(w) for w in items]), len(items), space)
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    return Benchmark(ids, items, terms, space, vectors, singular)
 
 
 def _leaks(texts: list[bytes], known: Benchmark, hashes: _Terms) -> list[tuple[int, int, float, float, bool]]:

@@ -62,3 +62,21 @@ def test_paraphrases_edges_and_clashing_columns(spark):
     assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6]
     assert dec.leaks(docs, benchmark.limit(0)).count() == 0 and dec.keep_clean(docs, benchmark.limit(0)).count() == 8
     assert dec.leaks(docs.limit(0), benchmark).count() == 0
+
+
+def test_singular_values_are_those_of_the_weighted_passages(spark):
+    items = [" ".join(f"t{(7 * i + j) % 30}" for j in range(10)) for i in range(6)]
+    texts = [" ".join(f"t{random.integers(0, 40)}" for _ in range(150)) for random in map(np.random.default_rng, range(9))]
+    known = dec.fit(spark.createDataFrame([(t,) for t in texts], "text string"),
+                    spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    hashes, rows, halves = dec._Terms(), [], []
+    for t in texts + items:
+        words = hashes.of(t.encode().split())
+        parts = [np.array([(words[a : a + dec.HALF] == w).sum() for w in known.terms]) for a in range(0, len(words), dec.HALF)]
+        halves += parts if t in texts else []
+        rows += [p + (parts[i + 1] if i + 1 < len(parts) else 0) for i, p in enumerate(parts)]
+    counts = (np.array(halves) > 0).sum(0)
+    weights = np.log((len(halves) + 1) / (counts + 1)) + 1
+    _, values, right = np.linalg.svd(np.array(rows) * weights)
+    assert np.allclose(known.singular, values[: len(known.singular)], rtol=1e-3) and len(known.singular) == len(known.terms)
+    assert np.allclose(np.abs((known.space / weights[:, None])[:, 0]), np.abs(right[0]), atol=1e-3)
