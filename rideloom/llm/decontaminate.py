@@ -1,8 +1,9 @@
-"""Benchmark decontamination: latent semantic search for passages like a benchmark item, then exact checks.
+"""Benchmark decontamination: search for passages like a benchmark item, exact checks, latent semantic cosines.
 
-Passages are windows of words as TF-IDF vectors over the benchmark's terms. A randomised SVD of all passages,
-the items among them, gives a latent space; passages near an item in it are compared with the item word by
-word: by the longest common subsequence, and by whether the item's end, its answer, is there.
+Stretches of text that hold enough of an item's rarest words, counted through an inverted index so that none is
+missed, are compared with the item word by word: by the longest common subsequence, and by whether the item's
+end, its answer, is there. Passages are windows of words as TF-IDF vectors over the benchmark's terms; a
+randomised SVD of all of them, the items among them, gives the latent space in which a leak's cosine is measured.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ from rideloom.llm.batches import WordHashes, text_chunks, with_columns
 #: Words of half a passage, dimensions of the latent space and how many more its sketch has, rows of the benchmark
 #: that may be sent everywhere.
 HALF, RANK, MORE_COLUMNS, MOST_ITEMS = 32, 128, 16, 100_000
-#: Terms in a larger share of passages are left out, unless their item would keep fewer terms than this.
-MOST_SHARE, LEAST_TERMS = 0.01, 8
-#: Least cosine of a candidate; shares of an item's words in order that are a leak alone and with the answer.
-COSINE, SURE, LIKELY = 0.45, 0.8, 0.6
+#: Terms in a larger share of passages are left out of the latent space, unless their item would keep fewer terms than this.
+MOST_SHARE, LEAST_TERMS = 0.05, 8
+#: Shares of an item's words in order that are a leak alone and with the answer, cells of counts held at once.
+SURE, LIKELY, MOST_CELLS = 0.8, 0.6, 1 << 22
 ANSWER_WORDS = 4
 _PUNCTUATION = b".,;:!?\"'()[]{}#*$%&|<>-_"
 
@@ -61,7 +62,9 @@ def contains(words: np.ndarray, run: np.ndarray) -> bool:
 @dataclass
 class Benchmark:
     """Items as term hashes, and the latent space: ``terms`` in order, a row of ``space`` (weight x right singular
-    vectors) for each, item vectors of length one, singular values of the weighted passages.
+    vectors) for each, item vectors of length one, singular values of the weighted passages. The index: ``postings``
+    from ``first`` of a term are the items with it among their rarest words, once for each place; of these words
+    ``least`` must be in a stretch of ``halves`` half passages.
     """
 
     ids: list[int]
@@ -70,6 +73,10 @@ class Benchmark:
     space: np.ndarray
     vectors: np.ndarray
     singular: np.ndarray
+    first: np.ndarray
+    postings: np.ndarray
+    least: np.ndarray
+    halves: np.ndarray
 
 
 def _halves(sequences: list[np.ndarray], terms: np.ndarray):
@@ -151,6 +158,18 @@ def _survey(texts: DataFrame, terms: np.ndarray, start: np.ndarray) -> np.ndarra
     return found if len(found) else np.zeros((len(terms) + 1, start.shape[1] + 1))
 
 
+def _index(places: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``first``, ``postings``, ``least`` and ``halves`` of items given as places of their words among the terms."""
+    sizes = np.array([len(at) for at in places])
+    needed = np.maximum(np.ceil(LIKELY * sizes - 1e-9).astype(np.int64), 1)
+    least = np.maximum(needed // 3, 1)
+    kept = [at[np.argsort(counts[at], kind="stable")[: len(at) - drop]]  # all but the commonest words
+            for at, drop in zip(places, needed - least, strict=True)]
+    at, item = np.concatenate(kept), np.repeat(np.arange(len(kept)), [len(k) for k in kept])
+    first = np.append(0, np.cumsum(np.bincount(at, minlength=len(counts))))
+    return first, item[np.argsort(at, kind="stable")], least, np.full(len(sizes), 4)
+
+
 def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3) -> Benchmark:
     """The latent space of all passages of ``texts`` (column ``text``) and ``benchmark`` (``item_id``, ``text``).
 
@@ -167,7 +186,7 @@ def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3)
     ids, items = [i for i, _ in named], [w for _, w in named]
     terms = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint64)
     if not len(terms):
-        return Benchmark([], [], terms, np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0))
+        return Benchmark([], [], terms, np.zeros((0, 0)), np.zeros((0, 0)), *[np.zeros(0)] * 5)
     places = [np.searchsorted(terms, words) for words in items]
     texts = texts.select("text")
 
@@ -200,46 +219,66 @@ def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3)
     space = (weights * right).astype(np.float32)
     vectors = _half_rows(np.concatenate(places), np.repeat(np.arange(len(items)), [len(w) for w in items]), len(items), space)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    return Benchmark(ids, items, terms, space, vectors, singular)
+    return Benchmark(ids, items, terms, space, vectors, singular, *_index(places, counts))
+
+
+def _candidates(at: np.ndarray, half: np.ndarray, count: int, known: Benchmark) -> Iterator[tuple[int, int]]:
+    """First half passages of stretches, and the items with enough of their rarest words in them.
+
+    A leaked item has ``LIKELY`` of its words in the stretch, so of any subset of them all but what may be missing;
+    no pair that the exact check would report is left out. Stretches may run into the next text here.
+    """
+    terms, items = len(known.terms), len(known.items)
+    pairs = np.unique(half * terms + at)
+    half, at = pairs // terms, pairs % terms
+    sizes = known.first[at + 1] - known.first[at]
+    widest = int(known.halves.max())
+    rows = max(256, MOST_CELLS // items)
+    for a in range(0, count, rows):
+        b, end = min(a + rows, count), min(a + rows + widest - 1, count)
+        mine = slice(*np.searchsorted(half, [a, end]))
+        size = sizes[mine]
+        ends = np.cumsum(size)
+        here = np.repeat(known.first[at[mine]] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+        cells = np.repeat(half[mine] - a, size) * items + known.postings[here]
+        until = np.zeros((end - a + 1, items), np.int32)
+        np.cumsum(np.bincount(cells, minlength=(end - a) * items).reshape(-1, items), axis=0, out=until[1:])
+        for width in np.unique(known.halves):
+            mine = np.flatnonzero(known.halves == width)
+            part = until if len(mine) == items else until[:, mine]
+            enough = part[np.minimum(np.arange(b - a) + width, end - a)] - part[: b - a] >= known.least[mine]
+            for row, column in zip(*np.nonzero(enough), strict=True):
+                yield a + int(row), int(mine[column])
+
+
+def _cosine(words: np.ndarray, item: int, known: Benchmark) -> float:
+    """The largest cosine of the item and a passage of ``words`` in the latent space."""
+    at, half, halves, _ = _halves([words], known.terms)
+    seen = _half_rows(at, half, int(halves[0]), known.space)
+    passages = seen.copy()
+    passages[:-1] += seen[1:]
+    return float((passages @ known.vectors[item] / np.maximum(np.linalg.norm(passages, axis=1), 1e-12)).max())
 
 
 def _leaks(texts: list[bytes], known: Benchmark, hashes: _Terms) -> list[tuple[int, int, float, float, bool]]:
-    """Text number, item, cosine, share in order, answer found; the best passage of each leaked item."""
+    """Text number, item, cosine, share in order, answer found; the best stretch of each leaked item."""
     sequences = [hashes.of(t.split()) for t in texts]
     at, half, halves, first = _halves(sequences, known.terms)
     if not len(at):
         return []
     owner = np.repeat(np.arange(len(texts)), halves)
-    marked, group = np.unique(half, return_inverse=True)
-    vectors = np.zeros((int(halves.sum()) + 1, known.space.shape[1]), np.float32)
-    begins = np.flatnonzero(np.diff(group, prepend=-1))
-    for a in range(0, len(begins), 4096):
-        mine = begins[a : a + 4096]
-        end = begins[a + 4096] if a + 4096 < len(begins) else len(at)
-        vectors[marked[a : a + 4096]] = np.add.reduceat(known.space[at[mine[0] : end]], mine - mine[0])
-    last = np.zeros(len(vectors), bool)
-    last[(first + halves - 1)[halves > 0]] = True
-    passages = vectors[:-1] + np.where(last[:-1, None], 0, vectors[1:])
-    terms_of = np.bincount(half, minlength=len(vectors))
-    terms_of = terms_of[:-1] + np.where(last[:-1], 0, terms_of[1:])
-    some = np.flatnonzero(terms_of >= 2)  # one word in common is no passage in common
     best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-    for a in range(0, len(some), 4096):
-        mine = some[a : a + 4096]
-        size = np.maximum(np.linalg.norm(passages[mine], axis=1), 1e-12)
-        cosines = passages[mine] @ known.vectors.T / size[:, None]
-        for row, item in zip(*np.nonzero(cosines >= COSINE), strict=True):
-            p = int(mine[row])
-            i = int(owner[p])
-            place = (p - int(first[i])) * HALF
-            words, wanted = sequences[i][max(place - HALF, 0) : place + 3 * HALF], known.items[item]
-            if np.isin(wanted, words).sum() < LIKELY * len(wanted):
-                continue  # fewer words in common, in whatever order
-            share = common_in_order(wanted, words) / len(wanted)
-            answer = contains(words, wanted[-ANSWER_WORDS:])
-            if share >= SURE or share >= LIKELY and answer:
-                found = (share, float(cosines[row, item]), answer)
-                best[i, int(item)] = max(found, best.get((i, int(item)), found))
+    for p, item in _candidates(at, half, len(owner), known):
+        i = int(owner[p])
+        place = (p - int(first[i])) * HALF
+        words, wanted = sequences[i][place : place + int(known.halves[item]) * HALF], known.items[item]
+        if np.isin(wanted, words).sum() < LIKELY * len(wanted):
+            continue  # fewer words in common, in whatever order
+        share = common_in_order(wanted, words) / len(wanted)
+        answer = contains(words, wanted[-ANSWER_WORDS:])
+        if share >= SURE or share >= LIKELY and answer:
+            found = (share, _cosine(words, item, known), answer)
+            best[i, item] = max(found, best.get((i, item), found))
     return [(i, known.ids[item], cosine, share, answer) for (i, item), (share, cosine, answer) in sorted(best.items())]
 
 

@@ -80,3 +80,21 @@ def test_singular_values_are_those_of_the_weighted_passages(spark):
     _, values, right = np.linalg.svd(np.array(rows) * weights)
     assert np.allclose(known.singular, values[: len(known.singular)], rtol=1e-3) and len(known.singular) == len(known.terms)
     assert np.allclose(np.abs((known.space / weights[:, None])[:, 0]), np.abs(right[0]), atol=1e-3)
+
+
+def planted(items, seed):
+    """Texts of random words with one copy and one paraphrase (two fifths of the words replaced, end kept) of each item."""
+    random = np.random.default_rng(seed)
+    for i, item in enumerate(items):
+        changed = [f"z{random.integers(0, 9999)}" if j % 5 < 2 and j < len(item) - dec.ANSWER_WORDS else w for j, w in enumerate(item)]
+        for k, words in enumerate((item, changed)):
+            yield 2 * i + k, " ".join(long_text((seed, i, k), 90) + words + long_text((seed, i, k, 1), 70))
+
+
+def test_thousands_of_items_are_all_found(spark):
+    random = np.random.default_rng(8)
+    items = [[f"v{random.integers(0, 3000)}" for _ in range(random.integers(15, 60))] for _ in range(2000)]
+    docs = spark.createDataFrame(list(planted(items, 5)), "doc_id long, text string").repartition(4)
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in dec.leaks(docs, benchmark).collect()}
+    assert {(2 * i + k, i) for i in range(len(items)) for k in (0, 1)} <= found
