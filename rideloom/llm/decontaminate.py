@@ -159,7 +159,10 @@ def _survey(texts: DataFrame, terms: np.ndarray, start: np.ndarray) -> np.ndarra
 
 
 def _index(places: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``first``, ``postings``, ``least`` and ``halves`` of items given as places of their words among the terms."""
+    """``first``, ``postings``, ``least`` and ``halves`` of items given as places of their words among the terms.
+
+    Wherever one and a half times an item's length begins in a text, some stretch holds it whole.
+    """
     sizes = np.array([len(at) for at in places])
     needed = np.maximum(np.ceil(LIKELY * sizes - 1e-9).astype(np.int64), 1)
     least = np.maximum(needed // 3, 1)
@@ -167,7 +170,7 @@ def _index(places: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np
             for at, drop in zip(places, needed - least, strict=True)]
     at, item = np.concatenate(kept), np.repeat(np.arange(len(kept)), [len(k) for k in kept])
     first = np.append(0, np.cumsum(np.bincount(at, minlength=len(counts))))
-    return first, item[np.argsort(at, kind="stable")], least, np.full(len(sizes), 4)
+    return first, item[np.argsort(at, kind="stable")], least, np.maximum(4, np.ceil(1.5 * sizes / HALF).astype(np.int64) + 1)
 
 
 def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3) -> Benchmark:

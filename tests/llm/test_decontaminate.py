@@ -98,3 +98,14 @@ def test_thousands_of_items_are_all_found(spark):
     benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in dec.leaks(docs, benchmark).collect()}
     assert {(2 * i + k, i) for i in range(len(items)) for k in (0, 1)} <= found
+
+
+def test_long_items(spark):
+    items = [long_text(40 + n, n) for n in (161, 300, 2500)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    spread = [w for i, w in enumerate(items[1]) for w in ([w, f"z{i}"] if i % 3 == 0 else [w])]  # a third more words
+    texts = [" ".join(long_text(3, 77) + w + long_text(4, 50)) for w in (*items, spread)] + [" ".join(long_text(9, 3000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = dec.leaks(docs, benchmark).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(0, 0), (1, 1), (2, 2), (3, 1)]
+    assert all(r.in_order == 1 and (r.answer or r.doc_id == 3) for r in rows)
