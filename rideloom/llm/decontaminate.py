@@ -10,17 +10,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rideloom.llm.batches import WordHashes, text_chunks, with_columns
+from rideloom.workspace import cut_lineage
 
-#: Words of half a passage, dimensions of the latent space and how many more its sketch has, rows of the benchmark
-#: that may be sent everywhere.
-HALF, RANK, MORE_COLUMNS, MOST_ITEMS = 32, 128, 16, 100_000
+#: Words of half a passage, dimensions of the latent space and how many more its sketch has, items that are searched
+#: for at once.
+HALF, RANK, MORE_COLUMNS, BLOCK_ITEMS = 32, 128, 16, 8192
 #: Terms in a larger share of passages are left out of the latent space, unless their item would keep fewer terms than this.
 MOST_SHARE, LEAST_TERMS = 0.05, 8
 #: Shares of an item's words in order that are a leak alone and with the answer, cells of counts held at once.
@@ -173,16 +176,24 @@ def _index(places: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np
     return first, item[np.argsort(at, kind="stable")], least, np.maximum(4, np.ceil(1.5 * sizes / HALF).astype(np.int64) + 1)
 
 
+def _item_blocks(benchmark: DataFrame) -> list[DataFrame]:
+    """The items in blocks of about ``BLOCK_ITEMS``."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
+    parts = -(-items.count() // BLOCK_ITEMS)
+    if parts <= 1:
+        return [items]
+    items = cut_lineage(items.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(parts))), "items")
+    return [items.filter(F.col("part") == i).drop("part") for i in range(parts)]
+
+
 def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3) -> Benchmark:
     """The latent space of all passages of ``texts`` (column ``text``) and ``benchmark`` (``item_id``, ``text``).
 
-    The benchmark is sent everywhere; items without a word and null ids are left out. The randomised SVD takes
+    The benchmark, one block of items, is sent everywhere; items without a word and null ids are left out. The randomised SVD takes
     two passes over all texts: one counts the terms and sketches the range of the weighted passages from random
     columns, the other multiplies them with that range, which gives singular values and vectors.
     """
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").dropna().limit(MOST_ITEMS + 1).collect()
-    if len(rows) > MOST_ITEMS:
-        raise ValueError(f"the benchmark has more than {MOST_ITEMS} items")
+    rows = benchmark.select(F.col("item_id").cast("long"), "text").dropna().collect()
     hashes = _Terms()
     named = [(i, hashes.of(t.encode().split())) for i, t in sorted(rows)]
     named = [(i, words) for i, words in named if len(words)]
@@ -285,39 +296,50 @@ def _leaks(texts: list[bytes], known: Benchmark, hashes: _Terms) -> list[tuple[i
     return [(i, known.ids[item], cosine, share, answer) for (i, item), (share, cosine, answer) in sorted(best.items())]
 
 
+def _shared(docs: DataFrame, benchmark: DataFrame, known: Benchmark | None = None) -> Iterator[Broadcast]:
+    """Each block of items with its latent space, sent everywhere; the driver holds one at a time."""
+    context = docs.sparkSession.sparkContext
+    if known:
+        yield context.broadcast(known)
+        return
+    for block in _item_blocks(benchmark):
+        yield context.broadcast(fit(docs, block))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, known: Benchmark | None = None) -> DataFrame:
     """Leaked items: a row for each document and benchmark item that it contains, copied or paraphrased.
 
     Columns: ``doc_id``, ``item_id``, ``cosine``, ``in_order`` (share of the item's words found in order),
-    ``answer`` (its last words are there). Every passage of every whole text is compared with all items. Null
+    ``answer`` (its last words are there). Every stretch of every whole text is compared with all items. Null
     and empty texts and an empty benchmark give no row; repeated rows give theirs each.
     """
-    known = known or fit(docs, benchmark)
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Terms()
-        for rows, texts in text_chunks(batches):
-            found = _leaks(texts, shared.value, hashes)
-            columns = list(zip(*found, strict=True)) if found else [[]] * 5
-            yield with_columns(
-                rows.take(pa.array(columns[0], pa.int64())), ["doc_id"], item_id=pa.array(columns[1], pa.int64()),
-                cosine=pa.array(columns[2], pa.float64()), in_order=pa.array(columns[3], pa.float64()),
-                answer=pa.array(columns[4], pa.bool_()))
+    def search(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hashes = _Terms()
+            for rows, texts in text_chunks(batches):
+                found = _leaks(texts, shared.value, hashes)
+                columns = list(zip(*found, strict=True)) if found else [[]] * 5
+                yield with_columns(
+                    rows.take(pa.array(columns[0], pa.int64())), ["doc_id"], item_id=pa.array(columns[1], pa.int64()),
+                    cosine=pa.array(columns[2], pa.float64()), in_order=pa.array(columns[3], pa.float64()),
+                    answer=pa.array(columns[4], pa.bool_()))
+
+        return narrow.mapInArrow(run, "doc_id long, item_id long, cosine double, in_order double, answer boolean")
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(run, "doc_id long, item_id long, cosine double, in_order double, answer boolean")
+    return reduce(DataFrame.union, map(search, _shared(docs, benchmark, known)))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, without a leaked item."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, benchmark))
+    def without(docs: DataFrame, shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hashes = _Terms()
+            for rows, texts in text_chunks(batches):
+                kept = np.ones(len(texts), bool)
+                kept[[i for i, *_ in _leaks(texts, shared.value, hashes)]] = False
+                yield rows.filter(pa.array(kept))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Terms()
-        for rows, texts in text_chunks(batches):
-            kept = np.ones(len(texts), bool)
-            kept[[i for i, *_ in _leaks(texts, shared.value, hashes)]] = False
-            yield rows.filter(pa.array(kept))
+        return docs.mapInArrow(run, docs.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return reduce(without, _shared(docs, benchmark), docs)

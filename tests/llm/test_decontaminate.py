@@ -109,3 +109,15 @@ def test_long_items(spark):
     rows = dec.leaks(docs, benchmark).collect()
     assert sorted((r.doc_id, r.item_id) for r in rows) == [(0, 0), (1, 1), (2, 2), (3, 1)]
     assert all(r.in_order == 1 and (r.answer or r.doc_id == 3) for r in rows)
+
+
+def test_blocks_of_items(spark, monkeypatch):
+    assert not hasattr(dec, "MOST_ITEMS")  # no number of items is too many
+    items = [[f"v{random.integers(0, 3000)}" for _ in range(30)] for random in map(np.random.default_rng, range(50))]
+    docs = spark.createDataFrame(list(planted(items, 6)) + [(999, " ".join(long_text(77)))], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    whole = sorted((r.doc_id, r.item_id, r.in_order, r.answer) for r in dec.leaks(docs, benchmark).collect())
+    monkeypatch.setattr(dec, "BLOCK_ITEMS", 20)
+    assert len(dec._item_blocks(benchmark)) == 3
+    assert sorted((r.doc_id, r.item_id, r.in_order, r.answer) for r in dec.leaks(docs, benchmark).collect()) == whole
+    assert len(whole) >= 100 and [r.doc_id for r in dec.keep_clean(docs, benchmark).collect()] == [999]
