@@ -22,8 +22,8 @@ from rideloom.llm.batches import WordHashes, mixed, signed, text_chunks
 from rideloom.workspace import cut_lineage, fresh_folder, remove
 
 HEAD = 1 << 16
-#: Counts that Good-Turing discounts, least count of a stored bigram, tokens for each bucket of a shuffle.
-DISCOUNTED, LEAST_PAIR, BUCKET_TOKENS = 7, 2, 2_000_000
+#: Counts that Good-Turing discounts, least count of a bigram (all are stored), tokens for each bucket of a shuffle.
+DISCOUNTED, LEAST_PAIR, BUCKET_TOKENS = 7, 1, 2_000_000
 _END, _START = 1, 2  # no word's hash but by a chance of one in 2 ** 63
 _FLUSH = 2_000_000
 
@@ -72,8 +72,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
-def pair_counts(texts: DataFrame, buckets: int, least: int = LEAST_PAIR) -> DataFrame:
-    """``w1``, ``w2``, ``c`` of pairs that occur ``least`` times, and rows without words that tally rarer ones (``n``)."""
+def pair_counts(texts: DataFrame, buckets: int) -> DataFrame:
+    """``w1``, ``w2`` and the count ``c`` of every pair."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, size = WordHashes(), [[], [], [], []], 0
 
@@ -108,17 +108,10 @@ def pair_counts(texts: DataFrame, buckets: int, least: int = LEAST_PAIR) -> Data
         one, two = (np.frombuffer(b"".join(table[c].to_pylist()), np.uint64) for c in ("w1", "w2"))
         counts = np.frombuffer(b"".join(table["c"].to_pylist()), "<u4")
         _, total, one, two = _summed([pair_keys(one, two)], [counts], [one], [two])
-        rare, times = np.unique(total[total < least], return_counts=True)
-        kept = total >= least
-        nulls = pa.nulls(len(rare), pa.int64())
-        return pa.table({
-            "w1": pa.chunked_array([signed(one[kept]), nulls]), "w2": pa.chunked_array([signed(two[kept]), nulls]),
-            "c": pa.chunked_array([pa.array(total[kept]), pa.array(rare.astype(np.int64))]),
-            "n": pa.chunked_array([pa.array(np.ones(kept.sum(), np.int64)), pa.array(times.astype(np.int64))]),
-        })
+        return pa.table({"w1": signed(one), "w2": signed(two), "c": pa.array(total)})
 
     packed = texts.mapInArrow(pack, "bucket long, w1 binary, w2 binary, c binary")
-    return packed.groupBy("bucket").applyInArrow(count, "w1 long, w2 long, c long, n long")
+    return packed.groupBy("bucket").applyInArrow(count, "w1 long, w2 long, c long")
 
 
 def discounts(tally: dict[int, int], most: int = DISCOUNTED) -> dict[int, float]:
@@ -191,8 +184,8 @@ def fit(texts: DataFrame) -> Model:
     pairs = part(pair_counts(texts, buckets), "pair-counts")
     _free(spark)
     tally = {r["c"]: r["n"] for r in pairs.filter(F.col("c") <= DISCOUNTED + 1).groupBy("c").agg(
-        F.sum("n").alias("n")).collect()}
-    stored = pairs.filter("w1 is not null").withColumn("kept", _discounted(discounts(tally)))
+        F.count("*").alias("n")).collect()}
+    stored = pairs.withColumn("kept", _discounted(discounts(tally)))
     stored = stored.join(uni.select(F.col("w").alias("w2"), "uni"), "w2")
     sums = stored.groupBy(F.col("w1").alias("w")).agg(F.sum("kept").alias("kept"), F.sum("uni").alias("seen"))
     starts = counted.filter(F.col("w") == _END).select(F.lit(_START).cast("long").alias("w"), "c")

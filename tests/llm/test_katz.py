@@ -99,3 +99,14 @@ def test_heads_buckets_and_edges(spark, monkeypatch):
     assert len({r.score for r in katz.score(twice.union(twice), model).collect()}) == 1
     nothing = katz.score(df, katz.fit(df.limit(0))).collect()
     assert len(nothing) == len(docs) and all(np.isfinite(r.score) and r.n_known == 0 for r in nothing)
+
+
+def test_bigrams_seen_once_are_in_the_model(spark, monkeypatch):
+    monkeypatch.setattr(katz, "LEAST_PAIR", 1)  # read by ByHand alone: its model has no cut
+    random = np.random.default_rng(6)
+    docs = [(i, " ".join(random.choice([f"w{j}" for j in range(60)], 40))) for i in range(50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    train, by_hand = df.filter("doc_id < 40"), ByHand([t for d, t in docs if d < 40])
+    model = katz.fit(train)
+    assert model.pairs.filter("c = 1").count() == sum(c == 1 for c in by_hand.pairs.values()) > 0
+    compare(katz.score(df, model).collect(), docs, by_hand)
