@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideloom.llm import decontaminate, idfiles, katz, minhash, packing, pii, quality, substrings, toxicity, warc
+from rideloom.llm import (
+    decontaminate, idfiles, katz, minhash, packing, pii, quality, runs, substrings, toxicity, variants, warc)
+from rideloom.functions.once import computed_once
 from rideloom.workspace import fresh_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,3 +87,39 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, threshold=0.3)
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` where every text whose crc32(doc_id) is a multiple of 10 repeats its own words from some place on.
+
+    With h = crc32 of the decimal id, n words and g = h div 10, word i >= a becomes word a + (i - a) % p, where
+    a = g % n and p = 1 + (n - a) div (3 + g % 8). Such a text's words are joined by one space. Null ids stay.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = F.when(h % 10 == 0, words).otherwise(F.array().cast("array<string>"))
+    named = computed_once(docs.select("doc_id", "text"), {"h": h, "words": F.coalesce(chosen, F.array().cast("array<string>"))})
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    placed = computed_once(named.withColumn("n", n), {"a": F.when(F.col("n") > 0, (g % F.col("n")).cast("int"))})
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8)).cast("int")
+    repeated = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return placed.withColumn("p", period).select(
+        "doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_repeats(table(spark, sf_dir, "documents")), least=12)
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"], r["period"])))
+    return computed_once(found.drop("text"), {"best": first}).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        (-F.col("best.l")).alias("length"), F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.l") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variant_groups(table(spark, sf_dir, "documents"), least_chars=6, least_n=5, times=5, damage_every=199)
