@@ -1,7 +1,8 @@
-"""Geometry as column expressions: projections, ring predicates, segment distance, elevation codes.
+"""Geometry as column expressions: projections, ring predicates, polygon distance, elevation codes.
 
 A ring is array<struct<lon double, lat double>>; an edge list is
-array<struct<x1 double, y1 double, x2 double, y2 double>>.
+array<struct<x1 double, y1 double, x2 double, y2 double>>. A polygon's edge list holds its shell's edges,
+then those of its holes: with all of them, an odd number of crossings means inside the shell and in no hole.
 """
 
 from __future__ import annotations
@@ -96,6 +97,12 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
+def polygon_edges(shells: Column, holes: Column) -> Column:
+    """One edge list per polygon, from its shell and the list of its holes (null or missing: none)."""
+    return F.zip_with(shells, F.coalesce(holes, F.array()), lambda shell, inner: F.concat(
+        ring_edges(shell), F.coalesce(F.flatten(F.transform(inner, ring_edges)), F.array())))
+
+
 def in_edges(x: Column, y: Column, edges: Column) -> Column:
     """Ray casting: an odd number of edges lies to the right of the point."""
     def crossed(e: Column) -> Column:
@@ -132,9 +139,17 @@ def _segment_gap(a: Column, b: Column) -> Column:
     return F.when(crossing, F.lit(0.0)).otherwise(ends)
 
 
-def edge_list_distance(a: Column, b: Column) -> Column:
-    """Distance of two polygons given by their edges: 0 when they touch or one holds the other."""
-    gap = F.array_min(F.transform(a, lambda s: F.array_min(F.transform(b, lambda t: _segment_gap(s, t)))))
-    first_a, first_b = F.element_at(a, 1), F.element_at(b, 1)
-    nested = in_edges(first_a["x1"], first_a["y1"], b) | in_edges(first_b["x1"], first_b["y1"], a)
-    return F.when(nested, F.lit(0.0)).otherwise(F.sqrt(gap))
+def _holds_any(polygons: Column, others: Column) -> Column:
+    """Whether a shell of ``others`` begins inside one of ``polygons``."""
+    return F.exists(others, lambda other: F.exists(
+        polygons, lambda edges: in_edges(F.get(other, F.lit(0))["x1"], F.get(other, F.lit(0))["y1"], edges)))
+
+
+def polygons_distance(a: Column, b: Column) -> Column:
+    """Distance of two lists of polygons given by their edges.
+
+    It is 0 where they touch or a shell of one lies in the other outside of its holes; inside of a hole it is the
+    distance to the hole's ring.
+    """
+    gap = F.array_min(F.transform(F.flatten(a), lambda s: F.array_min(F.transform(F.flatten(b), lambda t: _segment_gap(s, t)))))
+    return F.when(_holds_any(a, b) | _holds_any(b, a), F.lit(0.0)).otherwise(F.sqrt(gap))

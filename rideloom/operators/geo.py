@@ -1,15 +1,27 @@
-"""Spatial joins and zone geometry. Zone frames have zone and rings (outer rings, lon/lat)."""
+"""Spatial joins and zone geometry.
+
+Zone frames have ``zone`` and ``rings``, the shells of its polygons (lon/lat), and may have ``holes``: for each
+shell, in the same order, the list of the rings cut out of it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rideloom.functions.geo import edge_list_distance, in_edges, ring_edges, utm
+from rideloom.functions.geo import in_edges, polygon_edges, polygons_distance, utm
 from rideloom.functions.once import computed_once
 from rideloom.workspace import cut_lineage
 
 
+_HOLES = "array<array<array<struct<lon: double, lat: double>>>>"
+
+
+def _holes(zones: DataFrame) -> Column:
+    """The holes of a zone frame, none where it has no such column."""
+    return (F.col("holes") if "holes" in zones.columns else F.array()).cast(_HOLES)
+
+
 def _vertices(zones: DataFrame) -> DataFrame:
     return zones.select("zone", F.explode(F.flatten("rings")).alias("v")).select("zone", "v.lon", "v.lat")
 
@@ -84,11 +96,13 @@ _BOX = ("x0", "y0", "x1", "y1")
 def point_in_zone(points: DataFrame, zones: DataFrame, x: str = "px", y: str = "py", cell: float = 0.02) -> DataFrame:
     """Points with the zones that hold them (boundary rule of ray casting); others drop out.
 
+    A point in a hole is outside, one in a polygon that stands in a hole is inside.
+
     Zones enter the cells that their box touches, large ones on a coarser level of the grid, and points look
     up their cell on the levels in use. Points meet zone ids and boxes first; the rings come by id after
     that. The ray test runs inside the row over the zone's edges.
     """
-    shapes = zones.select("zone", "rings", *[c.alias(n) for n, c in _bounds(F.flatten("rings"), "lon", "lat").items()])
+    shapes = zones.select("zone", "rings", _holes(zones).alias("holes"), *[c.alias(n) for n, c in _bounds(F.flatten("rings"), "lon", "lat").items()])
     boxes = shapes.select("zone", *_BOX, _level(*map(F.col, _BOX), cell).alias("level"))
     cells = boxes.select(
         "zone", *_BOX, "level",
@@ -100,14 +114,17 @@ def point_in_zone(points: DataFrame, zones: DataFrame, x: str = "px", y: str = "
     located = points.withColumn("level", F.explode(levels)).withColumns(
         {"cx": F.floor(px / size), "cy": F.floor(py / size)}).join(cells, ["level", "cx", "cy"])
     inside = px.between(F.col("x0"), F.col("x1")) & py.between(F.col("y0"), F.col("y1"))
-    edges = shapes.select("zone", F.transform("rings", ring_edges).alias("edges"))
+    edges = shapes.select("zone", polygon_edges(F.col("rings"), F.col("holes")).alias("edges"))
     return located.filter(inside).select(*points.columns, "zone").join(edges, "zone").filter(
-        F.exists("edges", lambda ring: in_edges(px, py, ring))).select(*points.columns, "zone")
+        F.exists("edges", lambda polygon: in_edges(px, py, polygon))).select(*points.columns, "zone")
 
 
 def distance_join(zones: DataFrame, max_m: float, utm_zone: int = 18, cell_m: float | None = None) -> DataFrame:
     """Pairs of zones at most ``max_m`` metres apart, in both directions.
 
+    The distance is 0 where zones touch or one stands in the solid part of the other; a zone in another's hole
+    is as far away as the ring of the hole.
+
     A zone is entered into the cells of its box, its partner into the cells of its box grown by
     ``max_m``; a pair within reach shares a cell. Of the shared cells only the first one reports the
     pair, so no duplicates need to be removed, and no zone meets a zone outside its neighbourhood. Large
@@ -119,13 +136,14 @@ def distance_join(zones: DataFrame, max_m: float, utm_zone: int = 18, cell_m: fl
         east, north = utm(p["lon"], p["lat"], utm_zone)
         return F.struct(east.alias("lon"), north.alias("lat"))
 
+    flat = lambda rings: F.transform(rings, lambda ring: F.transform(ring, metres))
     planar = computed_once(
-        zones.select("zone", "rings"),
-        {"plane": F.transform("rings", lambda ring: F.transform(ring, metres))},
+        zones.select("zone", "rings", _holes(zones).alias("holes")),
+        {"plane": flat(F.col("rings")), "cut": F.transform("holes", flat)},
     )
     shapes = computed_once(
-        planar.select("zone", "plane"),
-        {"edges": F.flatten(F.transform("plane", ring_edges)), **_bounds(F.flatten("plane"), "lon", "lat")},
+        planar.select("zone", "plane", "cut"),
+        {"edges": polygon_edges(F.col("plane"), F.col("cut")), **_bounds(F.flatten("plane"), "lon", "lat")},
     )
 
     reach = float(max_m)
@@ -153,7 +171,7 @@ def distance_join(zones: DataFrame, max_m: float, utm_zone: int = 18, cell_m: fl
     of = lambda z, e: edges.select(F.col("zone").alias(z), F.col("edges").alias(e))
     near = computed_once(
         pairs.join(of("za", "ea"), "za").join(of("zb", "eb"), "zb").select("za", "zb", "ea", "eb"),
-        {"distance_m": edge_list_distance(F.col("ea"), F.col("eb"))},
+        {"distance_m": polygons_distance(F.col("ea"), F.col("eb"))},
     ).filter(F.col("distance_m") <= max_m)
     both = F.array(
         F.struct(F.col("za").alias("zone"), F.col("zb").alias("neighbor")),

@@ -51,6 +51,18 @@ def _(t: Tables) -> DataFrame:
     return geo.point_in_zone(t.points, t.zone_geom, cell=0.05).select("event_id", "zone")
 
 
+@query("point_in_zone_holes", with_views("points", "zones", body="""
+  SELECT event_id, id AS zone FROM points JOIN zones ON
+    px >= x0 AND px < x0 + 0.12::DOUBLE AND py >= y0 AND py < y0 + 0.08::DOUBLE AND NOT (
+      px >= x0 + 0.03::DOUBLE AND px < x0 + (0.03::DOUBLE + 0.06::DOUBLE) AND
+      py >= y0 + 0.02::DOUBLE AND py < y0 + (0.02::DOUBLE + 0.04::DOUBLE))
+    OR id % 3 = 0 AND px >= x0 + 0.05::DOUBLE AND px < x0 + (0.05::DOUBLE + 0.02::DOUBLE)
+      AND py >= y0 + 0.03::DOUBLE AND py < y0 + (0.03::DOUBLE + 0.02::DOUBLE)"""))
+def _(t: Tables) -> DataFrame:
+    """Zones with a court: points in it are outside, unless an island of the zone stands there."""
+    return geo.point_in_zone(t.points, t.courts).select("event_id", "zone")
+
+
 @query("distance_join", with_views("parcel_gap", body="""
   SELECT a.zp AS zone, a.zs AS neighbor, round(least(a.gap, b.gap), 3) AS distance_m
   FROM parcel_gap a JOIN parcel_gap b ON a.zp = b.zs AND a.zs = b.zp WHERE least(a.gap, b.gap) <= 800"""))
@@ -58,6 +70,21 @@ def _(t: Tables) -> DataFrame:
     return geo.distance_join(t.parcels, 800.0).select("zone", "neighbor", r6("distance_m", 3))
 
 
+@query("distance_join_holes", with_views("plot_gap", "plots", body="""
+  SELECT zone, neighbor, round(min(gap), 3) AS distance_m FROM (
+    SELECT a.zp // 2 AS zone, a.zs // 2 AS neighbor, least(a.gap, b.gap) AS gap
+    FROM plot_gap a JOIN plot_gap b ON a.zp = b.zs AND a.zs = b.zp WHERE a.zp // 2 <> a.zs // 2
+    UNION ALL SELECT unnest([i.ring // 2, o.ring // 2]), unnest([o.ring // 2, i.ring // 2]), CAST(0 AS DOUBLE)
+    FROM plots o JOIN plots i ON o.ring // 2 <> i.ring // 2 AND o.ring % 2 = 0 AND i.ring % 2 = 0
+      AND i.x0 >= o.x0 AND i.x0 < o.x0 + o.w AND i.y0 >= o.y0 AND i.y0 < o.y0 + o.h
+    WHERE NOT EXISTS (SELECT 1 FROM plots h WHERE h.ring = o.ring + 1
+      AND i.x0 >= h.x0 AND i.x0 < h.x0 + h.w AND i.y0 >= h.y0 AND i.y0 < h.y0 + h.h))
+  WHERE gap <= 800 GROUP BY zone, neighbor"""))
+def _(t: Tables) -> DataFrame:
+    """Frames around parcels are as far away as the ring of their hole, solid plots hold theirs."""
+    return geo.distance_join(t.plots, 800.0).select("zone", "neighbor", r6("distance_m", 3))
+
+
 @query("nearest_zone", with_views("points", "centers", body="""
   SELECT event_id, CASE WHEN event_id % 50 > 0 THEN zone END AS zone FROM
     (SELECT event_id, arg_min(zone, abs(cx - px) + abs(cy - py)) AS zone FROM points CROSS JOIN centers GROUP BY event_id)

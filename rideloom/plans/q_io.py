@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rideloom.operators import families as fam
@@ -193,6 +193,37 @@ def _(t: Tables) -> DataFrame:
     return dim.select("id", "name", "borough", F.size("rings").alias("rings"), r6(first["lon"]).alias("x0"))
 
 
+@query("zone_ring_roles", with_views("zones", body="""
+  SELECT id, CAST(polygon AS INTEGER) AS polygon, CAST(ring AS INTEGER) AS ring, CASE WHEN ring = 0 THEN 'shell' ELSE 'hole' END AS role,
+    CAST(4 AS INTEGER) AS vertices, round(x0 + polygon * 0.06 + ring * 0.01, 6) AS lon, round(y0 + ring * 0.01, 6) AS lat
+  FROM zones, range(2) p(polygon), range(3) r(ring)
+  WHERE (polygon = 0 OR id % 4 = 0) AND ring <= (id + polygon) % 3"""))
+def _(t: Tables) -> DataFrame:
+    """GeoJSON with up to two polygons a zone and up to two holes in each, by shell and hole."""
+    def polygon(k: int) -> Column:
+        rings = [
+            F.array(*[F.array(F.col("x0") + 0.06 * k + 0.01 * r + dx, F.col("y0") + 0.01 * r + dy)
+                      for dx, dy in ((0.0, 0.0), (0.05 / (r + 1), 0.0), (0.05 / (r + 1), 0.05 / (r + 1)), (0.0, 0.0))])
+            for r in range(3)]
+        return F.slice(F.array(*rings), F.lit(1), (F.col("id") + k) % 3 + 1)
+
+    multi = F.col("id") % 4 == 0
+    coordinates = F.when(multi, F.to_json(F.array(polygon(0), polygon(1)))).otherwise(F.to_json(polygon(0)))
+    feature = F.format_string(
+        '{"type":"Feature","properties":%s,"geometry":{"type":"%s","coordinates":%s}}',
+        F.to_json(F.struct("id", "name", "borough")), F.when(multi, "MultiPolygon").otherwise("Polygon"), coordinates)
+    docs = t.zones.groupBy("borough").agg(F.concat_ws(",", F.collect_list(feature)).alias("f")).select(
+        F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}")).alias("value"))
+    path = fresh_folder(t.spark, "geojson")
+    docs.write.option("maxRecordsPerFile", 1).text(path)
+    dim = documents.read_zones(t.spark, path)
+    polygons = dim.select("id", F.posexplode(F.arrays_zip("rings", "holes")).alias("polygon", "p"))
+    rings = polygons.select("id", "polygon", F.posexplode(F.concat(F.array("p.rings"), "p.holes")).alias("ring", "points"))
+    return rings.select(
+        "id", "polygon", "ring", F.when(F.col("ring") == 0, "shell").otherwise("hole").alias("role"),
+        F.size("points").alias("vertices"), F.round(F.col("points")[0]["lon"], 6).alias("lon"), F.round(F.col("points")[0]["lat"], 6).alias("lat"))
+
+
 _KEYED = """SELECT CASE kind WHEN 'Z' THEN 'Z|' || lpad(CAST(zone AS VARCHAR), 3, '0') || '|' || lpad(CAST(hour AS VARCHAR), 2, '0')
     WHEN 'D' THEN 'D|' || CAST(day AS VARCHAR)
     WHEN 'O' THEN 'O|' || lpad(CAST(zone AS VARCHAR), 3, '0') || '|' || lpad(CAST(dest AS VARCHAR), 3, '0')

@@ -215,12 +215,25 @@ _view("parcels", f"""
 _view("parcel_ll", f"""
   SELECT zone, i, x0 + {D(0.006)} * dx AS lon, y0 + {D(0.005)} * dy AS lat FROM parcels,
     (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 1)) v(i, dx, dy)""", "parcels")
-_view("parcel_t", f"""
+_view("plots", f"""
+  SELECT zone * 2 AS ring, x0, y0, {D(0.006)} AS w, {D(0.005)} AS h FROM parcels
+  UNION ALL SELECT (zone + 1000000) * 2, x0 - {D(0.003)}, y0 - {D(0.0017)}, {D(0.012)}, {D(0.0084)} FROM parcels WHERE zone % 5 = 0
+  UNION ALL SELECT (zone + 1000000) * 2 + 1, x0 - {D(0.0015)}, y0 - {D(0.001)}, {D(0.009)}, {D(0.007)} FROM parcels WHERE zone % 5 = 0
+  UNION ALL SELECT (zone + 2000000) * 2, x0 - {D(0.003)}, y0 - {D(0.0017)}, {D(0.012)}, {D(0.0084)} FROM parcels WHERE zone % 5 = 2""",
+  "parcels")
+_view("plot_ll", """
+  SELECT ring AS zone, i, x0 + w * dx AS lon, y0 + h * dy AS lat FROM plots,
+    (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 1)) v(i, dx, dy)""", "plots")
+
+
+def _metric(name: str) -> None:
+    """Corners on the UTM grid, sides, and the least distance of a corner from the sides of each ring near it."""
+    _view(f"{name}_t", f"""
   SELECT zone, i, radians(lat) AS phi, {_E2} AS e2, {_E2} / (1 - {_E2}) AS ep2,
     cos(radians(lat)) * radians(lon + 75) AS a, tan(radians(lat)) ** 2 AS t,
     {_E2} / (1 - {_E2}) * cos(radians(lat)) ** 2 AS c,
-    6378137 / sqrt(1 - {_E2} * sin(radians(lat)) ** 2) AS n FROM parcel_ll""", "parcel_ll")
-_view("parcel_xy", f"""
+    6378137 / sqrt(1 - {_E2} * sin(radians(lat)) ** 2) AS n FROM {name}_ll""", f"{name}_ll")
+    _view(f"{name}_xy", f"""
   SELECT zone, i,
     500000 + {D(0.9996)} * n * (a + (1 - t + c) * a ** 3 / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * a ** 5 / 120) AS x,
     {D(0.9996)} * (6378137 * ((1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256) * phi
@@ -228,14 +241,18 @@ _view("parcel_xy", f"""
       + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024) * sin(4 * phi) - 35 * e2 ** 3 / 3072 * sin(6 * phi))
       + n * tan(phi) * (a * a / 2 + (5 - t + 9 * c + 4 * c * c) * a ** 4 / 24
       + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * a ** 6 / 720)) AS y
-  FROM parcel_t""", "parcel_t")
-_view("parcel_side", """
+  FROM {name}_t""", f"{name}_t")
+    _view(f"{name}_side", f"""
   SELECT p.zone, p.x AS x1, p.y AS y1, q.x - p.x AS dx, q.y - p.y AS dy
-  FROM parcel_xy p JOIN parcel_xy q ON p.zone = q.zone AND q.i = (p.i + 1) % 4""", "parcel_xy")
-_view("parcel_gap", """
+  FROM {name}_xy p JOIN {name}_xy q ON p.zone = q.zone AND q.i = (p.i + 1) % 4""", f"{name}_xy")
+    _view(f"{name}_gap", f"""
   SELECT zp, zs, min(sqrt((px - x1 - k * dx) ** 2 + (py - y1 - k * dy) ** 2)) AS gap
   FROM (SELECT p.zone AS zp, s.zone AS zs, p.x AS px, p.y AS py, s.x1, s.y1, s.dx, s.dy,
       greatest(CAST(0 AS DOUBLE), least(CAST(1 AS DOUBLE),
         ((p.x - s.x1) * s.dx + (p.y - s.y1) * s.dy) / (s.dx * s.dx + s.dy * s.dy))) AS k
-    FROM parcel_xy p JOIN parcel_side s ON p.zone <> s.zone AND abs(p.x - s.x1) < 3000 AND abs(p.y - s.y1) < 3000)
-  GROUP BY zp, zs""", "parcel_xy", "parcel_side")
+    FROM {name}_xy p JOIN {name}_side s ON p.zone <> s.zone AND abs(p.x - s.x1) < 3000 AND abs(p.y - s.y1) < 3000)
+  GROUP BY zp, zs""", f"{name}_xy", f"{name}_side")
+
+
+_metric("parcel")
+_metric("plot")

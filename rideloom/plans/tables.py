@@ -132,13 +132,37 @@ class Tables:
     @cached_property
     def parcels(self) -> DataFrame:
         """One small box per supplier on a lattice of 50 by 2,000 places; later suppliers share places."""
+        return boxes(self.parcel_corners, 0.006, 0.005)
+
+    @cached_property
+    def parcel_corners(self) -> DataFrame:
         key = F.col("s_suppkey")
-        placed = self.read("supplier").select(
+        return self.read("supplier").select(
             key.alias("zone"),
             (F.lit(-74.28) + F.lit(0.011) * (key % 50) + F.col("s_acctbal") / F.lit(1e7)).alias("x0"),
             (F.lit(40.47) + F.lit(0.009) * (F.floor(key / 50) % 2000)).alias("y0"),
         )
-        return boxes(placed, 0.006, 0.005)
+
+    @cached_property
+    def courts(self) -> DataFrame:
+        """Zones with a court cut out; in every third court stands an island that belongs to the zone."""
+        corner = self.zones.select(F.col("id").alias("zone"), "x0", "y0")
+        island = F.when(F.col("zone") % 3 == 0, F.array(box_ring(0.05, 0.03, 0.02, 0.02))).otherwise(F.array())
+        return corner.select(
+            "zone", F.concat(F.array(box_ring(0.0, 0.0, 0.12, 0.08)), island).alias("rings"),
+            F.array(F.array(box_ring(0.03, 0.02, 0.06, 0.04))).alias("holes"))
+
+    @cached_property
+    def plots(self) -> DataFrame:
+        """Parcels, frames around every fifth of them, and solid plots that hold every fifth one as well."""
+        parcel = F.array(box_ring(0.0, 0.0, 0.006, 0.005))
+        around = F.array(box_ring(-0.003, -0.0017, 0.012, 0.0084))
+        gap = F.array(box_ring(-0.0015, -0.001, 0.009, 0.007))
+        placed = self.parcel_corners
+        own = placed.select("zone", parcel.alias("rings"), F.array(F.array()).cast(RINGS_IN_RINGS).alias("holes"))
+        frames = placed.filter("zone % 5 = 0").select(F.col("zone") + 1_000_000, around, F.array(gap))
+        solid = placed.filter("zone % 5 = 2").select(F.col("zone") + 2_000_000, around, F.lit(None).cast(RINGS_IN_RINGS))
+        return own.union(frames).union(solid)
 
     @cached_property
     def points(self) -> DataFrame:
@@ -276,10 +300,17 @@ def raw_fields(events: DataFrame) -> DataFrame:
     )
 
 
-def boxes(df: DataFrame, width: float, height: float) -> DataFrame:
-    """zone, rings: one axis-parallel box of the given size per row, from its corner (x0, y0)."""
+RINGS_IN_RINGS = "array<array<array<struct<lon: double, lat: double>>>>"
+
+
+def box_ring(x: float, y: float, width: float, height: float) -> Column:
+    """The ring of an axis-parallel box placed relative to the corner (x0, y0)."""
     def corner(dx: float, dy: float) -> Column:
         return F.struct((F.col("x0") + F.lit(dx)).alias("lon"), (F.col("y0") + F.lit(dy)).alias("lat"))
 
-    ring = F.array(corner(0.0, 0.0), corner(width, 0.0), corner(width, height), corner(0.0, height))
-    return df.select("zone", F.array(ring).alias("rings"))
+    return F.array(corner(x, y), corner(x + width, y), corner(x + width, y + height), corner(x, y + height))
+
+
+def boxes(df: DataFrame, width: float, height: float) -> DataFrame:
+    """zone, rings: one axis-parallel box of the given size per row, from its corner (x0, y0)."""
+    return df.select("zone", F.array(box_ring(0.0, 0.0, width, height)).alias("rings"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rideloom.functions.once import computed_once
 from rideloom.operators.families import FAMILY_KEYS
 from rideloom.operators.grid import DAILY_WEATHER, HOURLY_WEATHER
 from rideloom.schema import SUM4
@@ -48,25 +49,32 @@ def _as_ring(points: Column) -> Column:
 
 
 def read_zone_features(spark: SparkSession, path: str) -> DataFrame:
-    """One row per feature of GeoJSON collections: id, name, borough, rings (outer rings only)."""
+    """One row per feature of GeoJSON collections: id, name, borough, ``rings`` and ``holes``.
+
+    Of each polygon the first ring is its shell and goes to ``rings``, the others are its holes.
+    """
     docs = spark.read.schema(_GEOMETRY).option("multiLine", True).json(path)
     feature = docs.select(F.explode("features").alias("f")).select("f.properties.*", "f.geometry.*")
-    one = F.array(F.from_json("coordinates", _POLYGON)[0])
-    many = F.transform(F.from_json("coordinates", f"array<{_POLYGON}>"), lambda polygon: polygon[0])
-    outer = F.when(F.col("type") == "Polygon", one).otherwise(many)
-    return feature.select("id", "name", "borough", F.transform(outer, _as_ring).alias("rings"))
+    one = F.array(F.from_json("coordinates", _POLYGON))
+    many = F.from_json("coordinates", f"array<{_POLYGON}>")
+    polygons = F.filter(F.when(F.col("type") == "Polygon", one).otherwise(many), lambda polygon: F.size(polygon) > 0)
+    return computed_once(feature.select("id", "name", "borough", "type", "coordinates"), {"polygons": polygons}).select(
+        "id", "name", "borough",
+        F.transform("polygons", lambda polygon: _as_ring(polygon[0])).alias("rings"),
+        F.transform("polygons", lambda polygon: F.transform(F.slice(polygon, F.lit(2), F.size(polygon)), _as_ring)).alias("holes"),
+    )
 
 
 def features_to_dim(features: DataFrame) -> DataFrame:
-    """The zone dimension: one row per id, with the rings of all its features.
+    """The zone dimension: one row per id, with the shells and holes of all its features.
 
     Features of one id are few: they are the polygons of a single zone.
     """
     return features.groupBy("id").agg(
         F.max("name").alias("name"),
         F.max("borough").alias("borough"),
-        F.flatten(F.collect_list("rings")).alias("rings"),
-    )
+        F.collect_list(F.struct("rings", "holes")).alias("parts"),
+    ).select("id", "name", "borough", F.flatten("parts.rings").alias("rings"), F.flatten("parts.holes").alias("holes"))
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:

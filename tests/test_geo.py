@@ -146,3 +146,61 @@ def test_block_mean_and_snap(spark):
     snapped = terrain.snap(spark.createDataFrame(pts, "id int, px double, py double"), spec).collect()
     for row in snapped:
         assert row["i"] == min(range(7), key=lambda i: (abs(lons[i] - row["px"]), i))
+
+
+HOLED = "zone int, rings array<array<struct<lon: double, lat: double>>>, holes array<array<array<struct<lon: double, lat: double>>>>"
+
+
+def box(x, y, w, h):
+    return [(float(a), float(b)) for a, b in ((x, y), (x + w, y), (x + w, y + h), (x, y + h))]
+
+
+# A frame with two holes, an island of the same zone in one of them, a triangle in the other; zone 3 has null holes.
+WITH_HOLES = [
+    (1, [box(0, 0, 10, 6), box(2, 2, 1, 1)], [[box(1, 1, 3, 3), [(5.0, 1.0), (9.0, 1.0), (7.0, 5.0)]], []]),
+    (2, [[(6.5, 1.5), (7.5, 1.5), (7.0, 3.0)]], []),
+    (3, [box(4.2, 1.0, 0.5, 0.5)], None),
+    (4, [box(12, 0, 3, 3), box(20, 0, 2, 2)], [[box(13, 1, 1, 1)]]),
+]
+
+
+def in_holed(x, y, rings, holes):
+    inner = [h or [] for h in (holes or [])] + [[]] * len(rings)
+    return any(inside(x, y, r) and not any(inside(x, y, h) for h in hs) for r, hs in zip(rings, inner))
+
+
+@pytest.mark.parametrize("cell", [0.7, 6.0])
+def test_points_in_holes_are_outside(spark, cell):
+    rng = random.Random(9)
+    pts = [(i, rng.uniform(-1, 23), rng.uniform(-1, 7)) for i in range(4000)] + [(9000, 1.0, 1.0), (9001, 4.0, 4.0), (9002, 2.0, 2.0)]
+    zones = spark.createDataFrame(WITH_HOLES, HOLED)
+    got = geo.point_in_zone(spark.createDataFrame(pts, "id int, px double, py double"), zones, cell=cell)
+    want = {(i, z) for i, x, y in pts for z, rings, holes in WITH_HOLES if in_holed(x, y, rings, holes)}
+    assert {(r["id"], r["zone"]) for r in got.collect()} == want and len(want) > 500
+
+
+def test_distances_stop_at_the_ring_of_a_hole(spark):
+    """The same shapes in hundredths of a degree; a zone in a hole is apart, one in the solid part is not."""
+    def small(ring):
+        return [(-74.3 + x / 100, 40.5 + y / 100) for x, y in ring]
+
+    rows = [(z, [small(r) for r in rings], None if holes is None else [[small(h) for h in hs] for hs in holes]) for z, rings, holes in WITH_HOLES]
+    zones = spark.createDataFrame(rows, HOLED)
+    place = F.transform("rings", lambda r: F.transform(r, lambda p: F.struct(*gf.utm(p["lon"], p["lat"]))))
+    metres = {r["zone"]: r for r in zones.select("zone", place.alias("r"), F.transform("holes", lambda hs: F.transform(
+        hs, lambda h: F.transform(h, lambda p: F.struct(*gf.utm(p["lon"], p["lat"]))))).alias("h")).collect()}
+
+    def want(a, b):
+        ra, rb = ([tuple(map(tuple, r)) for r in metres[z]["r"]] for z in (a, b))
+        ha, hb = ([[tuple(map(tuple, h)) for h in hs] for hs in metres[z]["h"] or []] for z in (a, b))
+        if any(in_holed(*r[0], rb, hb) for r in ra) or any(in_holed(*r[0], ra, ha) for r in rb):
+            return 0.0
+        sides = lambda r: list(zip(r, r[1:] + r[:1]))
+        all_a, all_b = ra + [h for hs in ha for h in hs], rb + [h for hs in hb for h in hs]
+        return min([seg_gap(p, *s) for r in all_a for p in r for q in all_b for s in sides(q)]
+                   + [seg_gap(p, *s) for r in all_b for p in r for q in all_a for s in sides(q)])
+
+    got = {(r["zone"], r["neighbor"]): r["distance_m"] for r in geo.distance_join(zones, 20_000.0).collect()}
+    assert got.keys() == {(a, b) for a in range(1, 5) for b in range(1, 5) if a != b}
+    assert all(abs(got[p] - want(*p)) < 1e-3 for p in got)
+    assert got[1, 2] > 0 and got[1, 3] == 0
