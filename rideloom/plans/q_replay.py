@@ -10,7 +10,7 @@ from rideloom.plans.catalog import query, r6
 from rideloom.plans.sql import with_views
 from rideloom.plans.tables import MONTH, RULES, Tables, raw_fields
 from rideloom.streaming import replay, streams
-from rideloom.workspace import is_folder
+from rideloom.workspace import fresh_folder, is_folder
 
 DAYS = 31
 HORIZON = DAYS * 1440
@@ -100,6 +100,41 @@ def _(t: Tables) -> DataFrame:
     return streams.stream_top_zones(streams.stream_watermark(event_stream(t), DELAY), 5)
 
 
+@query("stream_intensity", f"""
+  SELECT minute, total, peak, zone, trips, rank,
+    round(least(CAST(1 AS DOUBLE), ln(1 + trips) / ln(1 + greatest(peak * 2, 1) / CAST(2 AS DOUBLE))), 9) AS intensity
+  FROM (SELECT minute, zone, trips, CAST(row_number() OVER (PARTITION BY minute ORDER BY trips DESC, zone) AS INTEGER) AS rank
+    FROM ({_MINUTES.replace("FROM events", f"FROM events WHERE {_CLOSED}", 1)}) QUALIFY rank <= 5)
+  JOIN (SELECT minute, total, CAST(max(total) OVER (ORDER BY minute) AS BIGINT) AS peak
+    FROM (SELECT minute, CAST(sum(trips) AS BIGINT) AS total
+      FROM ({_MINUTES.replace("FROM events", f"FROM events WHERE {_CLOSED}", 1)}) GROUP BY minute)) USING (minute)""")
+def _(t: Tables) -> DataFrame:
+    """The peak so far is state of the stream."""
+    found = streams.stream_intensity(streams.stream_watermark(event_stream(t), DELAY), 5, span=2)
+    return found.withColumn("intensity", r6("intensity", 9))
+
+
+# Four files; the third holds days before those of the second, and every tenth event comes one file later.
+_FILE = "least(3, CASE WHEN day(ts) <= 8 THEN 0 WHEN day(ts) <= 16 THEN 2 WHEN day(ts) <= 24 THEN 1 ELSE 3 END + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END)"
+
+
+@query("stream_late_rows", f"""
+  WITH filed AS (SELECT date_trunc('minute', ts) AS m, ts, user_id % 27 AS zone, {_FILE} AS f FROM events),
+    marks AS (SELECT g.f, (SELECT max(ts) FROM filed b WHERE b.f < g.f) - INTERVAL 10 MINUTE AS mark FROM (SELECT DISTINCT f FROM filed) g)
+  SELECT strftime(m, '%Y-%m-%d %H:%M:%S') AS minute, zone,
+    CAST(count(*) FILTER (WHERE NOT coalesce(m + INTERVAL 1 MINUTE <= mark, false)) AS BIGINT) AS trips,
+    CAST(count(*) FILTER (WHERE m + INTERVAL 1 MINUTE <= mark) AS BIGINT) AS late
+  FROM filed JOIN marks USING (f) GROUP BY 1, 2""")
+def _(t: Tables) -> DataFrame:
+    """Files that arrive out of order: rows behind the watermark are counted apart."""
+    source = fresh_folder(t.spark, "unordered")
+    filed = t.events.withColumns({"file": F.expr(_FILE), "zone": F.col("user_id") % 27, "ts": F.col("ts").cast("timestamp")})
+    for file in range(4):  # one after the other: a file source goes by age
+        filed.filter(F.col("file") == file).select("ts", "zone").coalesce(1).write.mode("append").parquet(source)
+    stream = streams.open_files(t.spark, source, "ts timestamp, zone long", files_per_batch=1)
+    return streams.run_counting_late(stream, 10)
+
+
 @query("stream_hour_rate", """
   SELECT strftime(until, '%Y-%m-%d %H:%M:%S') AS until, CAST(count(*) AS BIGINT) AS rate
   FROM (SELECT unnest(generate_series(date_trunc('minute', ts) + INTERVAL 1 MINUTE,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from rideloom.operators.quality import classify_rejects, typed_parse
 from rideloom.operators.ranking import top_k_per_frame
@@ -141,3 +143,97 @@ def stream_top_zones(sdf: DataFrame, k: int = 5, path: str | None = None) -> Dat
         return top_k_per_frame(frames, k).withColumnRenamed("slot", "minute")
 
     return run_appends(counts, rank, path)
+
+
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def _keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which arbitrary state needs."""
+    before = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_STATE_STORE, before)
+
+
+class RunningPeak(StatefulProcessor):
+    """Adds to every closed minute the largest minute total seen up to it.
+
+    One row a minute arrives, whatever the number of trips; the state is one number.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._peak = handle.getValueState("peak", "total long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        minutes = pd.concat(list(rows)).sort_values("minute")  # one micro-batch may close many
+        peak = minutes["total"].cummax().clip(lower=self._peak.get()[0] if self._peak.exists() else 0)
+        self._peak.update((int(peak.iloc[-1]),))
+        yield minutes.assign(peak=peak)[["minute", "total", "zones", "trips", "peak"]]
+
+    def close(self) -> None:
+        pass
+
+
+def stream_intensity(sdf: DataFrame, k: int = 5, span: int = 1, path: str | None = None) -> DataFrame:
+    """The k busiest zones of every closed minute with their intensity.
+
+    Columns ``minute``, ``total``, ``peak`` (the largest total of a minute so far), ``zone``, ``trips``, ``rank``,
+    ``intensity``: log1p(trips) / log1p(max(peak * span, 1) / 2), at most 1. The stream must carry a watermark; the
+    peak is state of the stream, so a restart goes on with it.
+    """
+    counts = sdf.groupBy(F.window("ts", "1 minute").alias("w"), "zone").agg(F.count("*").alias("trips"))
+    ranked = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("trips")).alias("less"), F.col("zone").cast("long").alias("zone")))), 1, k)
+    minutes = counts.groupBy(F.window(F.window_time("w"), "1 minute").alias("w")).agg(
+        F.sum("trips").alias("total"), ranked.alias("top")
+    ).select(
+        F.col("w.start").alias("minute"), "total", F.col("top.zone").alias("zones"),
+        F.transform("top.less", lambda n: -n).alias("trips"), F.lit(0).alias("all"))
+    schema = "minute timestamp, total long, zones array<long>, trips array<long>, peak long"
+    peaked = minutes.groupBy("all").transformWithStateInPandas(RunningPeak(), schema, "append", "none")
+
+    def shape(batch: DataFrame) -> DataFrame:
+        half = F.log1p(F.greatest(F.col("peak") * span, F.lit(1)) / F.lit(2.0))
+        return batch.select("minute", "total", "peak", F.posexplode(F.arrays_zip("zones", "trips")).alias("at", "t")).select(
+            "minute", "total", "peak", F.col("t.zones").alias("zone"), F.col("t.trips").alias("trips"),
+            (F.col("at") + 1).alias("rank"),
+            F.round(F.least(F.lit(1.0), F.log1p("t.trips") / half), 12).alias("intensity"))
+
+    with _keyed_state(sdf.sparkSession):
+        return run_appends(peaked, shape, path)
+
+
+def run_counting_late(sdf: DataFrame, delay_minutes: int = 10, ts: str = "ts", path: str | None = None) -> DataFrame:
+    """Run a stream to the end of its input; trips per minute and zone, with those that came too late by themselves.
+
+    Columns ``minute``, ``zone``, ``trips`` (on time), ``late``; on time and late together are the input. A row is too
+    late if its minute had ended by the watermark of its micro-batch: the newest event of all batches before, less
+    the delay. Counts of both kinds come from the same batch and are stored together in a folder named after it, so
+    a repeated batch replaces itself; the newest event of each batch is noted beside them.
+    """
+    spark = sdf.sparkSession
+    root = path or fresh_folder(spark, "late")
+    minute = F.date_trunc("minute", ts)
+
+    def newest_before(batch_id: int) -> str | None:
+        return read_text(spark, f"{root}/newest-{batch_id - 1}") or None if batch_id else None
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = newest_before(batch_id)
+        mark = F.lit(before).cast("timestamp") - F.make_dt_interval(mins=F.lit(delay_minutes))
+        late = F.coalesce(minute + F.expr("interval 1 minute") <= mark, F.lit(False))
+        batch.groupBy(minute.alias("minute"), "zone").agg(
+            F.count_if(~late).alias("trips"), F.count_if(late).alias("late"), F.max(ts).alias("newest"),
+        ).write.mode("overwrite").parquet(f"{root}/counts/batch={batch_id}")
+        newest = spark.read.parquet(f"{root}/counts/batch={batch_id}").agg(F.max("newest").cast("string")).first()[0]
+        replace_text(spark, f"{root}/newest-{batch_id}", max(filter(None, (before, newest)), default=""))
+
+    _start(sdf, "append", write, f"{root}/checkpoint").awaitTermination()
+    schema = StructType([StructField("minute", TimestampType()), sdf.schema["zone"], StructField("trips", LongType()), StructField("late", LongType())])
+    if not exists(spark, f"{root}/counts"):
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(_with_batch(schema)).parquet(f"{root}/counts")
+    return stored.groupBy("minute", "zone").agg(F.sum("trips").alias("trips"), F.sum("late").alias("late"))

@@ -1,5 +1,8 @@
 """Streams against the batch answer, over several files and restarts."""
 
+import math
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from rideloom.operators.sets import symmetric_difference
@@ -102,3 +105,65 @@ def test_source_without_rows(spark, sf_dir):
     open_stream = lambda: streams.stream_watermark(streams.open_files(spark, empty, events.schema))
     assert streams.run_upserts(streams.stream_minute_counts(open_stream()), ["minute", "zone"]).count() == 0
     assert streams.run_appends(streams.stream_minute_counts(open_stream())).count() == 0
+
+
+def _intensity_by_hand(events, k, span):
+    minutes = {}
+    for r in _batch(events).collect():
+        minutes.setdefault(r["minute"], []).append((-r["trips"], r["zone"]))
+    newest = events.agg(F.max("ts")).first()[0]
+    peak, out = 0, []
+    for minute in sorted(minutes):
+        if minute + timedelta(minutes=11) > newest:
+            continue
+        total = -sum(n for n, _ in minutes[minute])
+        peak = max(peak, total)
+        for rank, (n, zone) in enumerate(sorted(minutes[minute])[:k], start=1):
+            share = min(1.0, math.log1p(-n) / math.log1p(max(peak * span, 1) / 2))
+            out.append((minute, total, peak, zone, -n, rank, round(share, 9)))
+    return sorted(out)
+
+
+def _rows(df):
+    return sorted((r["minute"], r["total"], r["peak"], r["zone"], r["trips"], r["rank"], round(r["intensity"], 9)) for r in df.collect())
+
+
+def test_intensity_goes_on_after_a_restart(spark, sf_dir):
+    """The same rows whether the stream runs through, in several batches, or stops in the middle."""
+    events, path = _source(spark, sf_dir, files=4)
+    want = _intensity_by_hand(events, 3, 4)
+    stream = lambda p, n=None: streams.stream_watermark(streams.open_files(spark, p, events.schema, files_per_batch=n))
+    assert _rows(streams.stream_intensity(stream(path), 3, 4)) == want
+    split, root = fresh_folder(spark, "test-halves"), fresh_folder(spark, "test-peak")
+    middle = events.agg(F.expr("percentile_approx(ts, 0.5)")).first()[0]
+    for half in (F.col("ts") <= middle, F.col("ts") > middle):  # one after the other: a file source goes by age
+        events.filter(half).coalesce(1).write.mode("append").parquet(split)
+        got = streams.stream_intensity(stream(split), 3, 4, path=root)
+    assert _rows(got) == want
+    assert _rows(streams.stream_intensity(stream(split, 1), 3, 4)) == want
+    assert len({r[2] for r in want}) > 1
+
+
+def test_late_rows_are_counted_apart(spark):
+    root = fresh_folder(spark, "test-late-side")
+    parts = [[("10:00:00", 1), ("12:00:00", 1)], [("10:00:30", 1), ("11:50:10", 2), ("11:49:59", 2), ("12:30:00", 1)], [], [("12:19:30", 1), (None, 1)]]
+    for n, part in enumerate(parts):
+        rows = [(t and f"2024-01-01 {t}", z) for t, z in part]
+        spark.createDataFrame(rows, "ts string, zone int").withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode(
+            "append").parquet(f"{root}/in")
+        if n in (0, 3):  # the second run gets three files one by one
+            stream = streams.open_files(spark, f"{root}/in", "ts timestamp, zone int", files_per_batch=1)
+            got = streams.run_counting_late(stream, 10, path=f"{root}/out")
+    rows = {(str(r["minute"])[11:16] if r["minute"] else None, r["zone"]): (r["trips"], r["late"]) for r in got.collect()}
+    assert rows == {("10:00", 1): (1, 1), ("12:00", 1): (1, 0), ("11:50", 2): (1, 0), ("11:49", 2): (0, 1), ("12:30", 1): (1, 0),
+                    ("12:19", 1): (0, 1), (None, 1): (1, 0)}
+    assert sum(a + b for a, b in rows.values()) == sum(map(len, parts))
+
+
+def test_intensity_and_late_rows_of_an_empty_source(spark, sf_dir):
+    events, _ = _source(spark, sf_dir)
+    empty = fresh_folder(spark, "test-empty")
+    events.limit(0).write.parquet(empty)
+    open_stream = lambda: streams.open_files(spark, empty, events.schema)
+    assert streams.stream_intensity(streams.stream_watermark(open_stream())).count() == 0
+    assert streams.run_counting_late(open_stream()).count() == 0
