@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideloom.llm import (
-    decontaminate, idfiles, katz, minhash, packing, pii, quality, runs, substrings, toxicity, variants, warc)
+    decontaminate, idfiles, katz, minhash, packing, pii, quality, runs, secrets, substrings, toxicity, variants, warc)
 from rideloom.functions.once import computed_once
 from rideloom.workspace import fresh_folder
 
@@ -120,6 +120,12 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@register
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.counted(secrets.find(docs).drop("text"))
+
+
 @register
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variant_groups(table(spark, sf_dir, "documents"), least_chars=6, least_n=5, times=5, damage_every=199)
