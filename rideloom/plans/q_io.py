@@ -14,7 +14,7 @@ from rideloom.plans.q_quality import _NO_NULL_KEYS, flat_families
 from rideloom.plans.sql import with_views
 from rideloom.plans.tables import MONTH, RULES, Tables
 from rideloom.schema import RAW_FIELDS, SUM4
-from rideloom.sources import archive, documents, manifest, publish, registry, trips
+from rideloom.sources import archive, documents, drift, manifest, publish, registry, snapshots, trips
 from rideloom.workspace import fresh_folder
 
 
@@ -123,6 +123,41 @@ def _(t: Tables) -> DataFrame:
     return archive.normalize_schema_drift([first, second, lacking]).select("pickup", "pu", r6("miles"))
 
 
+@query("scan_drifting_files", f"""
+  SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS pickup, CAST(user_id AS DOUBLE) AS pu, round(value, 6) AS miles
+  FROM events WHERE event_id % 4 < 3""")
+def _(t: Tables) -> DataFrame:
+    """Some hundred small files of four schemas, one of them without the needed columns; three scans."""
+    base, path = t.events, fresh_folder(t.spark, "drifting")
+    kinds = [("tpep_pickup_datetime", "tpep_dropoff_datetime", "long", "double"), ("lpep_pickup_datetime", "lpep_dropoff_datetime", "double", "string"),
+             ("pickup", "dropoff", "int", "float")]
+    for n, (pickup, dropoff, zone, amount) in enumerate(kinds):
+        rows = base.filter(F.col("event_id") % 4 == n).select(
+            F.col("ts").alias(pickup), F.col("ts").alias(dropoff), F.col("user_id").cast(zone).alias("PULocationID"),
+            F.col("user_id").cast(zone).alias("DOLocationID"), F.col("value").alias("trip_distance"),
+            F.col("value").cast(amount).alias("total_amount"), "event_type")
+        rows.repartition(60, "event_type", pickup).write.parquet(f"{path}/source-{n}")
+    base.filter("event_id % 4 = 3").select(F.col("ts").alias("pickup"), "value").repartition(20).write.parquet(f"{path}/source-3")
+    return drift.read_drifting(t.spark, path).select("pickup", "pu", r6("miles"))
+
+
+@query("archive_snapshots", with_views("shipments", body="""
+  SELECT * FROM (WITH dated AS (SELECT strftime(day, '%Y-%m') AS ym, year(day) AS y, month(day) AS m, cents FROM shipments)
+  SELECT CAST(v.version AS INTEGER) AS version, CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month, CAST(count(*) AS BIGINT) AS rows,
+    CAST(sum(CASE WHEN v.version >= 2 AND ym = '1997-03' THEN 2 * cents ELSE cents END) AS BIGINT) AS cents
+  FROM dated CROSS JOIN (VALUES (1), (2), (3)) v(version) WHERE NOT (v.version = 3 AND ym = '1998-05') GROUP BY ALL)"""))
+def _(t: Tables) -> DataFrame:
+    """Three versions of an archive: all months, one month with doubled cents, another one emptied."""
+    root, rows = fresh_folder(t.spark, "snapshots"), t.shipments.withColumn("hour", (F.col("cents") % 24).cast("int"))
+    snapshots.replace_months(rows, root)
+    march = snapshots.read_months(t.spark, root, months=("1997-03", "1997-03")).drop("year", "month")
+    snapshots.replace_months(march.withColumn("cents", F.col("cents") * 2), root, ["1997-03"], based_on=1)
+    snapshots.replace_months(march.limit(0), root, ["1998-05"])
+    counted = [snapshots.read_months(t.spark, root, v).groupBy("year", "month").agg(
+        F.count("*").alias("rows"), F.sum("cents").alias("cents")).withColumn("version", F.lit(v)) for v in (1, 2, 3)]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 def _archive(t: Tables) -> str:
     path = fresh_folder(t.spark, "archive")
     hourly = t.shipments.withColumn("hour", (F.col("cents") % 24).cast("int"))

@@ -49,6 +49,26 @@ def _(t: Tables) -> DataFrame:
     return frames[0].unionByName(frames[1]).select("m", "zone", "trips")
 
 
+# Where frames begin and how many minutes they show; some wrap around at the end of the month, one covers nearly all of it.
+_REQUESTS = [(600, 60), (HORIZON - 20, 60), (HORIZON - 1, 1), (HORIZON - 1, 2), (0, 1), (1439, 30), (700, 1440), (HORIZON - 700, 1440),
+             (20_000, HORIZON - 3), (HORIZON - 60, 60)]
+
+
+@query("replay_frames", with_views("slots", body=f"""
+  SELECT * FROM (WITH requests AS (SELECT * FROM (VALUES {", ".join(f"({m}, {span})" for m, span in _REQUESTS)}) r(m, span)
+      UNION SELECT DISTINCT slot, 1 + slot % 60 FROM slots WHERE slot % 97 = 0),
+    parts AS (SELECT m, span, zone, CAST(sum(trips) AS BIGINT) AS trips FROM requests
+      JOIN slots ON slot BETWEEN m AND m + span - 1 OR slot + {HORIZON} BETWEEN m AND m + span - 1 GROUP BY ALL)
+  SELECT m, span, CAST(coalesce(sum(trips) OVER (PARTITION BY m, span), 0) AS BIGINT) AS total, zone, trips
+  FROM requests LEFT JOIN parts USING (m, span))"""))
+def _(t: Tables) -> DataFrame:
+    """Many frames with their totals, from one cumulative table."""
+    index = t.slots
+    fixed = t.spark.createDataFrame([(m - HORIZON if n % 2 else m + 2 * HORIZON, span) for n, (m, span) in enumerate(_REQUESTS)], "m long, span int")
+    often = index.select("slot").distinct().filter("slot % 97 = 0").select(F.col("slot").cast("long").alias("m"), (1 + F.col("slot") % 60).alias("span"))
+    return replay.replay_frames(replay.frame_index(index, HORIZON), fixed.unionByName(often), HORIZON, HORIZON)
+
+
 @query("rolling_hour_rate", with_views("slot_totals", body="""
   SELECT slot, round(sum(trips) OVER (ORDER BY slot RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) * 60.0::DOUBLE
     / least(slot + 1, 60), 6) AS rate FROM slot_totals"""))

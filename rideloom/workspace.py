@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
@@ -71,6 +72,31 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(files.makeQualified(fresh), files.makeQualified(target), overwrite)
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put ``text`` into a new small file, complete in one step; False and no change if it is there already."""
+    files, target = _path(spark, path)
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = files.create(fresh)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(files.makeQualified(fresh), files.makeQualified(target),
+                       spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError:
+        files.delete(fresh, False)
+        if files.exists(target):
+            return False
+        raise
+    return True
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it is not there."""
+    files, target = _path(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(target)] if files.exists(target) else []
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     files, target = _path(spark, path)
     stream = files.open(target)

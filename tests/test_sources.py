@@ -11,8 +11,8 @@ from rideloom.operators.quality import classify_rejects, typed_parse
 from rideloom.operators.sets import symmetric_difference
 from rideloom.plans.tables import MONTH, RULES, Tables
 from rideloom.schema import RAW_FIELDS, SUM4
-from rideloom.sources import archive, documents, manifest, publish, registry, trips
-from rideloom.workspace import fresh_folder, shared_root
+from rideloom.sources import archive, documents, drift, manifest, publish, registry, snapshots, trips
+from rideloom.workspace import create_text, exists, fresh_folder, list_names, shared_root
 
 
 @pytest.fixture(scope="module")
@@ -184,3 +184,89 @@ def test_run_records(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def _months(spark, root, version=None):
+    rows = snapshots.read_months(spark, root, version).groupBy("year", "month").agg(F.sum("cents").alias("c")).collect()
+    return {f"{r['year']}-{r['month']:02d}": r["c"] for r in rows}
+
+
+def _days(spark, first, n, cents):
+    return spark.range(n).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("day"), F.lit(cents).cast("long").alias("cents"))
+
+
+def test_a_month_is_replaced_while_others_read(spark):
+    """A reader that has begun, and one pinned to the old version, see none of the new files."""
+    root = fresh_folder(spark, "test-snapshots")
+    first = snapshots.replace_months(_days(spark, date(2024, 1, 15), 60, 1), root)
+    assert first.version == 1 and sorted(first.months) == ["2024-01", "2024-02", "2024-03"]
+    begun = snapshots.read_months(spark, root).repartition(8).toLocalIterator()
+    rows = [next(begun) for _ in range(5)]
+    second = snapshots.replace_months(_days(spark, date(2024, 2, 1), 3, 100), root, ["2024-02"])
+    rows += list(begun)
+    assert len(rows) == 60 and sum(r["cents"] for r in rows) == 60
+    assert _months(spark, root, 1) == {"2024-01": 17, "2024-02": 29, "2024-03": 14}
+    assert _months(spark, root) == {"2024-01": 17, "2024-02": 300, "2024-03": 14}
+    assert {m for m in second.months if second.months[m] == first.months.get(m)} == {"2024-01", "2024-03"}
+
+
+def test_two_writers(spark):
+    root = fresh_folder(spark, "test-writers")
+    base = snapshots.replace_months(_days(spark, date(2024, 1, 1), 60, 1), root).version
+    snapshots.replace_months(_days(spark, date(2024, 1, 1), 1, 5), root, based_on=base)
+    snapshots.replace_months(_days(spark, date(2024, 2, 1), 1, 7), root, based_on=base)  # another month: no conflict
+    with pytest.raises(snapshots.MonthChanged):
+        snapshots.replace_months(_days(spark, date(2024, 1, 1), 1, 9), root, based_on=base)
+    assert _months(spark, root) == {"2024-01": 5, "2024-02": 7} and snapshots.versions(spark, root) == [1, 2, 3]
+    assert not create_text(spark, f"{root}/log/{3:020d}", "{}")
+    assert len(list_names(spark, f"{root}/log")) == 3
+
+
+def test_empty_and_foreign_months(spark):
+    root = fresh_folder(spark, "test-months")
+    snapshots.replace_months(_days(spark, date(2024, 1, 1), 60, 1), root)
+    snapshots.replace_months(_days(spark, date(2024, 1, 1), 0, 1), root, ["2024-01"])
+    assert _months(spark, root) == {"2024-02": 29}
+    for rows, months in ((_days(spark, date(2024, 3, 1), 2, 1), ["2024-02"]), (spark.sql("select cast(null as date) day, 1L cents"), None)):
+        with pytest.raises(PySparkException, match="no month to replace"):
+            snapshots.replace_months(rows, root, months)
+    with pytest.raises(ValueError, match="yyyy-MM"):
+        snapshots.replace_months(_days(spark, date(2024, 3, 1), 2, 1), root, ["2024-3"])
+    assert _months(spark, root) == {"2024-02": 29} and snapshots.snapshot(spark, root).version == 2
+    plan = snapshots.read_months(spark, root, 1, months=("2024-02", "2024-02"))
+    assert plan.count() == 29 and len(plan.inputFiles()) <= 2
+    assert snapshots.read_months(spark, root, 1, months=("2031-01", "2031-02")).count() == 0
+
+
+def test_old_versions_are_expired(spark):
+    root = fresh_folder(spark, "test-expire")
+    for n in range(4):
+        snapshots.replace_months(_days(spark, date(2024, 1, 1), 40 if n == 0 else 3, n), root)
+    gone = snapshots.expire(spark, root, keep=2)
+    assert len(gone) == 2 and not any(exists(spark, folder) for folder in gone)
+    assert snapshots.versions(spark, root) == [3, 4]
+    assert _months(spark, root, 3) == {"2024-01": 6, "2024-02": 0} and _months(spark, root) == {"2024-01": 9, "2024-02": 0}
+    assert snapshots.expire(spark, root, keep=2) == []
+    with pytest.raises(ValueError):
+        snapshots.expire(spark, root, keep=0)
+
+
+def test_thousands_of_files_give_one_scan_a_schema(spark):
+    """2,000 files of three usable schemas and some that lack columns: three scans."""
+    path = fresh_folder(spark, "test-drift")
+    kinds = [("tpep_", "int", "double"), ("lpep_", "double", "double"), ("tpep_", "long", "string")]
+    for n, (prefix, zone, amount) in enumerate(kinds):
+        spark.range(n * 10_000, (n + 1) * 10_000, 1, 1).select(
+            F.lit(datetime(2024, 1, 1)).alias(f"{prefix}pickup_datetime"), F.lit(datetime(2024, 1, 2)).alias(f"{prefix}dropoff_datetime"),
+            F.col("id").cast(zone).alias("PULocationID"), F.col("id").cast(zone).alias("DOLocationID"),
+            F.col("id").cast("double").alias("trip_distance"), F.col("id").cast(amount).alias("total_amount"), F.lit(n).alias(f"note_{n % 2}"),
+        ).write.option("maxRecordsPerFile", 15).parquet(f"{path}/{n}")
+    spark.range(3).write.parquet(f"{path}/other")
+    df = drift.read_drifting(spark, path)
+    assert len(df.inputFiles()) == 2001
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3
+    sums = df.agg(F.count("*"), F.sum("pu"), F.sum("amount"), F.count("amount")).first()
+    assert tuple(sums) == (30_000, 449_985_000.0, 449_985_000.0, 30_000)
+    assert drift.file_schemas(spark, path).select("signature").distinct().count() == 4
+    with pytest.raises(ValueError):
+        drift.read_drifting(spark, f"{path}/other")

@@ -1,8 +1,11 @@
 """Streams against the batch answer, over several files and restarts."""
 
 import math
+import random
 from datetime import timedelta
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rideloom.operators.sets import symmetric_difference
@@ -167,3 +170,26 @@ def test_intensity_and_late_rows_of_an_empty_source(spark, sf_dir):
     open_stream = lambda: streams.open_files(spark, empty, events.schema)
     assert streams.stream_intensity(streams.stream_watermark(open_stream())).count() == 0
     assert streams.run_counting_late(open_stream()).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_replay_frames_against_slots(spark, seed):
+    """Random counts and requests, spans over the wrap, the whole horizon, frames without trips."""
+    rng, horizon = random.Random(seed), 50
+    counts = [(rng.randrange(horizon), rng.randrange(4), rng.randrange(1, 9)) for _ in range(40)] + [(60, 1, 5)]
+    requests = [(rng.randrange(-120, 120), rng.randrange(1, 51)) for _ in range(60)] + [(49, 1), (49, 2), (0, 50), (7, 50), (None, 3), (3, None)]
+    index = replay.frame_index(spark.createDataFrame(counts, "slot int, zone int, trips long"), horizon)
+    got = replay.replay_frames(index, spark.createDataFrame(requests, "m int, span int"), horizon)
+    want = set()
+    for m, span in requests:
+        if m is None or span is None:
+            continue
+        frame = {}
+        for slot, zone, n in counts:
+            if slot < horizon and (slot - m) % horizon < span:
+                frame[zone] = frame.get(zone, 0) + n
+        want |= {(m % horizon, span, sum(frame.values()), z, n) for z, n in frame.items()} or {(m % horizon, span, 0, None, None)}
+    rows = got.collect()
+    assert len(rows) == len(want) and {tuple(r) for r in rows} == want
+    with pytest.raises(PySparkException, match="span must be"):
+        replay.replay_frames(index, spark.createDataFrame([(1, 61)], "m int, span int"), horizon).collect()
