@@ -30,6 +30,8 @@ _HEAD = struct.Struct("<4sIIIII")
 _ENTRY = np.dtype([("doc", "<i8"), ("before", "<u8"), ("n", "<u4")])
 _MARK = b"TKC1"
 _NULL = -(1 << 63)
+#: Bytes of text that one task codes; coding takes longer than reading, so this is less than a usual partition.
+TASK_BYTES = 16 << 20
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -147,7 +149,8 @@ def write(
                                          names=["part", "number", "file", "cuts", "n_ids"])
 
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    ranges = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = narrow.repartitionByRange(min(-(-total // TASK_BYTES) or 1, MAX_PARTS), "doc_id").sortWithinPartitions("doc_id")
     schema = "part int, number int, file string, cuts array<long>, n_ids long"
     ranges.mapInArrow(run, schema).write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(schema).parquet(f"{folder}/manifest")
@@ -157,7 +160,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     """What the files of ``folder`` hold: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``,
     ``ids_crc32`` (of its ids as little-endian unsigned 32-bit) and ``ids``.
 
-    One task decodes the files of one range in their order, a group of blocks at a time; checksums are
+    One task each decodes the files of one range in their order, a group of blocks at a time; checksums are
     verified. Documents that cross blocks or files are put together again.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,11 +191,12 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     files = spark.read.schema("part int, number int, file string, cuts array<long>, n_ids long").parquet(
         f"{folder}/manifest")
-    starts = part_starts(files)
-    if files.select("part").distinct().count() <= MAX_PARTS:
+    starts, n_parts = part_starts(files), files.select("part").distinct().count()
+    if n_parts <= MAX_PARTS:
         starts = F.broadcast(starts)
     ranges = files.groupBy("part").agg(F.to_json(F.collect_list(F.struct("number", "file", "cuts"))).alias("files"))
-    placed = ranges.join(starts, "part").repartition("part")
+    # A few hundred bytes a row, but many seconds of work: one task each, which a count given here keeps.
+    placed = ranges.join(starts, "part").repartitionByRange(max(n_parts, 1), "part")
     return placed.select("part", "files", "first").mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 

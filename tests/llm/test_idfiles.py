@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rideloom.llm import idfiles
@@ -79,3 +80,14 @@ def test_a_changed_byte_is_noticed():
     raw[-5] ^= 1
     with pytest.raises(ValueError):
         idfiles.blocks_of(bytes(raw))
+
+
+def test_every_range_is_decoded_by_a_task_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(idfiles, "TASK_BYTES", 4000)
+    df = spark.range(120).select(F.col("id").alias("doc_id"), F.repeat(F.lit("one two "), 40).alias("text"))
+    folder = fresh_folder(spark, "ids-test")
+    parts = idfiles.write(df, folder, BYTE_BPE, 2).select("part").distinct().count()
+    assert parts == 10
+    back = idfiles.read(spark, folder).drop("ids").withColumn("task", F.spark_partition_id())
+    rows = back.collect()
+    assert len(rows) == 120 and len({r.task for r in rows}) == parts
