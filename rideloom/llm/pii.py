@@ -25,7 +25,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NODE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_NODE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")  # tried at the begin of a word only
 _MARKED = re.compile(rb"[0-9@]")
 #: Documents whose nodes the field is trained on, what is used of one document, and steps of its training.
 SAMPLE_DOCS, SAMPLE_NODES, SAMPLE_CHARS, STEPS = 1000, 100, 4000, 150

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -81,3 +82,18 @@ def test_edges(spark):
     assert out.schema == docs.schema
     texts = [r.text for r in out.collect()]
     assert texts.count(None) == 1 and texts.count("[email]") == 2
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1@ \n\x0b\x1c.é", max_size=40))
+def test_nodes_are_words_with_a_digit_or_an_at(text):
+    plain = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+    assert [m.span() for m in pii._NODE.finditer(text)] == [m.span() for m in plain.finditer(text)]
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + " 1", "語" * 1_000_000 + " 1", "." * 1_000_000 + " @", "1" * 1_000_000])
+def test_very_long_words_take_linear_time(text):
+    begin = time.perf_counter()
+    assert len(list(pii._NODE.finditer(text))) == 1
+    pii.base_spans(text)
+    assert time.perf_counter() - begin < 3
