@@ -33,7 +33,7 @@ FLOOR = 0.1
 #: Longer words are compared by overlapping stretches of this many letters.
 STRETCH = 16
 _SPACED = re.compile(r"(?<![^\x20\x09-\x0D])(?:[^\W\d_][\x20.*_-]){2,}[^\W\d_](?![^\W_])")
-_END = re.compile(r"[.!?\n]+[\x20\x09-\x0D]+|\n")
+_END = re.compile(r"(?<![.!?])[.!?\n]+[\x20\x09-\x0D]+|\n")
 _MAX_CACHED = 400_000
 _GAPS = np.array([(0, i, j) for i, j in combinations(range(1, SPAN), 2)], np.int64)
 _WEIGHTS = DECAY ** (_GAPS[:, 2] + 1)

@@ -1,7 +1,12 @@
+import re
+import time
 from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from rideloom.llm import toxicity as tox
 from rideloom.llm.queries import op9_toxicity
@@ -67,3 +72,17 @@ def test_edges(spark):
     trained = tox.Model(["idiot"], np.eye(1), np.array([4.0]), -2.0)
     scores = [(r.doc_id, r.predicted) for r in tox.score(docs, trained).collect()]
     assert sorted(scores, key=str) == [(1, 0), (1, 0), (2, 1), (2, 1), (None, 0)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a.!?\n \t", max_size=30))
+def test_sentences_end_as_the_plain_pattern_says(text):
+    plain = re.compile(r"[.!?\n]+[\x20\x09-\x0D]+|\n")
+    assert tox._END.split(text) == plain.split(text)
+
+
+@pytest.mark.parametrize("text", ["." * 1_000_000 + "x", "a" * 1_000_000, "語" * 1_000_000, "!\n" * 500_000 + "x"])
+def test_very_long_texts_are_split_in_linear_time(text):
+    begin = time.perf_counter()
+    tox._END.split(text)
+    assert time.perf_counter() - begin < 2
