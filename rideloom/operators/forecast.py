@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,8 +42,9 @@ def fit_demand_gbt(
 ) -> PipelineModel:
     """Boosted trees on log1p(trips), as many as serve the validation rows best.
 
-    The library stops at the first round without gain; the full ensemble is scored round by round on
-    the validation rows instead and refitted with the best number of rounds.
+    The library stops at the first round without gain; the full ensemble is scored round by round on the validation
+    rows instead and cut after the best round. Rounds do not depend on later ones, so the result is that of a fit
+    with so many rounds.
     """
     def labelled(df: DataFrame) -> DataFrame:
         return df.withColumn("label", F.log1p(F.col("trips").cast("double")))
@@ -58,8 +59,20 @@ def fit_demand_gbt(
     full = trees.fit(vectors)
     losses = full.evaluateEachIteration(prepared.transform(check_rows).select("features", "label"), "squared")
     best = min(range(len(losses)), key=losses.__getitem__) + 1
-    model = full if best == max_iter else trees.copy({trees.maxIter: best}).fit(vectors)
-    return PipelineModel(stages=[*prepared.stages, model])
+    return PipelineModel(stages=[*prepared.stages, first_rounds(full, best)])
+
+
+def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The ensemble of the first ``rounds`` trees of a fitted one."""
+    if not 1 <= rounds <= model.getNumTrees:
+        raise ValueError(f"rounds must be 1..{model.getNumTrees}")
+    spark = SparkSession.getActiveSession()
+    regression, gateway = spark._jvm.org.apache.spark.ml.regression, spark.sparkContext._gateway
+    trees = gateway.new_array(regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(spark._jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(model.trees[:rounds], model.treeWeights, strict=False)):
+        trees[i], weights[i] = tree._java_obj, weight
+    return GBTRegressionModel(regression.GBTRegressionModel(model.uid, trees, weights, model.numFeatures))
 
 
 def predict_demand(model: PipelineModel, df: DataFrame) -> DataFrame:

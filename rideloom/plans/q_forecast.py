@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rideloom.functions.measures import clip_error, improvement_pct
-from rideloom.operators import forecast, grid
+from rideloom.operators import forecast, grid, quantile_trees
 from rideloom.operators.geo import distance_join
 from rideloom.plans.catalog import query, r6
 from rideloom.plans.sql import with_views
@@ -257,6 +257,27 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query("quantile_trees", with_views("features", body=f"""
+  SELECT n, TRUE AS ordered, TRUE AS near_eighty, TRUE AS beats_constant_lo, TRUE AS beats_constant_hi FROM {_TEST_ROWS}"""))
+def _(t: Tables) -> DataFrame:
+    """What must hold of the 10 % and 90 % trees: ordered, four rows of five inside, closer than one value for all."""
+    rows = _model_rows(t)
+    model = quantile_trees.fit_quantile_trees(rows["train"], rows["valid"], grid.FEATURES, rounds=7, depth=3, step=0.4)
+    band = quantile_trees.predict_band(model, rows["test"])
+    fixed = rows["train"].agg(F.percentile("trips", F.array(F.lit(0.1), F.lit(0.9)))).first()[0]
+
+    def loss(pred, alpha: float):
+        rest = F.col("trips") - pred
+        return F.avg(F.greatest(rest * alpha, rest * (alpha - 1)))
+
+    inside = F.avg(F.col("trips").between(F.col("q_lo"), F.col("q_hi")).cast("int"))
+    return band.agg(
+        F.count("*").alias("n"), F.bool_and((F.col("q_lo") <= F.col("q_hi")) & (F.col("q_lo") >= 0)).alias("ordered"),
+        inside.between(0.6, 0.95).alias("near_eighty"),
+        (loss(F.col("q_lo"), 0.1) < loss(F.lit(fixed[0]), 0.1)).alias("beats_constant_lo"),
+        (loss(F.col("q_hi"), 0.9) < loss(F.lit(fixed[1]), 0.9)).alias("beats_constant_hi"))
+
+
 @query("importance_top_k", f"""
   SELECT CAST(range + 1 AS INTEGER) AS rank, TRUE AS falling, TRUE AS total_is_one FROM range({len(grid.FEATURES)})""")
 def _(t: Tables) -> DataFrame:

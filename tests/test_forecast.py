@@ -4,9 +4,12 @@ from datetime import date
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from rideloom.operators import forecast, grid
+from rideloom.operators import quantile_trees as qt
 
 COLUMNS = ("zone", "hour", "weekday", "lag_1", "lag_7", "lag7mean", "neighbor_lag1_mean", "temperature_2m")
 
@@ -100,3 +103,53 @@ def test_weather_buckets(spark):
         "dry": (2, 15.0, 1, 1), "wet": (2, 5.0, 2, 2), "snow": (1, 4.0, 1, 1),
         "-20..0": (3, 34 / 3, 2, 1), "0..10": (1, 6.0, 1, 1),
     }
+
+
+def test_cut_ensemble_equals_a_shorter_fit(split):
+    rows = split["train"].select("hour", "lag_1", "lag_7", F.col("trips").cast("double").alias("label"))
+    vectors = VectorAssembler(inputCols=["hour", "lag_1", "lag_7"], outputCol="features").transform(rows).cache()
+    trees = GBTRegressor(maxIter=6, maxDepth=3, subsamplingRate=0.8, seed=7)
+    full, short = trees.fit(vectors), trees.copy({trees.maxIter: 3}).fit(vectors)
+    cut = forecast.first_rounds(full, 3)
+    assert cut.getNumTrees == 3
+    a = [r["prediction"] for r in short.transform(vectors).orderBy("hour", "lag_1", "lag_7", "label").collect()]
+    b = [r["prediction"] for r in cut.transform(vectors).orderBy("hour", "lag_1", "lag_7", "label").collect()]
+    assert a == b and a != [r["prediction"] for r in full.transform(vectors).orderBy("hour", "lag_1", "lag_7", "label").collect()]
+    with pytest.raises(ValueError):
+        forecast.first_rounds(full, 7)
+
+
+def test_quantile_trees_cover_four_of_five(split):
+    model = qt.fit_quantile_trees(split["train"], split["valid"], COLUMNS, rounds=8, depth=3, step=0.4)
+    band = qt.predict_band(model, split["test"]).collect()
+    share = sum(r["q_lo"] <= r["trips"] <= r["q_hi"] for r in band) / len(band)
+    assert all(0 <= r["q_lo"] <= r["q_hi"] for r in band) and len(band) == split["test"].count()
+    assert 0.65 < share < 0.95
+    assert sum(map(len, model.trees)) > 4
+
+
+def test_first_tree_by_hand(spark):
+    """One stump: the split with the greatest gain of pinball gradients, the residuals' quantile in its leaves."""
+    rng = np.random.default_rng(8)
+    rows = [(float(x), None if x % 7 == 0 else float(z), int(5 + (x > 11) * 20 + rng.integers(0, 6))) for x, z in zip(
+        rng.integers(0, 20, 400), rng.integers(0, 5, 400))]
+    df = spark.createDataFrame([*rows, (1.0, 1.0, None)], "x double, z double, trips int")
+    model = qt.fit_quantile_trees(df, df.limit(0), ["x", "z"], quantiles=(0.1, 0.5), rounds=1, depth=1, step=1.0, least_rows=5)
+    assert [len(t) for t in model.trees] == [0, 0]  # no validation rows: nothing shows that a tree helps
+    model = qt.fit_quantile_trees(df, df, ["x", "z"], quantiles=(0.1, 0.5), rounds=1, depth=1, step=1.0, least_rows=5)
+    y = np.log1p([r[2] for r in rows])
+    for q, alpha in enumerate((0.1, 0.5)):
+        g = np.where(abs(y - model.first[q]) < 1e-9, 0, alpha - (y < model.first[q]))
+        gains = {}
+        for column in (0, 1):
+            bins = np.array([0 if r[column] is None else 1 + sum(r[column] > t for t in model.limits[column]) for r in rows])
+            for b in range(bins.max()):
+                left = bins <= b
+                if 5 <= left.sum() <= len(rows) - 5:
+                    gains[column, b] = g[left].sum() ** 2 / left.sum() + g[~left].sum() ** 2 / (~left).sum() - g.sum() ** 2 / len(g)
+        tree = model.trees[q][0]
+        assert gains[tree.splits[1]] == pytest.approx(max(gains.values()))
+        column, b = tree.splits[1]
+        left = np.array([(0 if r[column] is None else 1 + sum(r[column] > t for t in model.limits[column])) <= b for r in rows])
+        for leaf, part in ((2, left), (3, ~left)):
+            assert tree.values[leaf] == pytest.approx(np.quantile(y[part] - model.first[q], alpha, method="inverted_cdf"))
