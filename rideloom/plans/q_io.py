@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from rideloom.plans.q_quality import _NO_NULL_KEYS, flat_families
 from rideloom.plans.sql import with_views
 from rideloom.plans.tables import MONTH, RULES, Tables
 from rideloom.schema import RAW_FIELDS, SUM4
-from rideloom.sources import archive, documents, drift, manifest, publish, registry, snapshots, trips
+from rideloom.sources import archive, documents, drift, hashtree, manifest, publish, registry, snapshots, trips
 from rideloom.workspace import fresh_folder
 
 
@@ -86,6 +88,48 @@ def _(t: Tables) -> DataFrame:
     return manifest.manifest_differences(t.spark, path, altered).groupBy("status").agg(F.count("*").alias("shards"))
 
 
+@query("manifest_document", f"""
+  SELECT '{MONTH}' AS month, CAST(count(*) AS BIGINT) AS source_rows, CAST(least(count(*), 700) AS BIGINT) AS rows,
+    CAST(700 AS INTEGER) AS requested_rows, CAST(100 AS INTEGER) AS shard_rows, '{", ".join(RAW_FIELDS)}' AS columns, TRUE AS whole, TRUE AS refused
+  FROM events""")
+def _(t: Tables) -> DataFrame:
+    """A dataset of the first 700 rows, opened twice; a request for other rows is refused."""
+    folder = fresh_folder(t.spark, "dataset")
+    request = hashtree.Request(MONTH, "events", 700, 100, RAW_FIELDS)
+
+    def make() -> int:
+        trips.write_shards(trips.head_sample(t.raw, ("event_id",), 700).select(*RAW_FIELDS), folder, 100)
+        return t.raw.count()
+
+    hashtree.open_dataset(t.spark, folder, request, make, chunk_bytes=1000)
+    found = hashtree.open_dataset(t.spark, folder, request, make, chunk_bytes=1000)
+    try:
+        hashtree.open_dataset(t.spark, folder, replace(request, requested_rows=0), make)
+        refused = False
+    except hashtree.OtherRequest:
+        refused = True
+    shards = hashtree.shard_digests(hashtree.known_chunks(t.spark, folder))
+    return shards.agg(F.sum("rows").alias("rows"), (F.sum("bytes") == found["bytes"]).alias("whole")).select(
+        F.lit(found["month"]).alias("month"), F.lit(found["source_rows"]).cast("long").alias("source_rows"), "rows",
+        F.lit(found["requested_rows"]).alias("requested_rows"), F.lit(found["shard_rows"]).alias("shard_rows"),
+        F.lit(", ".join(found["columns"])).alias("columns"), "whole", F.lit(refused).alias("refused"))
+
+
+@query("chunk_differences", """
+  SELECT * FROM (VALUES ('corrupted', CAST(2 AS BIGINT)), ('missing', CAST(0 AS BIGINT)), ('unexpected', CAST(1 AS BIGINT))) v(status, chunk)""")
+def _(t: Tables) -> DataFrame:
+    """All events as shards against a manifest with one altered, one lacking and one invented chunk."""
+    folder = fresh_folder(t.spark, "dataset")
+    trips.write_shards(t.raw.select(*RAW_FIELDS), folder, 5000)
+    hashtree.publish_manifest(t.spark, folder, hashtree.Request(MONTH, "events", 0, 5000, RAW_FIELDS), t.raw.count(), chunk_bytes=16_000)
+    known = hashtree.known_chunks(t.spark, folder)
+    first = known.agg(F.min("name")).scalar()
+    altered = known.filter((F.col("name") != first) | (F.col("chunk") != 1)).withColumn("sha256", F.when(
+        (F.col("name") == first) & (F.col("chunk") == 2), F.reverse("sha256")).otherwise(F.col("sha256")))
+    invented = known.limit(1).withColumns({"name": F.lit("part-none"), "chunk": F.lit(0).cast("long")})
+    return hashtree.chunk_differences(t.spark, folder, altered.unionByName(invented)).select("status", "chunk")
+
+
 @query("fingerprint_publish", with_views("trips", body="""
   SELECT event_id, zone, dest, hour, CAST(day AS VARCHAR) AS day, distance_milli_miles, seconds, cents, FALSE AS again FROM trips"""))
 def _(t: Tables) -> DataFrame:

@@ -1,6 +1,8 @@
 """Sources and sinks: shards, manifests, documents, archive, publishing."""
 
+from dataclasses import replace
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -11,7 +13,7 @@ from rideloom.operators.quality import classify_rejects, typed_parse
 from rideloom.operators.sets import symmetric_difference
 from rideloom.plans.tables import MONTH, RULES, Tables
 from rideloom.schema import RAW_FIELDS, SUM4
-from rideloom.sources import archive, documents, drift, manifest, publish, registry, snapshots, trips
+from rideloom.sources import archive, documents, drift, hashtree, manifest, publish, registry, snapshots, trips
 from rideloom.workspace import create_text, exists, fresh_folder, list_names, shared_root
 
 
@@ -270,3 +272,56 @@ def test_thousands_of_files_give_one_scan_a_schema(spark):
     assert drift.file_schemas(spark, path).select("signature").distinct().count() == 4
     with pytest.raises(ValueError):
         drift.read_drifting(spark, f"{path}/other")
+
+
+def test_hash_tree_by_hand(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    monkeypatch.setattr(hashtree, "FAN_OUT", 3)
+    sha = lambda x: hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
+    content = {"part-0": b"a,b\n" * 57, "part-1": b"", "part-2": b"x\n" * 5}
+    for name, raw in content.items():
+        (tmp_path / name).write_bytes(raw)
+    chunks = hashtree.chunk_hashes(spark, str(tmp_path), 10)
+    del content["part-1"]  # no rows, no chunks
+    want = {(n, i, raw[i * 10 : i * 10 + 10]) for n, raw in content.items() for i in range(max(1, -(-len(raw) // 10)))}
+    assert {tuple(r) for r in chunks.collect()} == {(n, i, len(b), b.count(b"\n"), sha(b)) for n, i, b in want}
+
+    def root(raw):
+        level = [sha(raw[i : i + 10]) for i in range(0, max(len(raw), 1), 10)]
+        for _ in range(3):  # all shards have the height of the tallest
+            level = [sha("\n".join(level[i : i + 3])) for i in range(0, len(level), 3)]
+        return level[0]
+
+    got = {r["name"]: (r["chunks"], r["bytes"], r["rows"], r["digest"]) for r in hashtree.shard_digests(chunks).collect()}
+    assert got == {n: (max(1, -(-len(raw) // 10)), len(raw), raw.count(b"\n"), root(raw)) for n, raw in content.items()}
+
+
+def test_dataset_is_checked_before_it_is_used_again(spark, t):
+    folder, made = fresh_folder(spark, "test-dataset"), []
+    request = hashtree.Request(MONTH, "events", 0, 300, RAW_FIELDS)
+
+    def make():
+        made.append(1)
+        trips.write_shards(t.raw.select(*RAW_FIELDS), folder, 300)
+        return t.raw.count()
+
+    first = hashtree.open_dataset(spark, folder, request, make, 5000)
+    assert hashtree.open_dataset(spark, folder, request, make, 5000) == first and made == [1]
+    assert (first["rows"], first["source_rows"], first["sampling"]) == (t.events.count(), t.events.count(), "all rows")
+    for other in ({"requested_rows": 5}, {"shard_rows": 301}, {"columns": RAW_FIELDS[:5]}, {"source": "x"}):
+        with pytest.raises(hashtree.OtherRequest, match=next(iter(other))):
+            hashtree.open_dataset(spark, folder, replace(request, **other), make)
+    path = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).agg(F.min("path")).first()[0]
+    local = path.removeprefix("file:")
+    raw = bytearray(open(local, "rb").read())
+    raw[7000] ^= 1
+    open(local, "wb").write(raw)
+    Path(local).with_name(f".{Path(local).name}.crc").unlink(missing_ok=True)
+    name = local.rsplit("/", 1)[1]
+    with pytest.raises(hashtree.Corrupted, match=rf"{name}', 1, 'corrupted'"):
+        hashtree.open_dataset(spark, folder, request, make)
+    Path(local).unlink()
+    assert {r["status"] for r in hashtree.chunk_differences(spark, folder).collect()} == {"missing"}
+    with pytest.raises(ValueError, match="requested_rows"):
+        hashtree.Request(MONTH, "events", -1, 300, RAW_FIELDS)
