@@ -38,6 +38,21 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Remove tables written by ``cut_lineage`` that nothing will read again, and let Spark drop unused shuffle files.
+
+    What is passed may read several of them; files elsewhere stay.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        own = session_folder(spark)
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            if own.split(":", 1)[-1].lstrip("/") in folder:
+                remove(spark, folder)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
+
+
 def _path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
