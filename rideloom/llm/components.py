@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rideloom.workspace import cut_lineage
+from rideloom.workspace import cut_lineage, forget
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -29,11 +29,14 @@ def connected(edges: DataFrame) -> DataFrame:
         steps.append(cut_lineage(hooked, "hooked"))
         at = lambda c: steps[-1].select(F.col("node").alias(c), F.col("to").alias(f"to_{c}"))  # noqa: B023, E731
         moved = rest.join(at("a"), "a").join(at("b"), "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
-        rest = cut_lineage(moved.filter("a <> b").distinct(), "edges")
+        before, rest = rest, cut_lineage(moved.filter("a <> b").distinct(), "edges")
+        if turn:
+            forget(before)
     home = steps[0]
     for step in steps[1:]:
         step = step.select(F.col("node").alias("to"), F.col("to").alias("next"))
         home = home.join(step, "to", "left").select("node", F.coalesce("next", "to").alias("to"))
     home = cut_lineage(home, "components")
+    forget(rest, *steps)
     least = home.groupBy("to").agg(F.min("node").alias("component"))
     return home.join(least, "to").select("node", "component")

@@ -7,11 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rideloom.llm.batches import WordHashes, grams, mixed, signed, text_chunks, with_columns
 from rideloom.llm.components import connected
-from rideloom.workspace import cut_lineage
+from rideloom.workspace import cut_lineage, forget
 
 #: Both ends of each permutation go into the signature: 64 permutations give 32 bands of 4 values. A pair at
 #: similarity s shares a band with probability 1 - (1 - s**4)**32; at 0.8 it is missed once in 20 million.
@@ -19,6 +20,8 @@ PERMUTATIONS, BAND_ROWS = 64, 4
 #: One bit of each signature value makes a sketch of 128 bits; at similarity s bits agree with probability
 #: (1 + s) / 2. A pair at 0.8 agrees in fewer than this many once in ten million.
 LEAST_AGREEING = 95
+#: Pairs of one document that are confirmed in one task.
+LEAVES = 256
 #: Comparisons left for the last, exhaustive round, per member of a bucket, before another pivot is worth it.
 FEW = 8
 PIVOT_ROUNDS = 8
@@ -88,102 +91,160 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
         run, "doc_id long, n_shingles long, name_a long, name_b long, sketch_a long, sketch_b long, bands array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """The full shingle sets of the documents named in ``ids``."""
+def _compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The full sets of each pair (``hub``, ``leaf``) side by side.
+
+    Columns: the pair, ``linked`` (at least ``percent`` of their union in common), ``lacks`` (a bit for each of the hub's
+    shingles: the leaf has it not) and ``own`` (the leaf's shingles that the hub has not). A text travels to the places where it
+    is compared, a hub's once for every ``LEAVES`` of its pairs, so a hub with many pairs is dealt over many tasks and
+    no row carries two texts. Sets are built where the texts arrive. Ids with several texts give a row for each of them.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, at, sets = WordHashes(), None, []
         for rows, texts in text_chunks(batches):
-            sets = pa.array([shingle_set(t, size, hashes).tobytes() for t in texts], pa.binary())
-            yield with_columns(rows, ["doc_id"], shingles=sets)
+            out: list[tuple[int, int, bool, np.ndarray, np.ndarray]] = []
+            for hub, salt, leaf, text in zip(*(rows.column(i).to_pylist() for i in range(3)), texts, strict=True):
+                if (hub, salt) != at:
+                    at, sets = (hub, salt), []
+                shingles = shingle_set(text, size, hashes)
+                if leaf is None:
+                    sets.append(shingles)
+                    continue
+                for other in sets:
+                    own, lacks = shingles[~_among(shingles, other)], ~_among(other, shingles)
+                    common = len(shingles) - len(own)
+                    linked = bool(common) and 100 * common >= percent * (len(other) + len(own))
+                    bits = np.packbits(np.concatenate([lacks, np.zeros(-len(lacks) % 64, bool)])).view(np.uint64)
+                    out.append((hub, leaf, linked, bits, own))
+            kinds = (pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)), *(_lists([x[i] for x in out]) for i in (3, 4))],
+                names=["hub", "leaf", "linked", "lacks", "own"])
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chosen = narrow.join(ids.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi")
-    return cut_lineage(chosen.mapInArrow(run, "doc_id long, shingles binary"), "shingle-sets")
+    hubs = pairs.groupBy("hub").agg(F.ceil(F.count("*") / LEAVES).alias("parts"))
+    placed = pairs.join(hubs, "hub").select(
+        "hub", F.pmod(F.xxhash64("leaf"), F.col("parts")).cast("int").alias("salt"), "leaf", F.col("leaf").alias("doc_id"))
+    copies = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("salt"))
+    wanted = placed.union(copies.select("hub", "salt", F.lit(None).cast("long"), F.col("hub").alias("doc_id")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    met = texts.join(wanted, "doc_id").select("hub", "salt", "leaf", "text")
+    dealt = met.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.asc_nulls_first("leaf"))
+    return dealt.mapInArrow(run, "hub long, leaf long, linked boolean, lacks array<long>, own array<long>")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full sets have at least ``percent`` of their union in common."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            links = []
-            for one, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                small, large = sorted((np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)), key=len)
-                if 100 * len(small) < percent * len(large):
-                    links.append(False)
-                    continue
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                common = int((large[at] == small).sum())
-                links.append(100 * common >= percent * (len(small) + len(large) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
-                pa.array(links, pa.bool_()))
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), signed(np.concatenate([np.zeros(0, np.uint64), *values])))
+
+
+def _among(values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of the sorted ``values`` are in ``others``, also sorted."""
+    if not len(others):
+        return np.zeros(len(values), bool)
+    return others[np.minimum(np.searchsorted(others, values), len(others) - 1)] == values
 
-    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
-    return both.mapInArrow(run, "a long, b long")
 
+def _links_of(compared: DataFrame) -> DataFrame:
+    return compared.filter("linked").select(F.least("hub", "leaf").alias("a"), F.greatest("hub", "leaf").alias("b")).distinct()
 
-def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+
+def _deviations(compared: DataFrame) -> DataFrame:
+    """How each leaf deviates from its hub: the number of its own shingles, those that another leaf has too, and what it lacks.
+
+    Pairs with several texts are left out, and so nothing is concluded about them.
+    """
+    once = compared.groupBy("hub", "leaf").agg(F.count("*").alias("n"), F.first("own").alias("own"), F.first("lacks").alias("lacks")).filter("n = 1")
+    each = once.select("hub", "leaf", F.explode("own").alias("shingle"))
+    shared = each.groupBy("hub", "shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    told = each.join(shared, ["hub", "shingle"]).groupBy("hub", "leaf").agg(F.count("*").alias("met"))
+    return once.join(told, ["hub", "leaf"], "left").select(
+        "hub", F.col("leaf").alias("doc"), F.struct(F.size("own").alias("own"), "lacks", F.coalesce("met", F.lit(0)).alias("met")).alias("off"))
+
+
+def _links(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed pairs that connect whatever the buckets' pairs connect, without listing all pairs.
 
-    ``members`` has ``key``, ``doc`` and ``about`` (size and sketch of its set). In every round each bucket
-    compares one pivot with the members outside the pivot's component: first its smallest id, later one
-    that is still apart from it. Buckets whose members are in one component are done, and so are members that were a pivot or that sizes and
-    sketches set too far apart from all others. Once few comparisons are left, or after ``PIVOT_ROUNDS``,
-    all of them are made, so no pair is left out.
+    ``members`` has ``key``, ``doc``, ``about`` (size and sketch of its set) and ``weight`` (members of all its buckets).
+    In every round each bucket compares one pivot with the members outside the pivot's component. The first pivot, the
+    bucket's hub, is the member of greatest weight: of texts that were changed here and there the one that the others come
+    from meets most of them, so one round settles nearly all. Later pivots are members that are still apart. Buckets
+    whose members are in one component are done, and so are members that were a pivot or that cannot link with any member of
+    another component: sizes and sketches are too far apart, or their deviations from the hub, known since the first round,
+    have too little in common. Once few comparisons are left, a round has linked few, or after ``PIVOT_ROUNDS``, all
+    of them are made, so no pair is left out. Tables of a round are removed once the next one has been written.
     """
-    pivots = members.groupBy("key").agg(F.min_by(F.struct("doc", "about"), "doc").alias("pivot"))
-    pairs = _near(members, pivots.select("key", "pivot.*"), percent)
-    found = tried = cleared = None
-    turn, last = 0, False
+    weight = F.struct("weight", -F.col("doc"))
+    hubs = members.groupBy("key").agg(F.max_by(F.struct("doc", "about"), weight).alias("pivot")).select("key", "pivot.*")
+    hubs = cut_lineage(hubs, "hubs")
+    all_members = members.join(hubs.select("key", F.col("doc").alias("hub")), "key")
+    pairs = cut_lineage(all_members.filter("doc <> hub").select("hub", F.col("doc").alias("leaf")).distinct(), "candidate-pairs")
+    compared = cut_lineage(_compared(pairs, docs, size, percent), "compared-pairs")
+    found = cut_lineage(_links_of(compared), "links")
+    off = cut_lineage(_deviations(compared), "deviations")
+    forget(compared)
+    tried, cleared, turn, stale = pairs, hubs.select("key", "doc"), 1, []
+    members = all_members
+    gained = None
     while True:
-        pairs = cut_lineage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "candidate-pairs")
-        new = cut_lineage(_confirmed(pairs, sets, percent), "links")
-        found = new if found is None else found.union(new)
-        tried = pairs if tried is None else tried.union(pairs)
-        if last:
-            return found
-        turn += 1
         homes = connected(found).select(F.col("node").alias("doc"), "component")
         placed = members.join(homes, "doc", "left").withColumn("at", F.coalesce("component", "doc")).drop("component")
-        placed = cut_lineage(placed, "placed-members")
         parted = placed.groupBy("key").agg(
-            F.min("at").alias("low"), F.max("at").alias("high"), F.min_by("at", "doc").alias("main"),
+            F.min("at").alias("low"), F.max("at").alias("high"), F.max_by("at", weight).alias("main"),
         ).filter("low < high").select("key", "main")
-        inside = placed.join(parted, "key")
-        outside = inside.filter("at <> main").alias("y")
-        if cleared is not None:
-            outside = outside.join(cleared, ["key", "doc"], "left_anti").alias("y")
-        outside = cut_lineage(outside.join(placed.alias("x"), _may_link(percent, True), "left_semi"), "open-members")
+        inside = cut_lineage(placed.join(parted, "key").join(off, ["hub", "doc"], "left"), "parted-buckets")
+        forget(homes, *stale)
+        outside = inside.filter("at <> main").join(cleared, ["key", "doc"], "left_anti")
+        outside = cut_lineage(outside.alias("y").join(inside.alias("x"), _may_link(percent, True), "left_semi"), "open-members")
+        stale = [inside, outside]
         open_buckets = outside.groupBy("key").agg(F.count("*").alias("apart"))
-        sizes = placed.groupBy("key").agg(F.count("*").alias("n")).join(open_buckets, "key")
-        left, rows = sizes.agg(F.sum(F.col("apart") * F.col("n")), F.sum("n")).first()
+        sizes = inside.groupBy("key").agg(F.count("*").alias("n")).join(open_buckets, "key")
+        left, rows, apart = sizes.agg(F.sum(F.col("apart") * F.col("n")), F.sum("n"), F.sum("apart")).first()
         if not left:
-            return found
-        last = left <= FEW * rows or turn >= PIVOT_ROUNDS
+            break
+        last = left <= FEW * rows or turn >= PIVOT_ROUNDS or (gained is not None and FEW * gained < apart)
+        if last:
+            pivots = outside
+        else:
+            pivots = outside.groupBy("key").agg(F.min_by(
+                F.struct("doc", "about", "at", "off"), F.struct(F.xxhash64("doc", F.lit(turn)), "doc")).alias("pivot"))
+            pivots = cut_lineage(pivots.select("key", "pivot.*"), "pivots")
+            cleared = cleared.union(pivots.select("key", "doc"))
+        pairs = cut_lineage(_near(inside, pivots, percent).join(tried, ["hub", "leaf"], "left_anti"), "candidate-pairs")
+        new = cut_lineage(_links_of(_compared(pairs, docs, size, percent)), "links")
+        found, gained = found.union(new), new.count()
+        tried, turn = tried.union(pairs), turn + 1
         if last:
-            pairs = _near(placed, outside, percent)
-            continue
-        pivots = outside.groupBy("key").agg(F.min_by(
-            F.struct("doc", "about", "at"), F.struct(F.xxhash64("doc", F.lit(turn)), "doc")).alias("pivot"))
-        pivots = cut_lineage(pivots.select("key", "pivot.*"), "pivots")
-        cleared = pivots.select("key", "doc") if cleared is None else cleared.union(pivots.select("key", "doc"))
-        pairs = _near(placed, pivots, percent)
+            break
+    forget(tried, off, hubs, *stale)
+    return found
 
 
 def _may_link(percent: int, placed: bool):
-    """Whether sizes and sketches of two members ``x`` and ``y`` of a bucket, in different components, allow a link."""
+    """Whether two members ``x`` and ``y`` of a bucket, in different components, may be linked for all that is known.
+
+    With D shingles in one of two sets only and n in both counts together, they are linked if (100 + percent) * D is at
+    most (100 - percent) * n. D is the number of the hub's shingles that one of them lacks, and of the own shingles of both
+    (beyond the hub's) that the other has not; of these at most as many are common as any other leaf shares.
+    """
     agree = 128 - sum(F.bit_count(F.col(f"x.about.{s}").bitwiseXOR(F.col(f"y.about.{s}"))) for s in (
         "sketch_a", "sketch_b"))
     n, m = F.col("x.about.n_shingles"), F.col("y.about.n_shingles")
     meets = (F.col("x.key") == F.col("y.key")) & (F.col("x.doc") != F.col("y.doc"))
     meets &= (100 * n >= percent * m) & (100 * m >= percent * n) & (agree >= LEAST_AGREEING)
-    return meets & (F.col("x.at") != F.col("y.at")) if placed else meets
+    if not placed:
+        return meets
+    of = lambda side, name: F.col(f"{side}.off.{name}")
+    apart = of("x", "own") + of("y", "own") - 2 * F.least(of("x", "met"), of("y", "met"))
+    differ = F.aggregate(
+        F.zip_with(of("x", "lacks"), of("y", "lacks"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    fits = lambda d: F.coalesce((100 + percent) * d <= (100 - percent) * (n + m), F.lit(True))
+    return meets & (F.col("x.at") != F.col("y.at")) & fits(apart) & fits(apart + differ)
 
 
 def _near(many: DataFrame, few: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that may link, smaller id first."""
+    """Pairs of a bucket that may link: one of the ``few`` as hub, one of the ``many`` as leaf."""
     pairs = many.alias("x").join(few.alias("y"), _may_link(percent, "at" in many.columns))
-    return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    return pairs.select(F.col("y.doc").alias("hub"), F.col("x.doc").alias("leaf")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -200,12 +261,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     first = cut_lineage(named.groupBy("name_a", "name_b").agg(
         F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n_shingles", "sketch_a", "sketch_b", "bands")],
     ), "distinct-sets")
-    keyed = first.select(
-        F.explode("bands").alias("key"), "doc", F.struct("n_shingles", "sketch_a", "sketch_b").alias("about"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = cut_lineage(keyed.join(shared, "key", "left_semi"), "bucket-members")
-    sets = _sets(docs, members.select("doc").distinct(), size)
-    homes = connected(_links(members, sets, percent)).select(F.col("node").alias("doc"), "component")
+    keyed = first.select(F.explode("bands").alias("key"), "doc")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    met = cut_lineage(keyed.join(shared, "key"), "shared-buckets")
+    about = first.select("doc", F.struct("n_shingles", "sketch_a", "sketch_b").alias("about"))
+    weighed = met.withColumn("weight", F.sum("n").over(W.partitionBy("doc"))).drop("n")
+    members = cut_lineage(weighed.join(about, "doc"), "bucket-members")
+    forget(met)
+    homes = connected(_links(members, docs, size, percent)).select(F.col("node").alias("doc"), "component")
+    forget(members)
     groups = first.select("name_a", "name_b", "doc").join(homes, "doc", "left").select(
         "name_a", "name_b", F.coalesce("component", "doc").alias("component"))
     whole = features.select("doc_id", "n_shingles", "name_a", "name_b").join(groups, ["name_a", "name_b"], "left")
