@@ -103,6 +103,8 @@ def fit_quantile_trees(
     limits = known.approxQuantile(cols, [i / bins for i in range(1, bins)], 0.001)
     model = QuantileTrees(cols, [sorted(set(x)) for x in limits], list(quantiles), [], [[] for _ in quantiles])
     model.first = known.agg(F.percentile_approx(label, list(quantiles), 10_000)).first()[0]
+    if model.first is None:
+        raise ValueError("no rows to train on")
     sums = [F.lit(float(v)).alias(f"p{q}") for q, v in enumerate(model.first)]
     kept = ["y", *[f"b{i}" for i in range(len(cols))]]
     table = cut_lineage(model.binned(known, label).select(*kept, *sums), "quantile-bins")

@@ -350,6 +350,18 @@ def _(t: Tables) -> DataFrame:
     return back.select("id", "name", "borough", "trips", r6("avg_distance_km"), r6("avg_minutes"), r6("avg_amount"))
 
 
+@query("expire_runs", with_views("families", body="""
+  SELECT kind, CAST(sum(trips) AS BIGINT) AS trips, CAST(count(*) AS BIGINT) AS rows, CAST(1 AS INTEGER) AS removed FROM families GROUP BY kind"""))
+def _(t: Tables) -> DataFrame:
+    """A month published twice: the first run is removed, the second one is whole."""
+    root, families = fresh_folder(t.spark, "retention"), fam.key_families(t.trips)
+    publish.publish_result(families.filter("kind = 'D'"), MONTH, root)
+    publish.publish_result(families, MONTH, root)
+    gone = publish.expire_runs(t.spark, root, min_age=0)
+    return publish.read_result(t.spark, root, MONTH).groupBy("kind").agg(
+        F.sum("trips").alias("trips"), F.count("*").alias("rows")).withColumn("removed", F.lit(len(gone)))
+
+
 @query("publish_result", with_views("families", body=f"SELECT {_NO_NULL_KEYS} FROM families"))
 def _(t: Tables) -> DataFrame:
     """Publish an earlier month and this one twice; read the latest."""

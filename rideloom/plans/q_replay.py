@@ -9,6 +9,7 @@ from rideloom.operators.ranking import top_k_per_frame
 from rideloom.plans.catalog import query, r6
 from rideloom.plans.sql import with_views
 from rideloom.plans.tables import MONTH, RULES, Tables, raw_fields
+from rideloom.schema import REASONS
 from rideloom.streaming import replay, streams
 from rideloom.workspace import fresh_folder, is_folder
 
@@ -169,3 +170,15 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     fields = raw_fields(event_stream(t).withColumn("ts", F.col("wall")))
     return streams.run_upserts(streams.stream_quality(fields, MONTH, RULES), ["reason"])
+
+
+@query("stream_counters", with_views("classified", "trips", body=f"""
+  SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(count(*) FILTER (WHERE reason IS NULL) AS BIGINT) AS valid_rows,
+    {", ".join(f"CAST(count(*) FILTER (WHERE reason = '{name}') AS BIGINT) AS {name}" for name in REASONS)},
+    (SELECT CAST(count(*) AS BIGINT) FROM trips) AS written, (SELECT CAST(sum(cents) AS BIGINT) FROM trips) AS cents FROM classified"""))
+def _(t: Tables) -> DataFrame:
+    """Counters of all micro-batches against the trips that the same batches have written."""
+    trips, counters = streams.run_validated(raw_fields(event_stream(t).withColumn("ts", F.col("wall"))), MONTH, RULES)
+    told = trips.agg(F.struct(F.count("*").alias("written"), F.sum("cents").alias("cents"))).scalar()
+    sums = counters.agg(*[F.sum(name).alias(name) for name in ("input_rows", "valid_rows", *REASONS)])
+    return sums.withColumn("told", told).select(*sums.columns, "told.written", "told.cents")

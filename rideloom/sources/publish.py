@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from rideloom.operators.quality import classify_rejects, typed_parse
 from rideloom.operators.summary import EXPORT_COLUMNS, hourly_profile, summary, zone_ranking
 from rideloom.operators.verify import conservation_check, require_conservation
 from rideloom.schema import SUM4, Rules, month_arg_guard
-from rideloom.workspace import cut_lineage, read_text, replace_text
+from rideloom.workspace import age_seconds, cut_lineage, exists, list_names, read_text, remove, replace_text
 
 
 def write_families(families: DataFrame, path: str) -> None:
@@ -60,6 +62,46 @@ def read_rejects(spark: SparkSession, root: str, month: str | None = None) -> Da
     return spark.read.schema(_REJECTS).parquet(f"{_published(spark, root, month)[1]}/rejects")
 
 
+@contextmanager
+def reading(spark: SparkSession, root: str, month: str | None = None) -> Iterator[DataFrame]:
+    """Families of a month, by default of the one published last, whose files stay until the block ends.
+
+    A lease, one small file, names the run, so :func:`expire_runs` leaves it even if another one is published meanwhile.
+    """
+    lease = f"{root}/leases/{uuid.uuid4().hex}"
+    try:
+        while True:
+            found, run = _published(spark, root, month)
+            replace_text(spark, lease, run.removeprefix(f"{root}/"))
+            if exists(spark, run):  # it may have been removed before the lease was there; then the pointer has moved
+                break
+        yield spark.read.schema(_FAMILIES).parquet(f"{run}/families").withColumn("month", F.lit(found))
+    finally:
+        remove(spark, lease)
+
+
+def expire_runs(spark: SparkSession, root: str, min_age: float = 86_400, lease_age: float = 604_800) -> list[str]:
+    """Remove the runs that no pointer and no lease names; returns their folders.
+
+    Runs changed less than ``min_age`` seconds ago stay: they may be about to be published, or be read without a lease.
+    Leases older than ``lease_age`` belong to readers that are gone and are removed as well.
+    """
+    named = {read_text(spark, f"{root}/months/{m}").split()[1] for m in list_names(spark, f"{root}/months")}
+    if exists(spark, f"{root}/latest"):
+        named.add(read_text(spark, f"{root}/latest").split()[1])
+    for name in list_names(spark, f"{root}/leases"):
+        lease = f"{root}/leases/{name}"
+        if age_seconds(spark, lease) > lease_age:
+            remove(spark, lease)
+        else:
+            named.add(read_text(spark, lease))
+    runs = [f"runs/{month}/{run}" for month in list_names(spark, f"{root}/runs") for run in list_names(spark, f"{root}/runs/{month}")]
+    gone = [f"{root}/{run}" for run in runs if run not in named and age_seconds(spark, f"{root}/{run}") >= min_age]
+    for folder in gone:
+        remove(spark, folder)
+    return gone
+
+
 def run_month(raw: DataFrame, month: str, root: str, rules: Rules = Rules()) -> DataFrame:
     """The monthly job: validate, aggregate, check, publish. Returns the conservation row.
 

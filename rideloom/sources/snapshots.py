@@ -108,11 +108,11 @@ def read_months(
     taken = snapshot(spark, root, version)
     first, last = months or ("", "9999-99")
     folders = [f"{root}/data/{_folder(m, r)}" for m, r in sorted(taken.months.items()) if first <= m <= last]
-    schema = spark.read.parquet(f"{root}/data").schema
+    reader = spark.read.option("basePath", f"{root}/data")
     if folders:
-        df = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*folders)
+        df = reader.schema(reader.parquet(folders[0]).schema).parquet(*folders)
     else:
-        df = spark.createDataFrame([], schema)
+        df = spark.createDataFrame([], reader.parquet(f"{root}/data").schema)
     return df.drop("run") if kind is None else df.select("year", "month", "day", *KIND_COLUMNS[kind], *SUM4[1:])
 
 

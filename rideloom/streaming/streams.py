@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
-from rideloom.operators.quality import classify_rejects, typed_parse
+from rideloom.operators.quality import classify_rejects, fixed_point, quality_counters, typed_parse, valid_rows
 from rideloom.operators.ranking import top_k_per_frame
-from rideloom.schema import Rules
+from rideloom.schema import REASONS, Rules
 from rideloom.workspace import exists, fresh_folder, read_text, remove, replace_text
 
 
@@ -237,3 +238,31 @@ def run_counting_late(sdf: DataFrame, delay_minutes: int = 10, ts: str = "ts", p
         return spark.createDataFrame([], schema)
     stored = spark.read.schema(_with_batch(schema)).parquet(f"{root}/counts")
     return stored.groupBy("minute", "zone").agg(F.sum("trips").alias("trips"), F.sum("late").alias("late"))
+
+
+def run_validated(fields: DataFrame, month: str, rules: Rules = Rules(), path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Run a stream of text fields to its end; typed valid trips, and the counters of every micro-batch.
+
+    The counters (``batch``, ``input_rows``, ``valid_rows``, one column per reason) are observed while the batch's trips are
+    written, so no row is read twice, and stored under the batch's id before the batch is committed: a batch that is
+    repeated after a failure replaces its trips and its counters, and none is counted twice or lost.
+    """
+    spark = fields.sparkSession
+    root = path or fresh_folder(spark, "validated")
+    names = ("input_rows", "valid_rows", *REASONS)
+
+    def typed(batch: DataFrame, seen: Observation) -> DataFrame:
+        return fixed_point(valid_rows(quality_counters(classify_rejects(typed_parse(batch), month, rules), seen)))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation("batch")
+        typed(batch, seen).write.mode("overwrite").parquet(f"{root}/trips/batch={batch_id}")
+        replace_text(spark, f"{root}/counters/{batch_id:020d}", json.dumps({"batch": batch_id, **{n: seen.get[n] for n in names}}))
+
+    _start(fields, "append", write, f"{root}/checkpoint").awaitTermination()
+    trips = typed(spark.createDataFrame([], fields.schema), Observation("none")).schema
+    counters = ", ".join(f"{name} long" for name in ("batch", *names))
+    if not exists(spark, f"{root}/counters"):
+        return spark.createDataFrame([], trips), spark.createDataFrame([], counters)
+    return (spark.read.schema(_with_batch(trips)).parquet(f"{root}/trips").drop("batch"),
+            spark.read.schema(counters).json(f"{root}/counters"))

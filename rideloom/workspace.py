@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -39,7 +40,7 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def forget(*tables: DataFrame) -> None:
-    """Remove tables written by ``cut_lineage`` that nothing will read again, and let Spark drop unused shuffle files.
+    """Remove tables written by ``cut_lineage`` that nothing will read again.
 
     What is passed may read several of them; files elsewhere stay.
     """
@@ -49,8 +50,11 @@ def forget(*tables: DataFrame) -> None:
         for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
             if own.split(":", 1)[-1].lstrip("/") in folder:
                 remove(spark, folder)
-    if tables:
-        tables[0].sparkSession._jvm.System.gc()
+
+
+def drop_unused_shuffles(spark: SparkSession) -> None:
+    """Let Spark find out now, and not at the driver's next full collection, which shuffle files nothing refers to."""
+    spark._jvm.System.gc()
 
 
 def _path(spark: SparkSession, path: str):
@@ -74,6 +78,12 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since a file or folder was last changed, by the clock of this machine."""
+    files, target = _path(spark, path)
+    return time.time() - files.getFileStatus(target).getModificationTime() / 1000
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Put ``text`` into a small file; readers see the old or the new content, never a part."""
     files, target = _path(spark, path)

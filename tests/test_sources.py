@@ -325,3 +325,32 @@ def test_dataset_is_checked_before_it_is_used_again(spark, t):
     assert {r["status"] for r in hashtree.chunk_differences(spark, folder).collect()} == {"missing"}
     with pytest.raises(ValueError, match="requested_rows"):
         hashtree.Request(MONTH, "events", -1, 300, RAW_FIELDS)
+
+
+def test_runs_without_a_pointer_are_expired(spark, t):
+    """An open reader finishes on the old run; without it, and once old enough, the run goes."""
+    root = fresh_folder(spark, "test-retention")
+    families = fam.key_families(t.trips)
+    publish.publish_result(families, MONTH, root)
+    with publish.reading(spark, root, MONTH) as old:
+        publish.publish_result(families.filter("kind = 'D'"), MONTH, root)
+        assert publish.expire_runs(spark, root, min_age=0) == []
+        assert old.count() == families.count() and set(old.columns) == set(publish.read_result(spark, root).columns)
+    publish.publish_result(families.filter("kind = 'Z'"), "2023-12", root)
+    assert list_names(spark, f"{root}/leases") == []
+    assert publish.expire_runs(spark, root, min_age=3600) == []
+    gone = publish.expire_runs(spark, root, min_age=0)
+    assert len(gone) == 1 and not exists(spark, gone[0])
+    assert publish.read_result(spark, root, MONTH).select("kind").distinct().collect() == [("D",)]
+    assert publish.read_result(spark, root).select("kind").distinct().collect() == [("Z",)]
+
+
+def test_leases_of_lost_readers_end(spark, t):
+    root, lost = fresh_folder(spark, "test-leases"), []
+    for _ in range(2):
+        publish.publish_result(fam.key_families(t.trips).filter("kind = 'D'"), MONTH, root)
+        lost.append(publish.reading(spark, root))
+        lost[-1].__enter__()
+    assert publish.expire_runs(spark, root, min_age=0) == []
+    assert len(publish.expire_runs(spark, root, min_age=0, lease_age=-1)) == 1
+    assert publish.read_result(spark, root).count() > 0

@@ -8,9 +8,12 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from rideloom.operators.quality import classify_rejects, quality_report, typed_parse
 from rideloom.operators.sets import symmetric_difference
+from rideloom.plans.tables import MONTH, RULES, raw_fields
+from rideloom.schema import REASONS
 from rideloom.streaming import replay, streams
-from rideloom.workspace import exists, fresh_folder
+from rideloom.workspace import exists, fresh_folder, remove
 
 
 def _source(spark, sf_dir, files=4):
@@ -193,3 +196,23 @@ def test_replay_frames_against_slots(spark, seed):
     assert len(rows) == len(want) and {tuple(r) for r in rows} == want
     with pytest.raises(PySparkException, match="span must be"):
         replay.replay_frames(index, spark.createDataFrame([(1, 61)], "m int, span int"), horizon).collect()
+
+
+def test_counters_are_kept_once_a_batch(spark, sf_dir):
+    """Two runs over growing input, one batch repeated after its commit is lost: sums equal the report of all rows."""
+    fields = raw_fields(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    source, root = fresh_folder(spark, "test-fields"), fresh_folder(spark, "test-counters")
+    for part in range(3):
+        fields.filter(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(source)
+        if part:
+            stream = streams.open_files(spark, source, fields.schema, files_per_batch=1)
+            trips, counters = streams.run_validated(stream, MONTH, RULES, root)
+    remove(spark, f"{root}/checkpoint/commits/2")
+    remove(spark, f"{root}/checkpoint/commits/.2.crc")
+    trips, counters = streams.run_validated(streams.open_files(spark, source, fields.schema, files_per_batch=1), MONTH, RULES, root)
+    report = quality_report(classify_rejects(typed_parse(fields), MONTH, RULES)).first()
+    rows = counters.collect()
+    assert sorted(r["batch"] for r in rows) == [0, 1, 2]
+    assert sum(r["input_rows"] for r in rows) == report["input"] == fields.count()
+    assert sum(r["valid_rows"] for r in rows) == report["valid"] == trips.count()
+    assert {name: n for name in REASONS if (n := sum(r[name] for r in rows))} == report["reasons"]
