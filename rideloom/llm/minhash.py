@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rideloom.llm.batches import WordHashes, grams, mixed, signed, text_chunks, with_columns
 from rideloom.llm.components import connected
-from rideloom.workspace import cut_lineage, forget
+from rideloom.workspace import cut_lineage, drop_unused_shuffles, forget
 
 #: Both ends of each permutation go into the signature: 64 permutations give 32 bands of 4 values. A pair at
 #: similarity s shares a band with probability 1 - (1 - s**4)**32; at 0.8 it is missed once in 20 million.
@@ -91,7 +91,7 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
         run, "doc_id long, n_shingles long, name_a long, name_b long, sketch_a long, sketch_b long, bands array<long>")
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The full sets of each pair (``hub``, ``leaf``) side by side.
 
     Columns: the pair, ``linked`` (at least ``percent`` of their union in common), ``lacks`` (a bit for each of the hub's
@@ -126,8 +126,8 @@ def _compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
         "hub", F.pmod(F.xxhash64("leaf"), F.col("parts")).cast("int").alias("salt"), "leaf", F.col("leaf").alias("doc_id"))
     copies = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("salt"))
     wanted = placed.union(copies.select("hub", "salt", F.lit(None).cast("long"), F.col("hub").alias("doc_id")))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    met = texts.join(wanted, "doc_id").select("hub", "salt", "leaf", "text")
+    # The same plan at every size: ids small enough to broadcast here would not be on more data.
+    met = texts.hint("merge").join(wanted, "doc_id").select("hub", "salt", "leaf", "text")
     dealt = met.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.asc_nulls_first("leaf"))
     return dealt.mapInArrow(run, "hub long, leaf long, linked boolean, lacks array<long>, own array<long>")
 
@@ -161,7 +161,7 @@ def _deviations(compared: DataFrame) -> DataFrame:
         "hub", F.col("leaf").alias("doc"), F.struct(F.size("own").alias("own"), "lacks", F.coalesce("met", F.lit(0)).alias("met")).alias("off"))
 
 
-def _links(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _links(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed pairs that connect whatever the buckets' pairs connect, without listing all pairs.
 
     ``members`` has ``key``, ``doc``, ``about`` (size and sketch of its set) and ``weight`` (members of all its buckets).
@@ -178,10 +178,11 @@ def _links(members: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     hubs = cut_lineage(hubs, "hubs")
     all_members = members.join(hubs.select("key", F.col("doc").alias("hub")), "key")
     pairs = cut_lineage(all_members.filter("doc <> hub").select("hub", F.col("doc").alias("leaf")).distinct(), "candidate-pairs")
-    compared = cut_lineage(_compared(pairs, docs, size, percent), "compared-pairs")
+    compared = cut_lineage(_compared(pairs, texts, size, percent), "compared-pairs")
     found = cut_lineage(_links_of(compared), "links")
     off = cut_lineage(_deviations(compared), "deviations")
     forget(compared)
+    drop_unused_shuffles(texts.sparkSession)
     tried, cleared, turn, stale = pairs, hubs.select("key", "doc"), 1, []
     members = all_members
     gained = None
@@ -193,6 +194,7 @@ def _links(members: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
         ).filter("low < high").select("key", "main")
         inside = cut_lineage(placed.join(parted, "key").join(off, ["hub", "doc"], "left"), "parted-buckets")
         forget(homes, *stale)
+        drop_unused_shuffles(texts.sparkSession)
         outside = inside.filter("at <> main").join(cleared, ["key", "doc"], "left_anti")
         outside = cut_lineage(outside.alias("y").join(inside.alias("x"), _may_link(percent, True), "left_semi"), "open-members")
         stale = [inside, outside]
@@ -210,7 +212,7 @@ def _links(members: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
             pivots = cut_lineage(pivots.select("key", "pivot.*"), "pivots")
             cleared = cleared.union(pivots.select("key", "doc"))
         pairs = cut_lineage(_near(inside, pivots, percent).join(tried, ["hub", "leaf"], "left_anti"), "candidate-pairs")
-        new = cut_lineage(_links_of(_compared(pairs, docs, size, percent)), "links")
+        new = cut_lineage(_links_of(_compared(pairs, texts, size, percent)), "links")
         found, gained = found.union(new), new.count()
         tried, turn = tried.union(pairs), turn + 1
         if last:
@@ -268,8 +270,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     weighed = met.withColumn("weight", F.sum("n").over(W.partitionBy("doc"))).drop("n")
     members = cut_lineage(weighed.join(about, "doc"), "bucket-members")
     forget(met)
-    homes = connected(_links(members, docs, size, percent)).select(F.col("node").alias("doc"), "component")
-    forget(members)
+    ids = members.select(F.col("doc").alias("doc_id")).distinct()
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = cut_lineage(every.hint("merge").join(ids, "doc_id", "left_semi"), "member-texts")  # of all others none is compared
+    homes = connected(_links(members, texts, size, percent)).select(F.col("node").alias("doc"), "component")
+    forget(members, texts)
     groups = first.select("name_a", "name_b", "doc").join(homes, "doc", "left").select(
         "name_a", "name_b", F.coalesce("component", "doc").alias("component"))
     whole = features.select("doc_id", "n_shingles", "name_a", "name_b").join(groups, ["name_a", "name_b"], "left")

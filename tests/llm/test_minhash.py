@@ -104,3 +104,20 @@ def test_components(spark):
     got = {r.node: r.component for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100, 200: 200}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_clouds_of_variants(spark):
+    """Texts changed here and there: some near the one they come from, some near each other only, two clouds in one bucket."""
+    random = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(90)]
+    far = [w if i % 9 else f"v{i}" for i, w in enumerate(words)]
+    docs = []
+    for k in range(120):
+        text = list(far if k % 3 == 0 else words)
+        for i in random.choice(90, random.integers(0, 9), replace=False):
+            text[i] = random.choice(["", "x", f"u{k}-{i}"])
+        docs.append((int(1000 + (k * 37) % 120), " ".join(filter(None, text))))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    want = by_hand(docs)
+    assert {tuple(r) for r in minhash.near_duplicates(df, size=2).collect()} == want
+    assert 3 < sum(r[3] for r in want) < 100
