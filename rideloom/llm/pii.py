@@ -1,16 +1,20 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field that carries their labels further.
 
-The field's nodes are the words with a digit or ``@``. Its labels are the kinds of the patterns and none.
-Chain edges join nodes that follow each other closely; skip edges join a node with the next one in the
-document that has the same or nearly the same characters. Loopy belief propagation makes labels agree
-along both, so a card number that the patterns find once is also found where it stands in another form.
+The field's nodes are the patterns' spans, which are evidence, other words with a digit or ``@``, and runs of number
+words. Its labels are the kinds of the patterns and none. Chain edges join nodes that follow each other closely; skip
+edges join the same or similar ones anywhere in the document. Loopy belief propagation makes labels agree along both,
+so a card number that the patterns find once is also found where it stands in another form. The field's beliefs
+alone decide which spans are added.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
+from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +31,11 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NODE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")  # tried at the begin of a word only
 _MARKED = re.compile(rb"[0-9@]")
-#: Documents whose nodes the field is trained on, what is used of one document, and steps of its training.
-SAMPLE_DOCS, SAMPLE_NODES, SAMPLE_CHARS, STEPS = 1000, 100, 4000, 150
+#: Stretches with a span, and as many without, that the field is trained on, their characters, steps, weight of decay.
+SAMPLE, SAMPLE_CHARS, STEPS, DECAY = 500, 1000, 600, 0.1
 #: Posterior probability from which a node outside the patterns' spans is marked, and rounds of messages.
 CERTAIN, ROUNDS = 0.95, 8
+_BLOCK = 1 << 16
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -85,6 +90,26 @@ def written(spans: list[Span]) -> str:
 
 
 _FEATURES = 40
+_GROUPS = re.compile(r"[0-9]+")
+_NUMBER = re.compile(r"[0-9+()./-]+")
+_LABEL = re.compile(r"@[A-Za-z0-9-]+")
+_LEFT, _RIGHT = "\"'", ".,;:!?\"'"
+
+
+def _address(word: str) -> str | None:
+    """Name, ``@`` and first label of the first address in a word, in linear time."""
+    before, at = 0, word.find("@")
+    while at >= 0:
+        label = _LABEL.match(word, at)
+        if at > before and label:
+            return word[before : label.end()].lstrip("\"'<([{")
+        before = at + 1
+        at = word.find("@", before)
+    return None
+
+
+def _is_ip(groups: list[str]) -> bool:
+    return len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups)
 
 
 def _node_features(word: str) -> list[int]:
@@ -92,11 +117,12 @@ def _node_features(word: str) -> list[int]:
     digits = _digits(word)
     n = len(digits)
     letters = sum(c.isalpha() for c in word)
+    address = _address(word)
     out = [0, 1 + min(n, 20)]
     for i, holds in enumerate((
-        "@" in word, word.count(".") == 3 and n and not letters, word[0] == "+", "(" in word, "-" in word, letters > 0,
-        letters > n, 14 <= n <= 19 and luhn(digits), 0 < word.count(".") < 3, _DOMAIN.search(word) is not None,
-        word[0] == "+" and 10 <= n <= 15, n >= 10 and not letters,
+        "@" in word, not letters and _is_ip(_GROUPS.findall(word)), word[0] == "+", "(" in word, "-" in word, letters > 0,
+        letters > n, 14 <= n <= 19 and luhn(digits), "." in word, _DOMAIN.search(word) is not None,
+        word[0] == "+" and 10 <= n <= 15, n >= 10 and not letters, " " in word, address is not None, "/" in word or ":" in word,
     )):
         if holds:
             out.append(22 + i)
@@ -105,78 +131,196 @@ def _node_features(word: str) -> list[int]:
 
 @dataclass
 class Nodes:
-    """Words of one or more documents as a graph. ``base`` is the kind + 1 of a pattern's span over the word."""
+    """A text as a graph. ``base`` is the kind + 1 of a pattern's span, 0 for other nodes.
+
+    ``features`` lists the features that hold, node after node, from ``first`` of each node.
+    """
 
     start: np.ndarray
     end: np.ndarray
     base: np.ndarray
     features: np.ndarray
+    first: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
 
 
-def graph(text: str, spans: list[Span], most: int | None = None) -> Nodes:
-    found = list(_NODE.finditer(text))[:most]
-    start = np.array([m.start() for m in found], np.int64)
-    end = np.array([m.end() for m in found], np.int64)
-    features = np.zeros((len(found), _FEATURES))
-    chain, skip = [], []
-    last: dict[str, int] = {}
-    for i, m in enumerate(found):
-        features[i, _node_features(m[0])] = 1
-        if i and start[i] - end[i - 1] <= 1:
-            chain.append((i - 1, i))
-        similar = _digits(m[0]) if "@" not in m[0] else m[0].strip(".,;:!?#*$%&|<>()[]\"'").lower()
-        if len(similar) >= 7:  # shorter numbers are alike by chance
-            if similar in last:
-                skip.append((last[similar], i))
-            last[similar] = i
-    base = np.zeros(len(found), np.int64)
-    if len(found):
-        for a, k, b in spans:
-            base[np.searchsorted(end, a, "right") : np.searchsorted(start, b, "left")] = k + 1
-    pairs = lambda x: np.array(x, np.int64).reshape(-1, 2)
-    return Nodes(start, end, base, features, pairs(chain), pairs(skip))
+class _Likeness:
+    """Which nodes of a text are the same or similar.
+
+    Numbers of seven or more digits are similar if they have equal digits, if one ends in the other after at most
+    three digits more (a country code), or, from ten to nineteen digits, if they are equal once a digit of one or of each
+    is left out (one replaced, missing, added or exchanged with the next). Addresses are similar if name and first
+    label are equal, four groups up to 255 if the groups are. Equal ones are chained in order; of similar values one
+    node each is joined, so no link grows with the square of a group.
+    """
+
+    def __init__(self) -> None:
+        self.pairs: list[tuple[int, int]] = []
+        self.ends: dict[str, list[int]] = {}  # value -> its first and last node
+
+    def add(self, node: int, word: str) -> None:
+        address = _address(word)
+        groups = _GROUPS.findall(word)
+        if address:
+            value = address.lower()
+        elif "@" not in word and word[0] != "+" and _is_ip(groups):
+            value = "ip " + ".".join(str(int(g)) for g in groups)
+        else:
+            value = "".join(groups)
+            if len(value) < 7 or "@" in word:  # shorter numbers are alike by chance
+                return
+        known = self.ends.setdefault(value, [node, node])
+        if known[1] != node:
+            self.pairs.append((known[1], node))
+            known[1] = node
+
+    def _join(self, one: str, other: str, apart) -> None:
+        for a, b in zip(self.ends[one], self.ends[other], strict=True):
+            if apart(a, b):
+                self.pairs.append((min(a, b), max(a, b)))
+                return
+
+    def links(self, apart) -> np.ndarray:
+        """Pairs of nodes, each once; ``apart`` says whether two nodes share no character."""
+        numbers = sorted(v[::-1] for v in self.ends if v.isdigit())
+        above: list[str] = []
+        for value in numbers:
+            while above and not value.startswith(above[-1]):
+                above.pop()
+            if above and len(value) - len(above[-1]) <= 3:
+                self._join(value[::-1], above[-1][::-1], apart)
+            above.append(value)
+        numbers = [v[::-1] for v in numbers if 10 <= len(v) <= 19]
+        for i, j in _one_digit_off(numbers):
+            self._join(numbers[i], numbers[j], apart)
+        return np.unique(np.array(self.pairs, np.int64).reshape(-1, 2), axis=0)
+
+
+def _one_digit_off(numbers: list[str]) -> np.ndarray:
+    """Pairs of places whose numbers are equal once a digit of one or of each is left out, joined in each class."""
+    if len(numbers) < 2:
+        return np.zeros((0, 2), np.int64)
+    value = np.array([int(v) for v in numbers], np.uint64)
+    length = np.array([len(v) for v in numbers], np.int64)
+    keys, sizes, places = [value], [length], [np.arange(len(numbers))]
+    for k in range(int(length.max())):
+        has = np.flatnonzero(length > k)
+        unit = np.uint64(10**k)
+        ten = np.uint64(10)
+        keys.append(value[has] // unit // ten * unit + value[has] % unit)
+        sizes.append(length[has] - 1)
+        places.append(has)
+    key, size, place = map(np.concatenate, (keys, sizes, places))
+    order = np.lexsort((place, size, key))
+    key, size, place = key[order], size[order], place[order]
+    same = (key[1:] == key[:-1]) & (size[1:] == size[:-1]) & (place[1:] != place[:-1])
+    pairs = np.stack([place[:-1][same], place[1:][same]], axis=1)
+    return np.unique(pairs, axis=0)
+
+
+def graph(text: str, spans: list[Span]) -> Nodes:
+    """Nodes are the patterns' spans, the other words with a digit or ``@``, and runs of number words one blank apart.
+
+    Quotes around a word and marks behind it are not part of it. A word that touches a span is no node of its own.
+    Chain edges join spans and words at most one character apart; runs lie over their words and have skip edges only.
+    """
+    start, end, base, features, first = array("q"), array("q"), array("b"), array("b"), array("q")
+    chain, run, alike = [], [], _Likeness()
+    last, at, covered = -1, 0, 0
+
+    def add(a: int, b: int, label: int) -> int:
+        first.append(len(features))
+        start.append(a)
+        end.append(b)
+        base.append(label)
+        features.extend(_node_features(text[a:b]))
+        alike.add(len(start) - 1, text[a:b])
+        return len(start) - 1
+
+    def unit(a: int, b: int, label: int) -> None:
+        nonlocal last
+        before, last = last, add(a, b, label)
+        if before >= 0 and 0 <= a - end[before] <= 1:
+            chain.append((before, last))
+
+    def close() -> None:
+        if len(run) > 1:
+            add(run[0][0], run[-1][1], 0)
+        run.clear()
+
+    for m in _NODE.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            close()
+            a, k, b = spans[at]
+            unit(a, b, k + 1)
+            covered = max(covered, b)
+            at += 1
+        if m.start() < covered:
+            continue
+        word = m[0]
+        a = m.start() + len(word) - len(word.lstrip(_LEFT))
+        b = m.end() - len(word) + len(word.rstrip(_RIGHT))
+        if a >= b:
+            continue
+        number = _NUMBER.fullmatch(text, a, b) is not None
+        if run and (not number or m.start() - run[-1][1] != 1 or text[run[-1][1]] != " "):
+            close()
+        unit(a, b, 0)
+        if number:
+            run.append((a, b))
+            if b < m.end():
+                close()
+    close()
+    skip = alike.links(lambda i, j: end[i] <= start[j] or end[j] <= start[i])
+    whole = lambda x: np.array(x, np.int64)
+    return Nodes(whole(start), whole(end), whole(base), np.array(features, np.int8), whole(first),
+                 whole(chain).reshape(-1, 2), skip)
 
 
 @dataclass
 class Field:
-    """Weights of a word's features, of label pairs along the chain, and of equal labels across a skip."""
+    """Weights of a node's features, of label pairs along the chain, and of equal labels across a skip."""
 
     unary: np.ndarray
     chain: np.ndarray
     skip: float
 
+    def potentials(self, nodes: Nodes) -> np.ndarray:
+        """Log potentials of the labels of each node; the patterns' labels are evidence."""
+        out = np.add.reduceat(self.unary.astype(np.float32)[nodes.features], nodes.first, axis=0)
+        fixed = np.flatnonzero(nodes.base)
+        out[fixed] = -30.0
+        out[fixed, nodes.base[fixed]] = 0.0
+        return out
+
     def posterior(self, nodes: Nodes, rounds: int = ROUNDS) -> np.ndarray:
-        """Beliefs after ``rounds`` of loopy message passing; the patterns' labels are evidence."""
-        n_labels = len(KINDS) + 1
-        unary = nodes.features @ self.unary
-        fixed = nodes.base > 0
-        unary[fixed] = -30.0
-        unary[fixed, nodes.base[fixed]] = 0.0
+        """Beliefs after ``rounds`` of damped loopy message passing, edges in blocks so that memory stays small."""
+        unary = self.potentials(nodes)
         edges = np.concatenate([nodes.chain, nodes.skip])
         if not len(edges):
             return _softmax(unary)
-        same = np.eye(n_labels) * self.skip
-        forward = np.concatenate([
-            np.broadcast_to(self.chain, (len(nodes.chain), n_labels, n_labels)),
-            np.broadcast_to(same, (len(nodes.skip), n_labels, n_labels)),
-        ])
-        source = np.concatenate([edges[:, 0], edges[:, 1]])
-        target = np.concatenate([edges[:, 1], edges[:, 0]])
-        potential = np.concatenate([forward, forward.transpose(0, 2, 1)])
-        back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-        message = np.zeros((len(source), n_labels))
+        n, n_chain = len(edges), len(nodes.chain)
+        source, target = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
+        along = self.chain.astype(np.float32)
+        same = np.eye(len(KINDS) + 1, dtype=np.float32) * np.float32(self.skip)
+        parts = [(0, n_chain, along), (n_chain, n, same), (n, n + n_chain, along.T), (n + n_chain, 2 * n, same)]
+        message = np.zeros((2 * n, len(KINDS) + 1), np.float32)
+        belief = unary
         for _ in range(rounds):
+            sent = np.empty_like(message)
+            for begin, stop, potential in parts:
+                for a in range(begin, stop, _BLOCK):
+                    b = min(a + _BLOCK, stop)
+                    back = np.arange(a, b)
+                    back = np.where(back < n, back + n, back - n)
+                    into = (belief[source[a:b]] - message[back])[:, :, None] + potential
+                    top = into.max(1)
+                    new = top + np.log(np.exp(into - top[:, None, :]).sum(1))
+                    sent[a:b] = 0.5 * message[a:b] + 0.5 * (new - new.max(1, keepdims=True))
+            message = sent
             belief = unary.copy()
             np.add.at(belief, target, message)
-            into = (belief[source] - message[back])[:, :, None] + potential
-            top = into.max(1)
-            new = top + np.log(np.exp(into - top[:, None, :]).sum(1))
-            new -= new.max(1, keepdims=True)
-            message = 0.5 * message + 0.5 * new
-        belief = unary.copy()
-        np.add.at(belief, target, message)
         return _softmax(belief)
 
 
@@ -185,84 +329,140 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(samples: list[Nodes], steps: int = STEPS) -> Field:
-    """Pseudo-likelihood: every word's label given its features and its neighbours' labels, by plain ascent.
+def _other_forms(kind: int, word: str) -> list[str]:
+    """A span written so that no pattern of its kind finds it; a card also with its last digit mistyped."""
+    digits = _digits(word)
+    if kind == 0:
+        return [_address(word)]
+    if kind == 1:
+        return [word.replace(".", "-")]
+    if kind == 2:
+        return [".".join(digits[i : i + 4] for i in range(0, len(digits), 4)), digits[:-1] + str((int(digits[-1]) + 1) % 10)]
+    return [digits[-10:], f"({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}"]
+
+
+def _decoy(kind: int, word: str) -> str:
+    """A value that belongs to nobody: digits, groups and names are turned around."""
+    if kind == 0:
+        name, _, rest = _address(word).partition("@")
+        return f"{name[::-1]}0@{rest[::-1]}"
+    return ".".join(reversed(word.split("."))) if kind == 1 else _digits(word)[::-1]
+
+
+def lesson(text: str) -> tuple[Nodes, np.ndarray, np.ndarray]:
+    """A training text with each span in other forms behind it, and decoys in those forms.
 
-    Labels are those of the patterns. A skip edge's weight is at least one: equal words mean the same.
+    Returns the graph, the labels, and which nodes are learned from: none of the patterns' spans (they are evidence), none
+    of the text's own nodes that are similar to one (nobody knows their label), and no mere part of a form.
+    """
+    parts, made, size = [text], [], len(text)
+    for a, k, b in base_spans(text):
+        own, other = _other_forms(k, text[a:b]), _other_forms(k, _decoy(k, text[a:b]))
+        for label, form in [(k + 1, form) for form in own] + [(0, form) for form in other]:
+            if label or k != 2 or not luhn(_digits(form)):
+                parts.append(f" and {form}")
+                made.append((size + 5, size + 5 + len(form), label))
+                size += 5 + len(form)
+    text = "".join(parts)
+    nodes = graph(text, base_spans(text))
+    labels = nodes.base.copy()
+    near = np.zeros(len(labels), bool)
+    for one, other in (nodes.skip.T, nodes.skip.T[::-1]):
+        near[one[nodes.base[other] > 0]] = True
+    for a, b, label in made:
+        inside = (nodes.start >= a) & (nodes.start < b)
+        whole = inside & (nodes.start == a) & (nodes.end == b)
+        labels[whole & (nodes.base == 0)] = label
+        near = (near | inside) & ~whole
+    return nodes, labels, (nodes.base == 0) & ~near
+
+
+def train(texts: list[str], steps: int = STEPS) -> Field:
+    """Pseudo-likelihood: each label given the node's features and its neighbours' labels, by gradient steps (Adam).
+
+    All weights, that of a skip too, are learned. Without a span in ``texts`` the field marks nothing.
     """
     n_labels = len(KINDS) + 1
-    field = Field(np.zeros((_FEATURES, n_labels)), np.zeros((n_labels, n_labels)), 1.0)
+    field = Field(np.zeros((_FEATURES, n_labels)), np.zeros((n_labels, n_labels)), 0.0)
     field.unary[0, 0] = 4.0
-    samples = [s for s in samples if len(s.base)]
-    if not samples:
+    lessons = [x for x in map(lesson, texts) if len(x[1])]
+    if not lessons:
         return field
-    offsets = np.cumsum([0, *(len(s.base) for s in samples)])
-    x = np.concatenate([s.features for s in samples])
-    y = np.concatenate([s.base for s in samples])
-    chain = np.concatenate([s.chain + o for s, o in zip(samples, offsets, strict=False)])
-    skip = np.concatenate([s.skip + o for s, o in zip(samples, offsets, strict=False)])
-    hot = np.eye(n_labels)[y]
-    agreeing = np.zeros_like(hot)
+    offsets = np.cumsum([0, *(len(y) for _, y, _ in lessons)])
+    x = np.zeros((offsets[-1], _FEATURES), np.float32)
+    for (nodes, _, _), o in zip(lessons, offsets, strict=False):
+        x[o + np.repeat(np.arange(len(nodes.base)), np.diff([*nodes.first, len(nodes.features)])), nodes.features] = 1
+    y, use = (np.concatenate([part[i] for part in lessons]) for i in (1, 2))
+    chain, skip = (np.concatenate([getattr(nodes, name) + o for (nodes, _, _), o in zip(lessons, offsets, strict=False)])
+                   for name in ("chain", "skip"))
+    hot = np.eye(n_labels, dtype=np.float32)[y]
+    agreeing, before, after = np.zeros_like(hot), np.zeros_like(hot), np.zeros_like(hot)
     np.add.at(agreeing, skip[:, 0], hot[skip[:, 1]])
     np.add.at(agreeing, skip[:, 1], hot[skip[:, 0]])
-    before, after = np.zeros_like(hot), np.zeros_like(hot)
     before[chain[:, 1]], after[chain[:, 0]] = hot[chain[:, 0]], hot[chain[:, 1]]
-    rate, decay = 20.0 / len(y), 1e-4
-    for _ in range(steps):
-        p = _softmax(x @ field.unary + before @ field.chain + after @ field.chain.T + field.skip * agreeing)
-        gap = hot - p
-        field.unary += rate * (x.T @ gap) - decay * field.unary
-        field.chain += rate * (before.T @ gap + gap.T @ after) - decay * field.chain
-        field.skip = max(1.0, field.skip + rate * float((gap * agreeing).sum()))
-    field.skip = max(field.skip, 8.0) if len(skip) else field.skip
-    return field
+    x, hot, agreeing, before, after = (part[use] for part in (x, hot, agreeing, before, after))
+    if not len(x):
+        return field
+    weights = [field.unary, field.chain, np.array(field.skip)]
+    moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
+    for step in range(1, steps + 1):
+        unary, along, equal = weights
+        gap = hot - _softmax(x @ unary + before @ along + after @ along.T + equal * agreeing)
+        slopes = (x.T @ gap, before.T @ gap + gap.T @ after, np.array((gap * agreeing).sum()))
+        for i, (w, g) in enumerate(zip(weights, slopes, strict=True)):
+            g = g - DECAY * w
+            m, v = moments[i] = (0.9 * moments[i][0] + 0.1 * g, 0.99 * moments[i][1] + 0.01 * g * g)
+            weights[i] = w + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    return Field(weights[0], weights[1], float(weights[2]))
 
 
 def added_spans(text: str, base: list[Span], field: Field, certain: float = CERTAIN) -> list[Span]:
-    """Spans of words that no pattern covers and the field is certain of; neighbours of one kind are one span."""
+    """Nodes outside the patterns' spans that the field is certain of; a run goes before the words under it."""
     nodes = graph(text, base)
-    if not len(nodes.base) or not len(nodes.skip):
+    if not len(nodes.base):
         return []
     p = field.posterior(nodes)
     kind = p.argmax(1)
-    linked = np.zeros(len(kind), bool)
-    linked[nodes.skip] = True
-    new = (nodes.base == 0) & (kind > 0) & (p.max(1) >= certain) & linked
+    new = np.flatnonzero((nodes.base == 0) & (kind > 0) & (p.max(1) >= certain))
     out: list[Span] = []
-    for i in np.flatnonzero(new):
-        a, k, b = int(nodes.start[i]), int(kind[i]) - 1, int(nodes.end[i])
-        if out and out[-1][1] == k and a - out[-1][2] <= 1:
-            out[-1] = (out[-1][0], k, b)
-        else:
-            out.append((a, k, b))
+    for i in sorted(new.tolist(), key=lambda i: (nodes.start[i], -nodes.end[i])):
+        if not out or nodes.start[i] >= out[-1][2]:
+            out.append((int(nodes.start[i]), int(kind[i]) - 1, int(nodes.end[i])))
     return out
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, text_column: str = "text") -> Field:
-    """Train on at most ``sample_docs`` documents with a node, those with the smallest hash of their text.
+def fit(docs: DataFrame, sample: int = SAMPLE, text_column: str = "text") -> Field:
+    """Train on at most ``sample`` stretches with a pattern's span and as many without one.
 
-    Of a document ``SAMPLE_NODES`` nodes in ``SAMPLE_CHARS`` characters are used; only training is bounded
-    so, never marking.
+    Every stretch of ``SAMPLE_CHARS`` characters of every text that holds a digit or ``@`` may be chosen; those with
+    the smallest hash are. Only training is bounded so, never marking.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, str]]:
         for _, texts in text_chunks(batches):
-            out = []
             for raw in texts:
                 if not _MARKED.search(raw):
                     continue
                 text = raw.decode()
-                stop = None
-                for i, m in enumerate(_NODE.finditer(text)):
-                    if i == SAMPLE_NODES:
-                        break
-                    stop = m.end()
-                first = _NODE.search(text).start()
-                out.append(text[first : min(stop, first + SAMPLE_CHARS)])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
-
-    marked = docs.select(F.col(text_column).alias("text")).mapInArrow(run, "text string")
-    chosen = marked.orderBy(F.xxhash64("text"), "text").limit(sample_docs)
-    return train([graph(t, base_spans(t), SAMPLE_NODES) for (t,) in chosen.collect()])
+                for a in range(0, len(text), SAMPLE_CHARS):
+                    part = text[a : a + SAMPLE_CHARS]
+                    if _NODE.search(part):
+                        yield blake2b(part.encode(), digest_size=8).digest(), part
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[bool, dict] = {False: {}, True: {}}
+        for name, part in stretches(batches):
+            found = bool(base_spans(part))
+            waiting[found][name] = part
+            if len(waiting[found]) >= 2 * sample:
+                waiting[found] = dict(nsmallest(sample, waiting[found].items()))
+        rows = [(name, found, part) for found, parts in waiting.items() for name, part in nsmallest(sample, parts.items())]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.bool_()),
+            pa.array([r[2] for r in rows], pa.string())], ["name", "found", "text"])
+
+    marked = docs.select(F.col(text_column).alias("text")).mapInArrow(run, "name binary, found boolean, text string")
+    of = lambda found: marked.filter(F.col("found") == found).orderBy("name").limit(sample)
+    return train([r.text for r in of(True).union(of(False)).select("text").collect()])
 
 
 def find(docs: DataFrame, field: Field | None = None, text_column: str = "text") -> DataFrame:

@@ -1,7 +1,9 @@
 import hashlib
+import itertools
 import re
 import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -97,3 +99,98 @@ def test_very_long_words_take_linear_time(text):
     assert len(list(pii._NODE.finditer(text))) == 1
     pii.base_spans(text)
     assert time.perf_counter() - begin < 3
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    """Learned from texts whose numbers, names and addresses all differ."""
+    def card(i):
+        body = f"4{i * 7919 % 10**14:014d}"
+        return next(body + str(d) for d in range(10) if pii.luhn(body + str(d)))
+
+    texts = [f"order {i * 31} of 20{i % 30:02d}: name{i}@host{i}.org, +1 (2{i:02d}) 555-{i * 97:04d}, 10.{i}.7.{i * 2} and "
+             f"card {card(i)}" for i in range(80)]
+    texts += [f"shelf {i} row {i * 17} holds {i * 104729 + 10**9} or {i * 15485863 + 10**15} pieces" for i in range(80)]
+    return pii.fit(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+
+
+@pytest.mark.parametrize("text, added", [
+    ("card 4111 1111 1111 1111 and again 4111.1111.1111.1111", ["card 4111.1111.1111.1111"]),
+    ("card 4111 1111 1111 1111 typed as 4111 1111 1111 1112 too", ["card 4111 1111 1111 1112"]),
+    ("+1 (212) 555-0100 or 2125550100", ["phone 2125550100"]),
+    ("+1 (212) 555-0100 or (212) 555-0100, and 1999.", ["phone (212) 555-0100"]),
+    ("bob@x.org, later bob@x", ["email bob@x"]),
+    ("bob@x.org, later rob@x and bob@y", []),
+    ("at 10.2.33.4 then 10-2-33-4.", ["ip 10-2-33-4"]),
+    ("+1 (212) 555-0100 and 9075550199 in 2020", []),
+    ("no pattern: 2125550100, 2125550100 and 212555010", []),
+    ("4111.1111.1111.1112 and 20200102", []),
+])
+def test_similar_values_get_the_label_and_others_do_not(field, text, added):
+    found = pii.added_spans(text, pii.base_spans(text), field)
+    assert [f"{pii.KINDS[k]} {text[a:b]}" for a, k, b in found] == added
+
+
+def exact(field, nodes):
+    """Marginals by summing over all labellings."""
+    n, labels = len(nodes.base), len(pii.KINDS) + 1
+    unary = field.potentials(nodes).astype(float)
+    total = np.zeros((n, labels))
+    for y in itertools.product(range(labels), repeat=n):
+        energy = sum(unary[i, y[i]] for i in range(n)) + sum(field.chain[y[i], y[j]] for i, j in nodes.chain)
+        weight = np.exp(energy + field.skip * sum(y[i] == y[j] for i, j in nodes.skip))
+        total[np.arange(n), y] += weight
+    return total / total.sum(1, keepdims=True)
+
+
+@pytest.mark.parametrize("text", [
+    "2125550100 a 2125550100", "12 13 14 15", "+1 (212) 555-0100 or 2125550100 and 2125550100 12", "bob@x a bob@x b bob@x",
+    "4111 1111 1111 1111 as 4111.1111.1111.1111", "7 bob@x 8 b bob@x 9", "3 12125550100 4 a 2125550100 5",
+])
+def test_beliefs_against_exact_enumeration(text):
+    rng = np.random.default_rng(3)
+    labels = len(pii.KINDS) + 1
+    field = pii.Field(rng.normal(size=(pii._FEATURES, labels)), rng.normal(size=(labels, labels)), 0.7)
+    nodes = pii.graph(text, pii.base_spans(text))
+    edges = len(nodes.chain) + len(nodes.skip)
+    near = 1e-4 if edges < len(nodes.base) else 0.1  # exact without loops
+    assert np.abs(field.posterior(nodes, rounds=60) - exact(field, nodes)).max() < near
+
+
+def off_by_one(a, b):
+    cut = lambda v: {v[:k] + v[k + 1 :] for k in range(len(v))}
+    return a in cut(b) or b in cut(a) or bool(len(a) == len(b) and cut(a) & cut(b))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="12", min_size=10, max_size=13), max_size=12, unique=True))
+def test_numbers_one_digit_off(numbers):
+    """Every similar pair is joined by a path of similar pairs, and no other pair is joined."""
+    joined = {tuple(p) for p in pii._one_digit_off(numbers).tolist()}
+    root = list(range(len(numbers)))
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, j in joined:
+        assert off_by_one(numbers[i], numbers[j])
+        root[top(i)] = top(j)
+    for i, j in itertools.combinations(range(len(numbers)), 2):
+        if off_by_one(numbers[i], numbers[j]):
+            assert top(i) == top(j)
+
+
+def test_long_texts_are_marked_whole(field):
+    filler = " ".join(str(10**11 + i * i) for i in range(60_000))
+    text = f"+1 (212) 555-0100 first, {filler}, then word 2125550100"
+    begin = time.perf_counter()
+    found = pii.added_spans(text, pii.base_spans(text), field)
+    assert (len(text) - 10, 3, len(text)) in found
+    assert time.perf_counter() - begin < 60
+
+
+def test_the_field_learns_from_every_part_of_a_text(spark):
+    far = "word " * 30_000 + "call +1 (212) 555-0100 or mail bob@x.org, card 4111 1111 1111 1111"
+    docs = spark.createDataFrame([(1, far)], "doc_id long, text string")
+    assert pii.fit(docs).skip > 1
+    assert pii.fit(docs.limit(0)).skip == 0 and pii.added_spans("a 12", [], pii.fit(docs.limit(0))) == []
