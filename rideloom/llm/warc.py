@@ -1,8 +1,14 @@
 """WARC files as a Python data source: written record by record, read by headers first.
 
 Reading plans one partition for each stretch of a file. Stretches begin at records: the writer notes their
-places in the manifest, since a payload may quote anything, other records too. Folders without a manifest are
-read file by file. Reading passes filters on ``record_type``, ``date``,
+places in the manifest, since a payload may quote anything, other records too. Archives of other writers have no
+manifest: single files, or folders of ``.warc`` and ``.warc.gz``, are read file by file, members of gzip one after
+another; names of header fields count in any case, values may go on in a further line, and where our field of the full
+length is absent ``payload_length`` is ``Content-Length``. A record's block is given as ``payload`` as it stands. Any
+other file in such a folder, and a file that is cut off or holds something else, is an error; names that begin with
+``_`` or ``.`` are passed over.
+
+Reading passes filters on ``record_type``, ``date``,
 ``uri`` and ``record_id`` down: a record's header lines are parsed first and its payload is decoded only
 if the record passes and the column is asked for (option ``payload``, true unless set to false).
 """
@@ -55,16 +61,107 @@ def record(fields: dict[str, str | None], payload: bytes) -> bytes:
     return b"".join([_VERSION, head, payload, b"\r\n\r\n"])
 
 
-def parse_head(head: bytes) -> dict[str, str]:
-    """Header fields by name; the version line is skipped, unknown fields are kept."""
-    out = {}
-    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+def parse_head(lines: list[bytes]) -> dict[str, str]:
+    """Header fields by name in lower case, without the version line; unknown fields are kept."""
+    out, last = {}, None
+    for raw in lines:
+        line = raw.decode("utf-8", "replace").rstrip("\r\n")
         name, colon, value = line.partition(":")
-        if colon:
-            out[name.strip()] = value.strip()
+        if line[:1] in (" ", "\t") and last:
+            out[last] = f"{out[last]} {line.strip()}".strip()
+        elif colon:
+            last = name.strip().lower()
+            out[last] = value.strip()
     return out
 
 
+class _Bytes:
+    """Bytes of a file from a place on, read in blocks; what is left out beyond the block at hand is not read."""
+
+    def __init__(self, file, at: int = 0) -> None:
+        file.seek(at)
+        self.file, self.at, self.block, self.used = file, at, b"", 0
+
+    def fetch(self) -> bytes:
+        return self.file.read(_BLOCK)
+
+    def pass_over(self, size: int) -> None:
+        self.file.seek(self.file.tell() + size)
+
+    def line(self) -> bytes:
+        """The next line with its end; empty at the end of the file."""
+        while (end := self.block.find(b"\n", self.used)) < 0:
+            more = self.fetch()
+            if len(self.block) - self.used > _BLOCK:
+                raise ValueError(f"no header line ends within {_BLOCK} bytes of place {self.at}")
+            self.block, self.used = self.block[self.used :] + more, 0
+            if not more:
+                end = len(self.block) - 1
+                break
+        out = self.block[self.used : end + 1]
+        self.used = end + 1
+        self.at += len(out)
+        return out
+
+    def read(self, size: int) -> bytes:
+        out = [self.block[self.used : self.used + size]]
+        self.used += len(out[0])
+        left = size - len(out[0])
+        while left:
+            self.block, self.used = self.fetch(), 0
+            if not self.block:
+                raise ValueError(f"the record's block at {self.at} is cut off")
+            out.append(self.block[:left])
+            self.used = len(out[-1])
+            left -= self.used
+        self.at += size
+        return b"".join(out)
+
+    def skip(self, size: int) -> None:
+        here = min(size, len(self.block) - self.used)
+        self.used += here
+        if size > here:
+            self.block, self.used = b"", 0
+            self.pass_over(size - here)
+        self.at += size
+
+
+class _Unpacked(_Bytes):
+    """Bytes of the members of a gzip file, one after another; zero bytes behind a member are padding."""
+
+    def __init__(self, file, at: int = 0) -> None:
+        super().__init__(file, at)
+        self.packed, self.member = b"", None
+
+    def fetch(self) -> bytes:
+        while True:
+            if self.member is not None and self.member.eof:
+                self.packed, self.member = self.member.unused_data, None
+            if not self.packed:
+                self.packed = self.file.read(_BLOCK)
+            if self.member is None:
+                self.packed = self.packed.lstrip(b"\0")
+                if not self.packed:
+                    if self.file.tell() >= self.file.size():
+                        return b""
+                    continue
+                self.member = zlib.decompressobj(31)
+            elif not self.packed:
+                raise ValueError("a gzip member is cut off")
+            out = self.member.decompress(self.packed, _BLOCK)
+            self.packed = self.member.unconsumed_tail
+            if out:
+                return out
+
+    def pass_over(self, size: int) -> None:
+        while size:
+            more = self.fetch()
+            if not more:
+                raise ValueError(f"the record's block at {self.at} is cut off")
+            self.block, self.used = more, min(size, len(more))
+            size -= self.used
+
+
 def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
@@ -148,9 +245,14 @@ class _Reader(DataSourceReader):
         if store.get_file_info(f"{root}/manifest.json").type == fs.FileType.File:
             with store.open_input_stream(f"{root}/manifest.json") as file:
                 listed = json.loads(file.read())
+        elif store.get_file_info(root).type == fs.FileType.File:
+            return [_Stretch(self.path, 0, store.get_file_info(root).size)]
         else:
-            found = store.get_file_info(fs.FileSelector(root))
-            listed = [(f.base_name, [0, f.size]) for f in found if f.base_name.endswith(".warc")]
+            found = [f for f in store.get_file_info(fs.FileSelector(root)) if f.base_name[0] not in "_."]
+            other = sorted(f.base_name for f in found if not f.base_name.lower().endswith((".warc", ".warc.gz")))
+            if other:
+                raise ValueError(f"not WARC files: {', '.join(other[:10])}")
+            listed = [(f.base_name, [0, f.size]) for f in found]
         return [
             _Stretch(f"{self.path}/{name}", begin, end)
             for name, places in listed for begin, end in zip(places, places[1:], strict=False)
@@ -163,27 +265,38 @@ class _Reader(DataSourceReader):
         store, path = _open(partition.path)
         names = list(COLUMNS)
         kinds = [pa.int64() if n == "payload_length" else pa.string() for n in names] + [pa.binary()]
+        fields_of = [COLUMNS[n].lower() for n in names]
+        packed = path.lower().endswith(".gz")
         rows, held = [], 0
         with store.open_input_file(path) as file:
-            at = partition.begin
-            while at < partition.end:
-                head, body = _head(file, at)
-                fields = parse_head(head)
-                size = int(fields[LENGTH])
-                row = [fields.get(COLUMNS[n]) for n in names]
-                row[-1] = int(row[-1] or 0)
+            stream = _Unpacked(file) if packed else _Bytes(file, partition.begin)
+            while True:
+                at = stream.at
+                line = stream.line()
+                if not line or (at >= partition.end and not packed):
+                    break
+                if not line.strip():
+                    continue
+                if not line.startswith(b"WARC/"):
+                    raise ValueError(f"{partition.path}: no record begins at {at}")
+                lines = []
+                while (line := stream.line()).strip():
+                    lines.append(line)
+                fields = parse_head(lines)
+                if not line or not fields.get(LENGTH.lower(), "").isdigit():
+                    raise ValueError(f"{partition.path}: the record at {at} has no whole header")
+                size = int(fields[LENGTH.lower()])
+                row = [fields.get(f) for f in fields_of]
+                row[-1] = int(row[-1]) if (row[-1] or "").isdigit() else size
                 passes = all(row[names.index(c)] in values for c, values in self.wanted.items())
+                if not passes or not self.payload:
+                    stream.skip(size)
                 if passes:
-                    payload = None
-                    if self.payload:
-                        file.seek(body)
-                        payload = file.read(size)
-                    rows.append((*row, payload))
-                    held += size + 200
+                    rows.append((*row, stream.read(size) if self.payload else None))
+                    held += size * self.payload + 200
                     if held >= 4 << 20:
                         yield _batch(rows, names, kinds)
                         rows, held = [], 0
-                at = body + size + 4
         if rows:
             yield _batch(rows, names, kinds)
 
@@ -193,21 +306,6 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
         [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[*names, "payload"])
 
 
-def _head(file, at: int) -> tuple[bytes, int]:
-    """Header lines of the record at ``at`` and the place of its payload."""
-    got, step = b"", 2048
-    while True:
-        file.seek(at + len(got))
-        more = file.read(step)
-        got += more
-        end = got.find(b"\r\n\r\n")
-        if end >= 0:
-            return got[:end], at + end + 4
-        if not more:
-            raise ValueError(f"record at {at} has no end of its header")
-        step = min(step * 2, _BLOCK)
-
-
 class WarcSource(DataSource):
     """``spark.read.format("warc").load(folder)`` and ``df.write.format("warc").mode("append").save(folder)``."""
 

@@ -1,6 +1,9 @@
 import base64
+import gzip
 import hashlib
+import io
 
+import pyarrow as pa
 import pytest
 
 from rideloom.llm import warc
@@ -78,3 +81,65 @@ def test_files_without_a_commit_are_not_read(spark, archive):
     with store.open_output_stream(f"{root}/part-lost.warc") as out:
         out.write(warc.record({warc.TYPE: "response"}, b"half"))
     assert warc.read(spark, archive).count() == len(TRICKY)
+
+
+FOREIGN = [
+    b"WARC/1.0\r\nwarc-type: warcinfo\r\nCONTENT-LENGTH: 5\r\n\r\nabcde\r\n\r\n",
+    b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: http://a.example/\r\n  long\r\nWarc-Record-Id: <urn:x:1>\r\n"
+    b"Content-Length: 41\r\n\r\nHTTP/1.1 200 OK\r\n\r\nWARC/1.1\r\n\r\nbody 12345\r\n\r\n",
+    b"WARC/1.1\nWARC-Type: request\nContent-Length: 0\n\n\r\n\r\n",
+    b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 3000000\r\n\r\n" + b"z\r\n" * 1_000_000 + b"\r\n\r\n",
+]
+SAID = [("request", None, 0), ("resource", None, 3_000_000), ("response", "http://a.example/ long", 41), ("warcinfo", None, 5)]
+
+
+def foreign(spark, files):
+    folder = fresh_folder(spark, "warc-test")
+    store, root = warc._open(folder)
+    store.create_dir(root, recursive=True)
+    for name, content in files.items():
+        with store.open_output_stream(f"{root}/{name}", compression=None) as out:
+            out.write(content)
+    return folder
+
+
+FORMS = {
+    "a.warc": b"".join(FOREIGN),
+    "b.warc.gz": b"".join(map(gzip.compress, FOREIGN)),
+    "c.WARC.GZ": gzip.compress(b"".join(FOREIGN)) + b"\0" * 600,
+}
+
+
+@pytest.mark.parametrize("name", FORMS)
+def test_archives_of_other_writers(spark, name):
+    folder = foreign(spark, {name: FORMS[name], "_SUCCESS": b"", "empty.warc": b""})
+    for place in (folder, f"{folder}/{name}"):
+        rows = warc.read(spark, place).collect()
+        assert sorted((r.record_type, r.uri, r.payload_length) for r in rows) == SAID
+        assert all(len(r.payload) == r.payload_length for r in rows)
+        assert warc.read(spark, place).filter("record_type = 'response'").first().payload.endswith(b"body 12345")
+        bare = warc.read(spark, place, payload=False).collect()
+        assert sorted((r.record_type, r.uri, r.payload_length) for r in bare) == SAID
+
+
+@pytest.mark.parametrize("name, content", [
+    ("a.warc", FORMS["a.warc"][:-10]), ("a.warc", b"hello\r\n"), ("a.warc", b"WARC/1.0\r\nWARC-Type: response\r\n\r\n"),
+    ("b.warc.gz", FORMS["b.warc.gz"][:-30]), ("notes.txt", b"x"), ("a.warc", b"WARC/1.0\r\nContent-Length: 5"),
+])
+def test_what_is_no_archive_is_an_error(spark, name, content):
+    with pytest.raises(Exception, match="cut off|no record|no whole header|not WARC files"):
+        warc.read(spark, foreign(spark, {name: content})).collect()
+
+
+@pytest.mark.parametrize("block", [8, 16, 1 << 20])
+def test_streams_at_any_block_size(monkeypatch, block):
+    monkeypatch.setattr(warc, "_BLOCK", block)
+    content = b"ab\n" + b"x" * 40 + b"\nlast"
+    for packed in (False, True):
+        raw = gzip.compress(content[:20]) + gzip.compress(content[20:]) if packed else content
+        file = pa.PythonFile(io.BytesIO(raw), mode="r")
+        stream = (warc._Unpacked if packed else warc._Bytes)(file)
+        assert stream.line() == b"ab\n"
+        stream.skip(30)
+        assert stream.read(11) == b"x" * 10 + b"\n" and stream.at == 44
+        assert stream.line() == b"last" and stream.line() == b""
