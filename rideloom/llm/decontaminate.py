@@ -14,7 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +29,9 @@ MOST_SHARE, LEAST_TERMS = 0.05, 8
 #: Shares of an item's words in order that are a leak alone and with the answer, cells of counts held at once.
 SURE, LIKELY, MOST_CELLS = 0.8, 0.6, 1 << 22
 ANSWER_WORDS = 4
+#: Matrices of tasks that one task adds up, and rounds of it; what is left after them is added on the driver.
+FAN_IN, LEVELS = 100, 3
+_SUMS = "block long, part long, sums binary"
 _PUNCTUATION = b".,;:!?\"'()[]{}#*$%&|<>-_"
 
 
@@ -96,21 +99,25 @@ def _halves(sequences: list[np.ndarray], terms: np.ndarray):
 
 
 def _sum_rows(found: DataFrame, columns: int) -> np.ndarray:
-    """Sum of the matrices of all tasks, sent as blocks of rows and added up by block."""
+    """Sum of the matrices of all tasks, sent as blocks of rows and added up by block, ``FAN_IN`` at a time."""
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, float) for x in table["sums"].to_pylist())
-        return pa.table({"block": table["block"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+        total = reduce(np.add, (np.frombuffer(x, float) for x in table["sums"].to_pylist()))
+        return table.slice(0, 1).select(["block", "part"]).append_column("sums", pa.array([total.tobytes()], pa.binary()))
 
-    rows = found.groupBy("block").applyInArrow(add, "block long, sums binary").collect()
-    parts = [np.frombuffer(r["sums"], float) for r in sorted(rows, key=lambda r: r["block"])]
-    return np.concatenate(parts).reshape(-1, columns) if parts else np.zeros((0, columns))
+    for _ in range(LEVELS):
+        found = found.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("block", "part").applyInArrow(add, _SUMS)
+    parts: dict[int, np.ndarray] = {}
+    for r in found.toLocalIterator():
+        sums = np.frombuffer(r["sums"], float)
+        parts[r["block"]] = parts[r["block"]] + sums if r["block"] in parts else sums
+    return np.concatenate([parts[i] for i in sorted(parts)]).reshape(-1, columns) if parts else np.zeros((0, columns))
 
 
-def _blocks(matrix: np.ndarray, rows: int = 256) -> pa.RecordBatch:
+def _blocks(matrix: np.ndarray, part: int, rows: int = 256) -> pa.RecordBatch:
     starts = range(0, len(matrix), rows)
     return pa.RecordBatch.from_arrays([
-        pa.array([s // rows for s in starts], pa.int64()),
-        pa.array([matrix[s : s + rows].tobytes() for s in starts], pa.binary())], names=["block", "sums"])
+        pa.array([s // rows for s in starts], pa.int64()), pa.array([part] * len(starts), pa.int64()),
+        pa.array([matrix[s : s + rows].tobytes() for s in starts], pa.binary())], names=["block", "part", "sums"])
 
 
 def _half_rows(at: np.ndarray, half: np.ndarray, count: int, matrix: np.ndarray) -> np.ndarray:
@@ -155,9 +162,9 @@ def _survey(texts: DataFrame, terms: np.ndarray, start: np.ndarray) -> np.ndarra
         narrow = start.astype(np.float32)
         for _, found in text_chunks(batches):
             _add_products([hashes.of(t.split()) for t in found], terms, narrow, total)
-        yield _blocks(total)
+        yield _blocks(total, TaskContext.get().partitionId())
 
-    found = _sum_rows(texts.mapInArrow(run, "block long, sums binary"), start.shape[1] + 1)
+    found = _sum_rows(texts.mapInArrow(run, _SUMS), start.shape[1] + 1)
     return found if len(found) else np.zeros((len(terms) + 1, start.shape[1] + 1))
 
 
@@ -177,12 +184,12 @@ def _index(places: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _item_blocks(benchmark: DataFrame) -> list[DataFrame]:
-    """The items in blocks of about ``BLOCK_ITEMS``."""
+    """The items in blocks of about ``BLOCK_ITEMS``, dealt out by their id and text, however they are partitioned."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
     parts = -(-items.count() // BLOCK_ITEMS)
     if parts <= 1:
         return [items]
-    items = cut_lineage(items.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(parts))), "items")
+    items = cut_lineage(items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))), "items")
     return [items.filter(F.col("part") == i).drop("part") for i in range(parts)]
 
 

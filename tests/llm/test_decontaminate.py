@@ -121,3 +121,18 @@ def test_blocks_of_items(spark, monkeypatch):
     assert len(dec._item_blocks(benchmark)) == 3
     assert sorted((r.doc_id, r.item_id, r.in_order, r.answer) for r in dec.leaks(docs, benchmark).collect()) == whole
     assert len(whole) >= 100 and [r.doc_id for r in dec.keep_clean(docs, benchmark).collect()] == [999]
+
+
+def test_sums_in_levels_and_blocks_by_content(spark, monkeypatch):
+    random = np.random.default_rng(2)
+    start = random.normal(size=(300, 3))
+    texts = [" ".join(f"t{random.integers(0, 50)}" for _ in range(90)) for _ in range(40)]
+    terms = np.unique(dec._Terms().of(" ".join(texts).encode().split()))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    once = dec._survey(docs.coalesce(1), terms, start[: len(terms)])
+    monkeypatch.setattr(dec, "FAN_IN", 2)
+    assert np.allclose(dec._survey(docs.repartition(13), terms, start[: len(terms)]), once, rtol=1e-4)
+    monkeypatch.setattr(dec, "BLOCK_ITEMS", 10)
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "item_id long, text string")
+    block = lambda parts: [sorted(r.item_id for r in b.collect()) for b in dec._item_blocks(items.repartition(parts))]
+    assert block(1) == block(7) and sorted(sum(block(3), [])) == list(range(40))

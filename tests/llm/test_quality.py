@@ -78,3 +78,45 @@ def test_forest_sets_odd_rows_apart():
     rows = random.normal(size=(500, 3))
     forest = quality.grow(rows)
     assert forest.score(np.array([[9.0, 9, 9]]))[0] > forest.score(rows).mean() + 0.15
+
+
+def path_score(forest, grown_on, row):
+    """Steps to the leaf, and what a search among the leaf's rows would add, tree by tree."""
+    def leaf(root, values):
+        at, steps = root, 0
+        while forest.feature[at] >= 0:
+            at = forest.left[at] if values[forest.feature[at]] < forest.cut[at] else forest.right[at]
+            steps += 1
+        return at, steps
+
+    def expected(n):
+        return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+
+    total = 0.0
+    for root in forest.roots:
+        at, steps = leaf(root, row)
+        total += steps + expected(sum(leaf(root, other)[0] == at for other in grown_on))
+    return 2 ** (-total / len(forest.roots) / expected(len(grown_on)))
+
+
+def test_path_lengths_by_hand():
+    random = np.random.default_rng(4)
+    rows = np.vstack([random.normal(size=(38, 2)), [[7.0, 7], [7, 7]]])  # two equal ones that no split parts
+    forest = quality.grow(rows, trees=20, tree_rows=40)
+    wanted = [path_score(forest, rows, r) for r in rows]
+    assert np.allclose(forest.score(rows), wanted, atol=1e-9)
+
+
+def test_the_verdict_is_the_score_against_the_threshold(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    counts = quality.with_statistics(docs)
+    forest = quality.fit(counts, labels)
+    rows = quality.judged(counts, forest).collect()
+    scores = forest.score(quality.ratios(np.array([[r[c] for c in (*quality.BASE, *quality.MORE)] for r in rows])))
+    odd = scores > forest.threshold
+    assert [r.kept for r in rows] == [not r.base_failed and not o for r, o in zip(rows, odd.tolist(), strict=True)]
+    assert any(o and not r.base_failed for r, o in zip(rows, odd.tolist(), strict=True))
+    tied = quality.Forest(**{**vars(forest), "threshold": float(scores[~odd].max())})  # at the threshold itself: kept
+    again = quality.judged(counts, tied).collect()
+    best = int(np.flatnonzero(scores == tied.threshold)[0])
+    assert again[best].doc_id == rows[best].doc_id and again[best].kept == (not rows[best].base_failed)
