@@ -194,3 +194,20 @@ def test_the_field_learns_from_every_part_of_a_text(spark):
     docs = spark.createDataFrame([(1, far)], "doc_id long, text string")
     assert pii.fit(docs).skip > 1
     assert pii.fit(docs.limit(0)).skip == 0 and pii.added_spans("a 12", [], pii.fit(docs.limit(0))) == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([
+    "a@b.c", "-@-.-", "%@x-.y", "(a@b", "@a", "a@@b.c", "1.2.3.4", "001.2.3.255", "1-2-3-4", "4111 1111 1111 1111", "4111.1111.1111.1111",
+    "+1 (212) 555-0100", "2125550100", "+4111111111111111", "\"2125550100\",", "12", "()", "é1", "語@語", "\n", "..1..", "1" * 25,
+]), max_size=12), st.sampled_from(["", " ", "  ", "x "]))
+def test_any_mixture_of_forms(field, parts, between):
+    text = between.join(parts)
+    base = pii.base_spans(text)
+    added = pii.added_spans(text, base, field)
+    spans = sorted((a, b) for a, _, b in added)
+    assert all(a < b <= len(text) for a, b in spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:], strict=False))
+    assert all(b <= c or a >= d for a, b in spans for c, _, d in base)
+    nodes, labels, use = pii.lesson(text)
+    assert len(nodes.base) == len(labels) == len(use) and not (use & (nodes.base > 0)).any()
+    assert (nodes.skip[:, 0] < nodes.skip[:, 1]).all()
