@@ -110,3 +110,15 @@ def test_bigrams_seen_once_are_in_the_model(spark, monkeypatch):
     model = katz.fit(train)
     assert model.pairs.filter("c = 1").count() == sum(c == 1 for c in by_hand.pairs.values()) > 0
     compare(katz.score(df, model).collect(), docs, by_hand)
+
+
+def test_very_long_texts(spark):
+    random = np.random.default_rng(7)
+    docs = [(1, " ".join(f"w{random.integers(0, 9000)}" for _ in range(60_000))), (2, "x" * 1_000_000), (3, "same " * 50_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = ByHand([t for _, t in docs])
+    for r in katz.score(df, katz.fit(df)).collect():
+        n, known, base, score = model.score(docs[r.doc_id - 1][1])
+        assert (r.n_tokens, r.n_known) == (n, known) and r.base_score == pytest.approx(base, rel=1e-9)
+        # words and pairs are summed apart and cancel where a text repeats itself: the rounding grows with its tokens
+        assert r.score == pytest.approx(score, rel=1e-9, abs=1e-10 * n)

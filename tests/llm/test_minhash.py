@@ -121,3 +121,13 @@ def test_clouds_of_variants(spark):
     want = by_hand(docs)
     assert {tuple(r) for r in minhash.near_duplicates(df, size=2).collect()} == want
     assert 3 < sum(r[3] for r in want) < 100
+
+
+def test_very_long_texts(spark):
+    random = np.random.default_rng(12)
+    long = [f"w{random.integers(0, 10**9)}" for _ in range(100_000)]
+    changed = [w if i % 100 else f"z{i}" for i, w in enumerate(long)]
+    docs = [(1, " ".join(long)), (2, " ".join(changed)), (3, "x" * 1_000_000), (4, "same " * 50_000), (5, " ".join(long[:50_000]))]
+    rows = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size=2).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+    assert {r.doc_id: r.n_shingles for r in rows if r.doc_id in (3, 4)} == {3: 1, 4: 1}

@@ -53,3 +53,11 @@ def test_rolling_hashes_are_equal_for_equal_windows_only():
     words = np.array([3, 1, 4, 1, 5, 9, 3, 1, 4, 1], np.uint64)
     got = substrings.RollingHashes().of(words, 4)
     assert got[0] == got[6] and len(set(got.tolist())) == 6
+
+
+def test_very_long_texts(spark):
+    random = np.random.default_rng(9)
+    long = " ".join(f"w{random.integers(0, 50_000)}" for _ in range(150_000))
+    docs = [(1, long), (2, "x" * 1_000_000), (3, " ".join(long.split()[-60:]) + " end"), (4, "same " * 50_000)]
+    rows = substrings.repeated_windows(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in rows} == {1: (150_000, 60), 2: (1, 0), 3: (61, 60), 4: (50_000, 50_000)}
