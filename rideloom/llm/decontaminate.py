@@ -1,7 +1,7 @@
 """Benchmark decontamination: search for passages like a benchmark item, exact checks, latent semantic cosines.
 
 Stretches of text that hold enough of an item's rarest words, counted through an inverted index so that none is
-missed, are compared with the item word by word: by the longest common subsequence, and by whether the item's
+missed, are compared with the item word by word, by the longest common subsequence, and by whether the item's
 end, its answer, is there. Passages are windows of words as TF-IDF vectors over the benchmark's terms; a
 randomised SVD of all of them, the items among them, gives the latent space in which a leak's cosine is measured.
 """
@@ -14,6 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +27,10 @@ from rideloom.workspace import cut_lineage
 HALF, RANK, MORE_COLUMNS, BLOCK_ITEMS = 32, 128, 16, 8192
 #: Terms in a larger share of passages are left out of the latent space, unless their item would keep fewer terms than this.
 MOST_SHARE, LEAST_TERMS = 0.05, 8
-#: Shares of an item's words in order that are a leak alone and with the answer, cells of counts held at once.
+#: Shares of an item's words in order that are a leak alone and with the answer, cells held at once.
 SURE, LIKELY, MOST_CELLS = 0.8, 0.6, 1 << 22
+#: Half passages whose terms are counted in one dense matrix.
+DENSE_HALVES = 64
 ANSWER_WORDS = 4
 #: Matrices of tasks that one task adds up, and rounds of it; what is left after them is added on the driver.
 FAN_IN, LEVELS = 100, 3
@@ -35,13 +38,13 @@ _SUMS = "block long, part long, sums binary"
 _PUNCTUATION = b".,;:!?\"'()[]{}#*$%&|<>-_"
 
 
-class _Terms(WordHashes):
-    """Hashes of words in lower case without punctuation around them."""
+class _Terms:
+    """Words in lower case without punctuation around them."""
 
-    def __missing__(self, word: bytes) -> int:
-        value = super().__missing__(word.lower().strip(_PUNCTUATION))
-        self[word] = value
-        return value
+    def of(self, words: list[bytes]) -> np.ndarray:
+        out = np.empty(len(words), object)
+        out[:] = [w.lower().strip(_PUNCTUATION) for w in words]
+        return out
 
 
 def common_in_order(item: np.ndarray, words: np.ndarray) -> int:
@@ -67,7 +70,7 @@ def contains(words: np.ndarray, run: np.ndarray) -> bool:
 
 @dataclass
 class Benchmark:
-    """Items as term hashes, and the latent space: ``terms`` in order, a row of ``space`` (weight x right singular
+    """Items as places among the terms, and the latent space: ``terms`` in order, a row of ``space`` (weight x right singular
     vectors) for each, item vectors of length one, singular values of the weighted passages. The index: ``postings``
     from ``first`` of a term are the items with it among their rarest words, once for each place; of these words
     ``least`` must be in a stretch of ``halves`` half passages.
@@ -85,17 +88,35 @@ class Benchmark:
     halves: np.ndarray
 
 
-def _halves(sequences: list[np.ndarray], terms: np.ndarray):
-    """Places of known words among ``terms``, their half passage, and halves per document."""
-    sizes = np.array([len(s) for s in sequences])
+def _terms_in(texts: pa.Array, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every word's place among ``terms``, -1 for others, one text after the other, and words of each text.
+
+    Words are those that ``_Terms`` takes from split texts; a null text has none.
+    """
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    words, ends = split.flatten(), split.offsets.to_numpy()
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # spaces at a text's begin or end leave empty ones
+    if not real.all():
+        words, ends = words.filter(pa.array(real)), np.append(0, np.cumsum(real))[ends]
+    plain = pc.ascii_trim(pc.ascii_lower(words), characters=_PUNCTUATION.decode()).cast(pa.binary())
+    at = pc.index_in(plain, value_set=pa.array(terms, pa.binary()))
+    return pc.fill_null(at, -1).to_numpy(), np.diff(ends)
+
+
+def _halves(words: np.ndarray, sizes: np.ndarray):
+    """Known ones of ``words`` (places among the terms, ``sizes`` per document), their half passage, halves per document."""
     halves = -(-sizes // HALF)
     first = np.cumsum(halves) - halves
-    words = np.concatenate(sequences) if len(sequences) else np.zeros(0, np.uint64)
-    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    half = np.repeat(first, sizes) + place // HALF
-    at = np.minimum(np.searchsorted(terms, words), max(len(terms) - 1, 0))
-    known = terms[at] == words if len(terms) else np.zeros(len(words), bool)
-    return at[known], half[known], halves, first
+    known = np.flatnonzero(words >= 0)
+    owner = np.repeat(np.arange(len(sizes)), sizes)[known]
+    return words[known], first[owner] + (known - (np.cumsum(sizes) - sizes)[owner]) // HALF, halves, first
+
+
+def _followed(halves: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The half passages that another one of the same text follows."""
+    followed = np.ones(int(halves.sum()), bool)
+    followed[(first + halves - 1)[halves > 0]] = False
+    return np.flatnonzero(followed)
 
 
 def _sum_rows(found: DataFrame, columns: int) -> np.ndarray:
@@ -120,48 +141,68 @@ def _blocks(matrix: np.ndarray, part: int, rows: int = 256) -> pa.RecordBatch:
         pa.array([matrix[s : s + rows].tobytes() for s in starts], pa.binary())], names=["block", "part", "sums"])
 
 
-def _half_rows(at: np.ndarray, half: np.ndarray, count: int, matrix: np.ndarray) -> np.ndarray:
-    """For each of ``count`` half passages the sum of its terms' rows of ``matrix``."""
-    out = np.zeros((count, matrix.shape[1]), np.float32)
-    begins = np.flatnonzero(np.diff(half, prepend=-1))
-    for a in range(0, len(begins), 4096):
-        mine = begins[a : a + 4096]
-        end = begins[a + 4096] if a + 4096 < len(begins) else len(at)
-        out[half[mine]] = np.add.reduceat(matrix[at[mine[0] : end]], mine - mine[0])
-    return out
+class _Counts:
+    """How often each term (of ``terms``) is in each of ``count`` half passages, for sums over its rows and columns.
 
+    Dense matrices of ``DENSE_HALVES`` rows, with columns for the terms that are there.
+    """
 
-def _add_products(sequences: list[np.ndarray], terms: np.ndarray, start: np.ndarray, total: np.ndarray) -> None:
+    def __init__(self, at: np.ndarray, half: np.ndarray, count: int, terms: int) -> None:
+        self.count, self.blocks = count, []
+        column = np.zeros(terms, np.int64)
+        starts = np.arange(0, count, DENSE_HALVES)
+        edges = np.append(np.searchsorted(half, starts), len(half))
+        for a, begin, end in zip(starts.tolist(), edges, edges[1:], strict=False):
+            mine = at[begin:end]
+            kinds = np.flatnonzero(np.bincount(mine, minlength=terms))
+            column[kinds] = np.arange(len(kinds))
+            shape = (min(DENSE_HALVES, count - a), len(kinds))
+            dense = np.bincount((half[begin:end] - a) * len(kinds) + column[mine], minlength=shape[0] * shape[1])
+            self.blocks.append((slice(a, a + shape[0]), kinds, dense.reshape(shape).astype(np.uint8)))  # HALF at most
+
+    def halves_with(self, total: np.ndarray) -> None:
+        """Add to each term's place in ``total`` the number of half passages that hold it."""
+        for _, kinds, dense in self.blocks:
+            total[kinds] += np.count_nonzero(dense, axis=0)
+
+    def rows(self, matrix: np.ndarray) -> np.ndarray:
+        """For each half passage the sum of its terms' rows of ``matrix``."""
+        out = np.zeros((self.count, matrix.shape[1]), np.float32)
+        for here, kinds, dense in self.blocks:
+            out[here] = dense.astype(np.float32) @ matrix[kinds]
+        return out
+
+    def add_columns(self, rows: np.ndarray, total: np.ndarray) -> None:
+        """Add to each term's row of ``total`` the ``rows`` of the half passages with it."""
+        for here, kinds, dense in self.blocks:
+            total[kinds] += dense.astype(np.float32).T @ rows[here]
+
+
+def _add_products(words: np.ndarray, sizes: np.ndarray, start: np.ndarray, total: np.ndarray) -> None:
     """Add to ``total`` in how many half passages each term is (column 0, their number in the last row), and
     (passages transposed) x passages x ``start``. A passage is a half with the next one of its text.
     """
-    at, half, halves, first = _halves(sequences, terms)
+    at, half, halves, first = _halves(words, sizes)
     total[-1, 0] += halves.sum()
     if not len(at):
         return
-    total[:-1, 0] += np.bincount(np.unique(half * len(terms) + at) % len(terms), minlength=len(terms))
-    seen = _half_rows(at, half, int(halves.sum()), start)
-    followed = np.ones(len(seen), bool)
-    followed[(first + halves - 1)[halves > 0]] = False
-    ahead = np.flatnonzero(followed)
+    counts = _Counts(at, half, int(halves.sum()), len(start))
+    counts.halves_with(total[:-1, 0])
+    seen, ahead = counts.rows(start), _followed(halves, first)
     passages = seen.copy()
     passages[ahead] += seen[ahead + 1]
     back = passages.copy()
     back[ahead + 1] += passages[ahead]
-    order = np.argsort(at, kind="stable")
-    for a in range(0, len(order), 1 << 17):
-        mine = order[a : a + (1 << 17)]
-        places = np.flatnonzero(np.diff(at[mine], prepend=-1))
-        total[at[mine[places]], 1:] += np.add.reduceat(back[half[mine]], places)
+    counts.add_columns(back, total[:-1, 1:])
 
 
 def _survey(texts: DataFrame, terms: np.ndarray, start: np.ndarray) -> np.ndarray:
     """One pass over all texts: what ``_add_products`` sums up."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = _Terms(), np.zeros((len(terms) + 1, start.shape[1] + 1))
+        total = np.zeros((len(terms) + 1, start.shape[1] + 1))
         narrow = start.astype(np.float32)
-        for _, found in text_chunks(batches):
-            _add_products([hashes.of(t.split()) for t in found], terms, narrow, total)
+        for rows, _ in text_chunks(batches):
+            _add_products(*_terms_in(rows.column("text"), terms), narrow, total)
         yield _blocks(total, TaskContext.get().partitionId())
 
     found = _sum_rows(texts.mapInArrow(run, _SUMS), start.shape[1] + 1)
@@ -201,22 +242,25 @@ def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3)
     columns, the other multiplies them with that range, which gives singular values and vectors.
     """
     rows = benchmark.select(F.col("item_id").cast("long"), "text").dropna().collect()
-    hashes = _Terms()
-    named = [(i, hashes.of(t.encode().split())) for i, t in sorted(rows)]
+    named = [(i, _Terms().of(t.encode().split())) for i, t in sorted(rows)]
     named = [(i, words) for i, words in named if len(words)]
     ids, items = [i for i, _ in named], [w for _, w in named]
-    terms = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint64)
+    terms = np.unique(np.concatenate(items)) if items else np.zeros(0, object)
+    terms = terms[np.argsort(WordHashes().of(terms.tolist()))]  # random columns depend on a term's hash, not on its letters
     if not len(terms):
         return Benchmark([], [], terms, np.zeros((0, 0)), np.zeros((0, 0)), *[np.zeros(0)] * 5)
-    places = [np.searchsorted(terms, words) for words in items]
+    number = {w: i for i, w in enumerate(terms)}
+    places = [np.array([number[w] for w in words]) for words in items]
     texts = texts.select("text")
 
     def products(start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts in the texts, and the product with all passages, the items' among them."""
+        """Counts in the texts, and the product with all passages, the items' among them; of terms with a weight only."""
+        used = np.flatnonzero(start.any(1))
         own = np.zeros((len(terms) + 1, start.shape[1] + 1))
-        _add_products(items, terms, start.astype(np.float32), own)
-        found = _survey(texts, terms, start)
-        return found[:, 0], found[:-1, 1:] + own[:-1, 1:]
+        _add_products(np.concatenate(places), np.array([len(at) for at in places]), start.astype(np.float32), own)
+        own[:, 0] = 0
+        own[np.append(used, -1)] += _survey(texts, terms[used], start[used])
+        return own[:, 0], own[:-1, 1:]
 
     random = np.random.default_rng(seed)
     prior = np.zeros(len(terms))
@@ -238,9 +282,9 @@ def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3)
     right, singular, _ = np.linalg.svd(image @ (turn[:, good] / np.sqrt(values[good])), full_matrices=False)
     right, singular = right[:, :rank], singular[:rank]
     space = (weights * right).astype(np.float32)
-    vectors = _half_rows(np.concatenate(places), np.repeat(np.arange(len(items)), [len(w) for w in items]), len(items), space)
+    vectors = np.array([space[at].sum(0) for at in places])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    return Benchmark(ids, items, terms, space, vectors, singular, *_index(places, counts))
+    return Benchmark(ids, places, terms, space, vectors, singular, *_index(places, counts))
 
 
 def _candidates(at: np.ndarray, half: np.ndarray, count: int, known: Benchmark) -> Iterator[tuple[int, int]]:
@@ -250,7 +294,7 @@ def _candidates(at: np.ndarray, half: np.ndarray, count: int, known: Benchmark)
     no pair that the exact check would report is left out. Stretches may run into the next text here.
     """
     terms, items = len(known.terms), len(known.items)
-    pairs = np.unique(half * terms + at)
+    pairs = np.unique((half * terms + at)[known.first[at + 1] > known.first[at]])
     half, at = pairs // terms, pairs % terms
     sizes = known.first[at + 1] - known.first[at]
     widest = int(known.halves.max())
@@ -268,36 +312,43 @@ def _candidates(at: np.ndarray, half: np.ndarray, count: int, known: Benchmark)
             mine = np.flatnonzero(known.halves == width)
             part = until if len(mine) == items else until[:, mine]
             enough = part[np.minimum(np.arange(b - a) + width, end - a)] - part[: b - a] >= known.least[mine]
-            for row, column in zip(*np.nonzero(enough), strict=True):
-                yield a + int(row), int(mine[column])
+            row, column = np.nonzero(enough)
+            yield from zip((row + a).tolist(), mine[column].tolist(), strict=True)
 
 
 def _cosine(words: np.ndarray, item: int, known: Benchmark) -> float:
     """The largest cosine of the item and a passage of ``words`` in the latent space."""
-    at, half, halves, _ = _halves([words], known.terms)
-    seen = _half_rows(at, half, int(halves[0]), known.space)
+    at, half, halves, _ = _halves(words, np.array([len(words)]))
+    seen = _Counts(at, half, int(halves[0]), len(known.terms)).rows(known.space)
     passages = seen.copy()
     passages[:-1] += seen[1:]
     return float((passages @ known.vectors[item] / np.maximum(np.linalg.norm(passages, axis=1), 1e-12)).max())
 
 
-def _leaks(texts: list[bytes], known: Benchmark, hashes: _Terms) -> list[tuple[int, int, float, float, bool]]:
+def _leaks(texts: pa.Array, known: Benchmark) -> list[tuple[int, int, float, float, bool]]:
     """Text number, item, cosine, share in order, answer found; the best stretch of each leaked item."""
-    sequences = [hashes.of(t.split()) for t in texts]
-    at, half, halves, first = _halves(sequences, known.terms)
+    every, sizes = _terms_in(texts, known.terms)
+    at, half, halves, first = _halves(every, sizes)
     if not len(at):
         return []
-    owner = np.repeat(np.arange(len(texts)), halves)
+    owner, ends = np.repeat(np.arange(len(sizes)), halves), np.cumsum(sizes)
+    plain = [item.tolist() for item in known.items]
     best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-    for p, item in _candidates(at, half, len(owner), known):
+    stretch, there = slice(0), set()
+    for p, item in _candidates(at, half, int(halves.sum()), known):
         i = int(owner[p])
-        place = (p - int(first[i])) * HALF
-        words, wanted = sequences[i][place : place + int(known.halves[item]) * HALF], known.items[item]
-        if np.isin(wanted, words).sum() < LIKELY * len(wanted):
+        place = int(ends[i] - sizes[i]) + (p - int(first[i])) * HALF
+        here, wanted = slice(place, min(place + int(known.halves[item]) * HALF, int(ends[i]))), known.items[item]
+        if here != stretch:
+            stretch, words = here, every[here]
+            there = set(words.tolist())
+        if sum(map(there.__contains__, plain[item])) < LIKELY * len(wanted):
             continue  # fewer words in common, in whatever order
         share = common_in_order(wanted, words) / len(wanted)
+        if share < LIKELY:
+            continue
         answer = contains(words, wanted[-ANSWER_WORDS:])
-        if share >= SURE or share >= LIKELY and answer:
+        if share >= SURE or answer:
             found = (share, _cosine(words, item, known), answer)
             best[i, item] = max(found, best.get((i, item), found))
     return [(i, known.ids[item], cosine, share, answer) for (i, item), (share, cosine, answer) in sorted(best.items())]
@@ -322,9 +373,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, known: Benchmark | None = None)
     """
     def search(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = _Terms()
-            for rows, texts in text_chunks(batches):
-                found = _leaks(texts, shared.value, hashes)
+            for rows, _ in text_chunks(batches):
+                found = _leaks(rows.column("text"), shared.value)
                 columns = list(zip(*found, strict=True)) if found else [[]] * 5
                 yield with_columns(
                     rows.take(pa.array(columns[0], pa.int64())), ["doc_id"], item_id=pa.array(columns[1], pa.int64()),
@@ -341,10 +391,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, without a leaked item."""
     def without(docs: DataFrame, shared: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = _Terms()
-            for rows, texts in text_chunks(batches):
-                kept = np.ones(len(texts), bool)
-                kept[[i for i, *_ in _leaks(texts, shared.value, hashes)]] = False
+            for rows, _ in text_chunks(batches):
+                kept = np.ones(rows.num_rows, bool)
+                kept[[i for i, *_ in _leaks(rows.column("text"), shared.value)]] = False
                 yield rows.filter(pa.array(kept))
 
         return docs.mapInArrow(run, docs.schema)

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from rideloom.llm import decontaminate as dec
 from rideloom.llm.queries import op5_decontamination
@@ -136,3 +137,12 @@ def test_sums_in_levels_and_blocks_by_content(spark, monkeypatch):
     items = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "item_id long, text string")
     block = lambda parts: [sorted(r.item_id for r in b.collect()) for b in dec._item_blocks(items.repartition(parts))]
     assert block(1) == block(7) and sorted(sum(block(3), [])) == list(range(40))
+
+
+def test_terms_of_a_column_are_those_of_split_texts():
+    texts = ["", None, " ", "\x1cb\x0b\x1c c\r\n--  A.B. ", "\u00c9.  x y\x85z", "a", " --", ".la. La,"]
+    plain = [dec._Terms().of((t or "").encode().split()).tolist() for t in texts]
+    terms = np.unique(dec._Terms().of(b"b a.b x la -- z".split()))
+    at, sizes = dec._terms_in(pa.array(texts), terms)
+    assert sizes.tolist() == [len(words) for words in plain]
+    assert at.tolist() == [terms.tolist().index(w) if w in terms.tolist() else -1 for words in plain for w in words]
