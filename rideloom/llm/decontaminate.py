@@ -1,9 +1,10 @@
 """Benchmark decontamination: search for passages like a benchmark item, exact checks, latent semantic cosines.
 
 Stretches of text that hold enough of an item's rarest words, counted through an inverted index so that none is
-missed, are compared with the item word by word, by the longest common subsequence, and by whether the item's
-end, its answer, is there. Passages are windows of words as TF-IDF vectors over the benchmark's terms; a
-randomised SVD of all of them, the items among them, gives the latent space in which a leak's cosine is measured.
+missed, are compared with the item word by word, by the longest common subsequence. Passages are windows of words as
+TF-IDF vectors over the benchmark's terms; a randomised SVD of all of them, the items among them, gives a latent space
+that is searched for passages close to an item. Where most but not nearly all of an item's words are there in order, it
+has leaked if its end, its answer, is there too, or if a passage is close to it.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from rideloom.workspace import cut_lineage
 HALF, RANK, MORE_COLUMNS, BLOCK_ITEMS = 32, 128, 16, 8192
 #: Terms in a larger share of passages are left out of the latent space, unless their item would keep fewer terms than this.
 MOST_SHARE, LEAST_TERMS = 0.05, 8
-#: Shares of an item's words in order that are a leak alone and with the answer, cells held at once.
+#: Shares of an item's words in order that are a leak alone and with the answer or a close passage, cells held at once.
 SURE, LIKELY, MOST_CELLS = 0.8, 0.6, 1 << 22
+#: Least cosine of a close passage in the latent space.
+CLOSE = 0.75
 #: Half passages whose terms are counted in one dense matrix.
 DENSE_HALVES = 64
 ANSWER_WORDS = 4
@@ -71,7 +74,7 @@ def contains(words: np.ndarray, run: np.ndarray) -> bool:
 @dataclass
 class Benchmark:
     """Items as places among the terms, and the latent space: ``terms`` in order, a row of ``space`` (weight x right singular
-    vectors) for each, item vectors of length one, singular values of the weighted passages. The index: ``postings``
+    vectors) for each and whether its weight is not zero, item vectors of length one, singular values of the weighted passages. The index: ``postings``
     from ``first`` of a term are the items with it among their rarest words, once for each place; of these words
     ``least`` must be in a stretch of ``halves`` half passages.
     """
@@ -80,6 +83,7 @@ class Benchmark:
     items: list[np.ndarray]
     terms: np.ndarray
     space: np.ndarray
+    weighed: np.ndarray
     vectors: np.ndarray
     singular: np.ndarray
     first: np.ndarray
@@ -248,7 +252,7 @@ def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3)
     terms = np.unique(np.concatenate(items)) if items else np.zeros(0, object)
     terms = terms[np.argsort(WordHashes().of(terms.tolist()))]  # random columns depend on a term's hash, not on its letters
     if not len(terms):
-        return Benchmark([], [], terms, np.zeros((0, 0)), np.zeros((0, 0)), *[np.zeros(0)] * 5)
+        return Benchmark([], [], terms, np.zeros((0, 0)), np.zeros(0, bool), np.zeros((0, 0)), *[np.zeros(0)] * 5)
     number = {w: i for i, w in enumerate(terms)}
     places = [np.array([number[w] for w in words]) for words in items]
     texts = texts.select("text")
@@ -284,16 +288,24 @@ def fit(texts: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 3)
     space = (weights * right).astype(np.float32)
     vectors = np.array([space[at].sum(0) for at in places])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    return Benchmark(ids, places, terms, space, vectors, singular, *_index(places, counts))
+    return Benchmark(ids, places, terms, space, weights[:, 0] > 0, vectors, singular, *_index(places, counts))
 
 
-def _candidates(at: np.ndarray, half: np.ndarray, count: int, known: Benchmark) -> Iterator[tuple[int, int]]:
-    """First half passages of stretches, and the items with enough of their rarest words in them.
+def _candidates(
+    at: np.ndarray, half: np.ndarray, halves: np.ndarray, first: np.ndarray, known: Benchmark
+) -> Iterator[tuple[int, int, bool]]:
+    """First half passages of stretches, the items with enough of their rarest words in them, and whether the search of
+    the latent space, every passage against every item, has a passage of the stretch close to the item.
 
     A leaked item has ``LIKELY`` of its words in the stretch, so of any subset of them all but what may be missing;
     no pair that the exact check would report is left out. Stretches may run into the next text here.
     """
-    terms, items = len(known.terms), len(known.items)
+    terms, items, count = len(known.terms), len(known.items), int(halves.sum())
+    weighed = known.weighed[at]
+    passages, ahead = _Counts(at[weighed], half[weighed], count, terms).rows(known.space), _followed(halves, first)
+    passages[ahead] += passages[ahead + 1]
+    passages /= np.maximum(np.linalg.norm(passages, axis=1, keepdims=True), 1e-12)
+    vectors = known.vectors.T.astype(np.float32)
     pairs = np.unique((half * terms + at)[known.first[at + 1] > known.first[at]])
     half, at = pairs // terms, pairs % terms
     sizes = known.first[at + 1] - known.first[at]
@@ -308,12 +320,16 @@ def _candidates(at: np.ndarray, half: np.ndarray, count: int, known: Benchmark)
         cells = np.repeat(half[mine] - a, size) * items + known.postings[here]
         until = np.zeros((end - a + 1, items), np.int32)
         np.cumsum(np.bincount(cells, minlength=(end - a) * items).reshape(-1, items), axis=0, out=until[1:])
+        near = passages[a:end] @ vectors >= CLOSE
         for width in np.unique(known.halves):
             mine = np.flatnonzero(known.halves == width)
             part = until if len(mine) == items else until[:, mine]
             enough = part[np.minimum(np.arange(b - a) + width, end - a)] - part[: b - a] >= known.least[mine]
             row, column = np.nonzero(enough)
-            yield from zip((row + a).tolist(), mine[column].tolist(), strict=True)
+            item, close = mine[column], np.zeros(len(row), bool)
+            for i in range(width - 1):  # a passage is two halves
+                close |= near[np.minimum(row + i, end - a - 1), item]
+            yield from zip((row + a).tolist(), item.tolist(), close.tolist(), strict=True)
 
 
 def _cosine(words: np.ndarray, item: int, known: Benchmark) -> float:
@@ -335,7 +351,7 @@ def _leaks(texts: pa.Array, known: Benchmark) -> list[tuple[int, int, float, flo
     plain = [item.tolist() for item in known.items]
     best: dict[tuple[int, int], tuple[float, float, bool]] = {}
     stretch, there = slice(0), set()
-    for p, item in _candidates(at, half, int(halves.sum()), known):
+    for p, item, close in _candidates(at, half, halves, first, known):
         i = int(owner[p])
         place = int(ends[i] - sizes[i]) + (p - int(first[i])) * HALF
         here, wanted = slice(place, min(place + int(known.halves[item]) * HALF, int(ends[i]))), known.items[item]
@@ -348,7 +364,7 @@ def _leaks(texts: pa.Array, known: Benchmark) -> list[tuple[int, int, float, flo
         if share < LIKELY:
             continue
         answer = contains(words, wanted[-ANSWER_WORDS:])
-        if share >= SURE or answer:
+        if share >= SURE or answer or close:
             found = (share, _cosine(words, item, known), answer)
             best[i, item] = max(found, best.get((i, item), found))
     return [(i, known.ids[item], cosine, share, answer) for (i, item), (share, cosine, answer) in sorted(best.items())]

@@ -139,6 +139,21 @@ def test_sums_in_levels_and_blocks_by_content(spark, monkeypatch):
     assert block(1) == block(7) and sorted(sum(block(3), [])) == list(range(40))
 
 
+def test_a_close_passage_decides_where_the_answer_is_gone(spark):
+    items = [[f"q{i}_{j}" for j in range(50)] for i in range(3)]
+    changed = [w if j % 10 < 7 else f"z{j}" for j, w in enumerate(items[0])]  # three of ten words replaced, the last ones too
+    texts = [long_text(1, 64) + changed + long_text(2, 60), *(long_text(3 + i, 500) for i in range(20))]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    rows = {(r.doc_id, r.item_id): r for r in dec.leaks(docs, benchmark).collect()}
+    assert (0, 0) in rows and not rows[0, 0].answer and dec.LIKELY <= rows[0, 0].in_order < dec.SURE
+    assert rows[0, 0].cosine >= dec.CLOSE and dec.keep_clean(docs, benchmark).count() == 20
+    # without the latent space, no passage is close, and the words in order alone do not make a leak
+    known = dec.fit(docs, benchmark)
+    known.space[:] = 0
+    assert (0, 0) not in {(r.doc_id, r.item_id) for r in dec.leaks(docs, benchmark, known).collect()}
+
+
 def test_terms_of_a_column_are_those_of_split_texts():
     texts = ["", None, " ", "\x1cb\x0b\x1c c\r\n--  A.B. ", "\u00c9.  x y\x85z", "a", " --", ".la. La,"]
     plain = [dec._Terms().of((t or "").encode().split()).tolist() for t in texts]
