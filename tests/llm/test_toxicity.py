@@ -86,3 +86,24 @@ def test_very_long_texts_are_split_in_linear_time(text):
     begin = time.perf_counter()
     tox._END.split(text)
     assert time.perf_counter() - begin < 2
+
+
+def test_sentences_give_the_nearest_words_and_are_not_searched_again_for_spaced_letters(monkeypatch):
+    kernel = tox.Kernel(["idiot", "stupid"])
+    texts = ["", "You idiot. You st-upid idiots!\nA fine day. " * 20, "An i d i o t. Nice, i.d.i.o.t\nstupid", "all fine"]
+    plain = []
+    kernel.learn(set().union(*map(tox.words_of, texts)))
+    for text in texts:
+        found = [[kernel.cache[w] for w in tox.words_of(s) if kernel.cache.get(w) is not None] for s in tox.sentences(text)]
+        plain.append([np.max(v, axis=0) for v in found if v])
+    searched = []
+
+    class Counted:
+        def finditer(self, text, spaced=tox._SPACED):
+            searched.append(text)
+            return spaced.finditer(text)
+
+    monkeypatch.setattr(tox, "_SPACED", Counted())
+    rows = tox.sentence_values(texts, kernel)
+    assert [r.tolist() for r in rows] == [[v.tolist() for v in p] for p in plain] and [len(r) for r in rows] == [0, 40, 3, 0]
+    assert len(searched) == len(texts) + 3  # only the third text has spaced letters, so only its sentences are searched
