@@ -77,9 +77,9 @@ def pack(
         last = (total or 0) - (total or 0) % length
         rest = (total or 0) - last
         padded = rest if rest and rest & (rest - 1) == 0 else length
-        for batch in batches:
+        for rows, found in text_chunks(batches, "ids"):
             out = []
-            for doc, place, ids in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc, place, ids in zip(*(rows.column(i).to_pylist() for i in range(2)), found, strict=True):
                 size = len(ids) // 4
                 cuts = [0, *range(length - place % length, size, length), size]
                 for a, b in zip(cuts, cuts[1:], strict=False):

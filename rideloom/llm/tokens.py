@@ -8,6 +8,8 @@ import re
 
 import numpy as np
 
+from rideloom.llm.batches import kept_for_stage
+
 #: Blanks that other rules than the two split on below can see; texts with them are encoded whole.
 _ODD_BLANK = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _MAX_CACHED = 800_000
@@ -100,11 +102,6 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """The encoder of this process for ``path``."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """The encoder for ``path`` of this process and stage."""
+    return kept_for_stage(path, lambda: Encoder(path))

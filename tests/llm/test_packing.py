@@ -1,3 +1,4 @@
+import tempfile
 import zlib
 
 import numpy as np
@@ -5,6 +6,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from rideloom.llm import packing
+from rideloom.llm.batches import text_chunks
 from rideloom.llm.packing import pack
 from rideloom.llm.queries import BYTE_BPE, op3_packing
 from rideloom.llm.tokens import Encoder
@@ -83,3 +86,21 @@ def test_last_sequence_at_a_power_of_two_is_not_padded(spark):
 
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), BYTE_BPE).count() == 0
+
+
+def test_pieces_are_cut_a_few_texts_at_a_time(spark, monkeypatch):
+    def chunks(batches, column="text", max_bytes=1 << 10):
+        for rows, found in text_chunks(batches, column, max_bytes):
+            with open(marks, "a") as file:
+                file.write(f"{column} {len(found)}\n")
+            yield rows, found
+
+    with tempfile.NamedTemporaryFile() as file:
+        marks = file.name
+        monkeypatch.setattr(packing, "text_chunks", chunks)
+        docs = spark.createDataFrame([(i, "some words " * 40) for i in range(60)], "doc_id long, text string").coalesce(1)
+        pieces = packing.pack(docs, BYTE_BPE, end_id=1, length=64).collect()
+        seen = [line.split() for line in open(marks)]
+    assert sum(p.length for p in pieces) == sum({p.doc_id: p.doc_tokens for p in pieces}.values())
+    cut = [int(n) for column, n in seen if column == "ids"]
+    assert sum(cut) == 60 and max(cut) < 60
