@@ -107,3 +107,19 @@ def test_sentences_give_the_nearest_words_and_are_not_searched_again_for_spaced_
     rows = tox.sentence_values(texts, kernel)
     assert [r.tolist() for r in rows] == [[v.tolist() for v in p] for p in plain] and [len(r) for r in rows] == [0, 40, 3, 0]
     assert len(searched) == len(texts) + 3  # only the third text has spaced letters, so only its sentences are searched
+
+
+def test_long_words_are_compared_together(monkeypatch):
+    words = {f"idiot{'xyzw'[i % 4] * 3}stupid{'qvk'[i % 3] * 4}{'z' * (i % 40)}{i}" for i in range(600)} | {"y" * 9000 + "stupid"}
+    alone = {}
+    for w in words:
+        kernel = tox.Kernel(["idiot", "stupid"])
+        kernel.learn({w})
+        alone[w] = kernel.cache[w]
+    calls, real = [], tox.subsequences
+    kernel = tox.Kernel(["idiot", "stupid"])
+    monkeypatch.setattr(tox, "subsequences", lambda part: calls.append(len(part)) or real(part))
+    kernel.learn(words)
+    assert len(calls) < 10 < sum(len(w) > tox.STRETCH for w in words)
+    assert kernel.near == {w for w, v in alone.items() if v is not None}
+    assert all((kernel.cache[w] is None) if v is None else (kernel.cache[w] == v).all() for w, v in alone.items())
