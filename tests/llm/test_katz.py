@@ -1,3 +1,4 @@
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -122,3 +123,35 @@ def test_very_long_texts(spark):
         assert (r.n_tokens, r.n_known) == (n, known) and r.base_score == pytest.approx(base, rel=1e-9)
         # words and pairs are summed apart and cancel where a text repeats itself: the rounding grows with its tokens
         assert r.score == pytest.approx(score, rel=1e-9, abs=1e-10 * n)
+
+
+def test_pairs_take_few_bytes(spark):
+    random = np.random.default_rng(8)
+    docs = [(i, " ".join(f"w{j}" for j in random.zipf(1.2, 500) % 100_000)) for i in range(400)]
+    model = katz.fit(spark.createDataFrame(docs, "doc_id long, text string"))
+    stored = sum(os.path.getsize(f.split(":", 1)[1]) for f in model.pairs.inputFiles())
+    n = len(set().union(*(zip(["<s>", *tokens(t)], tokens(t), strict=False) for _, t in docs)))
+    assert model.pairs.count() == n and stored < 8 * n  # 13.5 with the key's hash and its weight
+
+
+def test_every_pair_is_in_the_buckets_of_its_rare_words(monkeypatch):
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", 64)
+    random, buckets = np.random.default_rng(9), 5
+    head = katz.Head(np.arange(10, dtype=np.uint64) + np.uint64(1 << 63), np.arange(100, 0, -10))
+    words = np.concatenate([np.arange(10), random.integers(1 << 63, 1 << 64, 20, np.uint64)]).astype(np.uint64)
+    first, second, owner = random.choice(words, 3000), random.choice(words, 3000), np.sort(random.integers(0, 40, 3000))
+    want = Counter(zip(first.tolist(), second.tolist(), owner.tolist(), strict=True))
+    seen, buckets_of = Counter(), defaultdict(set)
+    for bucket, blob in katz._by_bucket(first, second, owner.astype(np.uint16), head, buckets):
+        own, one, two, times, places = katz._unpacked(blob)
+        one, two = (np.repeat(katz._replaced(x, own) if len(own) else x, times.astype(int)).tolist() for x in (one, two))
+        found = Counter(zip(one, two, places.tolist(), strict=True))
+        for (a, b, _), n in found.items():
+            rare = {w % buckets for w in (a, b) if w >= 1 << 16}
+            assert bucket in rare or not rare
+            buckets_of[a, b].add(bucket)
+        seen |= found
+        assert all(want[k] == n for k, n in found.items())
+    assert seen == want
+    assert all(len(found) == max(1, len({w % buckets for w in pair if w >= 1 << 16})) for pair, found in buckets_of.items())
+    assert len(set().union(*(buckets_of[0, b] for b in range(10)))) > 2  # a common first word's pairs are spread
