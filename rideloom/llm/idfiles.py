@@ -32,6 +32,8 @@ _MARK = b"TKC1"
 _NULL = -(1 << 63)
 #: Bytes of text that one task codes; coding takes longer than reading, so this is less than a usual partition.
 TASK_BYTES = 16 << 20
+#: Bytes of text whose pieces are looked up together.
+CHUNK_BYTES = 8 << 20
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -105,16 +107,15 @@ def write(
     only ``end_id``; null ids come first; rows with equal ids stay apart, in any order.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded, last = encoder(tokenizer), np.array([end_id], np.int64)
+        encoded, last = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         store, root = _open(folder)
         store.create_dir(root, recursive=True)
         part, number = TaskContext.get().partitionId(), 0
 
         def documents():
-            for rows, texts in text_chunks(batches):
-                ids = encoded([t.decode() for t in texts])
-                for doc, x in zip(rows.column(0).to_pylist(), ids, strict=True):
-                    yield doc, np.concatenate([np.frombuffer(x, "<u4").astype(np.int64), last])
+            for rows, texts in text_chunks(batches, max_bytes=CHUNK_BYTES):
+                for doc, x in zip(rows.column(0).to_pylist(), encoded(texts), strict=True):
+                    yield doc, np.frombuffer(x + last, "<u4")
 
         def groups():
             held = []

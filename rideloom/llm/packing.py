@@ -30,7 +30,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_column: str = "do
         encode, last = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for rows, texts in text_chunks(batches):
-            ids = [x + last for x in encode([t.decode() for t in texts])]
+            ids = [x + last for x in encode(texts)]
             sizes = np.array([len(x) // 4 for x in ids], np.int64)
             ends = before + np.cumsum(sizes)
             yield with_columns(

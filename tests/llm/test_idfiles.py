@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rideloom.llm import idfiles
+from rideloom.llm import coder, idfiles
 from rideloom.llm.coder import decode, encode
 from rideloom.llm.queries import BYTE_BPE, op8_token_files
 from rideloom.workspace import fresh_folder
@@ -31,6 +31,33 @@ def test_long_and_repeating_blocks_come_back_smaller():
         encode([np.array([70_000])])
 
 
+def test_an_id_takes_two_steps_of_the_coder_at_most(monkeypatch):
+    random = np.random.default_rng(5)
+    arrays = [random.zipf(1.2, 300) % 50000 for _ in range(20)]
+    for side in (coder._Out, coder._In):
+        calls, narrow = [], side.narrow
+        monkeypatch.setattr(side, "narrow", lambda *a, calls=calls, narrow=narrow: calls.append(1) or narrow(*a))
+        payloads = encode(arrays) if side is coder._Out else payloads
+        if side is coder._In:
+            assert all((a == b).all() for a, b in zip(arrays, decode(payloads, [300] * 20), strict=True))
+        assert 300 < len(calls) <= 600
+
+
+def test_rare_ids_are_not_dear():
+    random = np.random.default_rng(6)
+    for payload in encode([random.zipf(1.3, 4096) % 50000 for _ in range(8)]):
+        assert len(payload) < 4450
+
+
+def test_blocks_are_independent_and_large_ones_come_back():
+    random = np.random.default_rng(7)
+    arrays = [random.integers(0, 65536, 70_000), random.integers(0, 9, 100_000), np.array([65535]), np.arange(20_000)]
+    payloads = encode(arrays)
+    assert payloads == [encode([a])[0] for a in arrays]
+    for a, payload in zip(arrays, payloads, strict=True):
+        assert (decode([payload], [len(a)])[0] == a).all()
+
+
 def by_hand(docs, end):
     library, out, start = Tokenizer.from_file(BYTE_BPE), [], 0
     for doc, text in sorted(docs, key=lambda d: d[0]):

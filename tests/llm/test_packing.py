@@ -4,6 +4,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from rideloom.llm import packing
@@ -104,3 +106,28 @@ def test_pieces_are_cut_a_few_texts_at_a_time(spark, monkeypatch):
     assert sum(p.length for p in pieces) == sum({p.doc_id: p.doc_tokens for p in pieces}.values())
     cut = [int(n) for column, n in seen if column == "ids"]
     assert sum(cut) == 60 and max(cut) < 60
+
+
+def test_pieces_end_at_punctuation_and_at_runs_of_blanks():
+    texts = [
+        "One two, two. two; (two) two\n\n  two\n two! it's it's, rock'n'roll x'standard a-b_c 3,5 v2.0 e.g.\n",
+        "  lead\n", " ", "\n \n", "", "end  ", "na\u00efve, caf\u00e9. \u6f22\u5b57, \u6f22\u5b57\u3002 a\u00a0b \u2014 c\u0301.d",
+        "tab\tand, more", "<|endoftext|> two, <|endoftext", "|> two", "\"two,\" two...", "a\n\n\nb", ",", "\x01,a\x1f,",
+    ]
+    library, ours = Tokenizer.from_file(BYTE_BPE), Encoder(BYTE_BPE)
+    for part in (texts, texts[::-1], [t.encode() for t in texts], texts[3:4], texts[:1] * 3):
+        got = [np.frombuffer(x, "<u4").tolist() for x in ours(part)]
+        assert got == [library.encode(t if isinstance(t, str) else t.decode(), add_special_tokens=False).ids for t in part]
+    words = Encoder(BYTE_BPE)
+    words(["x one, two. one. two, one; two; one! two!"])
+    assert len(words.pieces) == 7  # the head, each word once, the marks
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab Z\n.,'\"st1\t\u00e9\u00a0\u6f22\U0001f600-") | st.characters(codec="utf-8"), max_size=30), max_size=6))
+def test_ids_are_those_of_the_library(texts):
+    got = [np.frombuffer(x, "<u4").tolist() for x in _KEPT(texts)]
+    assert got == [x.ids for x in _LIBRARY.encode_batch(texts, add_special_tokens=False)]
+
+
+_KEPT, _LIBRARY = Encoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
