@@ -59,7 +59,10 @@ class _Out:
         low = self.low[:n]
         low += begin
         self.range[:n] = span
-        due = np.flatnonzero(span < _LEAST)
+
+    def move(self, n: int) -> None:
+        """Write the settled words of the first ``n`` lanes."""
+        due = np.flatnonzero(self.range[:n] < _LEAST)
         while len(due):
             low, at, wide = self.low[due], self.at[due], self.range[due] << 16
             self.words[at, due] = low >> 32
@@ -67,6 +70,7 @@ class _Out:
             due = due[wide < _LEAST]
 
     def flushed(self) -> list[bytes]:
+        self.move(len(self.at))
         self.words[self.at, np.arange(len(self.at))] = self.low + _LOW32 >> 32
         self.at += 1
         words = self.words[: int(self.at.max(initial=0))]
@@ -98,7 +102,9 @@ class _In:
         code = self.code[:n]
         code -= begin
         self.range[:n] = span
-        due = np.flatnonzero(span < _LEAST)
+
+    def move(self, n: int) -> None:
+        due = np.flatnonzero(self.range[:n] < _LEAST)
         while len(due):
             at, wide = self.at[due], self.range[due] << 16
             self.code[due] = self.code[due] << 16 | self.words.take(at, mode="clip")
@@ -137,9 +143,10 @@ def _follow(sizes: np.ndarray, distinct: int, coder, ranks: np.ndarray, literals
         if alive != n:
             n = alive
             at, before, base_2, base_1, state_0 = at[:, :n].copy(), before[:n], base_2[:n], base_1[:n], state_0[:n]
+            places = at.reshape(-1)
             if decode:
                 begin = begin[:n]
-        entry = table.take(at)
+        entry = table.take(places).reshape(2, n)
         proposed, sure = entry >> 2, entry & 3
         by_2, by_1 = proposed
         state = state_0 + ((sure[0] << 3) + (sure[1] << 1) + (by_2 == by_1))
@@ -162,11 +169,13 @@ def _follow(sizes: np.ndarray, distinct: int, coder, ranks: np.ndarray, literals
         high = np.where(neither, whole, np.where(not_2, end_1, end_2))
         high -= low
         coder.narrow(n, low, high)
+        if step & 1:  # a weight is 32 at least, so 32 bits last for two choices
+            coder.move(n)
         way = not_2.view(np.int8) + neither.view(np.int8)
         weights[state] = weight - (weight >> _RATE & _KEEP) + _PULL.take(way)
         # The entry afterwards: surer, less sure, or replaced.
         worse = np.where(sure > 1, entry - 1, value << 2 | 1)
-        table[at] = np.where(proposed == value, entry + (sure < 3), worse)
+        table[places] = np.where(proposed == value, entry + (sure < 3), worse).reshape(-1)
         wide = value.astype(np.int64)
         np.add(wide * 0x9E3779B1 + before >> 16 & (1 << BITS_2) - 1, base_2, out=at[0])
         np.add(wide, base_1, out=at[1])
@@ -177,17 +186,25 @@ def _follow(sizes: np.ndarray, distinct: int, coder, ranks: np.ndarray, literals
 def _bits(values: np.ndarray, widths: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """Values of so many bits at these places of ``size`` bits, the lowest first."""
     out = np.zeros(size, bool)
+    some = np.flatnonzero(widths)
+    widths, values, starts = widths[some], values[some], starts[some]
     for j in range(int(widths.max(initial=0))):
-        some = np.flatnonzero(widths > j)
-        out[starts[some] + j] = values[some] >> j & 1
+        if j:
+            some = widths > j
+            widths, values, starts = widths[some], values[some], starts[some]
+        out[starts + j] = values >> j & 1
     return out
 
 
 def _unbits(bits: np.ndarray, widths: np.ndarray, starts: np.ndarray) -> np.ndarray:
     out = np.zeros(len(widths), np.int64)
+    some = np.flatnonzero(widths)
+    widths, starts = widths[some], starts[some]
     for j in range(int(widths.max(initial=0))):
-        some = np.flatnonzero(widths > j)
-        out[some] |= bits[starts[some] + j].astype(np.int64) << j
+        if j:
+            more = widths > j
+            some, widths, starts = some[more], widths[more], starts[more]
+        out[some] |= bits[starts + j].astype(np.int64) << j
     return out
 
 
@@ -262,6 +279,13 @@ def _words(sizes: np.ndarray, most_bits: int) -> int:
     return int(sizes.max(initial=0)) * most_bits // 16 + 8
 
 
+def _shares(counts: np.ndarray, begins: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """Of each id under order 0: how many of its lane come before it, above how often it comes."""
+    under = np.cumsum(counts) - counts
+    under -= np.repeat(under[begins], distinct)
+    return under << 32 | counts
+
+
 def _ranked(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct ids of each lane, lane by lane, their numbers, and the ranks of ``ids`` (a row for each step)."""
     lanes, steps = ids.shape
@@ -301,15 +325,16 @@ def _encode(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     given = np.ascontiguousarray(ranks.T)[missed] + np.repeat(begins, n_given)
     del ranks, missed
     counts = np.bincount(given, minlength=len(names))
-    under = np.cumsum(counts) - counts
-    under -= np.repeat(under[begins], distinct)
+    shares = _shares(counts, begins, distinct)
     order = np.argsort(-n_given, kind="stable")
     n_sorted, starts = n_given[order], (np.cumsum(n_given) - n_given)[order]
     literals = _Out(lanes, _words(sizes, steps.bit_length() + 1))
     for step, n in enumerate(_alive(n_sorted)):
         which = given.take(starts[:n] + step)
         unit = _unit(literals.range[:n], n_sorted[:n])
-        literals.narrow(n, under.take(which) * unit, counts.take(which) * unit)
+        share = shares.take(which)
+        literals.narrow(n, (share >> 32) * unit, (share & _LOW32) * unit)
+        literals.move(n)
     unary, other, least = _tables(names, counts, distinct)
     words = [b""] * lanes
     for i, payload in zip(order.tolist(), literals.flushed(), strict=True):
@@ -330,21 +355,24 @@ def _decode(payloads: list[bytes], sizes: np.ndarray) -> np.ndarray:
     n_given = np.add.reduceat(counts, begins)
     order = np.argsort(-n_given, kind="stable")
     n_sorted, starts = n_given[order], (np.cumsum(n_given) - n_given)[order]
+    last = n_sorted - 1
     ends = (behind + heads[:, 2] * 2).tolist()
     behind = behind.tolist()
     coder = _In([payloads[i][behind[i] : ends[i]] for i in order.tolist()])
-    # A share of the range for each id under order 0: its name, its begin among them, their number.
-    shares = np.repeat(np.arange(len(names)), counts)
-    under = np.cumsum(counts) - counts
-    under -= np.repeat(under[begins], distinct)
-    given = np.zeros(int(n_given.sum()) + 1, np.int64)
+    shares = _shares(counts, begins, distinct)
+    # Each unit of a lane's range under order 0 belongs to one of its ids.
+    owners = np.repeat(np.arange(len(names), dtype=np.int32), counts)
+    given = np.zeros(int(n_given.sum()) + 1, np.int32)
     for step, n in enumerate(_alive(n_sorted)):
         unit = _unit(coder.range[:n], n_sorted[:n])
-        share = np.minimum(_unit(coder.code[:n], unit), n_sorted[:n] - 1)
-        which = shares.take(starts[:n] + share)
+        place = np.minimum(_unit(coder.code[:n], unit), last[:n])
+        place += starts[:n]
+        which = owners.take(place)
         given[starts[:n] + step] = which
-        coder.narrow(n, under.take(which) * unit, counts.take(which) * unit)
-    given[:-1] -= np.repeat(begins, n_given)
+        share = shares.take(which)
+        coder.narrow(n, (share >> 32) * unit, (share & _LOW32) * unit)
+        coder.move(n)
+    given[:-1] -= np.repeat(begins, n_given).astype(np.int32)
     given = given.astype(np.uint16 if distinct.max() < 1 << 14 else np.uint32)
     ranks = np.zeros((steps, lanes), given.dtype)
     ways = _In([p[e:] for p, e in zip(payloads, ends, strict=True)])

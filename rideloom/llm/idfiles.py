@@ -22,7 +22,7 @@ from rideloom.llm.packing import MAX_PARTS, part_starts
 from rideloom.llm.tokens import encoder
 
 #: Ids of a block, blocks that are coded side by side, and blocks after which a writer begins a new file.
-BLOCK_IDS, SIDE_BY_SIDE, FILE_BLOCKS = 4096, 2048, 8192
+BLOCK_IDS, SIDE_BY_SIDE, FILE_BLOCKS = 4096, 3072, 8192
 #: Fixed values of the format. A block: mark, ids, entries, bytes of its payload, CRC-32 of its ids and of its
 #: payload; then its entries (document id, or the least long where it is null; ids of the document before this
 #: block; ids in it); then the payload.
@@ -31,7 +31,7 @@ _ENTRY = np.dtype([("doc", "<i8"), ("before", "<u8"), ("n", "<u4")])
 _MARK = b"TKC1"
 _NULL = -(1 << 63)
 #: Bytes of text that one task codes; coding takes longer than reading, so this is less than a usual partition.
-TASK_BYTES = 16 << 20
+TASK_BYTES = 24 << 20
 #: Bytes of text whose pieces are looked up together.
 CHUNK_BYTES = 8 << 20
 
